@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import langid, media, secret_scan
+from hearth.llm import bpe, langid, media, secret_scan
 from hearth.llm.textbatch import table
 
 
@@ -20,6 +21,15 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    counted = coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")
+    back = bpe.decode(counted, path, keep=["doc_id", "n_tokens", "ids_sha256"])
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(table(spark, sf_dir, "documents"), keep=["doc_id"])
     frames = F.transform("keyframes", lambda k: F.concat_ws("-", k["start"], k["end"]))
@@ -38,6 +48,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_media_columns": op5_media_columns,
     "op7_secret_scan": op7_secret_scan,
 }
