@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, langid, media, secret_scan
+from hearth.llm import bpe, langid, media, ngram_join, secret_scan
 from hearth.llm.textbatch import table
 
 
@@ -46,10 +46,15 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_media_columns": op5_media_columns,
     "op7_secret_scan": op7_secret_scan,
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
