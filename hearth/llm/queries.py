@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, langid, media, ngram_join, secret_scan
+from hearth.llm import bpe, hmm, langid, media, ngram_join, secret_scan
 from hearth.llm.textbatch import table
 
 
@@ -21,6 +21,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_hidden_markov_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out(7))
+    return hmm.train_and_score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
@@ -52,6 +57,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_hidden_markov_score": op2_hidden_markov_score,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_media_columns": op5_media_columns,
     "op7_secret_scan": op7_secret_scan,
