@@ -7,9 +7,10 @@ none without words).  Documents link when the Jaccard similarity is at least ``p
 2. Shingles get a global order, rarest first by a frequency sketch of fixed size over all documents, then
    by hash.  Any total order gives exact results; the sketch only makes prefixes selective.
 3. Each representative sends its prefix (the shingles of which similar sets must share one).  Within a
-   shingle, ordered by set size, every member pairs with the first and with its predecessor, so a group of
-   m near copies gives 2m pairs; length, positional and suffix filters prune them.
-4. Each pair is verified once on the whole sets; links merge into components by joins.
+   shingle every member pairs with the first, so a group of m near copies gives m pairs; length, positional
+   and suffix filters prune them.
+4. Each pair is verified once on the whole sets; links merge into components by joins.  This repeats between
+   one member of each component while many pairs cross components and links are found.
 5. Members of one shingle that still lie in different components pair exhaustively under the same filters
    and are verified, so no link between components is lost.
 
@@ -35,6 +36,8 @@ from hearth.llm.textbatch import Chunk, chunks, column, mix, row_of, words
 #: Counters of the frequency sketch; 8 MB are broadcast whatever the input.
 SKETCH_BITS = 20
 SLICES = 64
+#: While more pairs than this cross components within a shingle, another round of stars precedes the exhaustive one.
+EXHAUSTIVE_PAIRS = 200_000
 #: Ranges of hashes whose set members are counted for the suffix filter.
 PARTS = 16
 
@@ -199,6 +202,33 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small
 
 
+def star(tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b): within each token, one member of each component with the member of the first one."""
+    row = F.struct("doc_id", "size", "pos")
+    members = tokens.groupBy("token", "component").agg(F.min(row).alias("y"))
+    order = W.partitionBy("token").orderBy("component").rowsBetween(W.unboundedPreceding, 0)
+    pairs = members.withColumn("x", F.first("y").over(order)).select(*[F.col(f"{r}.{c}").alias(f"{c}_{r}") for r in "xy" for c in ("doc_id", "size", "pos")])
+    pairs = pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent))
+    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
+
+
+def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
+    """The rows of tokens whose members lie in several components, with these; and how many pairs cross."""
+    known = tokens.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"))
+    mixed = sizes.where("n * n > own").select("token", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("crossing"))
+    rest = stored(known.join(mixed, "token"))
+    by_token = rest.groupBy("token").agg(F.max("crossing").alias("crossing"))
+    return rest, int(by_token.agg(F.coalesce(F.sum("crossing"), F.lit(0))).first()[0])
+
+
+def across(rest: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a token's members in different components that pass the filters."""
+    side = lambda x: rest.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component")])
+    pairs = side("x").join(side("y"), "token").where((F.col("component_x") != F.col("component_y")) & (F.col("doc_id_x") < F.col("doc_id_y")) & passes("x", "y", percent))
+    return pairs.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
+
+
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each document."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(F.col("doc_id").isNotNull())
@@ -212,29 +242,25 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     reps = stored(reps.select("doc_id", "n_shingles", "parts"))
     unique = having_keys(texts, reps.select("doc_id"), "doc_id")
 
-    # members of one shingle by size; a shingle of one member can't link
-    near = W.partitionBy("token").orderBy("size", "doc_id")
-    row = F.struct("doc_id", "size", "pos")
-    tokens = prefixes(unique, sketch, n, percent).withColumn("first", F.first(row).over(near.rowsBetween(W.unboundedPreceding, 0))).withColumn("before", F.lag(row).over(near)).withColumn("after", F.lead("doc_id").over(near))
-    tokens = stored(tokens.where(F.col("before").isNotNull() | F.col("after").isNotNull()).drop("after"))
-    stars = tokens.where(F.col("before").isNotNull()).select(F.explode(F.array_distinct(F.array("first", "before"))).alias("x"), row.alias("y"))
-    flat = lambda x: [F.col(f"{x}.doc_id").alias("a" if x == "x" else "b"), F.col(f"{x}.size").alias(f"size_{x}"), F.col(f"{x}.pos").alias(f"pos_{x}")]
-    pairs = stars.select(*flat("x"), *flat("y")).where((F.col("a") != F.col("b")) & passes("x", "y", percent))
-    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = linked(pairs, reps, texts, n, percent)
+    # a shingle of one member can't link
+    near = W.partitionBy("token").orderBy("doc_id")
+    tokens = prefixes(unique, sketch, n, percent).withColumn("before", F.lag("doc_id").over(near)).withColumn("after", F.lead("doc_id").over(near))
+    tokens = stored(tokens.where(F.coalesce("before", "after").isNotNull()).drop("before", "after"))
+    links = linked(star(tokens.withColumn("component", F.col("doc_id")), percent), reps, texts, n, percent)
     merged = components(links)
-
-    # what is left between components
-    known = tokens.select("token", "doc_id", "size", "pos").join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = known.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("token")
-    rest = stored(known.join(mixed, "token", "left_semi"))
-    side = lambda x: rest.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component")])
-    more = side("x").join(side("y"), "token").where((F.col("component_x") != F.col("component_y")) & (F.col("doc_id_x") < F.col("doc_id_y")) & passes("x", "y", percent))
-    more = more.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    found = linked(more, reps, texts, n, percent)
+    done = [tokens]
+    while True:
+        rest, left = between(tokens, merged)
+        done.append(rest)
+        found = linked(star(rest, percent), reps, texts, n, percent) if left > EXHAUSTIVE_PAIRS else None
+        if found is None or found.isEmpty():
+            break
+        links = links.union(found)
+        merged = components(links)
+    found = linked(across(rest, percent), reps, texts, n, percent)
     if not found.isEmpty():
         merged = components(links.union(found))
-    dropped(tokens, rest, pairs)
+    dropped(*done)
 
     whole = sets.join(merged.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
     out = rows.join(whole, ["n_shingles", "set_a", "set_b"], "left")
