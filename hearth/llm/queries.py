@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, hmm, langid, media, ngram_join, secret_scan
+from hearth.llm import bpe, hmm, langid, media, ngram_join, packing, secret_scan
 from hearth.llm.textbatch import table
 
 
@@ -55,6 +55,10 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hidden_markov_score": op2_hidden_markov_score,
@@ -62,5 +66,6 @@ QUERIES = {
     "op5_media_columns": op5_media_columns,
     "op7_secret_scan": op7_secret_scan,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
+    "op9_sequence_packing": op9_sequence_packing,
 }
 ORACLES: dict[str, str] = {}
