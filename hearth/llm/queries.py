@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, chat, hmm, langid, media, ngram_join, packing, secret_scan, topk
+from hearth.llm import bpe, chat, hmm, langid, licenses, media, ngram_join, packing, secret_scan, topk
 from hearth.llm.textbatch import table
 
 
@@ -26,6 +26,16 @@ def op2_hidden_markov_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.train_and_score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the files of a tree: by source, language and a numbered directory; every tenth is named as a licence file."""
+    source, lang = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none"))
+    folder = F.when(F.col("doc_id") % 3 == 0, source).when(F.col("doc_id") % 3 == 1, F.concat_ws("/", source, lang))
+    folder = folder.otherwise(F.concat(source, F.lit("/"), lang, F.lit("/b"), (F.col("doc_id") % 7).cast("string")))
+    name = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE."), "doc_id")).otherwise(F.concat(F.lit("f"), "doc_id", F.lit(".txt")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", folder, name).alias("path"), "text")
+    return licenses.scan(docs, "doc_id")
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
@@ -74,6 +84,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hidden_markov_score": op2_hidden_markov_score,
+    "op3_license_scan": op3_license_scan,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_media_columns": op5_media_columns,
     "op6_exact_top_k": op6_exact_top_k,
@@ -82,6 +93,42 @@ QUERIES = {
     "op9_sequence_packing": op9_sequence_packing,
     "op10_chat_formatting": op10_chat_formatting,
 }
+_quote = lambda x: "'" + x.replace("'", "''") + "'"
+_HOLDS = " OR ".join(f"contains(lower({{0}}), '{k}')" for k in licenses.KEYWORDS)
+OP3_SQL = f"""
+WITH notices AS (SELECT row_number() OVER () AS nid, * FROM (VALUES {", ".join(f"({_quote(a)}, {_quote(b)})" for a, b in licenses.TEMPLATES)}) t(license, notice)),
+files AS (
+  SELECT doc_id, text, concat_ws('/', CASE doc_id % 3 WHEN 0 THEN coalesce(source, 'none') WHEN 1 THEN coalesce(source, 'none') || '/' || coalesce(lang, 'none')
+    ELSE coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/b' || (doc_id % 7) END, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE 'f' || doc_id || '.txt' END) AS path
+  FROM documents
+),
+units AS (
+  SELECT doc_id, unit FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS unit FROM files) WHERE {_HOLDS.format("unit")}
+  UNION ALL SELECT doc_id, text FROM files WHERE doc_id % 10 = 0 AND trim(text, ' ') <> ''
+),
+nt AS (SELECT nid, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT nid, unnest(regexp_split_to_array(lower(notice), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM notices) WHERE term <> '' GROUP BY ALL),
+n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM notices),
+idf AS (SELECT term, ln((any_value(n.n) + 1) / (count(*) + 1)) + 1 AS idf FROM nt, n GROUP BY term),
+nv AS (SELECT nid, term, tf * idf AS wt, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY nid)) AS norm_t FROM nt JOIN idf USING (term)),
+du AS (SELECT DISTINCT unit FROM units),
+ut AS (SELECT unit, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT unit, unnest(regexp_split_to_array(lower(unit), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM du) WHERE term <> '' GROUP BY ALL),
+uv AS (SELECT unit, term, tf * coalesce(idf, ln(n.n + 1) + 1) AS wu FROM ut LEFT JOIN idf USING (term), n),
+un AS (SELECT unit, sqrt(sum(wu * wu)) AS norm_u FROM uv GROUP BY unit),
+cosine AS (SELECT unit, nid, round(sum(wu * wt) / (any_value(norm_u) * any_value(norm_t)), 6) AS score FROM uv JOIN nv USING (term) JOIN un USING (unit) GROUP BY unit, nid),
+own AS (
+  SELECT doc_id, license AS own_license, score AS own_score FROM units JOIN cosine USING (unit) JOIN notices USING (nid) WHERE score >= {licenses.THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1
+),
+f AS (SELECT doc_id, path, regexp_replace(path, '(^|/)[^/]*$', '') AS dir, own_license, own_score FROM files LEFT JOIN own USING (doc_id)),
+givers AS (SELECT dir AS above, own_license AS license, path AS license_path FROM f WHERE doc_id % 10 = 0 AND own_license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, own_license) = 1),
+near AS (
+  SELECT d.dir, license, license_path FROM (SELECT DISTINCT dir FROM f) d JOIN givers g ON d.dir = g.above OR starts_with(d.dir, g.above || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(above) DESC) = 1
+)
+SELECT doc_id, path, own_license, own_score, coalesce(own_license, license) AS license, CASE WHEN own_license IS NOT NULL THEN path ELSE license_path END AS license_path
+FROM f LEFT JOIN near USING (dir)
+"""
+
 OP6_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256.0::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -108,4 +155,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op6_exact_top_k": OP6_SQL, "op10_chat_formatting": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_license_scan": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op10_chat_formatting": OP10_SQL}
