@@ -9,8 +9,8 @@ none without words).  Documents link when the Jaccard similarity is at least ``p
 3. Each representative sends its prefix (the shingles of which similar sets must share one).  Within a
    shingle every member pairs with the first, so a group of m near copies gives m pairs; length, positional
    and suffix filters prune them.
-4. Each pair is verified once on the whole sets; links merge into components by joins.  This repeats between
-   one member of each component while many pairs cross components and links are found.
+4. Each pair is verified once on the whole sets; links merge into components by joins.  While many pairs
+   cross components, members outside a shingle's largest component meet a few members of that one.
 5. Members of one shingle that still lie in different components pair exhaustively under the same filters
    and are verified, so no link between components is lost.
 
@@ -36,10 +36,11 @@ from hearth.llm.textbatch import Chunk, chunks, column, mix, row_of, words
 #: Counters of the frequency sketch; 8 MB are broadcast whatever the input.
 SKETCH_BITS = 20
 SLICES = 64
-#: While more pairs than this cross components within a shingle, another round of stars precedes the exhaustive one.
+#: While more pairs than this cross components within shingles, a round with a few hubs precedes the exhaustive one.
 EXHAUSTIVE_PAIRS = 200_000
+HUBS = 8
 #: Ranges of hashes whose set members are counted for the suffix filter.
-PARTS = 16
+PARTS = 256
 
 
 def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,16 +81,17 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
                 np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1, 1:])
                 sums = total[:, first[1:]] - total[:, first[:-1]]
                 parts = np.bincount(row_of(first) * PARTS + (h & np.uint64(PARTS - 1)).astype(np.int64), minlength=rows * PARTS)
+                parts = np.minimum(parts, 65535).astype(np.uint16).reshape(rows, PARTS)
                 yield pa.RecordBatch.from_arrays(
                     [column(b, "doc_id").slice(c.lo, rows), pa.array(np.diff(first), pa.int64()), *(pa.array(s.view(np.int64)) for s in sums),
-                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * PARTS, pa.int32()), pa.array(parts, pa.int32())), none(rows, pa.int32()), none(rows, pa.binary())],
+                     pa.array([x.tobytes() for x in parts], pa.binary()), none(rows, pa.int32()), none(rows, pa.binary())],
                     ["doc_id", "n_shingles", "set_a", "set_b", "parts", "slice", "counts"])
         blobs = [x.tobytes() for x in np.split(sketch, SLICES)]
         yield pa.RecordBatch.from_arrays(
-            [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.list_(pa.int32())), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
+            [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
             ["doc_id", "n_shingles", "set_a", "set_b", "parts", "slice", "counts"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, parts array<int>, slice int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, parts binary, slice int, counts binary")
 
 
 def sketch_of(made: DataFrame) -> np.ndarray:
@@ -151,8 +153,15 @@ def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, n: int, percent:
     """Those of the pairs (a, b) that link; the suffix filter first, then one comparison of the whole sets."""
     of = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("parts").alias(f"parts_{x}"))
     near = pairs.join(of("a"), "a").join(of("b"), "b")
-    most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    near = stored(near.where(most >= needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b"))
+
+    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.stack([np.frombuffer(p.as_buffer(), np.uint16) for p in column(b, f"parts_{k}")] or [np.zeros(PARTS, np.uint16)]) for k in "ab")
+            size = sum(column(b, f"n_{k}").to_numpy() for k in "ab")
+            may = np.minimum(x, y).sum(1, dtype=np.int64)[: len(size)] * (100 + percent) >= size * percent
+            yield b.select(["a", "b"]).filter(pa.array(may | (size > 1 << 23)))  # counts of huge sets don't fit
+
+    near = stored(near.mapInArrow(suffix, "a long, b long"))
     wanted = stored(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,30 +212,36 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def star(tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): within each token, one member of each component with the member of the first one."""
-    row = F.struct("doc_id", "size", "pos")
-    members = tokens.groupBy("token", "component").agg(F.min(row).alias("y"))
-    order = W.partitionBy("token").orderBy("component").rowsBetween(W.unboundedPreceding, 0)
-    pairs = members.withColumn("x", F.first("y").over(order)).select(*[F.col(f"{r}.{c}").alias(f"{c}_{r}") for r in "xy" for c in ("doc_id", "size", "pos")])
-    pairs = pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent))
-    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
+    """Pairs (a, b): within each token, every member with the first."""
+    first = F.first(F.struct("doc_id", "size", "pos")).over(W.partitionBy("token").orderBy("doc_id").rowsBetween(W.unboundedPreceding, 0))
+    pairs = tokens.select(first.alias("x"), F.struct("doc_id", "size", "pos").alias("y")).select(*[F.col(f"{r}.{c}").alias(f"{c}_{r}") for r in "xy" for c in ("doc_id", "size", "pos")])
+    return pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent)).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
 def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
-    """The rows of tokens whose members lie in several components, with these; and how many pairs cross."""
+    """The rows of tokens whose members lie in several components, with these and each token's largest; and how many pairs cross."""
     known = tokens.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"))
-    mixed = sizes.where("n * n > own").select("token", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("crossing"))
-    rest = stored(known.join(mixed, "token"))
-    by_token = rest.groupBy("token").agg(F.max("crossing").alias("crossing"))
-    return rest, int(by_token.agg(F.coalesce(F.sum("crossing"), F.lit(0))).first()[0])
-
-
-def across(rest: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a token's members in different components that pass the filters."""
-    side = lambda x: rest.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component")])
-    pairs = side("x").join(side("y"), "token").where((F.col("component_x") != F.col("component_y")) & (F.col("doc_id_x") < F.col("doc_id_y")) & passes("x", "y", percent))
-    return pairs.select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
+    sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token")
+    sizes = sizes.agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max(F.struct("k", "component"))["component"].alias("largest"))
+    mixed = sizes.where("n * n > own").select("token", "largest", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("crossing"))
+    mixed = stored(mixed)
+    left = int(mixed.agg(F.coalesce(F.sum("crossing"), F.lit(0))).first()[0])
+    rest = stored(known.join(mixed.drop("crossing"), "token"))
+    dropped(mixed)
+    return rest, left
+
+
+def hubs(rest: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one."""
+    inside = rest.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
+    return crossed(inside.where(F.col("nth") <= HUBS), rest.where("component <> largest"), percent)
+
+
+def crossed(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows of one token in different components that pass the filters."""
+    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component")])
+    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent))
+    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
@@ -246,18 +261,18 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     near = W.partitionBy("token").orderBy("doc_id")
     tokens = prefixes(unique, sketch, n, percent).withColumn("before", F.lag("doc_id").over(near)).withColumn("after", F.lead("doc_id").over(near))
     tokens = stored(tokens.where(F.coalesce("before", "after").isNotNull()).drop("before", "after"))
-    links = linked(star(tokens.withColumn("component", F.col("doc_id")), percent), reps, texts, n, percent)
+    links = linked(star(tokens, percent), reps, texts, n, percent)
     merged = components(links)
-    done = [tokens]
+    done, before, rounds = [tokens], None, 0
     while True:
         rest, left = between(tokens, merged)
         done.append(rest)
-        found = linked(star(rest, percent), reps, texts, n, percent) if left > EXHAUSTIVE_PAIRS else None
-        if found is None or found.isEmpty():
+        if left <= EXHAUSTIVE_PAIRS or (before is not None and left > 0.8 * before):
             break
-        links = links.union(found)
+        before, rounds = left, rounds + 1
+        links = links.union(linked(hubs(rest, percent, rounds), reps, texts, n, percent))
         merged = components(links)
-    found = linked(across(rest, percent), reps, texts, n, percent)
+    found = linked(crossed(rest, rest, percent), reps, texts, n, percent)
     if not found.isEmpty():
         merged = components(links.union(found))
     dropped(*done)
