@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import langid, secret_scan
+from hearth.llm import langid, ngram_join, packing, secret_scan
+from hearth.llm.scratch import having_keys, stored
 from hearth.llm.textbatch import table
 
 #: No text of fewer letters than a word, and none whose best language is less likely than all others together.
@@ -20,16 +20,36 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near copies; rows without an id stay."""
+    classes = ngram_join.join(docs)
+    heads = stored(classes.where("doc_id = component_id").select("doc_id").distinct())
+    kept = having_keys(docs, heads, "doc_id")
+    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.select(docs.columns).union(docs.where("doc_id IS NULL"))
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps every document; secrets in its text are masked and n_chars follows."""
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
-STAGES = [("language", language), ("secrets", secrets)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 4096 tokens; each id of each document lies in exactly one."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "lang", "source"])
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("secrets", secrets), ("packing", packed)]
 
 #: A trained classifier and an external tokenizer lie outside SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reduce(lambda docs, stage: stage[1](spark, docs, sf_dir), STAGES, table(spark, sf_dir, "documents"))
+    """All stages over documents; what one keeps is written and read again as the next one's input."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        docs = stored(docs) if number < len(STAGES) else docs
+    return docs

@@ -163,7 +163,7 @@ def solve(units: np.ndarray, demand: np.ndarray, room: int, most_steps: int = 40
         row = inverse[leave] / way[leave]
         inverse -= np.outer(way, row)
         inverse[leave] = row
-        if step % 64 == 63:  # against rounding
+        if step % 256 == 255:  # against rounding
             inverse = np.linalg.inv(patterns.T.astype(float))
             count = np.maximum(inverse @ demand, 0)
     return patterns, count
