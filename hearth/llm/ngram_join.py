@@ -10,7 +10,8 @@ none without words).  Documents link when the Jaccard similarity is at least ``p
    shingle every member pairs with the first, so a group of m near copies gives m pairs; length, positional
    and suffix filters prune them.
 4. Each pair is verified once on the whole sets; links merge into components by joins.  While many pairs
-   cross components, members outside a shingle's largest component meet a few members of that one.
+   cross components, members outside a shingle's largest component meet a few members of that one.  Here and
+   in the next step signatures of the sets filter the pairs inside the join.
 5. Members of one shingle that still lie in different components pair exhaustively under the same filters
    and are verified, so no link between components is lost.
 
@@ -21,8 +22,8 @@ left out.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,11 @@ from hearth.llm.textbatch import Chunk, chunks, column, mix, row_of, words
 SKETCH_BITS = 20
 SLICES = 64
 #: While more pairs than this cross components within shingles, a round with a few hubs precedes the exhaustive one.
-EXHAUSTIVE_PAIRS = 200_000
+EXHAUSTIVE_PAIRS = 2_000_000
 HUBS = 8
-#: Ranges of hashes whose set members are counted for the suffix filter.
-PARTS = 256
+#: Bits of a set's signature for the suffix filter, in words of 64.
+BITS = 1024
+WORDS = BITS // 64
 
 
 def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +57,7 @@ def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     h, owner = h[inside], owner[inside]
     short = np.flatnonzero((count > 0) & (count < n))
     if len(short):
-        whole = np.array([functools.reduce(lambda a, x: mix(a + x), w.hash[w.first[r] : w.first[r + 1]], np.uint64([n + 1000])) for r in short], np.uint64).ravel()
+        whole = np.array([reduce(lambda a, x: mix(a + x), w.hash[w.first[r] : w.first[r + 1]], np.uint64([n + 1000])) for r in short], np.uint64).ravel()
         h, owner = np.append(h, whole), np.append(owner, short)
     order = np.lexsort((h, owner))
     h, owner = h[order], owner[order]
@@ -66,7 +68,7 @@ def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def profiles(docs: DataFrame, n: int) -> DataFrame:
-    """One row for each document: size, two hashes of its set and its members by hash range; and rows of the sketch."""
+    """One row for each document: size, two hashes of its set and its signature; and rows of the sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -80,18 +82,19 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
                 np.cumsum(mix(h + np.uint64(1)), out=total[0, 1:])
                 np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1, 1:])
                 sums = total[:, first[1:]] - total[:, first[:-1]]
-                parts = np.bincount(row_of(first) * PARTS + (h & np.uint64(PARTS - 1)).astype(np.int64), minlength=rows * PARTS)
-                parts = np.minimum(parts, 65535).astype(np.uint16).reshape(rows, PARTS)
+                held = np.zeros((rows, BITS), bool)
+                held[row_of(first), (h & np.uint64(BITS - 1)).astype(np.int64)] = True
+                bits = np.packbits(held, axis=1, bitorder="little").view(np.int64).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [column(b, "doc_id").slice(c.lo, rows), pa.array(np.diff(first), pa.int64()), *(pa.array(s.view(np.int64)) for s in sums),
-                     pa.array([x.tobytes() for x in parts], pa.binary()), none(rows, pa.int32()), none(rows, pa.binary())],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "parts", "slice", "counts"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * WORDS, pa.int32()), pa.array(bits)), none(rows, pa.int32()), none(rows, pa.binary())],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "bits", "slice", "counts"])
         blobs = [x.tobytes() for x in np.split(sketch, SLICES)]
         yield pa.RecordBatch.from_arrays(
-            [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
-            ["doc_id", "n_shingles", "set_a", "set_b", "parts", "slice", "counts"])
+            [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
+            ["doc_id", "n_shingles", "set_a", "set_b", "bits", "slice", "counts"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, parts binary, slice int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bits array<long>, slice int, counts binary")
 
 
 def sketch_of(made: DataFrame) -> np.ndarray:
@@ -149,19 +152,18 @@ def passes(a: str, b: str, percent: int) -> Column:
     return length & (F.least(pa_, pb) + F.least(sa - pa_, sb - pb) >= needed(sa, sb, percent))
 
 
-def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that link; the suffix filter first, then one comparison of the whole sets."""
-    of = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("parts").alias(f"parts_{x}"))
-    near = pairs.join(of("a"), "a").join(of("b"), "b")
+def suffix(a: str, b: str, percent: int) -> Column:
+    """Suffix filter on two rows (columns size_x and bits_x): a bit that only one set has costs that set a member."""
+    x, y = F.col(f"bits_{a}"), F.col(f"bits_{b}")
+    alone = lambda p, q: reduce(lambda s, t: s + t, [F.bit_count(p[i].bitwiseAND(F.bitwise_not(q[i]))) for i in range(WORDS)])
+    most = F.least(F.col(f"size_{a}") - alone(x, y), F.col(f"size_{b}") - alone(y, x))
+    return most >= needed(F.col(f"size_{a}"), F.col(f"size_{b}"), percent)
 
-    def suffix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = (np.stack([np.frombuffer(p.as_buffer(), np.uint16) for p in column(b, f"parts_{k}")] or [np.zeros(PARTS, np.uint16)]) for k in "ab")
-            size = sum(column(b, f"n_{k}").to_numpy() for k in "ab")
-            may = np.minimum(x, y).sum(1, dtype=np.int64)[: len(size)] * (100 + percent) >= size * percent
-            yield b.select(["a", "b"]).filter(pa.array(may | (size > 1 << 23)))  # counts of huge sets don't fit
 
-    near = stored(near.mapInArrow(suffix, "a long, b long"))
+def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that link; the suffix filter first, then one comparison of the whole sets."""
+    of = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}"))
+    near = stored(pairs.join(of("a"), "a").join(of("b"), "b").where(suffix("a", "b", percent)).select("a", "b"))
     wanted = stored(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +220,7 @@ def star(tokens: DataFrame, percent: int) -> DataFrame:
     return pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent)).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
-def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
+def between(tokens: DataFrame, merged: DataFrame, reps: DataFrame) -> tuple[DataFrame, int]:
     """The rows of tokens whose members lie in several components, with these and each token's largest; and how many pairs cross."""
     known = tokens.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token")
@@ -226,7 +228,7 @@ def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
     mixed = sizes.where("n * n > own").select("token", "largest", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("crossing"))
     mixed = stored(mixed)
     left = int(mixed.agg(F.coalesce(F.sum("crossing"), F.lit(0))).first()[0])
-    rest = stored(known.join(mixed.drop("crossing"), "token"))
+    rest = stored(known.join(mixed.drop("crossing"), "token").join(reps.select("doc_id", "bits"), "doc_id"))
     dropped(mixed)
     return rest, left
 
@@ -239,8 +241,8 @@ def hubs(rest: DataFrame, percent: int, salt: int) -> DataFrame:
 
 def crossed(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of rows of one token in different components that pass the filters."""
-    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component")])
-    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent))
+    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component", "bits")])
+    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent) & suffix("x", "y", percent))
     return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
@@ -254,7 +256,7 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     sets = filled.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
     sets = stored(sets)
     reps = filled.join(sets.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-    reps = stored(reps.select("doc_id", "n_shingles", "parts"))
+    reps = stored(reps.select("doc_id", "n_shingles", "bits"))
     unique = having_keys(texts, reps.select("doc_id"), "doc_id")
 
     # a shingle of one member can't link
@@ -265,7 +267,7 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     merged = components(links)
     done, before, rounds = [tokens], None, 0
     while True:
-        rest, left = between(tokens, merged)
+        rest, left = between(tokens, merged, reps)
         done.append(rest)
         if left <= EXHAUSTIVE_PAIRS or (before is not None and left > 0.8 * before):
             break
