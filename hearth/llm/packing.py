@@ -40,8 +40,7 @@ CACHE_WORDS = 600_000
 class Words(dict):
     """Ids of white-space separated words (ASCII in lower case), encoded by the tokenizers library when first asked for.
 
-    Words are independent of each other for a tokenizer that drops white space and case; so is punctuation
-    at the end of a word after an ASCII letter or digit.
+    Words are independent of each other for a tokenizer that drops white space and case.
     """
 
     def __init__(self, path: str):
@@ -60,19 +59,22 @@ class Words(dict):
         return n
 
     def learn(self) -> None:
-        stems: dict[bytes, int] = {}
-        rows, counts = [], []
-        for word in self.new:
-            stem = word.rstrip(b".,;:!?")
-            cut = len(stem) if stem and stem[-1:].isalnum() else len(word)
-            parts = [word[:cut], word[cut:]] if cut < len(word) else [word]
-            rows += [stems.setdefault(p, len(stems)) for p in parts]
-            counts.append(len(parts))
-        got = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch([p.decode() for p in stems], add_special_tokens=False)]
-        ids, size = ragged(np.concatenate(got), np.append(0, np.cumsum([len(g) for g in got])), np.array(rows))
-        ends = np.append(0, np.cumsum(size))[np.cumsum(counts)]
+        """Encodes new words, many at once with a special token between them."""
+        new, self.new = [w.decode() for w in self.new], []
+        mark, text = next(((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized), (None, None))
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        odd = [mark is None or ("<" in w and any(t in w for t in special)) for w in new]
+        plain = [w for w, o in zip(new, odd, strict=True) if not o]
+        runs = [(text or "").join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
+        flat = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(runs, add_special_tokens=False)]
+        ids = np.concatenate([x for f in flat for x in (f, [mark or 0])]).astype(np.uint32) if flat else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == mark) - np.arange(len(plain))
+        ids = ids[ids != mark]
+        if any(odd):
+            parts = iter(np.split(ids, ends[:-1]))
+            got = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) if o else next(parts) for w, o in zip(new, odd, strict=True)]
+            ids, ends = np.concatenate(got), np.cumsum([len(g) for g in got])
         self.flat, self.at = np.concatenate([self.flat, ids]), np.concatenate([self.at, self.at[-1] + ends])
-        self.new = []
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, each with the end id, and the first of each (one more than texts)."""
