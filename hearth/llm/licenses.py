@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.llm.scratch import stored
+
 THRESHOLD = 0.6
 KEYWORDS = ("licen", "copyright", "spdx", "all rights reserved", "public domain", "permission is hereby granted")
 NAMED = r"(?i)(^|/)(license|licence|copying|notice)[^/]*$"
@@ -73,7 +75,7 @@ def stated(files: DataFrame, notices: DataFrame, threshold: float) -> DataFrame:
     holds = lambda c: F.greatest(*[F.contains(c, F.lit(k)) for k in KEYWORDS])
     lines = files.where(holds(low)).select("row", F.explode(F.split("text", "\n")).alias("unit")).where(holds(F.lower("unit")))
     whole = files.where(F.col("path").rlike(NAMED) & (F.trim("text") != "")).select("row", F.col("text").alias("unit"))
-    units = lines.union(whole)
+    units = stored(lines.union(whole))
     found = units.join(matched(units.select("unit").distinct(), notices, threshold), "unit")
     best = found.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("row", F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
@@ -104,7 +106,7 @@ def scan(files: DataFrame, row: str, path: str = "path", text: str = "text", not
     """(row, path, own_license, own_score, license, license_path) of each file; row names a unique column."""
     notices = templates(files.sparkSession) if notices is None else notices
     slim = files.select(F.col(f"`{row}`").alias("row"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
-    own = slim.select("row", "path").join(stated(slim, notices, threshold), "row", "left")
+    own = stored(slim.select("row", "path").join(stated(slim, notices, threshold), "row", "left"))
     full = own.withColumn("dir", directory(F.col("path"))).join(inherited(own), "dir", "left")
     mine = F.col("own_license").isNotNull()
     return full.select(F.col("row").alias(row), "path", "own_license", "own_score", F.coalesce("own_license", "license").alias("license"), F.when(mine, F.col("path")).otherwise(F.col("license_path")).alias("license_path"))
