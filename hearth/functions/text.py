@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Spellings of the covered communes (fixed values).
 COVERED = {"nunoa": "nunoa", "macul": "macul", "la florida": "la-florida", "la-florida": "la-florida", "san miguel": "san-miguel", "san-miguel": "san-miguel"}
@@ -33,7 +34,7 @@ def norm_address(c: Column) -> Column:
     return F.regexp_replace(F.trim(F.lower(c)), r"\s+", " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_unescape(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Character references by name and number; the full table of names exists only in Python."""
     for s in texts:

@@ -42,16 +42,21 @@ def infer_rate(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(by or [])).agg(F.percentile(ratio, 0.5).alias("rate"))
 
 
-SWAPPED = between("ano_construccion", 0, 60) & between("antiguedad_anos", 1900, 2030)
-#: Repairs by name: the rows hit, as a condition on the typed listing and the rate.
-RULES: dict[str, Column] = {
-    "swap": SWAPPED,
-    "uf_from_clp": F.col("precio_uf").isNull() & F.col("precio_clp").isNotNull(),
-    "clp_from_uf": F.col("precio_clp").isNull() & F.col("precio_uf").isNotNull(),
-    "bad_geo": F.col("lat").isNotNull() & ~(between("lat", *BOX["lat"]) & between("lon", *BOX["lon"])),
-    "total_below_util": F.coalesce(F.col("m2_util") > F.col("m2_total"), F.lit(False)),
-    "zero_costs": F.coalesce((F.col("tipo") == "departamento") & (F.col("gastos_comunes_clp") == 0), F.lit(False)),
-}
+def swapped() -> Column:
+    """Year and age exchanged."""
+    return between("ano_construccion", 0, 60) & between("antiguedad_anos", 1900, 2030)
+
+
+def rules() -> dict[str, Column]:
+    """Repairs by name: the rows hit, as a condition on the typed listing."""
+    return {
+        "swap": swapped(),
+        "uf_from_clp": F.col("precio_uf").isNull() & F.col("precio_clp").isNotNull(),
+        "clp_from_uf": F.col("precio_clp").isNull() & F.col("precio_uf").isNotNull(),
+        "bad_geo": F.col("lat").isNotNull() & ~(between("lat", *BOX["lat"]) & between("lon", *BOX["lon"])),
+        "total_below_util": F.coalesce(F.col("m2_util") > F.col("m2_total"), F.lit(False)),
+        "zero_costs": F.coalesce((F.col("tipo") == "departamento") & (F.col("gastos_comunes_clp") == 0), F.lit(False)),
+    }
 
 
 def repair(df: DataFrame, rate: DataFrame | None = None, box: bool = True) -> DataFrame:
@@ -60,28 +65,29 @@ def repair(df: DataFrame, rate: DataFrame | None = None, box: bool = True) -> Da
     rate: one row, by default inferred from df itself.
     """
     rate = infer_rate(df) if rate is None else rate
-    swapped = df.crossJoin(F.broadcast(rate)).withColumns({
-        "ano_construccion": F.when(SWAPPED, F.col("antiguedad_anos")).otherwise(F.col("ano_construccion")),
-        "antiguedad_anos": F.when(SWAPPED, F.col("ano_construccion")).otherwise(F.col("antiguedad_anos")),
+    hit = rules()
+    rebuilt = df.crossJoin(F.broadcast(rate)).withColumns({
+        "ano_construccion": F.when(swapped(), F.col("antiguedad_anos")).otherwise(F.col("ano_construccion")),
+        "antiguedad_anos": F.when(swapped(), F.col("ano_construccion")).otherwise(F.col("antiguedad_anos")),
         "precio_uf": F.coalesce("precio_uf", F.try_divide("precio_clp", "rate")),
         "precio_clp": F.coalesce("precio_clp", F.col("precio_uf") * F.col("rate")),
     })
     fixed = {c: F.when(F.col(c).between(lo, hi), F.col(c)) for c, (lo, hi) in RANGES.items()}
-    fixed["gastos_comunes_clp"] = F.when(~RULES["zero_costs"], fixed["gastos_comunes_clp"])
-    fixed["m2_total"] = F.when(~RULES["total_below_util"], F.col("m2_total"))
+    fixed["gastos_comunes_clp"] = F.when(~hit["zero_costs"], fixed["gastos_comunes_clp"])
+    fixed["m2_total"] = F.when(~hit["total_below_util"], F.col("m2_total"))
     if box:
-        fixed |= {c: F.when(~RULES["bad_geo"], F.col(c)) for c in ("lat", "lon")}
-    return swapped.withColumns(fixed).drop("rate")
+        fixed |= {c: F.when(~hit["bad_geo"], F.col(c)) for c in ("lat", "lon")}
+    return rebuilt.withColumns(fixed).drop("rate")
 
 
 def repair_log(df: DataFrame) -> DataFrame:
     """(rule, kind, n_rows, pct) of the typed listings: what repair() would change, in one pass."""
-    after_swap = {"ano_construccion": F.when(SWAPPED, F.col("antiguedad_anos")).otherwise(F.col("ano_construccion"))}
+    after_swap = {"ano_construccion": F.when(swapped(), F.col("antiguedad_anos")).otherwise(F.col("ano_construccion"))}
     out = {f"{c}_out_of_range": after_swap.get(c, F.col(c)).isNotNull() & ~F.coalesce(after_swap.get(c, F.col(c)).between(lo, hi), F.lit(False)) for c, (lo, hi) in RANGES.items()}
-    rules = RULES | out
+    every = rules() | out
     fixed = {"swap", "uf_from_clp", "clp_from_uf"}
-    counts = df.agg(F.count("*").alias("total"), *[F.count_if(cond).alias(name) for name, cond in rules.items()])
-    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit("repaired" if n in fixed else "nulled").alias("kind"), F.col(n).alias("n_rows")) for n in rules])).alias("r")
+    counts = df.agg(F.count("*").alias("total"), *[F.count_if(cond).alias(name) for name, cond in every.items()])
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit("repaired" if n in fixed else "nulled").alias("kind"), F.col(n).alias("n_rows")) for n in every])).alias("r")
     return counts.select("total", rows).select("r.rule", "r.kind", "r.n_rows", F.round(100.0 * F.col("r.n_rows") / F.col("total"), 4).alias("pct"))
 
 

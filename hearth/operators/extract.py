@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import ArrayType, StringType
 
 from hearth.functions.numbers import as_double, currency, entero, es_rango, numero, prices
 from hearth.functions.text import clean_text, covered, plain
@@ -104,7 +105,7 @@ def render_context(html: Column) -> Column:
     return F.try_parse_json(F.coalesce(F.substring_index(body, "</script>", 1), body))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def find_nodes(texts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """All objects of a type anywhere in a JSON tree, as JSON texts; SQL paths don't search all depths."""
 
@@ -197,11 +198,13 @@ def assemble(raw: DataFrame, rate: Column, year: int = 2026) -> DataFrame:
     fits = lambda s, col: F.coalesce(*[F.when(F.startswith(plain(s["label"]), F.lit(k)), c) for k, c in SPEC_COLUMNS], F.lit("")) == col
     any_column = lambda s: F.exists(F.array(*[F.lit(k) for k, _ in SPEC_COLUMNS]), lambda k: F.startswith(plain(s["label"]), k))
     ranges = F.filter("specs", lambda s: any_column(s) & es_rango(s["text"]))
-    cols: dict[str, Column] = {}
-    for col in dict.fromkeys(c for _, c in SPEC_COLUMNS):
-        read = entero if col in WHOLE else numero
-        values = F.transform(F.filter("specs", lambda s, col=col: fits(s, col) & ~es_rango(s["text"])), lambda s, read=read: read(s["text"]))
-        cols[col] = F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
+    def read(col: str) -> Column:
+        """The last readable text among the labels of a column."""
+        as_number = entero if col in WHOLE else numero
+        values = F.transform(F.filter("specs", lambda s: fits(s, col) & ~es_rango(s["text"])), lambda s: as_number(s["text"]))
+        return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
+
+    cols = {col: read(col) for col in dict.fromkeys(c for _, c in SPEC_COLUMNS)}
     made = raw.withColumns(cols | {"uf_usada": rate, "es_proyecto": (F.size(ranges) > 0).cast("int"), "comuna": F.coalesce(covered(F.col("comuna_cruda")), F.col("comuna_cruda")), "fuera_de_cobertura": covered(F.col("comuna_cruda")).isNull()})
     clp, uf = prices(F.col("precio_valor"), F.col("precio_moneda"), F.col("uf_usada"))
     inside = F.coalesce(F.col("lat").between(*LIMITS["lat"]) & F.col("lon").between(*LIMITS["lon"]), F.lit(False))

@@ -29,7 +29,7 @@ def write_csv(df: DataFrame, path: str, cols: list[str] = RAW_COLUMNS) -> None:
 
 def read_csv_text(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with every column as text; empty stays empty, nothing is taken for null."""
-    return spark.read.schema(", ".join(f"`{c}` string" for c in schema.fieldNames())).option("header", True).option("escape", '"').option("nullValue", "\0").option("emptyValue", "").csv(path)
+    return spark.read.schema(", ".join(f"`{c}` string" for c in schema.fieldNames())).option("header", True).option("escape", '"').csv(path).na.fill("")
 
 
 def create_table(spark: SparkSession, schema: StructType, path: str) -> None:
