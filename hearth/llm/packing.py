@@ -173,6 +173,8 @@ def solve(units: np.ndarray, demand: np.ndarray, room: int, most_steps: int = 40
 
 def plan(units: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     """Patterns and whole counts that hold the demand exactly."""
+    if not len(units):
+        return np.zeros((0, 0), np.int64), np.zeros(0, np.int64)
     patterns, count = solve(units, demand.astype(float), room)
     whole = np.floor(count + 1e-9).astype(np.int64)
     got = patterns.T @ whole
