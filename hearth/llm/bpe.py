@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.textbatch import chunks, column, ragged
+from hearth.llm.textbatch import chunks, column, few_rows, ragged
 
 CACHE_WORDS = 400_000
 #: The pre-tokenizer of this kind of vocabulary (fixed value).
@@ -299,7 +299,7 @@ def encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or its columns keep) with ids, an array of int; an older column of this name goes."""
     keep = [c for c in (docs.columns if keep is None else keep) if c != "ids"]
-    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
+    docs = few_rows(docs).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] |
 def decode(coded: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """coded (or its columns keep) with the text that its ids stand for."""
     keep = [c for c in (coded.columns if keep is None else keep) if c != out]
-    coded = coded.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, ids_col])])
+    coded = few_rows(coded).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, ids_col])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = encoder(path).vocabulary

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hearth.llm.scratch import dropped, stored
-from hearth.llm.textbatch import column
+from hearth.llm.textbatch import column, few_rows
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
@@ -109,6 +109,7 @@ def read_back(formatted: DataFrame, keep: list[str]) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([*(column(b, c) for c in keep), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], [*keep, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
+    few_rows(formatted)
     types = "".join(f"`{c}` {t}, " for c, t in formatted.select(*[F.col(f"`{c}`") for c in keep]).dtypes)
     return formatted.mapInArrow(run, f"{types}n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 

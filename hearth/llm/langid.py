@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.textbatch import chunks, column
+from hearth.llm.textbatch import chunks, column, few_rows
 
 ORDERS = (2, 3)
 BITS = 16
@@ -68,7 +68,7 @@ def text_runs(col: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, list[s
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> Model:
     """Learns from every row whose language is not null."""
-    known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull())
+    known = few_rows(docs).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull())
     priors = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(priors)
     while bits > 4 and len(languages) << bits > MATRIX_CELLS:
@@ -122,7 +122,7 @@ def score_texts(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or its columns keep) with lang_pred and score at the end; older columns of these names go."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
+    docs = few_rows(docs).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.textbatch import column
+from hearth.llm.textbatch import column, few_rows
 
 UNIT = 576
 TIMESCALE = 48_000
@@ -136,7 +136,7 @@ def payload(data: bytes, track: Track) -> bytes:
 def store(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """docs (or its columns keep) with n_bytes and media; older columns of these names go."""
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("n_bytes", "media")]
-    docs = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
+    docs = few_rows(docs).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -166,7 +166,7 @@ def probe(media: DataFrame, media_col: str = "media", keep: list[str] | None = N
     """
     names = list(PROBED)[: None if digests else 5]
     keep = [c for c in (media.columns if keep is None else keep) if c not in names]
-    media = media.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, media_col])])
+    media = few_rows(media).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, media_col])])
 
     def look(data: bytes | None) -> list:
         track = read_track(data) if data is not None else None

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hearth.llm.scratch import dropped, having_keys, stored
-from hearth.llm.textbatch import Chunk, chunks, column, mix, row_of, words
+from hearth.llm.textbatch import Chunk, chunks, column, few_rows, mix, row_of, words
 
 #: Counters of the frequency sketch; 8 MB are broadcast whatever the input.
 SKETCH_BITS = 20
@@ -40,6 +40,8 @@ SLICES = 64
 #: While more pairs than this cross components within shingles, a round with a few hubs precedes the exhaustive one.
 EXHAUSTIVE_PAIRS = 2_000_000
 HUBS = 8
+#: Members of a shingle up to which its few pairs go without signatures to the filter that all pairs pass.
+NARROW = 8
 #: Bits of a set's signature for the suffix filter, in words of 64.
 BITS = 1024
 WORDS = BITS // 64
@@ -73,10 +75,18 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int32)
         none = lambda k, t: pa.nulls(k, t)
+        waiting: list[np.ndarray] = []
+
+        def count() -> None:
+            np.add(sketch, np.bincount(np.concatenate([*waiting, np.zeros(0, np.int32)]), minlength=len(sketch)), out=sketch, casting="unsafe")
+            waiting.clear()
+
         for b in batches:
             for c in chunks(column(b, "text")):
                 h, first = shingles(c, n)
-                sketch += np.bincount((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch)).astype(np.int32)
+                waiting.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                if len(waiting) >= 16:
+                    count()
                 rows = c.hi - c.lo
                 total = np.zeros((2, len(h) + 1), np.uint64)
                 np.cumsum(mix(h + np.uint64(1)), out=total[0, 1:])
@@ -89,6 +99,7 @@ def profiles(docs: DataFrame, n: int) -> DataFrame:
                     [column(b, "doc_id").slice(c.lo, rows), pa.array(np.diff(first), pa.int64()), *(pa.array(s.view(np.int64)) for s in sums),
                      pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * WORDS, pa.int32()), pa.array(bits)), none(rows, pa.int32()), none(rows, pa.binary())],
                     ["doc_id", "n_shingles", "set_a", "set_b", "bits", "slice", "counts"])
+        count()
         blobs = [x.tobytes() for x in np.split(sketch, SLICES)]
         yield pa.RecordBatch.from_arrays(
             [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
@@ -220,35 +231,47 @@ def star(tokens: DataFrame, percent: int) -> DataFrame:
     return pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent)).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
 
 
-def between(tokens: DataFrame, merged: DataFrame, reps: DataFrame) -> tuple[DataFrame, int]:
-    """The rows of tokens whose members lie in several components, with these and each token's largest; and how many pairs cross."""
+def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
+    """The rows of tokens whose members lie in several components, with these and each token's largest; and how many pairs cross in wide tokens."""
     known = tokens.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token")
-    sizes = sizes.agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max(F.struct("k", "component"))["component"].alias("largest"))
-    mixed = sizes.where("n * n > own").select("token", "largest", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("crossing"))
-    mixed = stored(mixed)
-    left = int(mixed.agg(F.coalesce(F.sum("crossing"), F.lit(0))).first()[0])
-    rest = stored(known.join(mixed.drop("crossing"), "token").join(reps.select("doc_id", "bits"), "doc_id"))
+    sizes = sizes.agg(F.sum("k").alias("members"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max(F.struct("k", "component"))["component"].alias("largest"))
+    mixed = stored(sizes.where("members * members > own"))
+    left = int(mixed.where(F.col("members") > NARROW).agg(F.coalesce(F.sum((F.col("members") * F.col("members") - F.col("own")) / 2), F.lit(0))).first()[0])
+    rest = stored(known.join(mixed.drop("own"), "token"))
     dropped(mixed)
     return rest, left
 
 
-def hubs(rest: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one."""
-    inside = rest.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
-    return crossed(inside.where(F.col("nth") <= HUBS), rest.where("component <> largest"), percent)
+def hubs(rest: DataFrame, reps: DataFrame, percent: int, salt: int) -> DataFrame:
+    """Pairs (a, b): within each wide token, every member outside its largest component with HUBS members of that one."""
+    wide = rest.where(F.col("members") > NARROW)
+    inside = wide.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
+    return crossed(inside.where(F.col("nth") <= HUBS), wide.where("component <> largest"), percent, reps)
 
 
-def crossed(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of rows of one token in different components that pass the filters."""
-    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "size", "pos", "component", "bits")])
-    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent) & suffix("x", "y", percent))
+def crossed(one: DataFrame, other: DataFrame, percent: int, reps: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of rows of one token in different components that pass the filters; with reps also the suffix filter."""
+    names = ["doc_id", "size", "pos", "component"]
+    if reps is not None:
+        names.append("bits")
+        bits = reps.select("doc_id", "bits")
+        one, other = one.join(bits, "doc_id"), other.join(bits, "doc_id")
+    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in names])
+    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent))
+    pairs = pairs if reps is None else pairs.where(suffix("x", "y", percent))
     return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
+def left_over(rest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) that still cross components and pass the filters; signatures travel for wide tokens only."""
+    narrow, wide = rest.where(F.col("members") <= NARROW), rest.where(F.col("members") > NARROW)
+    return crossed(narrow, narrow, percent).union(crossed(wide, wide, percent, reps)).distinct()
+
+
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each document."""
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(F.col("doc_id").isNotNull())
+    texts = few_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(F.col("doc_id").isNotNull())
     made = stored(profiles(texts, n))
     sketch = sketch_of(made)
     rows = made.where(F.col("slice").isNull()).drop("slice", "counts")
@@ -267,14 +290,14 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     merged = components(links)
     done, before, rounds = [tokens], None, 0
     while True:
-        rest, left = between(tokens, merged, reps)
+        rest, left = between(tokens, merged)
         done.append(rest)
         if left <= EXHAUSTIVE_PAIRS or (before is not None and left > 0.8 * before):
             break
         before, rounds = left, rounds + 1
-        links = links.union(linked(hubs(rest, percent, rounds), reps, texts, n, percent))
+        links = links.union(linked(hubs(rest, reps, percent, rounds), reps, texts, n, percent))
         merged = components(links)
-    found = linked(crossed(rest, rest, percent), reps, texts, n, percent)
+    found = linked(left_over(rest, reps, percent), reps, texts, n, percent)
     if not found.isEmpty():
         merged = components(links.union(found))
     dropped(*done)

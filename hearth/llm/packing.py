@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from tokenizers import Tokenizer
 
 from hearth.llm.scratch import stored
-from hearth.llm.textbatch import chunks, column, ragged
+from hearth.llm.textbatch import chunks, column, few_rows, ragged
 
 LENGTH = 4096
 GRAIN = 16
@@ -216,7 +216,7 @@ def pack(docs: DataFrame, path: str, end: int = 2, length: int = LENGTH, text_co
     """
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     order = order or keep[0]
-    named = docs.select(*[F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)], F.col(f"`{order}`").alias("rank_by"), F.col(f"`{text_col}`").alias("text"))
+    named = few_rows(docs).select(*[F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)], F.col(f"`{order}`").alias("rank_by"), F.col(f"`{text_col}`").alias("text"))
     own = [*(f"kept{i}" for i in range(len(keep))), "rank_by"]
     grain = max(1, min(GRAIN, length // 4))
     room = length // grain

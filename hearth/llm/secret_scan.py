@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.textbatch import Chunk, chunks, column
+from hearth.llm.textbatch import Chunk, chunks, column, few_rows
 
 KINDS = ("assign", "access", "hex", "github", "npm")
 SPAN_TYPE = "array<struct<kind: string, start: int, end: int>>"
@@ -103,7 +103,7 @@ def spans_of(chunk: Chunk) -> list[list[tuple[int, int, int]]]:
 
 
 def _mapped(docs: DataFrame, text_col: str, keep: list[str], name: str, kind: str, make) -> DataFrame:
-    wanted = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
+    wanted = few_rows(docs).select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text_col])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -13,6 +13,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -41,7 +42,7 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def chunks(column: pa.Array, limit: int = 1 << 21) -> Iterator[Chunk]:
+def chunks(column: pa.Array, limit: int = 1 << 19) -> Iterator[Chunk]:
     """Runs of rows with at most limit bytes together, or one longer row. Null counts as empty."""
     column = pc.fill_null(column, "").cast(pa.large_string())
     n = len(column)
@@ -67,7 +68,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse."""
     if not _powers or len(_powers[0]) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
+        size = 1 << max(20, int(n - 1).bit_length())
         _powers[:] = [np.concatenate([np.ones(1, np.uint64), np.multiply.accumulate(np.full(size - 1, b))]) for b in (_BASE, _INVERSE)]
     return _powers[0][:n], _powers[1][:n]
 
@@ -112,7 +113,12 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def table(spark, sf_dir: str, name: str):
-    """A given table. Long texts come to Python in batches of few rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+def few_rows(df: DataFrame) -> DataFrame:
+    """df; texts may be long, so Arrow batches of this session hold few rows from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
