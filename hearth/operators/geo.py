@@ -137,6 +137,11 @@ def top_reviewed(catalogue: DataFrame, k: int = 3) -> DataFrame:
     return catalogue.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def places_by_category(places: DataFrame, groups: dict[str, list[str]] = DENSE_GROUPS) -> DataFrame:
+    """(point, categoria, n) of answered places, for spot checks."""
+    return tag_places(places, groups).groupBy("point", "categoria").agg(F.count("*").alias("n"))
+
+
 def grid_saving(df: DataFrame) -> DataFrame:
     """Distinct points, exact and by 4 and 3 decimals."""
     key = lambda d: F.count_distinct(cell_key(F.col("lat"), F.col("lon"), d))

@@ -376,6 +376,60 @@ def segment_error(s, d):
     return ratio.segment_error(_sales(s, d), {"casa": F.col("tipo") == "casa", "none": F.lit(False)})
 
 
+@query(f", {_BUILDING}, floored AS (SELECT *, abs(pred - y) / y * 100 AS ape, pred / y AS ratio FROM (SELECT y, (SELECT median(y) FROM sided WHERE side = 'train' AND operacion = 'venta') AS pred FROM sided WHERE side = 'test' AND operacion = 'venta')) SELECT {_STUDY} FROM floored, (SELECT median(ratio) AS mid, avg(y) AS mean_y FROM floored)")
+def median_floor(s, d):
+    rows = _sided(s, d).where("operacion = 'venta'")
+    return ratio.median_floor(rows.where("side = 'train'"), rows.where("side = 'test'"))
+
+
+_MODELS = ", models AS (SELECT 'group' AS model, y, pred FROM predictions WHERE operacion = 'venta' UNION ALL SELECT 'all', y, (SELECT median(y) FROM targets WHERE operacion = 'venta') FROM predictions WHERE operacion = 'venta'), errors AS (SELECT *, abs(pred - y) / y * 100 AS ape, pred / y AS ratio FROM models)"
+
+
+def _models(s, d):
+    rows = _sales(s, d).select("y", "pred").withColumn("model", F.lit("group"))
+    floor = rows.crossJoin(F.broadcast(rows.agg(ratio.median("y").alias("m")))).select("y", F.col("m").alias("pred"), F.lit("all").alias("model"))
+    return ratio.ratio_study(rows.unionByName(floor), by=("model",))
+
+
+@query(f"{_MODELS} SELECT model, {_STUDY} FROM errors JOIN (SELECT model, median(ratio) AS mid, avg(y) AS mean_y FROM errors GROUP BY model) USING (model) GROUP BY model")
+def compare_models(s, d):
+    return _models(s, d)
+
+
+@query(f"{_MODELS}, study AS (SELECT model, {_STUDY} FROM errors JOIN (SELECT model, median(ratio) AS mid, avg(y) AS mean_y FROM errors GROUP BY model) USING (model) GROUP BY model) SELECT model, mdape, prd FROM study WHERE mdape <= (SELECT min(mdape) FROM study) + 0.25 ORDER BY abs(prd - 1), model LIMIT 1")
+def pick_winner(s, d):
+    return ratio.pick_winner(_models(s, d), "prd").select("model", "mdape", "prd")
+
+
+@query(f"{_ERRORS}, study AS (SELECT {_STUDY} FROM errors, (SELECT median(ratio) AS mid, avg(y) AS mean_y FROM errors)) SELECT 'mdape_good' AS rule, mdape < 15 AS ok, mdape AS value FROM study UNION ALL SELECT 'mdape_excellent', mdape < 10, mdape FROM study UNION ALL SELECT 'ppe10', ppe10 > 50, ppe10 FROM study UNION ALL SELECT 'cod', cod BETWEEN 5 AND 15, cod FROM study UNION ALL SELECT 'prd', prd BETWEEN 0.98 AND 1.03, prd FROM study")
+def acceptance(s, d):
+    return ratio.acceptance(ratio.ratio_study(_sales(s, d)))
+
+
+@query(f"""{_ERRORS}, sides AS (SELECT *, CASE WHEN ('0x' || substr(md5('42:' || coalesce('g:' || printf('%.4f,%.4f', lat, lon), 'd:' || direccion)), 1, 8))::BIGINT / 4294967296::DOUBLE < 0.2 THEN 'grouped' END AS g, CASE WHEN ('0x' || substr(md5('43:' || id_aviso), 1, 8))::BIGINT / 4294967296::DOUBLE < 0.2 THEN 'random' END AS r FROM errors)
+SELECT 'mdape' AS metric, round(median(ape) FILTER (g IS NOT NULL), 6) AS grouped, round(median(ape) FILTER (r IS NOT NULL), 6) AS random FROM sides UNION ALL SELECT 'n', count(g), count(r) FROM sides""")
+def compare_splits(s, d):
+    rows = features.building_key(_sales(s, d))
+    one = lambda group, seed: ratio.ratio_study(features.split_by_group(rows, group, seed=seed).where("side = 'test'"))
+    return ratio.compare_splits(one("building", 42), one("id_aviso", 43)).where("metric IN ('mdape', 'n')").select("metric", "grouped", "random")
+
+
+@query(f", {_BUILDING} SELECT count(*) AS n_test FROM (SELECT building, row_number() OVER (ORDER BY md5('42:' || building), building) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT building FROM keyed)) WHERE r <= ceil(n * 0.2::DOUBLE)")
+def exact_split(s, d):
+    sided = features.split_by_group(features.building_key(L.targets(s, d)), "building", mode="exact")
+    return sided.where("side = 'test'").agg(F.count_distinct("building").alias("n_test"))
+
+
+@query("SELECT situation, id_aviso FROM (SELECT tipo || '/' || operacion AS situation, id_aviso, row_number() OVER (PARTITION BY tipo, operacion ORDER BY md5('42:' || id_aviso), id_aviso) AS r FROM targets) WHERE r = 1")
+def one_per_situation(s, d):
+    return features.one_per_situation(L.targets(s, d), F.concat_ws("/", "tipo", "operacion"), "id_aviso").select("situation", "id_aviso")
+
+
+@query("SELECT 'm2_total' AS \"column\", count(*) FILTER (t.m2_total IS DISTINCT FROM c.m2_total) AS n_different FROM typed t JOIN clean c USING (sitio, id_aviso) UNION ALL SELECT 'banos', count(*) FILTER (t.banos IS DISTINCT FROM c.banos) FROM typed t JOIN clean c USING (sitio, id_aviso)")
+def frame_parity(s, d):
+    return report.frame_parity(L.typed(s, d), L.clean(s, d), ["sitio", "id_aviso"], ["m2_total", "banos"])
+
+
 # diagnostics
 
 
