@@ -11,6 +11,8 @@ from hearth.functions import numbers, text
 from hearth.operators import clean, extract, features, geo, ingest, model, ratio, report, score, segment
 from hearth.plans import listings as L
 from hearth.schema import NUMERIC
+from hearth.sources.tables import shared_folder
+from hearth.streaming import merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,6 +199,19 @@ def cross_listed(s, d):
     return ingest.cross_listed(L.clean(s, d).withColumn("rounded", F.floor(F.col("precio_uf") / 100).cast("double")), "rounded")
 
 
+@query("SELECT sitio, id_aviso, CASE WHEN id_aviso::BIGINT % 3 = 0 AND id_aviso::BIGINT % 6 <> 0 THEN m2_util + 1 WHEN id_aviso::BIGINT % 2 = 0 THEN m2_util END AS m2_util, CASE WHEN id_aviso::BIGINT % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS at FROM typed WHERE id_aviso::BIGINT % 2 = 0 OR id_aviso::BIGINT % 3 = 0")
+def stream_merge(s, d):
+    """Two waves of files, merged by a stream that starts again for the second."""
+    k, folder = F.col("id_aviso").cast("long"), shared_folder(s)
+    rows = L.typed(s, d).select("sitio", "id_aviso", "m2_util")
+    first = rows.where(k % 2 == 0).withColumn("at", F.lit(1).cast("long"))
+    second = rows.where(k % 3 == 0).select("sitio", "id_aviso", F.when(k % 6 != 0, F.col("m2_util") + 1).alias("m2_util"), F.lit(2).cast("long").alias("at"))
+    for wave in (first, second):
+        wave.write.mode("append").parquet(f"{folder}/in")
+        merge.stream_merge(s, f"{folder}/in", first.schema, f"{folder}/table", f"{folder}/checkpoint", ["m2_util", "at"], "at").awaitTermination()
+    return merge.current(s, f"{folder}/table", first.schema)
+
+
 # numbers
 
 
