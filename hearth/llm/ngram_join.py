@@ -244,10 +244,9 @@ def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
 
 
 def hubs(rest: DataFrame, reps: DataFrame, percent: int, salt: int) -> DataFrame:
-    """Pairs (a, b): within each wide token, every member outside its largest component with HUBS members of that one."""
-    wide = rest.where(F.col("members") > NARROW)
-    inside = wide.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
-    return crossed(inside.where(F.col("nth") <= HUBS), wide.where("component <> largest"), percent, reps)
+    """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one."""
+    inside = rest.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
+    return crossed(inside.where(F.col("nth") <= HUBS), rest.where("component <> largest"), percent, reps)
 
 
 def crossed(one: DataFrame, other: DataFrame, percent: int, reps: DataFrame | None = None) -> DataFrame:
@@ -263,12 +262,6 @@ def crossed(one: DataFrame, other: DataFrame, percent: int, reps: DataFrame | No
     return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
 
 
-def left_over(rest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) that still cross components and pass the filters; signatures travel for wide tokens only."""
-    narrow, wide = rest.where(F.col("members") <= NARROW), rest.where(F.col("members") > NARROW)
-    return crossed(narrow, narrow, percent).union(crossed(wide, wide, percent, reps)).distinct()
-
-
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each document."""
     texts = few_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(F.col("doc_id").isNotNull())
@@ -288,16 +281,18 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     tokens = stored(tokens.where(F.coalesce("before", "after").isNotNull()).drop("before", "after"))
     links = linked(star(tokens, percent), reps, texts, n, percent)
     merged = components(links)
-    done, before, rounds = [tokens], None, 0
-    while True:
-        rest, left = between(tokens, merged)
-        done.append(rest)
-        if left <= EXHAUSTIVE_PAIRS or (before is not None and left > 0.8 * before):
-            break
+    rest, left = between(tokens, merged)
+    done, before, rounds = [tokens, rest], None, 0
+    narrow, wide = rest.where(F.col("members") <= NARROW), rest.where(F.col("members") > NARROW)
+    while left > EXHAUSTIVE_PAIRS and (before is None or left <= 0.8 * before):
         before, rounds = left, rounds + 1
-        links = links.union(linked(hubs(rest, reps, percent, rounds), reps, texts, n, percent))
+        links = links.union(linked(hubs(wide, reps, percent, rounds), reps, texts, n, percent))
         merged = components(links)
-    found = linked(left_over(rest, reps, percent), reps, texts, n, percent)
+        wide, left = between(wide.select("token", "doc_id", "size", "pos"), merged)
+        done.append(wide)
+    # few pairs of a narrow token pass without signatures; their components may be older ones, which only adds pairs
+    last = crossed(narrow, narrow, percent).union(crossed(wide, wide, percent, reps)).distinct()
+    found = linked(last, reps, texts, n, percent)
     if not found.isEmpty():
         merged = components(links.union(found))
     dropped(*done)
