@@ -73,6 +73,9 @@ class Vocabulary:
                 self.rank[made], self.parts[made] = rank, (x, y)
         self.pair = np.array(sorted(self.merge), np.int64)
         self.pair_rank = np.array([self.merge[k][0] for k in self.pair.tolist()], np.int32)
+        self.rank_of = {k: r for k, (r, _) in self.merge.items()}
+        self.made_at = {r: made for r, made in self.merge.values()}
+        self.byte_ids = self.byte_id.tolist()
         self.right, self.right_until = self._side(1)
         self.left, self.left_until = self._side(0)
         self._trie(raw)
@@ -171,8 +174,20 @@ class Vocabulary:
         return np.concatenate([t for _, t in got])[order], np.searchsorted(owner[order], np.arange(len(start) + 1))
 
     def exact(self, word: bytes) -> list[int]:
-        """Merging in order of rank, leftmost first, over a linked list and a heap."""
-        ids = self.byte_id[list(word)].tolist()
+        """Merging in order of rank, leftmost first; long words over a linked list and a heap."""
+        ids = [self.byte_ids[b] for b in word]
+        if len(ids) <= 64:
+            rank_of, n = self.rank_of.get, self.size
+            ranks = [rank_of(x * n + y, NEVER) for x, y in zip(ids, ids[1:], strict=False)]
+            while ranks and (best := min(ranks)) < NEVER:
+                i = ranks.index(best)
+                made = ids[i] = self.made_at[best]
+                del ids[i + 1], ranks[i]
+                if i:
+                    ranks[i - 1] = rank_of(ids[i - 1] * n + made, NEVER)
+                if i < len(ranks):
+                    ranks[i] = rank_of(made * n + ids[i + 1], NEVER)
+            return ids
         nxt, prev = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(m[0], i, m[1], x, y) for i, (x, y) in enumerate(zip(ids, ids[1:], strict=False)) if (m := self.merge.get(x * self.size + y))]
         heapq.heapify(heap)
@@ -203,10 +218,13 @@ class Vocabulary:
         bad[owner[near[self.crossed(pairs // self.size, pairs % self.size)[back]]]] = True
         if not bad.any():
             return ids, first
-        parts = np.split(ids, first[1:-1])
-        for w in np.flatnonzero(bad).tolist():
-            parts[w] = np.array(self.exact(words[w]), np.int64)
-        return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+        redone = [self.exact(words[w]) for w in np.flatnonzero(bad).tolist()]
+        sizes = np.array([len(r) for r in redone])
+        start, size = first[:-1].copy(), np.diff(first)
+        start[bad], size[bad] = len(ids) + np.cumsum(sizes) - sizes, sizes
+        ends = np.cumsum(size)
+        every = np.concatenate([ids, np.array([i for r in redone for i in r], np.int64)])
+        return every[np.repeat(start - (ends - size), size) + np.arange(ends[-1])], np.append(0, ends)
 
 
 class _Rows(dict):
