@@ -51,7 +51,7 @@ def terms(units: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def matched(units: DataFrame, notices: DataFrame, threshold: float) -> DataFrame:
-    """(unit, license, score): the best template of each distinct unit that reaches the threshold."""
+    """(unit, license, score): the best template of each distinct unit (unit, notice) that reaches the threshold."""
     known = notices.select(F.xxhash64("license", "notice").alias("notice_id"), "license", "notice").dropDuplicates(["notice_id"])
     tf = terms(known, "notice_id", "notice")
     count = known.agg(F.count("*").cast("double").alias("n"))
@@ -60,7 +60,7 @@ def matched(units: DataFrame, notices: DataFrame, threshold: float) -> DataFrame
     norm = weight.groupBy("notice_id").agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("norm_t"))
     vectors = weight.join(norm, "notice_id").join(known.select("notice_id", "license"), "notice_id")
     # a word of no template has the weight of one that is in none
-    seen = terms(units, "unit", "unit").join(F.broadcast(idf), "term", "left").crossJoin(F.broadcast(count))
+    seen = terms(units, "unit", "notice").join(F.broadcast(idf), "term", "left").crossJoin(F.broadcast(count))
     seen = seen.select("unit", "term", (F.col("tf") * F.coalesce("idf", F.log(F.col("n") + 1) + 1)).alias("wu"))
     length = seen.groupBy("unit").agg(F.sqrt(F.sum(F.col("wu") * F.col("wu"))).alias("norm_u"))
     dots = seen.join(F.broadcast(vectors), "term").groupBy("unit", "notice_id", "license", "norm_t").agg(F.sum(F.col("wu") * F.col("wt")).alias("dot"))
@@ -75,8 +75,9 @@ def stated(files: DataFrame, notices: DataFrame, threshold: float) -> DataFrame:
     holds = lambda c: F.greatest(*[F.contains(c, F.lit(k)) for k in KEYWORDS])
     lines = files.where(holds(low)).select("row", F.explode(F.split("text", "\n")).alias("unit")).where(holds(F.lower("unit")))
     whole = files.where(F.col("path").rlike(NAMED) & (F.trim("text") != "")).select("row", F.col("text").alias("unit"))
-    units = stored(lines.union(whole))
-    found = units.join(matched(units.select("unit").distinct(), notices, threshold), "unit")
+    # a text's digest stands for it wherever its terms travel
+    units = stored(lines.union(whole).select("row", F.unhex(F.md5(F.col("unit").cast("binary"))).alias("unit"), F.col("unit").alias("notice")))
+    found = units.select("row", "unit").join(matched(units.select("unit", "notice").dropDuplicates(["unit"]), notices, threshold), "unit")
     best = found.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("row", F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
 
