@@ -1,13 +1,16 @@
 """Licence scan of a file tree, in DataFrame functions alone.
 
 Units of text that may state a licence are the lines that hold a keyword (in any file, wherever they
-stand) and the whole text of files named like a licence file.  Equal units are compared once: sparse TF-IDF
-vectors, an equi-join on terms with the templates' vectors, cosine, and the best template at or above the
-threshold (ties: the smaller name).  A file without a licence of its own inherits that of the nearest
-directory above it that holds a licence file, by joins on directory paths.
+stand), the whole text of files named like a licence file, and headers: paragraphs, comment blocks and runs
+of lines in the templates' words, all without comment marks, found over the whole text.  They are compared
+with the templates and with longer notices (``HEADERS``); words are weighted by the templates alone.  Equal
+units are compared once: sparse TF-IDF vectors, an equi-join on terms with the notices' vectors, cosine, and
+the best notice at or above the threshold (ties: the smaller name).  An SPDX tag states its expression with score 1.  A file without a
+licence of its own inherits that of the nearest directory above it that holds a licence file, by joins on
+directory paths.
 
 Defined results: null and empty texts state nothing; a null path is kept and neither gives nor inherits;
-repeated rows get equal results; without templates nothing is licensed.
+repeated rows get equal results; without templates only SPDX tags state a licence.
 """
 
 from __future__ import annotations
@@ -39,6 +42,46 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved."),
 ]
 
+#: Words of which every template or header holds one; being single words, they are whole in wrapped texts too.
+HINTS = ("licen", "copyright", "spdx", "redistribut", "reserved", "domain", "permission")
+_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_AS_IS = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version."
+_GPL_REST = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. You should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
+_APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+_APACHE_REST = " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+_GNU = [("AGPL-3.0", "Affero General Public License", "3"), ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"), ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3")]
+#: Longer notices, full texts and titles (fixed values).
+HEADERS = [
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", _APACHE + _APACHE_REST),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", f"{_BSD} {_BSD_AS_IS}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD3}"),
+    ("BSD-3-Clause", f"{_BSD} {_BSD3} {_BSD_AS_IS}"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MIT", _MIT),
+    ("MIT", f"MIT License. {_MIT} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_AS_IS}"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *[(n, _GPL.format(t, v) + rest.format(t)) for n, t, v in _GNU for rest in ("", _GPL_REST)],
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+]
+#: Comment marks before and after a line's text.
+MARK = r"^[ \t]*(?:/[*/]+!?|\*+/?|#+|;+|--+|<!--|%+|\"{3}|'{3}|(?i:rem|dnl)\b)"
+MARK_END = r"[ \t]*(?:\*+/|-->|\"{3}|'{3})?[ \t\r]*$"
+#: Share of a line's distinct words that the notices hold, from which it may belong to one.
+NOTICE_SHARE = 0.6
+_ID = r"[A-Za-z0-9][A-Za-z0-9.+:-]*"
+SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*(\(?{_ID}(?:[ \t]+(?:OR|AND|WITH)[ \t]+\(?{_ID}\)?)*)"
+
 
 def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEMPLATES, "license string, notice string")
@@ -50,13 +93,18 @@ def terms(units: DataFrame, key: str, text: str) -> DataFrame:
     return words.groupBy(key, "term").agg(F.count("*").cast("double").alias("tf"))
 
 
-def matched(units: DataFrame, notices: DataFrame, threshold: float) -> DataFrame:
-    """(unit, license, score): the best template of each distinct unit (unit, notice) that reaches the threshold."""
-    known = notices.select(F.xxhash64("license", "notice").alias("notice_id"), "license", "notice").dropDuplicates(["notice_id"])
+def matched(units: DataFrame, notices: DataFrame, threshold: float, longer: DataFrame | None = None) -> DataFrame:
+    """(unit, license, score): the best notice of each distinct unit (unit, notice) that reaches the threshold. longer: more notices, which leave the words' weights as they are."""
+    numbered = lambda x: x.select(F.xxhash64("license", "notice").alias("notice_id"), "license", "notice").dropDuplicates(["notice_id"])
+    known = numbered(notices)
     tf = terms(known, "notice_id", "notice")
     count = known.agg(F.count("*").cast("double").alias("n"))
     idf = tf.groupBy("term").agg(F.count("*").cast("double").alias("df")).crossJoin(F.broadcast(count)).select("term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     weight = tf.join(idf, "term").select("notice_id", "term", (F.col("tf") * F.col("idf")).alias("wt"))
+    if longer is not None:
+        known = numbered(notices.unionByName(longer))
+        new = F.coalesce("idf", F.log(F.col("n") + 1) + 1)
+        weight = terms(known, "notice_id", "notice").join(idf, "term", "left").crossJoin(F.broadcast(count)).select("notice_id", "term", (F.col("tf") * new).alias("wt"))
     norm = weight.groupBy("notice_id").agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("norm_t"))
     vectors = weight.join(norm, "notice_id").join(known.select("notice_id", "license"), "notice_id")
     # a word of no template has the weight of one that is in none
@@ -69,16 +117,40 @@ def matched(units: DataFrame, notices: DataFrame, threshold: float) -> DataFrame
     return best.select("unit", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score"))
 
 
-def stated(files: DataFrame, notices: DataFrame, threshold: float) -> DataFrame:
-    """(row, own_license, own_score) of the files (row, path, text) that state a licence."""
-    low = F.lower("text")
-    holds = lambda c: F.greatest(*[F.contains(c, F.lit(k)) for k in KEYWORDS])
-    lines = files.where(holds(low)).select("row", F.explode(F.split("text", "\n")).alias("unit")).where(holds(F.lower("unit")))
+def any_of(text: Column, words: tuple[str, ...]) -> Column:
+    return F.greatest(*[F.contains(text, F.lit(k)) for k in words])
+
+
+def headers(files: DataFrame, notices: DataFrame) -> DataFrame:
+    """(row, unit): paragraphs, comment blocks and runs of lines in the notices' words that hold a hint, without comment marks."""
+    words = lambda c: F.array_distinct(F.split(F.lower(c), r"[^\p{L}\p{N}]+"))
+    vocabulary = notices.select(F.explode(words(F.col("notice"))).alias("term")).agg(F.collect_set("term").alias("vocabulary"))
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, rf"{MARK}?[ \t]*", ""), MARK_END, "")
+    known = lambda c: F.size(F.array_intersect(words(c), "vocabulary")) >= NOTICE_SHARE * F.size(words(c))
+    lines = F.split("text", r"\r\n|\r|\n")
+    some = files.where(any_of(F.lower("text"), HINTS)).select("row", lines.alias("lines")).withColumn("bare", F.transform("lines", bare))
+    block = F.transform("lines", lambda x: F.when(x.rlike(MARK), F.concat(F.lit(" "), bare(x))).otherwise(""))
+    run = F.transform("bare", lambda x: F.when(any_of(F.lower(x), HINTS) | known(x), x).otherwise(""))
+    parts = F.flatten(F.array(*[F.split(F.array_join(x, "\n"), "\n{2,}") for x in ("bare", block, run)]))
+    return some.crossJoin(F.broadcast(vocabulary)).select("row", F.explode(F.array_distinct(parts)).alias("unit")).where(any_of(F.lower("unit"), HINTS))
+
+
+def tagged(files: DataFrame) -> DataFrame:
+    """(row, license, score) of each SPDX tag; how later versions may be used isn't told apart, as in the templates."""
+    tags = files.where(F.contains(F.lower("text"), F.lit("spdx-license-identifier"))).select("row", F.explode(F.regexp_extract_all("text", F.lit(SPDX), 1)).alias("tag"))
+    plain = F.regexp_replace(F.regexp_replace("tag", r"(?i)(-only|-or-later|\+)(?=[ \t)]|$)", ""), r"[ \t]+", " ")
+    return tags.select("row", F.when(plain.contains(" "), plain).otherwise(F.translate(plain, "()", "")).alias("license"), F.lit(1.0).alias("score"))
+
+
+def stated(files: DataFrame, notices: DataFrame, threshold: float, longer: DataFrame | None = None) -> DataFrame:
+    """(row, own_license, own_score) of the files (row, path, text) that state a licence. longer: more notices."""
+    lines = files.where(any_of(F.lower("text"), KEYWORDS)).select("row", F.explode(F.split("text", "\n")).alias("unit")).where(any_of(F.lower("unit"), KEYWORDS))
     whole = files.where(F.col("path").rlike(NAMED) & (F.trim("text") != "")).select("row", F.col("text").alias("unit"))
+    more = notices if longer is None else notices.unionByName(longer)
     # a text's digest stands for it wherever its terms travel
-    units = stored(lines.union(whole).select("row", F.unhex(F.md5(F.col("unit").cast("binary"))).alias("unit"), F.col("unit").alias("notice")))
-    found = units.select("row", "unit").join(matched(units.select("unit", "notice").dropDuplicates(["unit"]), notices, threshold), "unit")
-    best = found.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    units = stored(lines.union(whole).union(headers(files, more)).select("row", F.unhex(F.md5(F.col("unit").cast("binary"))).alias("unit"), F.col("unit").alias("notice")))
+    found = units.select("row", "unit").join(matched(units.select("unit", "notice").dropDuplicates(["unit"]), notices, threshold, longer), "unit")
+    best = found.select("row", "license", "score").union(tagged(files)).groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
     return best.select("row", F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
 
 
@@ -105,9 +177,10 @@ def inherited(files: DataFrame) -> DataFrame:
 
 def scan(files: DataFrame, row: str, path: str = "path", text: str = "text", notices: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, path, own_license, own_score, license, license_path) of each file; row names a unique column."""
+    longer = files.sparkSession.createDataFrame(HEADERS, "license string, notice string") if notices is None else None
     notices = templates(files.sparkSession) if notices is None else notices
     slim = files.select(F.col(f"`{row}`").alias("row"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
-    own = stored(slim.select("row", "path").join(stated(slim, notices, threshold), "row", "left"))
+    own = stored(slim.select("row", "path").join(stated(slim, notices, threshold, longer), "row", "left"))
     full = own.withColumn("dir", directory(F.col("path"))).join(inherited(own), "dir", "left")
     mine = F.col("own_license").isNotNull()
     return full.select(F.col("row").alias(row), "path", "own_license", "own_score", F.coalesce("own_license", "license").alias("license"), F.when(mine, F.col("path")).otherwise(F.col("license_path")).alias("license_path"))

@@ -104,6 +104,25 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0), "id").count() == 0
 
 
+def test_wrapped_licenses(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version."
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0'
+    bsd = "Copyright (c) 2015, Jane Doe\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met"
+    commented = lambda mark, text: "\n".join(f"{mark} {x}" for x in text.split("\n"))
+    prose = "\n".join(["Seven grey gulls drifted past windy harbour walls"] * 30)
+    files = [
+        ("BSD-3-Clause", bsd), ("BSD-3-Clause", f"int x;\n/*\n{commented(' *', bsd)}\n */\nint y;"), ("BSD-3-Clause", f"{prose}\n{bsd}\n{prose}"), ("GPL-3.0", commented("#", gpl.format(3)) + "\n\nimport os"), ("GPL-2.0", commented("//", gpl.format(2))),
+        ("MIT", f"MIT License\n\nCopyright (c) 2020 A\n\n{mit}"), ("MIT", prose.replace("\n", "\n\n") + "\n\n" + commented(";", mit)), ("Apache-2.0", commented("#", apache)), ("MPL-2.0", "<!-- This Source Code Form is subject to the terms of\n   - the Mozilla Public\n   License, v. 2.0. -->"),
+        ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;"), ("MIT OR Apache-2.0", "// SPDX-License-Identifier: MIT OR Apache-2.0\n"), (None, prose), (None, "you need permission to enter this domain"), (None, "the licence of the pub\nwas renewed again"),
+    ]
+    df = spark.createDataFrame([(i, f"d{i}/f", t) for i, (_, t) in enumerate(files)], "id long, path string, text string")
+    got = {r.id: r.own_license for r in licenses.scan(df, "id").collect()}
+    assert got == {i: x for i, (x, _) in enumerate(files)}
+    for _, notice in [*licenses.TEMPLATES, *licenses.HEADERS]:
+        assert any(h in notice.lower() for h in licenses.HINTS)
+
+
 def test_bpe(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     theirs = Tokenizer.from_file(path)
