@@ -3,9 +3,10 @@
 1. Words of the training texts are counted (one aggregation over the corpus; 64-bit hashes, see ``textbatch``).
    The most frequent ones, at most ``TOP``, become symbols of their own.  Any other word is emitted as the
    class of its last byte times its smoothed share of that class, which no state changes.
-2. States start from a mixture of word distributions fitted on a bounded sample (``SEED_DOCS`` texts, their
-   first ``SEED_TOKENS`` words).  Then Baum-Welch runs over every training text: each task adds up expected
-   counts, which are summed across tasks; long texts train in runs of ``RUN`` tokens.
+2. States start from a mixture of word distributions, fitted by EM over all training texts as wholes until a
+   round gains less than ``GAIN`` a token (at most ``MIXTURE_ROUNDS``).  Then Baum-Welch runs over every
+   training text.  Each task adds up expected counts, which are summed across tasks; long texts train in runs
+   of ``RUN`` tokens.
 3. ``score`` computes the exact likelihood of each whole text by the scaled forward recursion.  Counts of the
    ``KNOWN`` most frequent words are broadcast; the rest joins the count table.
 
@@ -15,7 +16,8 @@ finite scores; without training texts every symbol is equally likely.  Repeated
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,8 +34,11 @@ KNOWN = 1 << 19
 CLASSES = 256
 ITERATIONS = 2
 RUN = 1024
-SEED_DOCS = 1500
-SEED_TOKENS = 400
+MIXTURE_ROUNDS = 25
+#: Natural log-likelihood a token.
+GAIN = 1e-3
+#: Tokens of texts that the mixture handles at once (or one longer text).
+BLOCK = 1 << 18
 #: Weight, in tokens, of the corpus distribution in each state's emissions.
 SMOOTHING = 20.0
 SLICES = 64
@@ -236,23 +241,41 @@ def expected(sequences: list[np.ndarray], heads: np.ndarray, start: np.ndarray,
     return alpha[: at[1]][heads[order]].sum(0, dtype=float), steps * step, emissions
 
 
-def seeded(sample: list[np.ndarray], lex: Lexicon, states: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shares and symbol distributions of a mixture fitted to a small sample."""
+def belonging(raw: list[bytes], share: np.ndarray, emit: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """The mixture's expected counts of some texts: texts and symbols of each state, log-likelihood."""
+    size = np.array([len(r) // 2 for r in raw])
+    cut = np.append(np.flatnonzero(np.diff(np.cumsum(size) // BLOCK, prepend=0)), len(raw))
+    log_emit = np.log(emit)
+    for lo, hi in itertools.pairwise(np.unique(np.append(0, cut))):
+        flat = np.frombuffer(b"".join(raw[lo:hi]), np.uint16).astype(np.int64)
+        fit = np.log(share) + np.add.reduceat(log_emit[flat], np.cumsum(size[lo:hi]) - size[lo:hi], axis=0, dtype=float)
+        top = fit.max(1, keepdims=True)
+        post = np.exp(fit - top)
+        total = post.sum(1, keepdims=True)
+        post /= total
+        owner = np.repeat(np.arange(hi - lo), size[lo:hi])
+        yield [post.sum(0), np.stack([np.bincount(flat, post[owner, s], len(emit)) for s in range(len(share))], 1), (top + np.log(total)).sum(keepdims=True).ravel()]
+
+
+def mixture(coded: DataFrame, lex: Lexicon, states: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and symbol distributions of a mixture fitted to all coded texts. Symbols, not texts, make the first states differ, so that more texts don't level them."""
     corpus = lex.symbol_total + 0.5
     corpus = corpus / corpus.sum()
-    if not sample:
-        return np.full(states, 1 / states), np.tile(corpus[:, None], (1, states))
-    rng = np.random.default_rng(7)
-    flat = np.concatenate(sample).astype(np.int64)
-    owner = np.repeat(np.arange(len(sample)), [len(s) for s in sample])
-    post = rng.dirichlet(np.full(states, 0.3), len(sample))
-    for _ in range(25):
-        emit = np.stack([np.bincount(flat, post[owner, s], len(corpus)) for s in range(states)], 1) + SMOOTHING * corpus[:, None]
+    share, emit = np.full(states, 1 / states), corpus[:, None] * np.random.default_rng(7).exponential(size=(len(corpus), states))
+    emit /= emit.sum(0)
+    before = -np.inf
+    for _ in range(MIXTURE_ROUNDS):
+        shared = coded.sparkSession.sparkContext.broadcast((share, emit))
+        n, emissions, fit = summed(coded, [(states,), emit.shape, (1,)], lambda raw: belonging(raw, *shared.value))  # noqa: B023
+        if not n.sum():
+            return share, np.tile(corpus[:, None], (1, states))
+        share = (n + 1) / (n.sum() + states)
+        emit = emissions + SMOOTHING * corpus[:, None]
         emit /= emit.sum(0)
-        share = (post.sum(0) + 1) / (len(sample) + states)
-        fit = np.log(share) + np.stack([np.bincount(owner, np.log(emit[:, s])[flat], len(sample)) for s in range(states)], 1)
-        post = np.exp(fit - fit.max(1, keepdims=True))
-        post /= post.sum(1, keepdims=True)
+        now = fit[0] / emissions.sum()
+        if now - before < GAIN:
+            break
+        before = now
     return share, emit
 
 
@@ -266,21 +289,19 @@ def runs(raw: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.array(heads, bool)
 
 
-def reestimate(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One round of Baum-Welch over all coded texts. Each task sends tables of fixed size, summed slice by slice."""
-    k, n = len(start), len(emit)
-    cells = k + k * k + n * k
+def summed(coded: DataFrame, shapes: list[tuple[int, ...]], counts: Callable[[list[bytes]], Iterator[list[np.ndarray]]]) -> list[np.ndarray]:
+    """Tables of these shapes, added up over all coded texts. Each task sends tables of fixed size, summed slice by slice."""
+    at = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
+    cells = int(at[-1])
     width = -(-cells // SLICES)
-    shared = coded.sparkSession.sparkContext.broadcast((start.astype(np.float32), step.astype(np.float32), emit.astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros(k), np.zeros((k, k)), np.zeros((n, k))]
+        total = [np.zeros(s) for s in shapes]
         for b in batches:
             col = column(b, "symbols")
             for lo in range(0, len(col), 1000):
-                part, heads = runs(col.slice(lo, 1000).to_pylist())
-                if part:
-                    for t, x in zip(total, expected(part, heads, *shared.value), strict=True):
+                for made in counts(col.slice(lo, 1000).to_pylist()):
+                    for t, x in zip(total, made, strict=True):
                         t += x
         flat = np.zeros(width * SLICES)
         flat[:cells] = np.concatenate([t.ravel() for t in total])
@@ -303,16 +324,27 @@ def reestimate(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarr
     for s, x in zip(whole["slice"].to_pylist(), whole["sums"].to_pylist(), strict=True):
         flat[s] = np.frombuffer(x)
     flat = flat.ravel()
+    return [flat[lo:hi].reshape(s) for s, (lo, hi) in zip(shapes, itertools.pairwise(at), strict=True)]
+
+
+def reestimate(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One round of Baum-Welch over all coded texts."""
+    shared = coded.sparkSession.sparkContext.broadcast((start.astype(np.float32), step.astype(np.float32), emit.astype(np.float32)))
+
+    def counts(raw: list[bytes]) -> Iterator[list[np.ndarray]]:
+        part, heads = runs(raw)
+        if part:
+            yield list(expected(part, heads, *shared.value))
+
+    begins, steps, emissions = summed(coded, [start.shape, step.shape, emit.shape], counts)
     corpus = lex.symbol_total + 0.5
-    begins, steps, emissions = flat[:k] + 1, flat[k : k + k * k].reshape(k, k) + 1, flat[k + k * k : cells].reshape(n, k) + SMOOTHING * (corpus / corpus.sum())[:, None]
+    begins, steps, emissions = begins + 1, steps + 1, emissions + SMOOTHING * (corpus / corpus.sum())[:, None]
     return begins / begins.sum(), steps / steps.sum(1, keepdims=True), emissions / emissions.sum(0)
 
 
 def fit(coded: DataFrame, lex: Lexicon, counts: DataFrame, states: int = STATES, iterations: int = ITERATIONS) -> Model:
     """Trains on all coded texts (a table with the column symbols)."""
-    drawn = coded.select("symbols").orderBy(F.xxhash64("symbols"), "symbols").limit(SEED_DOCS)
-    sample = [np.frombuffer(r["symbols"], np.uint16) for r in drawn.select(F.substring("symbols", 1, 2 * SEED_TOKENS).alias("symbols")).collect()]
-    start, emit = seeded(sample, lex, states)
+    start, emit = mixture(coded, lex, states)
     step = np.full((states, states), 0.05 / states) + 0.95 * np.eye(states)
     for _ in range(iterations):
         start, step, emit = reestimate(coded, lex, start, step, emit)

@@ -84,6 +84,24 @@ def test_hidden_markov(spark):
     assert hmm.train_and_score(df.limit(0), ~F.col("held"), keep=["doc_id"]).count() == 0
 
 
+def test_states_start_from_all_texts(spark):
+    def started(texts, states):
+        df = docs(spark, texts)
+        counts = hmm.count_tokens(df.select("text"))
+        lex = hmm.lexicon(counts)
+        model = hmm.fit(hmm.code(df, lex, "text", ["doc_id"]), lex, counts, states=states, iterations=0)
+        place = {w: lex.symbol[np.searchsorted(lex.token, textbatch.words(next(textbatch.chunks(pa.array([w])))).hash[0])] for w in ("red", "sea")}
+        return model.emit[place["red"]], model.emit[place["sea"]]
+
+    # kinds of texts that differ after their first 400 words only
+    opening = "same " * 450
+    red, sea = started([opening + t for t in ("red blue green " * 40, "sea lake river " * 40) * 20], 2)
+    assert (red.max() > 50 * red.min(), sea.max() > 50 * sea.min(), red.argmax() != sea.argmax()) == (True, True, True)
+    # large groups of copies beside a few other texts
+    red, sea = started([f"copy {i} copy" for i in range(4) for _ in range(1600)] + ["red blue green " * 40, "sea lake river " * 40] * 20, 8)
+    assert red.argmax() != sea.argmax()
+
+
 def test_forward_equals_all_paths():
     rng = np.random.default_rng(0)
     start, step, emit = rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 4, 3).T
