@@ -10,7 +10,8 @@ Template: ``<|im_start|>role\\ntext<|im_end|>\\n`` a turn.  Inside roles and tex
 mask is a list of [start, end) spans in code points over the formatted text: the assistants' texts.
 
 Defined results: null texts and roles count as empty; a message whose parent is missing is a root; messages
-on a cycle of parents have no root and are left out; trees without messages don't exist.
+on a cycle of parents have no root and are left out; trees without messages don't exist; messages whose tree
+is null are one tree.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ _ESCAPED = re.compile(r"\\([\\n])|<\\\|")
 def paths(messages: DataFrame) -> DataFrame:
     """(tree, leaf, node, up): for each leaf the nodes on its way to the root, up counted from the leaf.
 
-    messages: tree, node, parent, with unique (tree, node).
+    messages: tree, node, parent, with unique (tree, node) and no null tree (format_branches wraps trees in a struct).
     """
     here = messages.select("tree", "node").alias("m")
     own = messages.join(messages.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there")), ["tree", "parent"], "left")
@@ -71,6 +72,7 @@ def unescape(text: str) -> str:
 
 def format_branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """(tree, branch, conversation, loss_spans). messages: tree, node, parent, role, text, score."""
+    messages = messages.withColumn("tree", F.struct(F.col("tree").alias("key")))  # never null
     way = chosen(messages.select("tree", "node", "parent", "score"), best)
     role = F.replace(escaped(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("\\n"))
     turns = messages.select("tree", "node", role.alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
@@ -85,7 +87,7 @@ def format_branches(messages: DataFrame, best: int = 1) -> DataFrame:
         return F.struct((state["at"] + F.length(whole(t))).alias("at"), F.when(t["role"] == "assistant", F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
 
     spans = F.aggregate("turns", start, add, lambda s: s["spans"])
-    return rows.select("tree", "branch", F.array_join(F.transform("turns", whole), "").alias("conversation"), spans.alias("loss_spans"))
+    return rows.select(F.col("tree.key").alias("tree"), "branch", F.array_join(F.transform("turns", whole), "").alias("conversation"), spans.alias("loss_spans"))
 
 
 def read_turns(conversation: str) -> list[tuple[str, str]]:

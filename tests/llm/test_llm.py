@@ -311,6 +311,12 @@ def test_chat_escapes(spark):
     assert got == {0: (7, sum(len(t or "") for t in hostile[1::2])), 1: (3, 2)}
 
 
+def test_chat_without_id(spark):
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, 0, "user", "c")]
+    formatted = chat.format_branches(chat.chain(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    assert {r.tree: chat.read_turns(r.conversation) for r in formatted.collect()} == {None: [("user", "a"), ("assistant", "b")], 1: [("user", "c")]}
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(8)
     words = ["the", "house", "with", "garden", "near", "station", "sunny", "large", "rooms", "quiet"]
