@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearth.functions.order import dense_index
 from hearth.llm import langid, ngram_join, packing, secret_scan
 from hearth.llm.scratch import having_keys, stored
 from hearth.llm.textbatch import table
@@ -15,18 +16,31 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that can be told; those without a letter, or in doubt, go."""
-    scored = langid.predict(docs, langid.fit(docs))
+    """Keeps documents in a language that can be told; those without a letter, or in doubt, go. Without any label nothing is learnt and all stay."""
+    model = langid.fit(docs)
+    if not model.languages:
+        return docs
+    scored = langid.predict(docs, model)
     return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near copies; rows without an id stay."""
+    """Keeps the document of the smallest id of each group of near copies; rows without an id stay.
+
+    Where ids repeat, rows are told apart by their place in the order of id and text; of an id's equal texts one stays.
+    """
+    known = docs.where("doc_id IS NOT NULL")
+    if not known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        order = [F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), *[F.col(c) for c in docs.columns if c != "doc_id"]]
+        placed = stored(dense_index(known, order, "place"))
+        first = placed.groupBy("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("digest")).agg(F.min("place").alias("place"))
+        placed = stored(having_keys(placed, stored(first.select("place")), "place"))
+        classes = ngram_join.join(placed, id_col="place")
+        heads = stored(classes.where("doc_id = component_id").select(F.col("doc_id").alias("place")))
+        return having_keys(placed, heads, "place").select(docs.columns).union(docs.where("doc_id IS NULL"))
     classes = ngram_join.join(docs)
     heads = stored(classes.where("doc_id = component_id").select("doc_id").distinct())
     kept = having_keys(docs, heads, "doc_id")
-    if not docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
     return kept.select(docs.columns).union(docs.where("doc_id IS NULL"))
 
 

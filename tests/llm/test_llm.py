@@ -317,6 +317,15 @@ def test_chat_without_id(spark):
     assert {r.tree: chat.read_turns(r.conversation) for r in formatted.collect()} == {None: [("user", "a"), ("assistant", "b")], 1: [("user", "c")]}
 
 
+def test_repeated_ids_and_no_languages(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(40)) for w in ("house", "garden"))
+    rows = [(7, one, None, "s", 1), (7, two, None, "s", 1), (7, two, None, "s", 1), (7, two + " end", None, "s", 1), (8, one, None, "s", 1), (9, None, None, "s", 1), (9, None, None, "t", 1), (None, "x", None, "s", 1)]
+    df = spark.createDataFrame(rows, DOCS)
+    assert corpus_pipeline.language(spark, df, "").count() == len(rows)
+    got = [(r.doc_id, (r.text or "").split(" ")[0]) for r in corpus_pipeline.near_copies(spark, df.repartition(3), "").collect()]
+    assert sorted(got, key=str) == [(7, "garden0"), (7, "house0"), (9, ""), (None, "x")]
+
+
 def test_pipeline(spark, tmp_path):
     rng = random.Random(8)
     words = ["the", "house", "with", "garden", "near", "station", "sunny", "large", "rooms", "quiet"]
