@@ -16,8 +16,6 @@ DENSE_GROUPS = {
     "parque": ["park", "city_park", "dog_park", "state_park", "national_park"],
     "supermercado": ["supermarket", "grocery_store"],
 }
-#: Rows of a catalogue up to which it is broadcast; beyond it nearest() wants cells.
-BROADCAST_POIS = 20_000
 ANSWER = "array<struct<displayName: struct<text: string>, types: array<string>, location: struct<latitude: double, longitude: double>>>"
 
 
@@ -69,16 +67,44 @@ def summary(rows: DataFrame, radius: float) -> DataFrame:
     return rows.groupBy("point", "categoria").agg(nearest_, F.count_if(F.col("d") <= radius).alias("n_1km")).select("point", "categoria", F.bround("n.d", 0).cast("int").alias("mas_cercano_m"), "n.nombre", "n_1km")
 
 
+def within(points: DataFrame, pois: DataFrame, reach: float) -> DataFrame:
+    """(point, categoria, nombre, d) of the places of each point's category within reach, anywhere on the sphere.
+
+    An equi-join on cubes of that size; each place stands in its own cube and the 26 around.
+    points: point, categoria, lat, lon; pois: categoria, nombre, plat, plon.
+    """
+    size = 2 * math.sin(min(reach / (2 * EARTH_M), math.pi / 2)) * 1.001
+    cubes = lambda lat, lon: {"ci": F.cos(F.radians(lat)) * F.cos(F.radians(lon)), "cj": F.cos(F.radians(lat)) * F.sin(F.radians(lon)), "ck": F.sin(F.radians(lat))}
+    cube = lambda lat, lon: {k: F.floor(c / size) for k, c in cubes(lat, lon).items()}
+    near = (-1, 0, 1)
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in near for j in near for k in near]))
+    spread = pois.withColumns(cube("plat", "plon")).withColumn("o", around).withColumns({c: F.col(c) + F.col(f"o.{c[1]}") for c in ("ci", "cj", "ck")}).drop("o")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("ci", "cj", "ck")] + [F.col("a.categoria").eqNullSafe(F.col("b.categoria"))]
+    d = haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
+    pairs = points.withColumns(cube("lat", "lon")).alias("a").join(spread.alias("b"), on).select("point", "a.categoria", "nombre", d.alias("d"))
+    return pairs.where(F.col("d") <= reach)
+
+
 def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataFrame:
     """Nearest place and number within the radius, for every point (point, lat, lon) and category.
 
-    The catalogue must be small (its size is checked); radius_join() has no such limit.
+    The reach starts at the radius and grows fourfold for points and categories that have no place within it.
+    Points and places without coordinates are passed over.
     """
-    if pois.limit(BROADCAST_POIS + 1).count() > BROADCAST_POIS:
-        raise ValueError(f"more than {BROADCAST_POIS} places: use radius_join")
-    p = pois.select("categoria", "nombre", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
-    pairs = points.crossJoin(F.broadcast(p)).withColumn("d", haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
-    return summary(pairs, radius)
+    located = (F.col("lat") + F.col("lon")).isNotNull()
+    p = pois.where(located).select("categoria", "nombre", F.col("lat").alias("plat"), F.col("lon").alias("plon")).persist()
+    left = points.where(located).select("point", "lat", "lon").crossJoin(F.broadcast(p.select("categoria").distinct())).persist()
+    made, reach = None, radius
+    while True:
+        found = summary(within(left, p, reach), radius).persist()
+        made = found if made is None else made.unionByName(found)
+        if reach > math.pi * EARTH_M:
+            return made
+        done = found.select(F.col("point").alias("p2"), F.col("categoria").alias("c2"))
+        left = left.join(done, F.col("point").eqNullSafe(F.col("p2")) & F.col("categoria").eqNullSafe(F.col("c2")), "left_anti").persist()
+        if left.isEmpty():
+            return made
+        reach *= 4
 
 
 def radius_join(points: DataFrame, pois: DataFrame, radius: float = 1000.0, latitude_limit: float = 60.0) -> DataFrame:

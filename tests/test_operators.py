@@ -59,6 +59,19 @@ def test_places(spark):
     assert geo.grid(spark, (0.0, 1.0, 0.0, 1.0), 6).count() == 36
 
 
+def test_nearest_of_many_places(spark):
+    rows = spark.range(20_300)
+    pois = rows.select(F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("categoria"), F.concat(F.lit("n"), "id").alias("nombre"), (F.col("id") * 37 % 140 - 70 + F.col("id") / 1e5).alias("lat"), (F.col("id") * 53 % 360 - 180.0).alias("lon"))
+    far = spark.createDataFrame([("c2", "pole", 89.9, 170.0), (None, "sea", 0.0, -179.999), ("c2", "lost", None, 1.0)], "categoria string, nombre string, lat double, lon double")
+    points = spark.createDataFrame([("date line", 0.0, 179.999), ("pole", 89.9, -10.0), ("south", -80.0, 3.0), ("city", -33.4, -70.6)], "point string, lat double, lon double")
+    all_ = pois.union(far)
+    got = {(r.point, r.categoria): (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.nearest(points, all_).collect()}
+    p = all_.where("lat IS NOT NULL").select("categoria", "nombre", F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    pairs = points.crossJoin(p).withColumn("d", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon")))
+    assert got == {(r.point, r.categoria): (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.summary(pairs, 1000.0).collect()}
+    assert len(got) == 16 and got["date line", None] == (222, "sea", 1)
+
+
 def test_dense_index_and_split(spark):
     df = spark.range(1000).repartition(7)
     got = [r["index"] for r in dense_index(df, [random_order(F.col("id"), 1), F.col("id")]).orderBy(random_order(F.col("id"), 1), "id").collect()]
