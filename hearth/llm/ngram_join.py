@@ -3,21 +3,29 @@
 A document's set holds its distinct shingles of ``n`` words (the whole sequence as one if it has fewer;
 none without words).  Documents link when the Jaccard similarity is at least ``percent`` / 100.
 
-1. Documents with equal sets collapse into one representative (the smallest id), by one aggregation.
-2. Shingles get a global order, rarest first by a frequency sketch of fixed size over all documents, then
-   by hash.  Any total order gives exact results; the sketch only makes prefixes selective.
-3. Each representative sends its prefix (the shingles of which similar sets must share one).  Within a
-   shingle every member pairs with the first, so a group of m near copies gives m pairs; length, positional
-   and suffix filters prune them.
-4. Each pair is verified once on the whole sets; links merge into components by joins.  While many pairs
-   cross components, members outside a shingle's largest component meet a few members of that one.  Here and
-   in the next step signatures of the sets filter the pairs inside the join.
-5. Members of one shingle that still lie in different components pair exhaustively under the same filters
-   and are verified, so no link between components is lost.
-
-Shingles are 64-bit hashes (see ``textbatch`` for their collisions).  Defined results: null and empty texts
-have empty sets and link with nothing; repeated rows of one id count as that document once; a null id is
-left out.
+1. One pass over the texts sends every shingle, with the place of its document, to a bucket of the hash
+   space; tasks combine what they hold: equal sets once, frequent shingles as one entry and a count.
+2. Each bucket counts in how many documents its shingles occur and returns those of two or more.  So each
+   document learns the exact frequency of its shared shingles.  A set with fewer than ``percent`` % of shared
+   ones links with nothing and is done.
+3. Rare-first order: frequency, then hash.  Shingles of one document come first and match nothing; what is
+   left of the prefix (the shingles of which similar sets must share one) joins the sets.
+4. Within a shingle every member pairs with the first, then those outside the shingle's largest component with
+   a few members of it, then all members that still lie in different components, by neighbouring size classes.
+   Length, positional and suffix filters prune pairs inside the joins; each pair is verified once, on the
+   shared shingles of both sets.  Links merge into components by joins, so none between components is lost.
+
+The suffix filter cuts the order of hashes at fixed places into ranges and holds the ranges that only one set
+occupies against the overlap that the sets need.
+
+Shingles are 64-bit hashes (see ``textbatch`` for their collisions); order and comparison use their upper 48 bits.  Two sets
+of s shingles agree in one more than they should with probability s*s/2**48; two of N different sets share a
+64-bit name with probability N*N/2**65.  Frequencies above 65,535 count as equal in the order.
+
+Defined results: null and empty texts have empty sets and link with nothing (component: their own id); rows of
+one id are compared as they are, each gets the component of its text; a row without an id is compared like the
+others, but names no component: alone, its component is null.  Columns beside the two named ones are ignored.
+A text of any length is read whole; its words are held in memory by one task.
 """
 
 from __future__ import annotations
@@ -27,24 +35,29 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from hearth.llm.scratch import dropped, having_keys, stored
+from hearth.llm.scratch import dropped, having_keys, stored, tidy
 from hearth.llm.textbatch import Chunk, chunks, column, few_rows, mix, row_of, words
 
-#: Counters of the frequency sketch; 8 MB are broadcast whatever the input.
-SKETCH_BITS = 20
-SLICES = 64
-#: While more pairs than this cross components within shingles, a round with a few hubs precedes the exhaustive one.
-EXHAUSTIVE_PAIRS = 2_000_000
+#: Bytes of text that a task combines before it sends, and rows (a document's place has 16 bits; the last one marks counts).
+BATCH_BYTES = 16 << 20
+BATCH_ROWS = (1 << 16) - 1
+#: A shingle of more documents of one batch travels as one entry with a count.
+OFTEN = 8
+#: Bytes of text for each bucket, and the powers of two between which their number lies.
+BUCKET_BYTES = 8 << 20
+BUCKETS = (6, 17)
 HUBS = 8
-#: Members of a shingle up to which its few pairs go without signatures to the filter that all pairs pass.
-NARROW = 8
-#: Bits of a set's signature for the suffix filter, in words of 64.
+#: Ranges of the suffix filter, in words of 64.
 BITS = 1024
 WORDS = BITS // 64
+PLACE = np.uint64(0xFFFF)
+SENT = "bucket int, batch long, kind int, keys binary, counts binary, ids array<long>, sizes array<int>, nodes array<long>"
+ROWS = "doc_id long, n_shingles long, node long, seat long, shared int, prefix array<long>, members binary, bits array<long>"
 
 
 def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,86 +82,140 @@ def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(owner, np.arange(len(count) + 1))
 
 
-def profiles(docs: DataFrame, n: int) -> DataFrame:
-    """One row for each document: size, two hashes of its set and its signature; and rows of the sketch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int32)
-        none = lambda k, t: pa.nulls(k, t)
-        waiting: list[np.ndarray] = []
-
-        def count() -> None:
-            np.add(sketch, np.bincount(np.concatenate([*waiting, np.zeros(0, np.int32)]), minlength=len(sketch)), out=sketch, casting="unsafe")
-            waiting.clear()
-
-        for b in batches:
-            for c in chunks(column(b, "text")):
-                h, first = shingles(c, n)
-                waiting.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
-                if len(waiting) >= 16:
-                    count()
-                rows = c.hi - c.lo
-                total = np.zeros((2, len(h) + 1), np.uint64)
-                np.cumsum(mix(h + np.uint64(1)), out=total[0, 1:])
-                np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1, 1:])
-                sums = total[:, first[1:]] - total[:, first[:-1]]
-                held = np.zeros((rows, BITS), bool)
-                held[row_of(first), (h & np.uint64(BITS - 1)).astype(np.int64)] = True
-                bits = np.packbits(held, axis=1, bitorder="little").view(np.int64).ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [column(b, "doc_id").slice(c.lo, rows), pa.array(np.diff(first), pa.int64()), *(pa.array(s.view(np.int64)) for s in sums),
-                     pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * WORDS, pa.int32()), pa.array(bits)), none(rows, pa.int32()), none(rows, pa.binary())],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bits", "slice", "counts"])
-        count()
-        blobs = [x.tobytes() for x in np.split(sketch, SLICES)]
-        yield pa.RecordBatch.from_arrays(
-            [*(none(SLICES, pa.int64()) for _ in range(4)), none(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(blobs, pa.binary())],
-            ["doc_id", "n_shingles", "set_a", "set_b", "bits", "slice", "counts"])
-
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bits array<long>, slice int, counts binary")
-
-
-def sketch_of(made: DataFrame) -> np.ndarray:
-    """The sum of the tasks' sketches, slice by slice; its size is fixed."""
-
-    def add(kind: type):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            number, total = None, np.zeros((1 << SKETCH_BITS) // SLICES, np.int64)
-            for b in batches:
-                for number, x in zip(column(b, "slice").to_pylist(), column(b, "counts"), strict=True):
-                    total += np.frombuffer(x.as_buffer(), kind)
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
-
-        return run
-
-    spread = made.where(F.col("slice").isNotNull()).select("slice", "counts").withColumn("some", F.spark_partition_id() % 32)
-    part = spread.groupBy("slice", "some").applyInArrow(add(np.int32), "slice int, counts binary")
-    whole = part.groupBy("slice").applyInArrow(add(np.int64), "slice int, counts binary").toArrow()
-    out = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), np.int64)
-    for s, x in zip(whole["slice"].to_pylist(), whole["counts"].to_pylist(), strict=True):
-        out[s] = np.frombuffer(x, np.int64)
-    return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
-
-
-def prefixes(docs: DataFrame, sketch: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(token, doc_id, size, pos): the shingles of each set's prefix, rarest first."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+def planes(x: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, which compresses sorted numbers."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def numbers(blobs: pa.Array, kind: type = np.uint64) -> list[np.ndarray]:
+    """The inverse of planes for each blob."""
+    return [np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel() for x in blobs]
+
+
+def joined(parts: list[np.ndarray], kind: type = np.uint64) -> np.ndarray:
+    return np.concatenate([*parts, np.zeros(0, kind)]).astype(kind, copy=False)
+
+
+def sent(docs: DataFrame, n: int, bits: int) -> DataFrame:
+    """For each batch of a task: keys (shingle and place) by bucket, places of frequent shingles, and the documents."""
+
+    def flush(batch: int, ids: list, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        size = np.concatenate([np.diff(first) for _, first in parts])
+        h, place = joined([h for h, _ in parts]), row_of(np.append(0, np.cumsum(size)))
+        total = np.zeros((2, len(h) + 1), np.uint64)
+        np.cumsum(mix(h + np.uint64(1)), out=total[0, 1:])
+        np.cumsum(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), out=total[1, 1:])
+        first = np.append(0, np.cumsum(size))
+        sums = total[:, first[1:]] - total[:, first[:-1]]
+        node = mix(mix(sums[0] + size.astype(np.uint64)) + sums[1])
+        chosen = np.zeros(len(size), bool)
+        chosen[np.unique(node, return_index=True)[1]] = True  # one of equal sets
+        own = chosen[place]
+        key = np.unique((h[own] & ~PLACE) | place[own].astype(np.uint64))
+        start = np.flatnonzero(np.append(True, key[1:] >> np.uint64(16) != key[:-1] >> np.uint64(16))) if len(key) else np.zeros(0, np.int64)
+        count = np.diff(np.append(start, len(key)))
+        often = np.repeat(count > OFTEN, count)
+        marked = key[start[count > OFTEN]] | PLACE
+        entries = np.sort(np.concatenate([key[~often], marked]))
+        cuts = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        by = lambda x, y: np.split(y, np.searchsorted(x, cuts))
+        rows = [(k, 0, planes(x), planes(c)) for k, (x, c) in enumerate(zip(by(entries, entries), by(marked, count[count > OFTEN].astype(np.uint32)), strict=True)) if len(x)]
+        spread = batch % (1 << bits)
+        rows += [(spread, 1, planes(key[often]), None), (spread, 2, None, None)]
+        only_last = lambda x: pa.array([None] * (len(rows) - 1), pa.list_(x.type)) if len(rows) > 1 else None
+        lists = [pa.concat_arrays(ids), pa.array(size.astype(np.int32)), pa.array(node.view(np.int64))]
+        lists = [pa.concat_arrays([only_last(x), pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)]) for x in lists]
+        bucket, kind, keys, counts = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket, pa.int32()), pa.array([batch] * len(rows), pa.int64()), pa.array(kind, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), *lists],
+            ["bucket", "batch", "kind", "keys", "counts", "ids", "sizes", "nodes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = TaskContext.get().partitionId() << 32
+        ids, parts, held, bytes_held = [], [], 0, 0
         for b in batches:
-            ids = column(b, "doc_id").to_numpy(zero_copy_only=False)
             for c in chunks(column(b, "text")):
-                h, first = shingles(c, n)
-                owner, size = row_of(first), np.diff(first)
-                common = shared.value[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.lexsort((h, common, owner))
-                h = h[order]
-                pos = np.arange(len(h)) - first[owner]
-                keep = pos <= size[owner] - (size[owner] * percent + 99) // 100
-                owner = owner[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(ids[c.lo : c.hi][owner], pa.int64()), pa.array(size[owner], pa.int32()), pa.array(pos[keep], pa.int32())], ["token", "doc_id", "size", "pos"])
-
-    return docs.mapInArrow(run, "token long, doc_id long, size int, pos int")
+                for lo in range(c.lo, c.hi, BATCH_ROWS):
+                    hi = min(c.hi, lo + BATCH_ROWS)
+                    part = c if hi - lo == c.hi - c.lo else Chunk(lo, hi, c.data[c.offsets[lo - c.lo] : c.offsets[hi - c.lo]], c.offsets[lo - c.lo : hi - c.lo + 1] - c.offsets[lo - c.lo])
+                    if parts and (held + hi - lo > BATCH_ROWS or bytes_held + len(part.data) > BATCH_BYTES):
+                        yield flush(batch, ids, parts)
+                        batch, ids, parts, held, bytes_held = batch + 1, [], [], 0, 0
+                    ids.append(column(b, "doc_id").slice(lo, hi - lo))
+                    parts.append(shingles(part, n))
+                    held, bytes_held = held + hi - lo, bytes_held + len(part.data)
+        if parts:
+            yield flush(batch, ids, parts)
+
+    return docs.mapInArrow(run, SENT)
+
+
+def counted(found: DataFrame) -> DataFrame:
+    """Of each bucket's keys those of shingles in two or more documents, with the frequency (counts); other rows as they are."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        of_keys = pc.equal(rows["kind"], 0)
+        entries, rest = rows.filter(of_keys), rows.filter(pc.invert(of_keys))
+        each = numbers(entries["keys"])
+        key = joined(each)
+        weight = np.ones(len(key), np.int64)
+        weight[key & PLACE == PLACE] = joined(numbers(entries["counts"], np.uint32), np.uint32)
+        order = np.argsort(key >> np.uint64(16), kind="stable")
+        h = key[order] >> np.uint64(16)
+        start = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+        total = np.add.reduceat(weight[order], start) if len(h) else weight
+        frequency = np.empty(len(key), np.int64)
+        frequency[order] = np.repeat(total, np.diff(np.append(start, len(h))))
+        ends = np.cumsum([len(x) for x in each])[:-1]
+        shared = [(x[f > 1], f[f > 1]) for x, f in zip(each, np.split(frequency, ends), strict=True)] if each else []
+        made = [pa.array([planes(x) for x, _ in shared], pa.binary()), pa.array([planes(np.minimum(f, 0xFFFF).astype(np.uint16)) for _, f in shared], pa.binary())]
+        for name, x in zip(("keys", "counts"), made, strict=True):
+            entries = entries.set_column(entries.schema.get_field_index(name), name, pa.chunked_array([x]))
+        return pa.concat_tables([entries, rest]).drop(["bucket"])
+
+    return found.groupBy("bucket").applyInArrow(run, SENT.removeprefix("bucket int, "))
+
+
+def assembled(replies: DataFrame, percent: int) -> DataFrame:
+    """One row for each document; prefix, members and bits (all of shared shingles) where enough of them are shared."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        kind = rows["kind"].to_numpy()
+        of = lambda k, name: rows[name].filter(pa.array(kind == k)).combine_chunks()
+        table = {x: pa.array(of(2, x)).flatten() for x in ("ids", "sizes", "nodes")}
+        size = table["sizes"].to_numpy().astype(np.int64)
+        key, frequency = joined(numbers(of(0, "keys"))), joined(numbers(of(0, "counts"), np.uint16), np.uint16)
+        often, frequent = joined(numbers(of(1, "keys"))), key & PLACE == PLACE
+        if len(often):
+            names, f = key[frequent], frequency[frequent]
+            order = np.argsort(names)
+            f = f[order][np.searchsorted(names[order] >> np.uint64(16), often >> np.uint64(16))]
+            key, frequency = np.append(key[~frequent], often), np.append(frequency[~frequent], f)
+        place, token = (key & PLACE).astype(np.int64), (key >> np.uint64(16)).astype(np.int64)
+        shared = np.bincount(place, minlength=len(size))
+        need = (size * percent + 99) // 100
+        passing = (size > 0) & (shared >= need)
+        mine = passing[place]
+        place, token, frequency = place[mine], token[mine], frequency[mine]
+        by_hash, by_rank = np.lexsort((token, place)), np.lexsort((token, frequency, place))
+        first = np.searchsorted(place[by_hash], np.arange(len(size) + 1))
+        within = np.arange(len(token)) - first[place[by_rank]]
+        ranked = token[by_rank][within <= (shared - need)[place[by_rank]]]
+        blank = ~passing
+        lists = lambda flat, each: pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.where(passing, each, 0))), pa.int32()), pa.array(flat), mask=pa.array(blank))
+        held = np.zeros((int(passing.sum()), BITS), bool)
+        held[(np.cumsum(passing) - 1)[place], token & (BITS - 1)] = True
+        signs = np.packbits(held, axis=1, bitorder="little").view(np.int64).ravel()
+        hashes = token[by_hash]
+        members = [hashes[a:z].tobytes() if p else None for a, z, p in zip(first.tolist(), first[1:].tolist(), passing.tolist(), strict=False)]
+        seat = (rows["batch"][0].as_py() << 16) + np.arange(len(size))
+        return pa.Table.from_arrays(
+            [table["ids"], pa.array(size), table["nodes"], pa.array(seat), pa.array(shared.astype(np.int32)), lists(ranked, shared - need + 1), pa.array(members, pa.binary()), lists(signs, WORDS)],
+            ["doc_id", "n_shingles", "node", "seat", "shared", "prefix", "members", "bits"])
+
+    return replies.groupBy("batch").applyInArrow(run, ROWS)
 
 
 def needed(size_a: Column, size_b: Column, percent: int) -> Column:
@@ -164,48 +231,61 @@ def passes(a: str, b: str, percent: int) -> Column:
 
 
 def suffix(a: str, b: str, percent: int) -> Column:
-    """Suffix filter on two rows (columns size_x and bits_x): a bit that only one set has costs that set a member."""
+    """Suffix filter on two rows (columns size_x, shared_x and bits_x): a range that only one set occupies costs that set a member."""
     x, y = F.col(f"bits_{a}"), F.col(f"bits_{b}")
     alone = lambda p, q: reduce(lambda s, t: s + t, [F.bit_count(p[i].bitwiseAND(F.bitwise_not(q[i]))) for i in range(WORDS)])
-    most = F.least(F.col(f"size_{a}") - alone(x, y), F.col(f"size_{b}") - alone(y, x))
+    most = F.least(F.col(f"shared_{a}") - alone(x, y), F.col(f"shared_{b}") - alone(y, x))
     return most >= needed(F.col(f"size_{a}"), F.col(f"size_{b}"), percent)
 
 
-def linked(pairs: DataFrame, reps: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that link; the suffix filter first, then one comparison of the whole sets."""
-    of = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("bits").alias(f"bits_{x}"))
-    near = stored(pairs.join(of("a"), "a").join(of("b"), "b").where(suffix("a", "b", percent)).select("a", "b"))
-    wanted = stored(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+def named(df: DataFrame, end: str, *names: str) -> DataFrame:
+    return df.select("token", *[F.col(c).alias(f"{c}_{end}") for c in names])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            blobs = []
-            for c in chunks(column(b, "text")):
-                h, first = shingles(c, n)
-                blobs += [x.tobytes() for x in np.split(h, first[1:-1])]
-            yield pa.RecordBatch.from_arrays([column(b, "doc_id"), pa.array(blobs, pa.binary())], ["doc_id", "members"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(column(batch, "members_a"), column(batch, "members_b"), strict=True):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    members = having_keys(texts, wanted, "doc_id").mapInArrow(sets, "doc_id long, members binary").dropDuplicates(["doc_id"])
-    both = near.join(members.select(F.col("doc_id").alias("b"), F.col("members").alias("members_b")), "b")
-    both = both.join(members.select(F.col("doc_id").alias("a"), F.col("members").alias("members_a")), "a")
-    found = stored(both.select("a", "b", "members_a", "members_b").mapInArrow(compare, "a long, b long"))
-    dropped(near, wanted)
-    return found
+
+class Sets:
+    """The sets that may link (node, size, shared, bits), their members in rows, and the pairs verified so far."""
+
+    def __init__(self, reps: DataFrame, rows: DataFrame, percent: int):
+        self.reps, self.rows, self.percent, self.tested, self.links = reps, rows, percent, [], []
+
+    def verify(self, pairs: DataFrame) -> bool:
+        """Verifies those pairs (a, b) that pass the suffix filter and were not verified before; whether any links."""
+        of = lambda x: self.reps.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("seat", "size", "shared", "bits")])
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        for old in self.tested:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        near = stored(pairs.join(of("a"), "a").join(of("b"), "b").where(suffix("a", "b", self.percent)).select("a", "b", "seat_a", "seat_b", "size_a", "size_b"))
+        wanted = stored(near.select(F.explode(F.array("seat_a", "seat_b")).alias("seat")).distinct())
+        members = having_keys(self.rows.select("seat", "members"), wanted, "seat")
+        both = near.join(members.select(F.col("seat").alias("seat_b"), F.col("members").alias("members_b")), "seat_b")
+        both = both.join(members.select(F.col("seat").alias("seat_a"), F.col("members").alias("members_a")), "seat_a")
+        percent = self.percent
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                total = column(batch, "size_a").to_numpy() + column(batch, "size_b").to_numpy()
+                for x, y, s in zip(column(batch, "members_a"), column(batch, "members_b"), total.tolist(), strict=True):
+                    x, y = np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64)
+                    at = np.searchsorted(y, x)
+                    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                    keep.append(100 * common >= percent * (s - common))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        found = stored(both.select("a", "b", "size_a", "size_b", "members_a", "members_b").mapInArrow(compare, "a long, b long"))
+        dropped(wanted)
+        self.tested.append(near.select("a", "b"))
+        self.links.append(found)
+        return not found.isEmpty()
+
+    def merged(self) -> DataFrame:
+        """(node, component) of every set that links."""
+        return components(reduce(DataFrame.union, self.links)).withColumnRenamed("id", "node")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that each end of an edge reaches, by alternating star contractions."""
-    edges = edges.where(F.col("a") != F.col("b"))
+    edges, old = edges.where(F.col("a") != F.col("b")), None
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     while True:
         low = both(edges).groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
@@ -216,87 +296,75 @@ def components(edges: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").union(least.select("a", F.col("m").alias("b"))).distinct()
         small = stored(small)
+        if old is not None:
+            dropped(old)
         # done when every vertex has one edge, and that to a root
         heads = small.groupBy("a").agg(F.count("*").alias("n"))
         open_ = small.select(F.col("b").alias("a")).distinct().join(heads, "a", "left_semi").limit(1).count() or heads.where("n > 1").limit(1).count()
         if not open_:
             return small.select(F.col("a").alias("id"), F.col("b").alias("component")).union(small.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        edges = small
+        edges = old = small
 
 
 def star(tokens: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b): within each token, every member with the first."""
-    first = F.first(F.struct("doc_id", "size", "pos")).over(W.partitionBy("token").orderBy("doc_id").rowsBetween(W.unboundedPreceding, 0))
-    pairs = tokens.select(first.alias("x"), F.struct("doc_id", "size", "pos").alias("y")).select(*[F.col(f"{r}.{c}").alias(f"{c}_{r}") for r in "xy" for c in ("doc_id", "size", "pos")])
-    return pairs.where((F.col("doc_id_x") != F.col("doc_id_y")) & passes("x", "y", percent)).select(F.col("doc_id_x").alias("a"), F.col("doc_id_y").alias("b")).distinct()
+    sides = tokens.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "size", "pos")], *[F.col(f"first.{c}").alias(f"{c}_y") for c in ("node", "size", "pos")])
+    return sides.where((F.col("node_x") != F.col("node_y")) & passes("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
 
-def between(tokens: DataFrame, merged: DataFrame) -> tuple[DataFrame, int]:
-    """The rows of tokens whose members lie in several components, with these and each token's largest; and how many pairs cross in wide tokens."""
-    known = tokens.join(merged.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+def between(tokens: DataFrame, merged: DataFrame) -> DataFrame:
+    """The rows of tokens whose members lie in several components, with these and each token's largest."""
+    known = tokens.select("token", "node", "size", "pos").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token")
-    sizes = sizes.agg(F.sum("k").alias("members"), F.sum(F.col("k") * F.col("k")).alias("own"), F.max(F.struct("k", "component"))["component"].alias("largest"))
-    mixed = stored(sizes.where("members * members > own"))
-    left = int(mixed.where(F.col("members") > NARROW).agg(F.coalesce(F.sum((F.col("members") * F.col("members") - F.col("own")) / 2), F.lit(0))).first()[0])
-    rest = stored(known.join(mixed.drop("own"), "token"))
-    dropped(mixed)
-    return rest, left
+    mixed = sizes.agg(F.count("*").alias("parts"), F.max(F.struct("k", "component"))["component"].alias("largest")).where("parts > 1").drop("parts")
+    return stored(known.join(mixed, "token"))
 
 
-def hubs(rest: DataFrame, reps: DataFrame, percent: int, salt: int) -> DataFrame:
+def hubs(rest: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one."""
-    inside = rest.where("component = largest").withColumn("nth", F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("doc_id", F.lit(salt)), "doc_id")))
-    return crossed(inside.where(F.col("nth") <= HUBS), rest.where("component <> largest"), percent, reps)
-
-
-def crossed(one: DataFrame, other: DataFrame, percent: int, reps: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of rows of one token in different components that pass the filters; with reps also the suffix filter."""
-    names = ["doc_id", "size", "pos", "component"]
-    if reps is not None:
-        names.append("bits")
-        bits = reps.select("doc_id", "bits")
-        one, other = one.join(bits, "doc_id"), other.join(bits, "doc_id")
-    side = lambda rows, x: rows.select("token", *[F.col(c).alias(f"{c}_{x}") for c in names])
-    pairs = side(one, "x").join(side(other, "y"), "token").where((F.col("component_x") != F.col("component_y")) & passes("x", "y", percent))
-    pairs = pairs if reps is None else pairs.where(suffix("x", "y", percent))
-    return pairs.select(F.least("doc_id_x", "doc_id_y").alias("a"), F.greatest("doc_id_x", "doc_id_y").alias("b")).distinct()
-
-
+    one = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "size", "pos"))
+    inside = rest.where("component = largest").groupBy("token").agg(F.array_distinct(F.array(*[one(k) for k in range(HUBS)]).cast("array<struct<by:long,node:long,size:int,pos:int>>")).alias("hub"))
+    inside = inside.select("token", F.explode("hub").alias("hub")).select("token", "hub.node", "hub.size", "hub.pos").distinct()
+    pairs = named(inside, "x", "node", "size", "pos").join(named(rest.where("component <> largest"), "y", "node", "size", "pos"), "token")
+    return pairs.where(passes("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+
+
+def crossed(rest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of rows of one token in different components that pass all filters; sets that link are in one or two neighbouring size classes."""
+    names = ["node", "size", "pos", "component", "shared", "bits"]
+    wide = rest.join(reps.select("node", "shared", "bits"), "node")
+    size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent * 1.0001))).cast("int")
+    smaller = named(wide, "x", *names).withColumn("class", F.explode(F.array(*[F.floor(F.log(F.col("size_x").cast("double")) / F.log(F.lit(100.0 / percent * 1.0001))).cast("int") + k for k in (0, 1)])))
+    larger = named(wide.withColumn("class", size_class), "y", *names, "class").withColumnRenamed("class_y", "class")
+    once = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("node_x") < F.col("node_y")))
+    pairs = smaller.join(larger, ["token", "class"]).where(once & (F.col("component_x") != F.col("component_y")) & passes("x", "y", percent) & suffix("x", "y", percent))
+    return pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+
+
+@tidy
 def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each document."""
-    texts = few_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where(F.col("doc_id").isNotNull())
-    made = stored(profiles(texts, n))
-    sketch = sketch_of(made)
-    rows = made.where(F.col("slice").isNull()).drop("slice", "counts")
-    filled = rows.where(F.col("n_shingles") > 0)
-    sets = filled.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep"))
-    sets = stored(sets)
-    reps = filled.join(sets.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"])
-    reps = stored(reps.select("doc_id", "n_shingles", "bits"))
-    unique = having_keys(texts, reps.select("doc_id"), "doc_id")
-
-    # a shingle of one member can't link
-    near = W.partitionBy("token").orderBy("doc_id")
-    tokens = prefixes(unique, sketch, n, percent).withColumn("before", F.lag("doc_id").over(near)).withColumn("after", F.lead("doc_id").over(near))
-    tokens = stored(tokens.where(F.coalesce("before", "after").isNotNull()).drop("before", "after"))
-    links = linked(star(tokens, percent), reps, texts, n, percent)
-    merged = components(links)
-    rest, left = between(tokens, merged)
-    done, before, rounds = [tokens, rest], None, 0
-    narrow, wide = rest.where(F.col("members") <= NARROW), rest.where(F.col("members") > NARROW)
-    while left > EXHAUSTIVE_PAIRS and (before is None or left <= 0.8 * before):
-        before, rounds = left, rounds + 1
-        links = links.union(linked(hubs(wide, reps, percent, rounds), reps, texts, n, percent))
-        merged = components(links)
-        wide, left = between(wide.select("token", "doc_id", "size", "pos"), merged)
-        done.append(wide)
-    # few pairs of a narrow token pass without signatures; their components may be older ones, which only adds pairs
-    last = crossed(narrow, narrow, percent).union(crossed(wide, wide, percent, reps)).distinct()
-    found = linked(last, reps, texts, n, percent)
-    if not found.isEmpty():
-        merged = components(links.union(found))
-    dropped(*done)
-
-    whole = sets.join(merged.withColumnRenamed("id", "rep"), "rep", "left").select("n_shingles", "set_a", "set_b", F.coalesce("component", "rep").alias("component_id"))
-    out = rows.join(whole, ["n_shingles", "set_a", "set_b"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    texts = few_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(max((size // BUCKET_BYTES).bit_length(), BUCKETS[0]), BUCKETS[1])
+    rows = stored(assembled(counted(sent(texts, n, bits)), percent))
+    filled = rows.where(F.col("members").isNotNull())
+    seats = stored(filled.groupBy("node").agg(F.min("seat").alias("seat")).select("seat"))
+    reps = stored(having_keys(filled.select("node", "seat", F.col("n_shingles").cast("int").alias("size"), "shared", "prefix", "bits"), seats, "seat"))
+
+    tokens = reps.select("node", "size", "shared", F.posexplode("prefix").alias("nth", "token")).select("token", "node", "size", (F.col("size") - F.col("shared") + F.col("nth")).alias("pos"))
+    several = tokens.groupBy("token").agg(F.count("*").alias("count"), F.min(F.struct("node", "size", "pos")).alias("first")).where("count > 1").drop("count")
+    tokens = stored(tokens.join(several, "token"))
+    sets = Sets(reps.drop("prefix"), rows, percent)
+    sets.verify(star(tokens, percent))
+    rest = between(tokens, merged := sets.merged())
+    if sets.verify(hubs(rest, percent)):
+        rest = between(rest, merged := sets.merged())
+    if sets.verify(crossed(rest, reps, percent)):
+        merged = sets.merged()
+
+    lows = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = lows.groupBy("component").agg(F.min("low").alias("component_id"))
+    named_ = lows.join(least, "component").select("node", "component_id")
+    out = rows.select("doc_id", "n_shingles", "node").join(named_, "node", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

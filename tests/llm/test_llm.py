@@ -233,10 +233,18 @@ def near_copies(seed=9):
     return out
 
 
-@pytest.mark.parametrize("exhaustive", [ngram_join.EXHAUSTIVE_PAIRS, 0])
-def test_ngram_join(spark, monkeypatch, exhaustive):
-    monkeypatch.setattr(ngram_join, "EXHAUSTIVE_PAIRS", exhaustive)
-    texts = [None, "", "  ", "A b", "a B", *near_copies()]
+def shared_passages(seed=2):
+    """Texts put together from few passages, most of them unlike each other."""
+    rng = random.Random(seed)
+    passages = [" ".join(f"p{rng.randrange(500)}" for _ in range(12)) for _ in range(6)]
+    return [" ".join(rng.sample(passages, rng.randint(1, 5))) for _ in range(60)]
+
+
+def test_ngram_join(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    monkeypatch.setattr(ngram_join, "BATCH_ROWS", 90)
+    monkeypatch.setattr(ngram_join, "OFTEN", 2)
+    texts = [None, "", "  ", "A b", "a B", *near_copies(), *shared_passages(), "long " * 30000, " ".join(f"l{i}" for i in range(20000)), " ".join(f"l{i}" for i in range(19000))]
     sets = []
     for t in texts:
         w = words_of(t)
