@@ -10,8 +10,9 @@ none without words).  Documents link when the Jaccard similarity is at least ``p
    ones links with nothing and is done.
 3. Rare-first order: frequency, then hash.  Shingles of one document come first and match nothing; what is
    left of the prefix (the shingles of which similar sets must share one) joins the sets.
-4. Within a shingle every member pairs with the first, then those outside the shingle's largest component with
-   a few members of it, then all members that still lie in different components, by neighbouring size classes.
+4. Within a shingle every member pairs with the one edited least, then those outside the shingle's largest
+   component with a few such members of it, then all that still lie in different components, by neighbouring
+   size classes.
    Length, positional and suffix filters prune pairs inside the joins; each pair is verified once, on the
    shared shingles of both sets.  Links merge into components by joins, so none between components is lost.
 
@@ -224,10 +225,10 @@ def needed(size_a: Column, size_b: Column, percent: int) -> Column:
 
 
 def passes(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter on two rows of one shingle (columns size_x and pos_x)."""
+    """Length and positional filter on two rows of one shingle (columns size_x and pos_x), met if it is the first that two linked sets share."""
     sa, sb, pa_, pb = (F.col(f"{k}_{x}") for k in ("size", "pos") for x in (a, b))
     length = F.least(sa, sb).cast("long") * 100 >= F.greatest(sa, sb).cast("long") * percent
-    return length & (F.least(pa_, pb) + F.least(sa - pa_, sb - pb) >= needed(sa, sb, percent))
+    return length & (F.least(sa - pa_, sb - pb) >= needed(sa, sb, percent))
 
 
 def suffix(a: str, b: str, percent: int) -> Column:
@@ -307,24 +308,24 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def star(tokens: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): within each token, every member with the first."""
+    """Pairs (a, b): within each token, every member with the one of fewest shingles of its own, which in a group of near copies is edited least."""
     sides = tokens.select(*[F.col(c).alias(f"{c}_x") for c in ("node", "size", "pos")], *[F.col(f"first.{c}").alias(f"{c}_y") for c in ("node", "size", "pos")])
     return sides.where((F.col("node_x") != F.col("node_y")) & passes("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
 
 def between(tokens: DataFrame, merged: DataFrame) -> DataFrame:
     """The rows of tokens whose members lie in several components, with these and each token's largest."""
-    known = tokens.select("token", "node", "size", "pos").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = tokens.select("token", "node", "size", "pos", "single").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = known.groupBy("token", "component").agg(F.count("*").alias("k")).groupBy("token")
     mixed = sizes.agg(F.count("*").alias("parts"), F.max(F.struct("k", "component"))["component"].alias("largest")).where("parts > 1").drop("parts")
     return stored(known.join(mixed, "token"))
 
 
 def hubs(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one."""
-    one = lambda k: F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node", "size", "pos"))
-    inside = rest.where("component = largest").groupBy("token").agg(F.array_distinct(F.array(*[one(k) for k in range(HUBS)]).cast("array<struct<by:long,node:long,size:int,pos:int>>")).alias("hub"))
-    inside = inside.select("token", F.explode("hub").alias("hub")).select("token", "hub.node", "hub.size", "hub.pos").distinct()
+    """Pairs (a, b): within each token, every member outside its largest component with HUBS members of that one, again those edited least."""
+    least = lambda k: F.min(F.when(F.pmod(F.xxhash64("node"), F.lit(HUBS)) == k, F.struct("single", "node", "size", "pos")))
+    inside = rest.where("component = largest").groupBy("token").agg(F.array(*[least(k) for k in range(HUBS)]).alias("hub"))
+    inside = inside.select("token", F.explode("hub").alias("hub")).where("hub IS NOT NULL").select("token", "hub.node", "hub.size", "hub.pos")
     pairs = named(inside, "x", "node", "size", "pos").join(named(rest.where("component <> largest"), "y", "node", "size", "pos"), "token")
     return pairs.where(passes("x", "y", percent)).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
 
@@ -334,7 +335,8 @@ def crossed(rest: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     names = ["node", "size", "pos", "component", "shared", "bits"]
     wide = rest.join(reps.select("node", "shared", "bits"), "node")
     size_class = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent * 1.0001))).cast("int")
-    smaller = named(wide, "x", *names).withColumn("class", F.explode(F.array(*[F.floor(F.log(F.col("size_x").cast("double")) / F.log(F.lit(100.0 / percent * 1.0001))).cast("int") + k for k in (0, 1)])))
+    early = F.col("size") - F.col("pos") >= needed(F.col("size"), F.col("size"), percent)  # no partner of a smaller set needs less
+    smaller = named(wide.where(early), "x", *names).withColumn("class", F.explode(F.array(*[F.floor(F.log(F.col("size_x").cast("double")) / F.log(F.lit(100.0 / percent * 1.0001))).cast("int") + k for k in (0, 1)])))
     larger = named(wide.withColumn("class", size_class), "y", *names, "class").withColumnRenamed("class_y", "class")
     once = (F.col("size_x") < F.col("size_y")) | ((F.col("size_x") == F.col("size_y")) & (F.col("node_x") < F.col("node_y")))
     pairs = smaller.join(larger, ["token", "class"]).where(once & (F.col("component_x") != F.col("component_y")) & passes("x", "y", percent) & suffix("x", "y", percent))
@@ -352,8 +354,8 @@ def join(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", n: int
     seats = stored(filled.groupBy("node").agg(F.min("seat").alias("seat")).select("seat"))
     reps = stored(having_keys(filled.select("node", "seat", F.col("n_shingles").cast("int").alias("size"), "shared", "prefix", "bits"), seats, "seat"))
 
-    tokens = reps.select("node", "size", "shared", F.posexplode("prefix").alias("nth", "token")).select("token", "node", "size", (F.col("size") - F.col("shared") + F.col("nth")).alias("pos"))
-    several = tokens.groupBy("token").agg(F.count("*").alias("count"), F.min(F.struct("node", "size", "pos")).alias("first")).where("count > 1").drop("count")
+    tokens = reps.select("node", "size", (F.col("size") - F.col("shared")).alias("single"), F.posexplode("prefix").alias("nth", "token")).withColumn("pos", F.col("single") + F.col("nth")).drop("nth")
+    several = tokens.groupBy("token").agg(F.count("*").alias("count"), F.min(F.struct("single", "node", "size", "pos")).alias("first")).where("count > 1").drop("count")
     tokens = stored(tokens.join(several, "token"))
     sets = Sets(reps.drop("prefix"), rows, percent)
     sets.verify(star(tokens, percent))
