@@ -45,7 +45,7 @@ from hearth.llm.scratch import dropped, having_keys, stored, tidy
 from hearth.llm.textbatch import Chunk, chunks, column, few_rows, mix, row_of, words
 
 #: Bytes of text that a task combines before it sends, and rows (a document's place has 16 bits; the last one marks counts).
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = (1 << 16) - 1
 #: A shingle of more documents of one batch travels as one entry with a count.
 OFTEN = 8
