@@ -11,14 +11,17 @@
 4. Within its class each piece gets a rank (counts of small groups, summed up, plus the place within the
    group) and so a place in one copy of one pattern.
 
-Defined results: a null or empty text is its end id alone; repeated rows are packed as often as they occur;
-without documents there are no pieces.
+Defined results: a null or empty text is its end id alone; repeated rows are packed as often as they occur, and
+so are rows without an id; without documents there are no pieces; input columns named like one of the result's
+are left out.  Ties within a class go by the kept columns and the piece's start.  A text's ids are held in memory
+by one task, however long it is; its pieces spread.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,63 +32,84 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from tokenizers import Tokenizer
 
-from hearth.llm.scratch import stored
-from hearth.llm.textbatch import chunks, column, few_rows, ragged
+from hearth.llm.scratch import stored, tidy
+from hearth.llm.textbatch import Chunk, chunks, column, few_rows, ragged, row_of, words
 
 LENGTH = 4096
 GRAIN = 16
 CACHE_WORDS = 600_000
+NONE = np.uint32(0xFFFFFFFF)
+OUT = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-class Words(dict):
-    """Ids of white-space separated words (ASCII in lower case), encoded by the tokenizers library when first asked for.
+class Words:
+    """Ids of white-space separated words (ASCII in lower case), encoded by the tokenizers library when first met.
 
-    Words are independent of each other for a tokenizer that drops white space and case.
+    Words are independent of each other for a tokenizer that drops white space and case.  They are known by
+    64-bit hashes (see ``textbatch`` for collisions).  Texts that hold a control string of the tokenizer in any
+    case are left to the library as wholes, since such strings match before case is dropped.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.control = [t.content.encode().lower() for t in added.values()]
+        self.mark, self.between = next(((i, t.content) for i, t in added.items() if t.special and not t.normalized), (None, ""))
         self.clear()
 
     def clear(self) -> None:
-        super().clear()
-        self.flat, self.at, self.new = np.zeros(0, np.uint32), np.zeros(1, np.int64), []
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self)
-        self.new.append(word)
-        return n
-
-    def learn(self) -> None:
-        """Encodes new words, many at once with a special token between them."""
-        new, self.new = [w.decode() for w in self.new], []
-        mark, text = next(((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized), (None, None))
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        odd = [mark is None or ("<" in w and any(t in w for t in special)) for w in new]
-        plain = [w for w, o in zip(new, odd, strict=True) if not o]
-        runs = [(text or "").join(plain[i : i + 500]) for i in range(0, len(plain), 500)]
-        flat = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(runs, add_special_tokens=False)]
-        ids = np.concatenate([x for f in flat for x in (f, [mark or 0])]).astype(np.uint32) if flat else np.zeros(0, np.uint32)
-        ends = np.flatnonzero(ids == mark) - np.arange(len(plain))
-        ids = ids[ids != mark]
-        if any(odd):
-            parts = iter(np.split(ids, ends[:-1]))
-            got = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32) if o else next(parts) for w, o in zip(new, odd, strict=True)]
-            ids, ends = np.concatenate(got), np.cumsum([len(g) for g in got])
+        """names: sorted hashes; place: which of the encoded words each is; flat and at: their ids."""
+        self.names, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self, names: np.ndarray, words: list[str]) -> None:
+        """Encodes new words (names ascending), many at once with a special token between them."""
+        step = 500 if self.mark is not None else 1
+        runs = [self.between.join(words[i : i + step]) for i in range(0, len(words), step)]
+        ids = np.concatenate([np.array(x, np.uint32) for e in self.tokenizer.encode_batch(runs, add_special_tokens=False) for x in (e.ids, [NONE])])
+        ends = np.flatnonzero((ids == NONE) | (ids == self.mark if self.mark is not None else False)) - np.arange(len(words))
+        ids = ids[(ids != NONE) & (ids != self.mark if self.mark is not None else True)]
+        to = np.searchsorted(self.names, names)
+        self.names, self.place = np.insert(self.names, to, names), np.insert(self.place, to, len(self.at) - 1 + np.arange(len(words)))
         self.flat, self.at = np.concatenate([self.flat, ids]), np.concatenate([self.at, self.at[-1] + ends])
 
-    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, each with the end id, and the first of each (one more than texts)."""
-        if len(self) > CACHE_WORDS:
+    def controlled(self, chunk: Chunk) -> np.ndarray:
+        """Rows that hold a control string in any case."""
+        raw = chunk.data.tobytes().lower()
+        hits = [m.start() for c in self.control if c in raw for m in re.finditer(re.escape(c), raw)]
+        return np.unique(np.searchsorted(chunk.offsets, np.array(hits, np.int64), side="right") - 1)
+
+    def encode(self, chunk: Chunk, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows end to end, each with the end id, and the first of each (one more than rows)."""
+        if len(self.names) > CACHE_WORDS:
             self.clear()
-        split = [t.encode().lower().split() for t in texts]
-        rows = np.fromiter((self[w] for s in split for w in s), np.int64, sum(map(len, split)))
-        if self.new:
-            self.learn()
+        w, whole = words(chunk), self.controlled(chunk)
+        count = np.diff(w.first)
+        name = w.hash
+        if len(whole):
+            count[whole] = 0
+            name = name[~np.isin(row_of(w.first), whole)]
+        order = np.argsort(name)
+        fresh = np.flatnonzero(np.append(True, name[order[1:]] != name[order[:-1]])) if len(name) else order
+        unique = name[order[fresh]]
+        at = np.searchsorted(self.names, unique)
+        new = self.names[np.minimum(at, len(self.names) - 1)] != unique if len(self.names) else np.ones(len(unique), bool)
+        if new.any():
+            start, stop = (x[~np.isin(row_of(w.first), whole)] if len(whole) else x for x in (w.start, w.end))
+            shown = order[fresh[new]]
+            self.learn(unique[new], [chunk.data[a:z].tobytes().lower().decode() for a, z in zip(start[shown].tolist(), stop[shown].tolist(), strict=True)])
+            at = np.searchsorted(self.names, unique)
+        rows = np.empty(len(name), np.int64)
+        rows[order] = np.repeat(self.place[at], np.diff(np.append(fresh, len(name))))
         ids, size = ragged(self.flat, self.at, rows)
-        cut = np.append(0, np.cumsum(size))[np.cumsum([0, *map(len, split)])]
+        cut = np.append(0, np.cumsum(size))[np.append(0, np.cumsum(count))]
+        if len(whole):
+            parts = np.split(ids, cut[1:-1])
+            for r in whole.tolist():
+                parts[r] = np.array(self.tokenizer.encode(chunk.data[chunk.offsets[r] : chunk.offsets[r + 1]].tobytes().decode(), add_special_tokens=False).ids, np.uint32)
+            ids, cut = np.concatenate(parts), np.append(0, np.cumsum([len(x) for x in parts]))
         return np.insert(ids, cut[1:], end), cut + np.arange(len(cut))
 
 
@@ -104,7 +128,7 @@ def pieces(docs: DataFrame, path: str, end: int, length: int, text_col: str, kee
         for b in batches:
             col = column(b, text_col)
             for c in chunks(col, 1 << 19):
-                ids, first = v.encode([t or "" for t in col.slice(c.lo, c.hi - c.lo).to_pylist()], end)
+                ids, first = v.encode(c, end)
                 row, start, size, crc, total = [], [], [], [], []
                 raw = ids.astype("<u4").tobytes()
                 for r, (a, z) in enumerate(zip(first.tolist(), first[1:].tolist(), strict=False)):
@@ -209,13 +233,14 @@ def places(units: np.ndarray, patterns: np.ndarray, copies: np.ndarray) -> dict[
     return out
 
 
+@tidy
 def pack(docs: DataFrame, path: str, end: int = 2, length: int = LENGTH, text_col: str = "text", keep: list[str] | None = None, order: str | None = None) -> DataFrame:
     """keep (or all columns but the text), start, length, ids_crc32, doc_tokens, sequence_id and offset of each piece.
 
     order: a column by which pieces of one class are ranked within their group.
     """
-    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    order = order or keep[0]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text_col if keep is None else "", *OUT)]
+    order = order or (keep[0] if keep else text_col)
     named = few_rows(docs).select(*[F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)], F.col(f"`{order}`").alias("rank_by"), F.col(f"`{text_col}`").alias("text"))
     own = [*(f"kept{i}" for i in range(len(keep))), "rank_by"]
     grain = max(1, min(GRAIN, length // 4))

@@ -267,8 +267,10 @@ def test_packing(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     theirs = Tokenizer.from_file(path)
     theirs.no_truncation()
-    texts = [None, *ODD, "word " * 9000, *random_texts(200)]
-    rows = packing.pack(docs(spark, texts, length=7), path, keep=["doc_id"]).collect()
+    rng = random.Random(6)
+    control = ["".join(rng.choice(["<|", "|>", "EndOfText", "endoftext", "<|startoftext|>", "<|StartOfText|>", "<|ENDOFTEXT|>", "a", " ", "é", "X"]) for _ in range(rng.randint(1, 9))) for _ in range(150)]
+    texts = [None, *ODD, "<|ENDOFTEXT|>", "a <|EndOfText|> b<|endoftext|>c", *control, "word " * 9000, *random_texts(200)]
+    rows = packing.pack(docs(spark, texts, length=7, start=1), path, keep=["doc_id", "start"]).collect()
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
