@@ -192,6 +192,31 @@ def test_top_k(spark):
             want[q, rank] = (j, int(s[j]))
     assert got == want
     assert topk.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+    # exact integers of any size; an id's smallest vector counts; rows without id take no part
+    huge = [(0, [3e9, 1.0]), (0, [3e9, 1.0]), (0, [4e9, 1.0]), (1, [1e18, 1.0]), (2, [2e18, 1.0]), (3, [-1e18, 0.0]), (4, [-5e15, 0.0]), (5, [3e9, 2.0]), (6, [3e9, 2.0]), (None, [9e9, 9.0])]
+    got = topk.search(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=9).orderBy("rank").collect()
+    top = (1 << 63) - 1
+    assert [(r.vec_id, r.score) for r in got] == [(1, top), (2, top), (5, top), (6, top), (4, -top - 1), (3, -top - 1)]
+
+
+def test_bounds_prune(spark):
+    rng = np.random.default_rng(4)
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    given = topk.quantised(rows, "vec_id", "embedding", 256)
+    basis = topk.basis_of(given)[64]
+    assert np.allclose(basis @ basis.T, np.eye(64))
+    flat = rng.normal(0, 60, (3000, 64)).astype(int)
+    narrow = (rng.normal(0, 60, (3000, 6)) @ rng.normal(0, 1, (6, 64))).astype(int)
+    real = np.array([r.v for r in given.collect()] * 4)
+    for x, most in ((narrow, 0.05), (flat, 0.95), (real, 0.9)):
+        own = np.linalg.eigh(x.T.astype(float) @ x)[1][:, ::-1]
+        ids, tally = np.arange(len(x)), []
+        row, found, score = topk.best_of(ids[::50], x[::50], ids, x, 5, own, tally)
+        assert sum(tally[3::2]) < most * sum(tally[2::2])  # after the first block, which sets the floor
+        for i, q in enumerate(ids[::50]):
+            s = x @ x[q]
+            want = sorted((j for j in ids if j != q), key=lambda j: (-s[j], j))[:5]
+            assert found[row == i].tolist() == want and [int(t) for t in score[row == i]] == s[want].tolist()
 
 
 def token(prefix="ghp_", body="A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"):
