@@ -34,6 +34,7 @@ SPEC_COLUMNS = [
     ("superficie total", "m2_total"), ("superficie util", "m2_util"), ("superficie construida", "m2_util"), ("dormitorios", "dormitorios"), ("banos", "banos"),
     ("estacionamientos", "estacionamientos"), ("bodegas", "bodegas"), ("antiguedad", "antiguedad_anos"), ("gastos comunes", "gastos_comunes_clp"),
 ]
+#: Columns of whole numbers, the bounds of sane values, and the length below which a page is no listing (fixed values).
 WHOLE = {"dormitorios", "banos", "estacionamientos", "bodegas", "antiguedad_anos"}
 LIMITS = {"lat": (-33.70, -33.40), "lon": (-70.70, -70.45), "m2": (10.0, 2000.0), "venta": (200.0, 100_000.0), "arriendo": (80_000.0, 10_000_000.0)}
 LEAST_LENGTH = 50_000
@@ -62,6 +63,11 @@ def canonical_url(df: DataFrame, url_col: str = "url") -> DataFrame:
     return made.withColumns({"canonical": F.when(ok, F.concat(F.lit("https://"), "dominio", "path_")), "id_aviso": F.when(ok, F.col("id_aviso")), "sitio": F.when(ok, F.col("sitio"))}).drop("full_", "path_", "query_")
 
 
+def shortened(c: Column, most: int = 2000) -> Column:
+    """The beginning of a description, as bulk listings keep it."""
+    return F.substring(c, 1, most)
+
+
 def json_ld(html: Column) -> Column:
     """All blocks of linked data that are JSON, in order."""
     return F.filter(F.transform(F.regexp_extract_all(html, F.lit(LD_JSON), F.lit(1)), lambda b: F.try_parse_json(b)), lambda v: v.isNotNull())

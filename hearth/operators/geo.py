@@ -158,6 +158,13 @@ def distance_quartiles(near: DataFrame) -> DataFrame:
     return rows.select("categoria", "n", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))], "max_m")
 
 
+def coverage(points: DataFrame, near: DataFrame) -> DataFrame:
+    """(categoria, n, pct): points with a known nearest place of each category, and their percent of all points."""
+    all_ = points.agg(F.count("*").alias("all_"))
+    found = near.groupBy("categoria").agg(F.count("*").alias("n")).crossJoin(F.broadcast(all_))
+    return found.select("categoria", "n", F.round(100 * F.col("n") / F.col("all_"), 6).alias("pct"))
+
+
 def top_reviewed(catalogue: DataFrame, k: int = 3) -> DataFrame:
     w = W.partitionBy("categoria").orderBy(F.desc("resenas"), "nombre", "lat", "lon")
     return catalogue.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

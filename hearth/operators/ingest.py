@@ -36,6 +36,11 @@ def merge_partial(base: DataFrame, batch: DataFrame, fields: list[str], keys: li
     return joined.select(*[pick(c).alias(c) if c in fields else F.col(c) for c in base.columns])
 
 
+def update_detail(base: DataFrame, detail: DataFrame, fields: list[str], keys: list[str] = KEY) -> DataFrame:
+    """base with what details (unique keys) give, never a null, and detalle_ok = 1 where there is one; unknown keys add nothing."""
+    return merge_partial(base, detail.withColumn("detalle_ok", F.lit(1)), [*fields, "detalle_ok"], keys, insert=False)
+
+
 def upsert_latest(base: DataFrame, batch: DataFrame, order: list[str], keys: list[str] = KEY) -> DataFrame:
     """All rows of both, one for each key: the one that is last by order."""
     every = base.unionByName(batch, allowMissingColumns=True)

@@ -126,3 +126,14 @@ def params_agreement(a: DataFrame, b: DataFrame, cols: list[str]) -> DataFrame:
     """(column, equal) of two one-row tables of model parameters."""
     both = a.select(*[F.col(c).alias(f"a_{c}") for c in cols]).crossJoin(b.select(*[F.col(c).alias(f"b_{c}") for c in cols]))
     return both.select(*[F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")).alias(c) for c in cols]).unpivot([], cols, "column", "equal")
+
+
+def outside(df: DataFrame, point: str = "pred", lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """(n, n_outside): rows, and those whose estimate its own range does not hold."""
+    return df.agg(F.count("*").alias("n"), F.count_if(~F.coalesce(F.col(point).between(F.col(lo), F.col(hi)), F.lit(False))).alias("n_outside"))
+
+
+def enriched(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
+    """(n_before, n_after, pct): rows before and after an enrichment, and the percent that hold its column."""
+    share = F.round(100 * F.avg(F.col(column).isNotNull().cast("double")), 6)
+    return before.agg(F.count("*").alias("n_before")).crossJoin(after.agg(F.count("*").alias("n_after"), share.alias("pct")))
