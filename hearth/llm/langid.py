@@ -25,8 +25,8 @@ from hearth.llm.textbatch import chunks, column, few_rows
 
 ORDERS = (2, 3)
 BITS = 16
-#: Languages times buckets; with more languages the buckets get fewer.
-MATRIX_CELLS = 1 << 22
+#: So many languages at most, which bounds the broadcast matrix; more are an error, not a worse model.
+MOST_LANGUAGES = 256
 
 
 class Model(NamedTuple):
@@ -69,10 +69,10 @@ def text_runs(col: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, list[s
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = BITS) -> Model:
     """Learns from every row whose language is not null."""
     known = few_rows(docs).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull())
-    priors = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    priors = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
+    if len(priors) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(priors)
-    while bits > 4 and len(languages) << bits > MATRIX_CELLS:
-        bits -= 1
     index = {x: i for i, x in enumerate(languages)}
     slots = max(1, len(languages))
 

@@ -47,7 +47,7 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = media.store(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    frames = F.transform("keyframes", lambda k: F.concat_ws("-", k["start"], k["end"]))
+    frames = F.transform("keyframes", lambda k: F.concat_ws("-", k["start"], k["end"], k["shown"]))
     feature = F.concat_ws("|", "codec", "timescale", "duration", "n_samples", F.md5(F.array_join(frames, ",")))
     probed = media.probe(stored, keep=["doc_id", "n_bytes"], digests=True)
     return probed.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", feature.alias("feature"))

@@ -177,6 +177,78 @@ def test_media(spark):
     assert b"moov/trak/mdia/minf/stbl/stsz" in paths and paths[-1] == b"mdat"
 
 
+def test_tables_and_fragments():
+    be = lambda *x: np.array(x, ">u4").tobytes()
+    full, box = media.full, media.box
+
+    def trak(number, *tables):
+        return box(b"trak", full(b"tkhd", be(0, 0, number, 0, 0)), box(b"mdia", full(b"mdhd", be(0, 0, 1000, 0)), box(b"minf", box(b"stbl", full(b"stsd", be(1), be(16), b"avc1", be(0)), *tables))))
+
+    def file(at, start):
+        one = [full(b"stts", be(2, 2, 10, 1, 5)), bytes.fromhex("00000018") + b"ctts" + b"\1\0\0\0" + be(1, 3, 0xFFFFFFFE), full(b"stsc", be(1, 1, 2, 1)), full(b"stz2", be(4, 3) + b"\x34\x50"), full(b"stco", be(2, at, at + 100)), full(b"stss", be(2, 1, 3))]
+        two = [full(b"stts", be(0)), full(b"stsc", be(0)), full(b"stsz", be(0, 0)), full(b"stco", be(0))]
+        moov = box(b"moov", trak(1, *one), trak(2, *two), trak(3, full(b"stts", be(9))), box(b"mvex", full(b"trex", be(2, 1, 7, 4, 0x10000))))
+        run = full(b"trun", be(3, start, 0, 9, 0x10000, 4, 0x10000, 6, 0), flags=0x605)
+        moof = box(b"moof", box(b"traf", full(b"tfhd", be(2)), full(b"tfdt", be(50)), run))
+        return moov + moof, len(moov)
+
+    head, moof_at = file(0, 0)
+    body = len(head) + 8
+    data = file(body, body - moof_at)[0] + box(b"mdat", bytes(200))
+    first, second = media.read_tracks(data)
+    assert (first.codec, first.duration, first.size.tolist(), first.offset.tolist()) == ("avc1", 25, [3, 4, 5], [body, body + 3, body + 100])
+    assert (first.time.tolist(), first.shift.tolist(), first.key.tolist()) == ([0, 10, 20], [-2] * 3, [0, 2])
+    assert (second.time.tolist(), second.duration, second.size.tolist(), second.offset.tolist(), second.key.tolist()) == ([50, 57, 64], 21, [9, 4, 6], [body, body + 9, body + 13], [0, 2])
+    assert len(media.read_tracks(file(len(data), body - moof_at)[0] + box(b"mdat", bytes(200)))) == 1  # samples beyond the data
+    for cut in range(0, len(data), 7):
+        media.read_tracks(data[:cut])
+
+
+def test_empty_repeated_and_long(spark):
+    long = "word " * 60000 + "x" * 200000
+    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (None, "a b c", "en", "s", 5), (2, long, "en", "s", 5), (3, None, None, None, None), (4, "", None, "s", 0)]
+    df = spark.createDataFrame(rows, DOCS)
+    bpe_path, word_path = (public_tokenizers.path(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
+    runs = {
+        "bpe": lambda d: bpe.decode(bpe.encode(d, bpe_path, keep=["doc_id", "text"]), bpe_path, keep=["doc_id", "text"]).withColumn("same", F.coalesce("text", F.lit("")) == F.col("decoded")),
+        "media": lambda d: media.probe(media.store(d, keep=["doc_id", "text"]), keep=["doc_id", "text"], digests=True),
+        "secrets": lambda d: secret_scan.redact(d),
+        "language": lambda d: langid.predict(d, langid.fit(d)),
+        "hmm": lambda d: hmm.train_and_score(d, F.lit(True), states=2, iterations=1),
+        "join": lambda d: ngram_join.join(d),
+        "licenses": lambda d: licenses.scan(d.withColumn("path", F.concat(F.lit("a/"), "doc_id")), "doc_id"),
+        "packing": lambda d: packing.pack(d, word_path, keep=["doc_id"]).where("start = 0"),
+    }
+    for name, run in runs.items():
+        assert run(df.limit(0)).count() == 0, name
+        assert run(df).count() == len(rows), name
+    assert runs["bpe"](df).where("same").count() == len(rows)
+    same = [tuple(r) for r in ngram_join.join(df).where("doc_id IS NULL OR doc_id = 1").collect()]
+    assert sorted(same, key=str) == [(1, 1, 1), (1, 1, 1), (None, 1, 1)]
+    scores = {r.score for r in runs["hmm"](df).where("doc_id = 1 OR doc_id IS NULL").collect()}
+    assert len(scores) == 1
+
+
+def test_language_is_bayes(spark):
+    """Against naive Bayes counted with dictionaries over the same buckets."""
+    rng = random.Random(7)
+    texts = [(x, rng.choice(["aa", "bb", "cc"])) for x in random_texts(60, 5)]
+    rows = [(i, t, lang, "s", 0) for i, (t, lang) in enumerate(texts)]
+    df = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(df, bits=8)
+    grams = lambda t: [int(g) for o in langid.ORDERS for g in langid.grams(langid.code_points([t])[0], o, 8)]
+    counts, prior = {k: np.ones(256) for k in ("aa", "bb", "cc")}, {k: 0 for k in ("aa", "bb", "cc")}
+    for t, lang in texts:
+        prior[lang] += 1
+        for g in grams(t):
+            counts[lang][g] += 1
+    for r in langid.predict(df, model).collect():
+        fit = {k: np.log(prior[k] / len(texts)) + sum(np.log(counts[k][g] / counts[k].sum()) for g in grams(r.text)) for k in counts}
+        best = max(sorted(fit), key=lambda k: fit[k])
+        if r.lang_pred != "und":
+            assert r.lang_pred == best and r.score == pytest.approx(1 / sum(np.exp(v - fit[best]) for v in fit.values()))
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     vectors = rng.normal(0, 0.2, (300, 24)).astype("float32")
