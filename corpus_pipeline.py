@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.order import dense_index
 from hearth.llm import langid, ngram_join, packing, secret_scan
-from hearth.llm.scratch import having_keys, stored
+from hearth.llm.scratch import having_keys, stored, tidy
 from hearth.llm.textbatch import table
 
 #: No text of fewer letters than a word, and none whose best language is less likely than all others together.
@@ -16,7 +16,10 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that can be told; those without a letter, or in doubt, go. Without any label nothing is learnt and all stay."""
+    """Keeps documents in a language that can be told; those without a letter, or in doubt, go. Without any label nothing is learnt and all stay.
+
+    Null and empty texts have no letter. Repeated rows and rows without an id are judged like the others; an empty table stays empty.
+    """
     model = langid.fit(docs)
     if not model.languages:
         return docs
@@ -24,6 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
+@tidy
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest id of each group of near copies; rows without an id stay.
 
@@ -45,12 +49,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps every document; secrets in its text are masked and n_chars follows."""
+    """Keeps every document, repeated rows and rows without an id too; secrets in its text are masked and n_chars follows. A null text stays null."""
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 4096 tokens; each id of each document lies in exactly one."""
+    """Pieces of sequences of at most 4096 tokens; each id of each document lies in exactly one. Null and empty texts are their end; repeated rows are packed as often as they occur; no documents give no pieces."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "lang", "source"])
 
 
@@ -60,6 +64,7 @@ STAGES = [("language", language), ("near_copies", near_copies), ("secrets", secr
 ORACLE_SQL = None
 
 
+@tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; what one keeps is written and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
