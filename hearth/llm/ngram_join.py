@@ -50,7 +50,7 @@ BATCH_ROWS = (1 << 16) - 1
 #: A shingle of more documents of one batch travels as one entry with a count.
 OFTEN = 8
 #: Bytes of text for each bucket, and the powers of two between which their number lies.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 BUCKETS = (6, 17)
 HUBS = 8
 #: Ranges of the suffix filter, in words of 64.
@@ -67,7 +67,7 @@ def shingles(chunk: Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.diff(w.first)
     h = np.zeros(max(0, len(w.hash) - n + 1), np.uint64)
     for k in range(n):
-        h = mix(h + w.hash[k : len(w.hash) - n + 1 + k])
+        h = mix(h + w.hash[k : k + len(h)])
     owner = row_of(w.first)[: len(h)]
     inside = np.arange(len(h)) + n <= w.first[owner + 1]
     h, owner = h[inside], owner[inside]
@@ -160,17 +160,19 @@ def counted(found: DataFrame) -> DataFrame:
         entries, rest = rows.filter(of_keys), rows.filter(pc.invert(of_keys))
         each = numbers(entries["keys"])
         key = joined(each)
-        weight = np.ones(len(key), np.int64)
+        weight = np.ones(len(key), np.uint32)
         weight[key & PLACE == PLACE] = joined(numbers(entries["counts"], np.uint32), np.uint32)
-        order = np.argsort(key >> np.uint64(16), kind="stable")
-        h = key[order] >> np.uint64(16)
-        start = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-        total = np.add.reduceat(weight[order], start) if len(h) else weight
-        frequency = np.empty(len(key), np.int64)
-        frequency[order] = np.repeat(total, np.diff(np.append(start, len(h))))
+        key >>= np.uint64(16)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        total = np.minimum(np.add.reduceat(weight[order], start, dtype=np.int64), 0xFFFF).astype(np.uint16) if len(key) else np.zeros(0, np.uint16)
+        frequency = np.empty(len(key), np.uint16)
+        frequency[order] = np.repeat(total, np.diff(np.append(start, len(key))))
+        del key, weight, order, start
         ends = np.cumsum([len(x) for x in each])[:-1]
-        shared = [(x[f > 1], f[f > 1]) for x, f in zip(each, np.split(frequency, ends), strict=True)] if each else []
-        made = [pa.array([planes(x) for x, _ in shared], pa.binary()), pa.array([planes(np.minimum(f, 0xFFFF).astype(np.uint16)) for _, f in shared], pa.binary())]
+        shared = [(planes(x[f > 1]), planes(f[f > 1])) for x, f in zip(each, np.split(frequency, ends), strict=True)] if each else []
+        made = [pa.array([x for x, _ in shared], pa.binary()), pa.array([f for _, f in shared], pa.binary())]
         for name, x in zip(("keys", "counts"), made, strict=True):
             entries = entries.set_column(entries.schema.get_field_index(name), name, pa.chunked_array([x]))
         return pa.concat_tables([entries, rest]).drop(["bucket"])

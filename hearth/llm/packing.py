@@ -37,7 +37,7 @@ from hearth.llm.textbatch import Chunk, chunks, column, few_rows, ragged, row_of
 
 LENGTH = 4096
 GRAIN = 16
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 400_000
 NONE = np.uint32(0xFFFFFFFF)
 OUT = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -127,7 +127,7 @@ def pieces(docs: DataFrame, path: str, end: int, length: int, text_col: str, kee
         v = vocabulary(path)
         for b in batches:
             col = column(b, text_col)
-            for c in chunks(col, 1 << 21):
+            for c in chunks(col, 1 << 20):
                 ids, first = v.encode(c, end)
                 row, start, size, crc, total = [], [], [], [], []
                 raw = ids.astype("<u4").tobytes()
