@@ -37,7 +37,7 @@ from hearth.llm.textbatch import Chunk, chunks, column, few_rows, ragged, row_of
 
 LENGTH = 4096
 GRAIN = 16
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 NONE = np.uint32(0xFFFFFFFF)
 OUT = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -60,10 +60,17 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        """names: sorted hashes; place: which of the encoded words each is; flat and at: their ids."""
-        self.names, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        """names: sorted hashes; hits: chunks that held each; place: which of the encoded words each is; flat and at: their ids."""
+        self.names, self.hits, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def forget(self) -> None:
+        """Keeps the half of the words that most chunks held; what is forgotten is encoded again when met."""
+        keep = np.sort(np.argpartition(-self.hits, CACHE_WORDS // 2)[: CACHE_WORDS // 2])
+        self.names, self.hits = self.names[keep], self.hits[keep] // 2
+        self.flat, size = ragged(self.flat, self.at, self.place[keep])
+        self.at, self.place = np.append(0, np.cumsum(size)), np.arange(len(keep))
+
     def learn(self, names: np.ndarray, words: list[str]) -> None:
         """Encodes new words (names ascending), many at once with a special token between them."""
         step = 500 if self.mark is not None else 1
@@ -72,7 +79,8 @@ class Words:
         ends = np.flatnonzero((ids == NONE) | (ids == self.mark if self.mark is not None else False)) - np.arange(len(words))
         ids = ids[(ids != NONE) & (ids != self.mark if self.mark is not None else True)]
         to = np.searchsorted(self.names, names)
-        self.names, self.place = np.insert(self.names, to, names), np.insert(self.place, to, len(self.at) - 1 + np.arange(len(words)))
+        self.names, self.hits = np.insert(self.names, to, names), np.insert(self.hits, to, 0)
+        self.place = np.insert(self.place, to, len(self.at) - 1 + np.arange(len(words)))
         self.flat, self.at = np.concatenate([self.flat, ids]), np.concatenate([self.at, self.at[-1] + ends])
 
     def controlled(self, chunk: Chunk) -> np.ndarray:
@@ -84,7 +92,7 @@ class Words:
     def encode(self, chunk: Chunk, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows end to end, each with the end id, and the first of each (one more than rows)."""
         if len(self.names) > CACHE_WORDS:
-            self.clear()
+            self.forget()
         w, whole = words(chunk), self.controlled(chunk)
         count = np.diff(w.first)
         name = w.hash
@@ -101,6 +109,7 @@ class Words:
             shown = order[fresh[new]]
             self.learn(unique[new], [chunk.data[a:z].tobytes().lower().decode() for a, z in zip(start[shown].tolist(), stop[shown].tolist(), strict=True)])
             at = np.searchsorted(self.names, unique)
+        self.hits[at] += 1
         rows = np.empty(len(name), np.int64)
         rows[order] = np.repeat(self.place[at], np.diff(np.append(fresh, len(name))))
         ids, size = ragged(self.flat, self.at, rows)

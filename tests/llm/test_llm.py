@@ -388,6 +388,15 @@ def test_packing(spark):
     assert packing.pack(docs(spark, []), path, keep=["doc_id"]).count() == 0
 
 
+def test_forgetting(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 40)
+    v = packing.Words(public_tokenizers.path("word_bpe_49k.json"))
+    for t in random_texts(60):
+        ids, _ = v.encode(next(textbatch.chunks(pa.array([t + " x"]))), 2)
+        assert ids.tolist() == [*v.tokenizer.encode(t + " x", add_special_tokens=False).ids, 2]
+    assert len(v.names) <= 40 + 61
+
+
 def test_column_generation():
     rng = np.random.default_rng(1)
     for scale in (1, 1000):
