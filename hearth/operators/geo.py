@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from hearth.sources.tables import shared_folder
+
 EARTH_M = 6_371_000.0
 #: Reviews that a place needs, and the place types of each dense group (fixed values).
 MIN_REVIEWS = {"metro": 0, "salud": 150, "comercio": 200, "universidad": 150}
@@ -85,6 +87,13 @@ def within(points: DataFrame, pois: DataFrame, reach: float) -> DataFrame:
     return pairs.where(F.col("d") <= reach)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataFrame:
     """Nearest place and number within the radius, for every point (point, lat, lon) and category.
 
@@ -93,15 +102,16 @@ def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataF
     """
     located = (F.col("lat") + F.col("lon")).isNotNull()
     p = pois.where(located).select("categoria", "nombre", F.col("lat").alias("plat"), F.col("lon").alias("plon")).persist()
-    left = points.where(located).select("point", "lat", "lon").crossJoin(F.broadcast(p.select("categoria").distinct())).persist()
+    left = points.where(located).select("point", "lat", "lon").crossJoin(F.broadcast(p.select("categoria").distinct()))
     made, reach = None, radius
     while True:
-        found = summary(within(left, p, reach), radius).persist()
+        left = written(left)  # else each round's plan holds those before twice
+        found = written(summary(within(left, p, reach), radius))
         made = found if made is None else made.unionByName(found)
         if reach > math.pi * EARTH_M:
             return made
         done = found.select(F.col("point").alias("p2"), F.col("categoria").alias("c2"))
-        left = left.join(done, F.col("point").eqNullSafe(F.col("p2")) & F.col("categoria").eqNullSafe(F.col("c2")), "left_anti").persist()
+        left = left.join(done, F.col("point").eqNullSafe(F.col("p2")) & F.col("categoria").eqNullSafe(F.col("c2")), "left_anti")
         if left.isEmpty():
             return made
         reach *= 4
