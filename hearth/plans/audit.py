@@ -12,7 +12,10 @@ from hearth.plans import listings as L
 from hearth.plans.queries import query
 from hearth.sources import tables
 
-KEY = F.col("id_aviso").cast("long")
+
+def KEY() -> Column:
+    return F.col("id_aviso").cast("long")
+
 
 # sources
 
@@ -67,7 +70,7 @@ def crawl_frontier(s, d):
 def detail_update(s, d):
     """Details replace what they give, never by null, and mark their listing as done; unknown ones add nothing."""
     base = L.typed(s, d).select("sitio", "id_aviso", "m2_util", "detalle_ok", "comuna")
-    detail = base.where(KEY % 3 == 0).select("sitio", "id_aviso", F.when(KEY % 6 != 0, F.col("m2_util") + 1).alias("m2_util"))
+    detail = base.where(KEY() % 3 == 0).select("sitio", "id_aviso", F.when(KEY() % 6 != 0, F.col("m2_util") + 1).alias("m2_util"))
     strangers = detail.withColumn("id_aviso", F.concat(F.lit("new"), "id_aviso"))
     return ingest.update_detail(base, detail.union(strangers), ["m2_util"])
 
@@ -85,7 +88,7 @@ def upsert_newer_and_older(s, d):
 def written_back(s, d):
     """A computed column by key; other rows keep what they hold."""
     rows = L.typed(s, d).select("sitio", "id_aviso", "m2_util", "m2_total")
-    computed = rows.where(KEY % 2 == 0).select("sitio", "id_aviso", (F.col("m2_util") * 2).alias("m2_total"))
+    computed = rows.where(KEY() % 2 == 0).select("sitio", "id_aviso", (F.col("m2_util") * 2).alias("m2_total"))
     return ingest.write_back(rows, computed, "m2_total", ["sitio", "id_aviso"]).select("sitio", "id_aviso", "m2_total")
 
 
@@ -157,10 +160,10 @@ def search_grid(s, d):
   CASE WHEN k % 7 <> 0 AND k % 3 = 0 THEN 450::DOUBLE END AS dist_parque_m, CASE WHEN k % 7 <> 0 THEN (k % 2)::DOUBLE END AS servicios_truncado, (k % 7 = 0)::INT::DOUBLE AS sin_servicios FROM k""")
 def service_features(s, d):
     """Services text with and without values, categories and the mark of cut answers."""
-    park = F.when(KEY % 3 == 0, ', "parque": {"mas_cercano_m": 450, "nombre": "P", "n_1km": 1}').otherwise("")
-    cut = F.when(KEY % 2 == 1, ', "_truncado": true}').otherwise("}")
-    body = F.concat(F.lit('{"metro": {"mas_cercano_m": '), (KEY % 2000).cast("string"), F.lit(', "nombre": "M", "n_1km": '), (KEY % 5).cast("string"), F.lit("}"), park, cut)
-    made = features.build_features(L.targets(s, d).withColumn("servicios_cercanos", F.when(KEY % 7 == 0, "SIN_DATO").otherwise(body)))
+    park = F.when(KEY() % 3 == 0, ', "parque": {"mas_cercano_m": 450, "nombre": "P", "n_1km": 1}').otherwise("")
+    cut = F.when(KEY() % 2 == 1, ', "_truncado": true}').otherwise("}")
+    body = F.concat(F.lit('{"metro": {"mas_cercano_m": '), (KEY() % 2000).cast("string"), F.lit(', "nombre": "M", "n_1km": '), (KEY() % 5).cast("string"), F.lit("}"), park, cut)
+    made = features.build_features(L.targets(s, d).withColumn("servicios_cercanos", F.when(KEY() % 7 == 0, "SIN_DATO").otherwise(body)))
     return made.select("id_aviso", "dist_metro_m", F.round("log_dist_metro", 6).alias("log_dist_metro"), "n_metro_1km", "dist_parque_m", "servicios_truncado", "sin_servicios")
 
 
@@ -172,7 +175,7 @@ def _scored(s: SparkSession, d: str, extra: Column | float = 0.0) -> DataFrame:
     rows = L.targets(s, d).where("operacion = 'venta'")
     rates = rows.groupBy("comuna").agg(ratio.median(F.col("y") / F.col("m2_util")).alias("rate"))
     made = rows.join(F.broadcast(rates), "comuna").withColumn("pred", F.col("rate") * (F.col("m2_util") + extra))
-    return made.withColumns({"lo": F.col("pred") * (0.7 + KEY % 5 * 0.1), "hi": F.col("pred") * (0.9 + KEY % 5 * 0.1)})
+    return made.withColumns({"lo": F.col("pred") * (0.7 + KEY() % 5 * 0.1), "hi": F.col("pred") * (0.9 + KEY() % 5 * 0.1)})
 
 
 _SCORED = """, g AS (SELECT comuna, median(y / m2_util) AS rate FROM targets WHERE operacion = 'venta' GROUP BY comuna), z AS (SELECT *, rate * m2_util AS pred, id_aviso::BIGINT AS k FROM targets JOIN g USING (comuna) WHERE operacion = 'venta'),

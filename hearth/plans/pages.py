@@ -10,10 +10,17 @@ from hearth.operators import extract, ingest
 from hearth.plans import listings as L
 from hearth.plans.queries import query
 
-K, B = F.col("o_orderkey"), F.col("o_custkey")
 RATE = 40000.0
 
 
+def K() -> Column:
+    return F.col("o_orderkey")
+
+
+def B() -> Column:
+    return F.col("o_custkey")
+
+
 def text(*parts: Column | str) -> Column:
     """Columns and literal texts end to end."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -25,27 +32,27 @@ def pick(c: Column, *names: str) -> Column:
 
 def _rendered(s: SparkSession, d: str) -> DataFrame:
     """One page for each order: the page's own model on a quarter, linked data on most, markup, projects with ranges, gaps and odd values."""
-    sale, project = K % 3 != 0, K % 13 == 0
-    value = F.when(sale, 100 + K % 120000).otherwise(100000 + K % 500 * 2000)
+    sale, project = K() % 3 != 0, K() % 13 == 0
+    value = F.when(sale, 100 + K() % 120000).otherwise(100000 + K() % 500 * 2000)
     code = F.when(sale, "CLF").otherwise("CLP")
-    market, kind, commune = F.when(sale, "Venta").otherwise("Arriendo"), F.when(K % 5 == 0, "Casas").otherwise("Departamentos"), pick(B, "Macul", "La Florida", "Ñuñoa", "San Miguel", "Providencia")
+    market, kind, commune = F.when(sale, "Venta").otherwise("Arriendo"), F.when(K() % 5 == 0, "Casas").otherwise("Departamentos"), pick(B(), "Macul", "La Florida", "Ñuñoa", "San Miguel", "Providencia")
     names = text(*[x for n in ("Inmuebles", kind, market, "RM (Metropolitana)", commune, "Plaza") for x in ('{"item": {"name": "', n, '"}}, ')], '{"item": {}}')
     script = lambda body: text('<script type="application/ld+json">', body, "</script>")
     crumbs = script(text('{"@type": "BreadcrumbList", "itemListElement": [', names, "]}"))
-    product = F.when(K % 6 == 1, "").otherwise(script(text('{"@type": "Product", "name": "Nombre ', K, '", "productID": "MLC', K, '", "offers": {"price": ', value, ', "priceCurrency": "', code, '"}}')))
-    model = text('<script id="__NORDIC_RENDERING_CTX__" nonce="x">_n.ctx.r={"app": {"a": [{"type": "price", "price": {"value": ', value + 7, ', "currency_id": "', code, '"}}, {"type": "header", "title": {"text": "Titulo ', K, '"}}]}};more</script>')
+    product = F.when(K() % 6 == 1, "").otherwise(script(text('{"@type": "Product", "name": "Nombre ', K(), '", "productID": "MLC', K(), '", "offers": {"price": ', value, ', "priceCurrency": "', code, '"}}')))
+    model = text('<script id="__NORDIC_RENDERING_CTX__" nonce="x">_n.ctx.r={"app": {"a": [{"type": "price", "price": {"value": ', value + 7, ', "currency_id": "', code, '"}}, {"type": "header", "title": {"text": "Titulo ', K(), '"}}]}};more</script>')
     row = lambda label, *value: text(f'<tr><th class="a">{label}</th> <td><span>', *value, "</span></td></tr>")
-    util = F.lit(15) + (B * 7 + K) % 200
+    util = F.lit(15) + (B() * 7 + K()) % 200
     rows = [
-        row("Superficie total", F.when(project, "21.5 m² a 239.48 m²").otherwise(text(util + K % 40 - 3, " m²"))), F.when(K % 8 == 0, "").otherwise(row("Superficie útil", util, ",5 m²")),
-        row("Dormitorios", F.when(project, "1 a 3").otherwise(((B + K) % 16).cast("string"))), row("Baños", K % 14), row("Estacionamientos", K % 13), row("Bodegas", K % 3), row("Antigüedad", B % 76, " años"), row("Gastos comunes", "$ ", K % 9 * 20, ".000"), row("Otra", "1 a 3"),
+        row("Superficie total", F.when(project, "21.5 m² a 239.48 m²").otherwise(text(util + K() % 40 - 3, " m²"))), F.when(K() % 8 == 0, "").otherwise(row("Superficie útil", util, ",5 m²")),
+        row("Dormitorios", F.when(project, "1 a 3").otherwise(((B() + K()) % 16).cast("string"))), row("Baños", K() % 14), row("Estacionamientos", K() % 13), row("Bodegas", K() % 3), row("Antigüedad", B() % 76, " años"), row("Gastos comunes", "$ ", K() % 9 * 20, ".000"), row("Otra", "1 a 3"),
     ]
     html = text(
-        "<html>", script("{broken"), crumbs, product, F.when(K % 4 == 0, model).otherwise(""), F.when(K % 9 == 0, "").otherwise(text("<h1>Casa &amp; patio ", K, "</h1>")), '"latitude": -35.67',
-        '<img src="map?center=-33.', 40 + B % 40, "5,-70.", 44 + K % 30, '1&zoom=1">', "<table>", *rows, "</table>", "<p>Calle ", B % 500, ", Barrio ", K % 7, ", ", commune, ", RM (Metropolitana)</p>",
-        '<p class="ui-pdp-description__content">Texto ', K, " <b>amplio</b> &aacute;rea</p><p>Publicado hace ", 1 + K % 5, " ", pick(K, "días", "meses", "años"), "</p></html>",
+        "<html>", script("{broken"), crumbs, product, F.when(K() % 4 == 0, model).otherwise(""), F.when(K() % 9 == 0, "").otherwise(text("<h1>Casa &amp; patio ", K(), "</h1>")), '"latitude": -35.67',
+        '<img src="map?center=-33.', 40 + B() % 40, "5,-70.", 44 + K() % 30, '1&zoom=1">', "<table>", *rows, "</table>", "<p>Calle ", B() % 500, ", Barrio ", K() % 7, ", ", commune, ", RM (Metropolitana)</p>",
+        '<p class="ui-pdp-description__content">Texto ', K(), " <b>amplio</b> &aacute;rea</p><p>Publicado hace ", 1 + K() % 5, " ", pick(K(), "días", "meses", "años"), "</p></html>",
     )
-    return L.table(s, d, "orders").select(K.alias("page_id"), html.alias("html"))
+    return L.table(s, d, "orders").select(K().alias("page_id"), html.alias("html"))
 
 
 _PAGES = """, p AS (SELECT o_orderkey AS k, o_custkey AS b, o_orderkey % 3 <> 0 AS sale, o_orderkey % 13 = 0 AS project, 15 + (o_custkey * 7 + o_orderkey) % 200 AS mu, ['Macul', 'La Florida', 'Ñuñoa', 'San Miguel', 'Providencia'][(o_custkey % 5 + 1)::INT] AS commune,
@@ -103,19 +110,19 @@ e AS (SELECT *, CASE k % 5 WHEN 0 THEN 'www.portalinmobiliario.com' WHEN 1 THEN
 SELECT k AS page_id, dominio, url_error, CASE WHEN url_error IS NULL THEN CASE k % 5 WHEN 0 THEN 'pi' ELSE 'ml' END END AS sitio, CASE WHEN url_error IS NULL THEN (1000000 + k)::VARCHAR END AS id_aviso, CASE WHEN url_error IS NULL THEN 'https://' || dominio || path END AS canonical FROM e""")
 def listing_urls(s, d):
     """Hosts, barred paths, ids in path or query, with and without scheme."""
-    host = pick(K, "https://www.portalinmobiliario.com", "casa.mercadolibre.cl", "HTTPS://x", "https://other.example", "")
-    path = F.when(K % 7 == 0, text("/perfil/MLC-", 1000000 + K)).when(K % 11 == 0, "/casa").otherwise(text("/MLC-", 1000000 + K, "-casa-_JM"))
-    query_ = F.when((K % 11 == 0) & (K % 2 == 1), text("?item=MLC", 1000000 + K)).otherwise("?a=1")
-    url = F.when(K % 5 == 4, "  ").otherwise(text(host, path, query_, "#polycard_client=x"))
-    made = extract.canonical_url(L.table(s, d, "orders").select(K.alias("page_id"), url.alias("url")))
+    host = pick(K(), "https://www.portalinmobiliario.com", "casa.mercadolibre.cl", "HTTPS://x", "https://other.example", "")
+    path = F.when(K() % 7 == 0, text("/perfil/MLC-", 1000000 + K())).when(K() % 11 == 0, "/casa").otherwise(text("/MLC-", 1000000 + K(), "-casa-_JM"))
+    query_ = F.when((K() % 11 == 0) & (K() % 2 == 1), text("?item=MLC", 1000000 + K())).otherwise("?a=1")
+    url = F.when(K() % 5 == 4, "  ").otherwise(text(host, path, query_, "#polycard_client=x"))
+    made = extract.canonical_url(L.table(s, d, "orders").select(K().alias("page_id"), url.alias("url")))
     return made.select("page_id", "dominio", "url_error", "sitio", "id_aviso", "canonical")
 
 
 def _results(s: SparkSession, d: str) -> DataFrame:
     """A page of results for each order: up to three cards and an advertisement without an id."""
-    card = lambda j, link: text('<li class="card"><a href="https://x/', link, '">ver</a><span>', F.when((K + j) % 6 == 0, "Monoambiente").otherwise(text((K + j) % 6, " dormitorios")), "</span><span>", 1 + (K + j) % 3, " baños</span><span>", 20 + (B + j) % 90, " m² útiles</span><p>Calle ", B % 50, ", Barrio ", (K + j) % 9, ", Macul</p></li>")
-    cards = [F.when(K % 4 >= j, card(j, text("MLC-", 10000000 + K * 10 + j, "-casa"))).otherwise("") for j in (1, 2, 3)]
-    return L.table(s, d, "orders").select(K.alias("page_id"), text("<ol>", *cards, card(4, "anuncio"), "</ol>").alias("html"))
+    card = lambda j, link: text('<li class="card"><a href="https://x/', link, '">ver</a><span>', F.when((K() + j) % 6 == 0, "Monoambiente").otherwise(text((K() + j) % 6, " dormitorios")), "</span><span>", 1 + (K() + j) % 3, " baños</span><span>", 20 + (B() + j) % 90, " m² útiles</span><p>Calle ", B() % 50, ", Barrio ", (K() + j) % 9, ", Macul</p></li>")
+    cards = [F.when(K() % 4 >= j, card(j, text("MLC-", 10000000 + K() * 10 + j, "-casa"))).otherwise("") for j in (1, 2, 3)]
+    return L.table(s, d, "orders").select(K().alias("page_id"), text("<ol>", *cards, card(4, "anuncio"), "</ol>").alias("html"))
 
 
 @query(""", c AS (SELECT o_orderkey AS k, o_custkey AS b, unnest([1, 2, 3]) AS j FROM orders) SELECT k AS page_id, (j - 1)::INT AS position, (10000000 + k * 10 + j)::VARCHAR AS id_aviso, ((k + j) % 6)::INT AS dormitorios, (1 + (k + j) % 3)::INT AS banos, (20 + (b + j) % 90)::DOUBLE AS m2_util, 'Barrio ' || ((k + j) % 9) AS barrio FROM c WHERE k % 4 >= j""")
@@ -131,5 +138,5 @@ def result_cards(s, d):
 @query(""" SELECT o_orderkey AS k, (o_orderkey // 100)::INT AS cut, (o_orderkey * 1000 + 234)::INT AS grouped FROM orders""")
 def whole_numbers(s, d):
     """D3: numbers cut to integers, and the first grouped integer of a text."""
-    cents = text(F.floor(K / 100), ",", F.lpad((K % 100).cast("string"), 2, "0"), " m²")
-    return L.table(s, d, "orders").select(K.alias("k"), numbers.entero(cents).alias("cut"), numbers.extract_int(text("total ", K, ".234 pesos")).alias("grouped"))
+    cents = text(F.floor(K() / 100), ",", F.lpad((K() % 100).cast("string"), 2, "0"), " m²")
+    return L.table(s, d, "orders").select(K().alias("k"), numbers.entero(cents).alias("cut"), numbers.extract_int(text("total ", K(), ".234 pesos")).alias("grouped"))
