@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -17,6 +20,17 @@ def uniform(key: Column, seed: int) -> Column:
     return F.conv(F.substring(random_order(key, seed), 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
+def deals(n: int, count: int, seed: int) -> list[tuple[int, int]]:
+    """Pairs (a, b) with a prime to n: i -> (a i + b) mod n deals n positions anew without a sort, in 64 bits."""
+    draw, most, out = random.Random(seed), max(1, min(n, 2**62 // max(n, 1))), []
+    for _ in range(count):
+        a = draw.randint(1, most)
+        while math.gcd(a, n) > 1:
+            a = draw.randint(1, most)
+        out.append((a, draw.randrange(max(n, 1))))
+    return out
+
+
 def dense_index(df: DataFrame, order: list[Column], name: str = "index") -> DataFrame:
     """df with positions 0, 1, 2... by order, without a window over all rows.
 

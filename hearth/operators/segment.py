@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import dense_index, random_order, uniform
+from hearth.functions.order import deals, dense_index, random_order, uniform
 from hearth.operators.features import sample_n
 from hearth.operators.ratio import median
 
@@ -29,29 +31,65 @@ def squared_distance(a: list[Column], b: list[Column]) -> Column:
     return reduce(lambda s, t: s + t, [(x - y) * (x - y) for x, y in zip(a, b, strict=True)])
 
 
-def hopkins(df: DataFrame, cols: list[str], key: str, m: int = 100, seed: int = 42) -> DataFrame:
-    """(hopkins): m uniform probes and m real ones, by the distance to the nearest other point. About 0.5 without clusters.
+def hopkins(df: DataFrame, cols: list[str], key: str, share: float = 0.05, least: int = 50, most: int = 500, seeds: tuple[int, ...] = tuple(range(10))) -> DataFrame:
+    """(hopkins): uniform and real probes by the distance to the nearest other row, averaged over seeds. About 0.5 without clusters.
 
-    m is capped by the caller, so the probes are a small side.
+    Each seed takes the given share of the rows as probes, at least `least`, and at most `most`: a sampling statistic.
+    All probes (2 x most x seeds vectors) go to every task; each task returns its least distance to each.  Rows of a
+    real probe's key are not its neighbours.  Null without two rows; cols hold no nulls.
     """
-    box = df.agg(*[x for c in cols for x in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
-    real = sample_n(df.select(key, *cols), m, key, seed).select(F.lit("real").alias("kind"), F.col(key).cast("string").alias("probe"), *[F.col(c).alias(f"p_{c}") for c in cols])
-    random = df.sparkSession.range(m).crossJoin(F.broadcast(box))
-    random = random.select(F.lit("uniform").alias("kind"), F.col("id").cast("string").alias("probe"), *[(F.col(f"lo_{c}") + (F.col(f"hi_{c}") - F.col(f"lo_{c}")) * uniform(F.col("id"), seed + 1 + i)).alias(f"p_{c}") for i, c in enumerate(cols)])
-    probes = F.broadcast(real.union(random))
-    own = (F.col("kind") == "real") & (F.col("probe") == F.col(key).cast("string"))
-    d = F.sqrt(squared_distance([F.col(c) for c in cols], [F.col(f"p_{c}") for c in cols]))
-    near = df.crossJoin(probes).where(~own).groupBy("kind", "probe").agg(F.min(d).alias("d"))
+    spark, rows = df.sparkSession, df.select(F.col(key).cast("string").alias("id_"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x_")).persist()
+    box = rows.agg(F.count("*").alias("n"), *[x for i in range(len(cols)) for x in (F.min(F.col("x_")[i]), F.max(F.col("x_")[i]))]).first()
+    n = box["n"]
+    if n < 2:
+        rows.unpersist()
+        return spark.createDataFrame([(None,)], "hopkins double")
+    m, lo, hi = min(max(int(share * n), least), most, n), np.array(box[1::2], float), np.array(box[2::2], float)
+    probes, ids = [], {}
+    for s in seeds:
+        # twice as many as wanted by their hash, so that what each task sends stays small; then the first of them
+        few = rows.where(uniform(F.col("id_"), s) < min(1.0, (2 * m + 100) / n)).orderBy(random_order(F.col("id_"), s), "id_").limit(m).collect()
+        drawn = np.random.default_rng(s)
+        for r in few:
+            ids.setdefault(r["id_"], []).append(len(probes))
+            probes.append((s, "real", np.array(r["x_"], float)))
+        probes += [(s, "uniform", lo + (hi - lo) * drawn.random(len(cols))) for _ in few]
+    vectors = np.array([p[2] for p in probes])
+    squares = (vectors * vectors).sum(1)
+
+    def least_distances(batches):
+        best = np.full(len(vectors), np.inf)
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                x = np.array(part["x_"].tolist(), float)
+                d = (x * x).sum(1)[:, None] + squares - 2 * x @ vectors.T
+                for i, name in enumerate(part["id_"]):
+                    if name in ids:
+                        d[i, ids[name]] = np.inf
+                best = np.minimum(best, d.min(0))
+        yield pd.DataFrame({"probe": np.arange(len(best)), "d": np.sqrt(np.maximum(best, 0.0))})
+
+    kinds = spark.createDataFrame([(i, s, kind) for i, (s, kind, _) in enumerate(probes)], "probe long, seed int, kind string")
+    near = rows.mapInPandas(least_distances, "probe long, d double").groupBy("probe").agg(F.min("d").alias("d")).join(F.broadcast(kinds), "probe").where("d < double('infinity')")
     u, r = (F.sum(F.when(F.col("kind") == k, F.col("d"))) for k in ("uniform", "real"))
-    return near.agg(F.try_divide(u, u + r).alias("hopkins"))
+    found = near.groupBy("seed").agg(F.try_divide(u, u + r).alias("h")).agg(F.avg("h")).first()
+    rows.unpersist()
+    return spark.createDataFrame([tuple(found)], "hopkins double")
 
 
 def shuffled(df: DataFrame, cols: list[str], key: str, seed: int = 42) -> DataFrame:
-    """df's columns each in an order of its own: the control without structure."""
-    out = dense_index(df.select(key), [F.col(key)])
-    for i, c in enumerate(cols):
-        out = out.join(dense_index(df.select(key, c), [random_order(F.col(key), seed + i), F.col(key)]).select("index", c), "index")
-    return out.drop("index")
+    """key and cols, each column dealt anew: the control without structure.
+
+    One sort puts rows in random order; each column then moves its values by a map of positions of its own, and one
+    shuffle by the new position joins them, however many columns there are.
+    """
+    placed = dense_index(df.select(key, *cols), [random_order(F.col(key), seed), F.col(key)])
+    n = placed.count()
+    moved = [F.struct(F.pmod(F.lit(a) * F.col("index") + F.lit(b), F.lit(max(n, 1))).alias("to"), F.lit(i).alias("i"), F.col(c).cast("double").alias("v")) for i, (c, (a, b)) in enumerate(zip(cols, deals(n, len(cols), seed), strict=True))]
+    long = placed.select(F.explode(F.array(*moved)).alias("m")).select("m.*")
+    dealt = long.groupBy(F.col("to").alias("index")).agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    return placed.select("index", key).join(dealt, "index").select(key, *[F.col("m")[i].alias(c) for i, c in enumerate(cols)])
 
 
 def assembled(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -83,7 +121,7 @@ def kmeans_sweep(df: DataFrame, cols: list[str], ks: range = range(2, 11), seeds
     """(k, inertia): squared distance to the centre per point."""
     df = df.persist()
     n = df.count()
-    rows = [(k, float(kmeans(df, cols, k, seeds).summary.trainingCost / n)) for k in ks]
+    rows = [(k, float(kmeans(df, cols, k, seeds).summary.trainingCost / n)) for k in ks if n]
     df.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
@@ -97,7 +135,7 @@ def clustered(df: DataFrame, cols: list[str], model: KMeansModel) -> DataFrame:
     return made.withColumn("centre_distance", F.sqrt(gap)).drop("features")
 
 
-def silhouette(df: DataFrame, cols: list[str], key: str, group: str = "cluster", sample: int = 1000, seed: int = 42) -> DataFrame:
+def silhouette(df: DataFrame, cols: list[str], key: str, group: str = "cluster", sample: int = 3000, seed: int = 42) -> DataFrame:
     """(silhouette) by Euclidean distances within a bounded sample."""
     s = sample_n(df.select(key, group, *cols), sample, key, seed).persist()
     other = F.broadcast(s.select(F.col(key).alias("k2"), F.col(group).alias("g2"), *[F.col(c).alias(f"o_{c}") for c in cols]))
@@ -118,17 +156,30 @@ def eta_squared(df: DataFrame, y: str, group: str) -> DataFrame:
     return both.agg(F.round(F.try_divide(between, between + within), 6).alias("eta2"))
 
 
-def eta_by_chance(df: DataFrame, y: str, group: str, key: str, replicates: int = 20, most: int = 2000, seed: int = 42) -> DataFrame:
-    """(replicate, eta2) with labels dealt at random over a bounded sample."""
-    s = sample_n(df.select(key, y, group).where(F.col(y).isNotNull()), most, key, seed)
-    rows = dense_index(s, [F.col(key)]).select("index", y)
-    reps = s.crossJoin(F.broadcast(s.sparkSession.range(replicates).withColumnRenamed("id", "replicate")))
-    dealt = reps.withColumn("index", F.row_number().over(W.partitionBy("replicate").orderBy(F.md5(F.concat_ws(":", F.lit(seed), "replicate", key).cast("binary")))) - 1)
-    long = dealt.select("replicate", group, "index").join(rows, "index")
-    by = long.groupBy("replicate", group).agg(F.count("*").alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("var"))
-    grand = F.sum(F.col("n") * F.col("mean")) / F.sum("n")
-    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - F.sum("n") * grand * grand
-    return by.groupBy("replicate").agg(F.try_divide(between, between + F.sum(F.col("n") * F.col("var"))).alias("eta2"))
+def eta_by_chance(df: DataFrame, y: str, group: str, key: str, replicates: int = 200, seed: int = 42) -> DataFrame:
+    """(replicate, eta2) with labels dealt at random over all rows with a y; none without such rows.
+
+    One sort puts rows in random order; a group stands for a run of positions as long as its number of rows.  Each
+    replicate maps position i to (a i + b) mod n with a prime to n, so its groups are random sets of the right sizes
+    and no replicate sorts or joins: partial sums by replicate and group are all that is shuffled.  Equal keys fall
+    in any order.  The starts of the groups, one number a group, go to every task.
+    """
+    rows = df.select(F.col(key), F.col(y).cast("double").alias("value"), F.col(group)).where(F.col("value").isNotNull())
+    spark, empty = df.sparkSession, "replicate long, eta2 double"
+    sizes = rows.groupBy(group).agg(F.count("*").alias("size"), F.sum("value").alias("total")).orderBy(group).collect()
+    n = sum(r["size"] for r in sizes)
+    if not n:
+        return spark.createDataFrame([], empty)
+    mean, starts = sum(r["total"] for r in sizes) / n, [0]
+    for r in sizes[:-1]:
+        starts.append(starts[-1] + r["size"])
+    steps = F.array(*[F.struct(F.lit(i).cast("long").alias("replicate"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for i, (a, b) in enumerate(deals(n, replicates, seed))])
+    placed = dense_index(rows.select(key, (F.col("value") - mean).alias("value")), [random_order(F.col(key), seed), F.col(key)])
+    at = (F.col("s.a") * F.col("index") + F.col("s.b")) % n
+    label = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in starts]), lambda x: x <= F.col("at")))
+    dealt = placed.select("value", "index", F.explode(steps).alias("s")).select("value", "s.replicate", at.alias("at")).select("value", "replicate", label.alias("label"))
+    by = dealt.groupBy("replicate", "label").agg(F.count("*").alias("n"), F.sum("value").alias("sum"), F.sum(F.col("value") * F.col("value")).alias("square"))
+    return by.groupBy("replicate").agg(F.try_divide(F.sum(F.col("sum") * F.col("sum") / F.col("n")) - F.sum("sum") * F.sum("sum") / n, F.sum("square") - F.sum("sum") * F.sum("sum") / n).alias("eta2"))
 
 
 def profile(df: DataFrame, group: str, price: str) -> DataFrame:

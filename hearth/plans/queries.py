@@ -468,23 +468,27 @@ def price_by_group(s, d):
     return segment.describe_price(L.targets(s, d).where("operacion = 'venta'"), "comuna", "y")
 
 
-def _matrix(s, d, width: int = 8):
-    cols = [f"x{i}" for i in range(width)]
-    rows = L.table(s, d, "embeddings").select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cols)])
-    return segment.scale_matrix(rows, cols, ["vec_id"]), cols
+def _matrix(s, d):
+    """All components of every embedding, scaled."""
+    rows = L.table(s, d, "embeddings")
+    cols = [f"x{i}" for i in range(rows.agg(F.max(F.size("embedding"))).first()[0] or 0)]
+    return segment.scale_matrix(rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols, ["vec_id"]), cols
 
 
 @query()
 def kmeans_sweep(s, d):
     rows, cols = _matrix(s, d)
-    return segment.kmeans_sweep(rows, cols, range(2, 6))
+    return segment.kmeans_sweep(rows, cols, seeds=tuple(range(10)))
 
 
 @query()
 def silhouette(s, d):
     rows, cols = _matrix(s, d)
-    rows = rows.persist()
-    return segment.silhouette(segment.clustered(rows, cols, segment.kmeans(rows, cols, 4)), cols, "vec_id", sample=500)
+    rows, made = rows.persist(), None
+    for k in range(2, 11):
+        one = segment.silhouette(segment.clustered(rows, cols, segment.kmeans(rows, cols, k)), cols, "vec_id").withColumn("k", F.lit(k))
+        made = one if made is None else made.union(one)
+    return made
 
 
 @query()
@@ -496,7 +500,6 @@ def centroid_outliers(s, d):
 @query()
 def hopkins_control(s, d):
     rows, cols = _matrix(s, d)
-    rows = rows.persist()
     one = lambda df, name: segment.hopkins(df, cols, "vec_id").withColumn("data", F.lit(name))
     return one(rows, "real").union(one(segment.shuffled(rows, cols, "vec_id"), "control"))
 

@@ -146,3 +146,26 @@ def test_audit(spark):
     assert {(r.check, r.ok) for r in checks.collect()} == {("one k", True), ("v known", False)}
     assert report.frame_parity(df, df, ["k"], ["v"]).first().n_different in (0, 2)
     assert report.duplicate_keys(df, ["k"]).count() == 1
+
+
+def test_labels_dealt_by_chance(spark):
+    df = spark.range(4000).select("id", (F.col("id") % 5).alias("g"), (F.col("id") % 5 + F.rand(3)).alias("y"))
+    got = [r.eta2 for r in segment.eta_by_chance(df, "y", "g", "id", replicates=100).collect()]
+    assert len(got) == 100 and sum(got) / 100 == pytest.approx(4 / 3999, rel=0.3) and max(got) < 0.01
+    assert segment.eta_by_chance(df.where("id < 0"), "y", "g", "id").count() == 0
+    assert segment.eta_by_chance(df.withColumn("y", F.lit(None).cast("double")), "y", "g", "id").count() == 0
+
+
+def test_shuffled_and_hopkins(spark):
+    df = spark.range(600).select("id", *[(F.col("id") % 3 * 10 + F.rand(i)).alias(f"x{i}") for i in range(4)])
+    cols = [f"x{i}" for i in range(4)]
+    dealt = segment.shuffled(df, cols, "id")
+    assert dealt.count() == 600 and dealt.select("id").distinct().count() == 600
+    for c in cols:
+        assert sorted(r[0] for r in dealt.select(c).collect()) == sorted(r[0] for r in df.select(c).collect())
+    assert dealt.where("abs(x0 - x1) > 5").count() > 200
+    assert segment.hopkins(df, cols, "id").first().hopkins > 0.9
+    even = spark.range(600).select("id", *[F.rand(i).alias(f"x{i}") for i in range(2)])
+    assert abs(segment.hopkins(even, ["x0", "x1"], "id").first().hopkins - 0.5) < 0.1
+    assert segment.hopkins(df.limit(0), cols, "id").first().hopkins is None
+    assert segment.shuffled(df.limit(0), cols, "id").count() == 0
