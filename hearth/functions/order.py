@@ -42,3 +42,29 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "index") -> Data
     counts = local.groupBy("part_").agg(F.count("*").alias("n"), F.min("at_").alias("first_"))
     before = counts.withColumn("before_", F.coalesce(F.sum("n").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("part_", "first_", "before_")
     return local.join(F.broadcast(before), "part_").withColumn(name, F.col("at_") - F.col("first_") + F.col("before_")).drop("part_", "at_", "first_", "before_")
+
+
+def exact_quantiles(df: DataFrame, value: Column, fractions: list[float], accuracy: int = 10_000, plain: int = 100_000) -> DataFrame:
+    """One row (n, q): the interpolated quantiles of value, exactly, nulls and NaN aside; q is an array in order of fractions.
+
+    A sketch bounds each wanted rank within about n / accuracy places. A second pass counts what lies below those bounds
+    and the values between them by value, so one task sorts at most a few n / accuracy values, not all distinct ones.
+    Up to `plain` rows the bounds are left open; the result is the same. Without values q holds nulls.
+    """
+    at = F.array(*[F.lit(float(f)) for f in fractions])
+    edges = F.array(*[F.lit(min(1.0, max(0.0, f + s / accuracy))) for f in fractions for s in (-3, 3)])
+    rows = df.select(value.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    sketch = rows.agg(F.count("*").alias("n"), F.approx_percentile("v", edges, accuracy).alias("e"))
+    each = F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(fractions) - 1)), lambda j: F.struct(j.alias("j"), F.get("e", 2 * j).alias("lo"), F.get("e", 2 * j + 1).alias("hi"))))
+    ends = sketch.select("n", each.alias("b")).select("n", "b.*")
+    least = F.when((F.col("n") > plain) & (F.col("v") < F.col("lo")), F.lit(float("-inf"))).otherwise(F.col("v"))
+    near = rows.crossJoin(F.broadcast(ends)).where((F.col("n") <= plain) | (F.col("v") <= F.col("hi")))
+    counts = near.groupBy("j", least.alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    up_to = counts.withColumn("upto", F.sum("c").over(W.partitionBy("j").orderBy("v")))
+    place = F.get(at, F.col("j")) * (F.col("n") - 1)
+    first = lambda k: F.min(F.when(F.col("upto") > k, F.col("v")))
+    picked = up_to.groupBy("j", "n").agg(first(F.floor(F.get(at, F.col("j")) * (F.col("n") - 1))).alias("a"), first(F.ceil(F.get(at, F.col("j")) * (F.col("n") - 1))).alias("b"))
+    share = place - F.floor(place)
+    one = picked.select("j", "n", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - share) * F.col("a") + share * F.col("b")).alias("q"))
+    made = one.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.map_from_entries(F.collect_list(F.struct("j", "q"))).alias("m"))
+    return made.select("n", F.array(*[F.col("m")[j] for j in range(len(fractions))]).alias("q"))

@@ -583,7 +583,7 @@ def _split_features(s, d):
 def model_comparison(s, d):
     train, test = _split_features(s, d)
     made = None
-    for kind in ("ridge", "random_forest", "boosting"):
+    for kind in ("ridge", "random_forest", "boosting", "stochastic_boosting"):
         study = ratio.ratio_study(model.predict(model.fit(train, kind, small=True), test)).withColumn("model", F.lit(kind))
         made = study if made is None else made.unionByName(study)
     return made.unionByName(ratio.median_floor(train, test).withColumn("model", F.lit("floor")))
@@ -592,18 +592,20 @@ def model_comparison(s, d):
 @query()
 def permutation_importance(s, d):
     train, test = _split_features(s, d)
-    cols = ["m2_util", "dormitorios", "banos", "antiguedad"]
-    fitted = model.fit(train, "random_forest", cols=cols, small=True)
-    return model.permutation_importance(fitted, test, "id_aviso", cols=cols, n=500, repeats=2)
+    return model.permutation_importance(model.fit(train, "random_forest", small=True), test, "id_aviso")
+
+
+def _calibrated(train):
+    """The training side's own two parts: one to fit, one to calibrate."""
+    return (features.split_by_group(train, "building", 0.25, 7, name="part").where(f"part = '{x}'") for x in ("train", "test"))
 
 
 @query()
 def quantile_forest_interval(s, d):
     train, test = _split_features(s, d)
-    fit_, calibrate = (features.split_by_group(train, "building", 0.25, 7, name="part").where(f"part = '{x}'") for x in ("train", "test"))
+    fit_, calibrate = _calibrated(train)
     both = calibrate.withColumn("use", F.lit("calibrate")).unionByName(test.withColumn("use", F.lit("test")), allowMissingColumns=True)
-    cols = ["m2_util", "dormitorios", "banos", "antiguedad"]
-    q = model.quantile_forest(fit_, both, "id_aviso", cols=cols, trees=10)
+    q = model.quantile_forest(fit_, both, "id_aviso", trees=20)
     rows = both.join(q, "id_aviso").withColumnsRenamed({"q0": "lo", "q1": "hi"}).withColumn("pred", (F.col("lo") + F.col("hi")) / 2).persist()
     done = score.apply_interval(rows.where("use = 'test'"), score.conformal_shift(rows.where("use = 'calibrate'")))
     return score.coverage_report(score.coherent(done))
@@ -611,8 +613,15 @@ def quantile_forest_interval(s, d):
 
 @query()
 def score_batch(s, d):
+    """A fitted package scores listings: the point, and the range of two models of the log target's errors, widened conformally."""
     train, test = _split_features(s, d)
-    scored = model.predict(model.fit(train, "ridge", small=True), test).withColumns({"lo": F.col("pred") * 0.8, "hi": F.col("pred") * 1.2})
+    fit_, calibrate = _calibrated(train)
+    point = model.fit(fit_, "ridge", small=True)
+    edge = calibrate.transform(lambda c: model.predict(point, c)).agg(F.percentile(F.col("y") / F.col("pred"), F.array(F.lit(0.1), F.lit(0.9))).alias("q")).first()["q"]
+    low, high = (model.fit(fit_.withColumn("y", F.col("y") * F.lit(e)), "ridge", small=True) for e in edge)
+    ranged = model.score(calibrate, point, low, high, 0.0)
+    shift = score.conformal_shift(ranged).first()["shift"]
+    scored = model.score(test, point, low, high, shift)
     sure = score.confidence(score.coherent(scored), score.known_cells(train), 9.0)
     return score.verdict(sure, "y").select("id_aviso", "pred", "lo", "hi", "confianza", "veredicto")
 

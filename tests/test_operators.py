@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth import schema
-from hearth.functions.order import dense_index, random_order
+from hearth.functions.order import dense_index, exact_quantiles, random_order
 from hearth.operators import clean, features, geo, ingest, ratio, report, score, segment
 from hearth.sources import tables
 from hearth.streaming import merge
@@ -169,3 +169,15 @@ def test_shuffled_and_hopkins(spark):
     assert abs(segment.hopkins(even, ["x0", "x1"], "id").first().hopkins - 0.5) < 0.1
     assert segment.hopkins(df.limit(0), cols, "id").first().hopkins is None
     assert segment.shuffled(df.limit(0), cols, "id").count() == 0
+
+
+@pytest.mark.parametrize("plain", [0, 100_000])
+def test_exact_quantiles(spark, plain):
+    wanted = [0.0, 0.05, 0.25, 1 / 3, 0.5, 0.8, 0.99, 1.0]
+    tied = spark.range(60_000).select(F.floor(F.rand(1) * 50).cast("double").alias("v"))
+    for df in (spark.range(60_000).select(F.exp(F.randn(2)).alias("v")), tied):
+        found = exact_quantiles(df.union(df.limit(3).select(F.lit(None).cast("double"))), F.col("v"), wanted, accuracy=1000, plain=plain).first()
+        assert found.n == 60_000 and found.q == pytest.approx(df.agg(F.percentile("v", F.array(*[F.lit(w) for w in wanted]))).first()[0], rel=1e-12)
+    for n in (0, 1, 2, 5):
+        found = exact_quantiles(tied.limit(n), F.col("v"), [0.1, 0.5]).first()
+        assert found.n == n and (n > 0) == (found.q[0] is not None)
