@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from hearth.functions.order import exact_quantiles
+
 MEASURES = ["n", "mdape", "ppe10", "ppe20", "cod", "prd", "r2", "mae"]
 
 
@@ -54,7 +56,7 @@ def by_segment(df: DataFrame, segments: list[str], y: str = "y", p: str = "pred"
 
 def with_quantile(df: DataFrame, value: str, n: int = 5, name: str = "quantile") -> DataFrame:
     """df with the number (from 1) of its interval between interpolated quantiles, closed to the right; the lowest holds the minimum."""
-    edges = df.agg(F.percentile(value, F.array(*[F.lit(i / n) for i in range(n + 1)])).alias("edges"))
+    edges = exact_quantiles(df, F.col(value), [i / n for i in range(n + 1)]).select(F.col("q").alias("edges"))
     at = F.coalesce(*[F.when(F.col(value) <= F.col("edges")[i], i) for i in range(1, n + 1)])
     return df.crossJoin(F.broadcast(edges)).withColumn(name, at).drop("edges")
 

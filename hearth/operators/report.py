@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from hearth.functions.order import exact_quantiles
 from hearth.operators.ratio import median
 
 COMMUNES = ["la-florida", "macul", "nunoa", "san-miguel"]
@@ -71,7 +72,7 @@ def nulls(df: DataFrame) -> DataFrame:
 def rate_stability(df: DataFrame) -> DataFrame:
     """Quartiles of the implied rate, and whether their range is below a hundredth of the median."""
     ratio = F.when(F.col("precio_uf") > 0, F.col("precio_clp") / F.col("precio_uf"))
-    made = df.agg(F.percentile(ratio, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    made = exact_quantiles(df, ratio, [0.25, 0.5, 0.75])
     return made.select(*[F.round(F.col("q")[i], 6).alias(f"p{p}") for i, p in enumerate((25, 50, 75))], ((F.col("q")[2] - F.col("q")[0]) < F.col("q")[1] / 100).alias("stable"))
 
 

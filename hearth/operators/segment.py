@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import deals, dense_index, random_order, uniform
+from hearth.functions.order import deals, dense_index, exact_quantiles, random_order, uniform
 from hearth.operators.features import sample_n
 from hearth.operators.ratio import median
 
@@ -206,7 +206,7 @@ def composition(df: DataFrame, group: str, by: str) -> DataFrame:
 
 def centroid_outliers(df: DataFrame, p: float = 0.99) -> DataFrame:
     """Rows of clustered() beyond the percentile of the distance to their centre."""
-    edge = df.agg(F.percentile("centre_distance", p).alias("edge"))
+    edge = exact_quantiles(df, F.col("centre_distance"), [p]).select(F.col("q")[0].alias("edge"))
     return df.crossJoin(F.broadcast(edge)).where(F.col("centre_distance") > F.col("edge")).drop("edge")
 
 

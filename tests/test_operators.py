@@ -181,3 +181,19 @@ def test_exact_quantiles(spark, plain):
     for n in (0, 1, 2, 5):
         found = exact_quantiles(tied.limit(n), F.col("v"), [0.1, 0.5]).first()
         assert found.n == n and (n > 0) == (found.q[0] is not None)
+
+
+def test_models_and_forest(spark):
+    from hearth.operators import model
+
+    cols = ["m2_util", "banos"]
+    df = spark.range(1500).select(F.col("id").cast("string").alias("id_aviso"), (30 + F.rand(1) * 100).alias("m2_util"), F.when(F.rand(2) > 0.1, F.floor(F.rand(3) * 3) + 1).cast("double").alias("banos"), F.when(F.col("id") % 2 == 0, "macul").otherwise("nunoa").alias("comuna"), F.randn(4).alias("e"))
+    df = df.withColumn("y", F.exp(F.lit(4.0) + 0.01 * F.col("m2_util") + F.when(F.col("comuna") == "macul", 0.5).otherwise(0.0) + 0.1 * F.col("e"))).drop("e").persist()
+    train, test = df.where("id_aviso % 3 != 0"), df.where("id_aviso % 3 = 0")
+    for kind in ("ridge", "boosting"):
+        fitted = model.fit(train, kind, cols=cols, small=True)
+        assert ratio.ratio_study(model.predict(fitted, test)).first().mdape < 10
+    importance = {r.feature: r.importance for r in model.permutation_importance(fitted, test, "id_aviso", cols=cols).collect()}
+    assert importance["m2_util"] > 5 * abs(importance["banos"])
+    q = test.join(model.quantile_forest(train, test, "id_aviso", cols=cols, trees=5), "id_aviso")
+    assert q.count() == 500 and 0.6 < q.where("y BETWEEN q0 AND q1").count() / 500 < 0.95
