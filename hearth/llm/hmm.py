@@ -1,14 +1,17 @@
 """Hidden Markov language model over words.
 
 1. Words of the training texts are counted (one aggregation over the corpus; 64-bit hashes, see ``textbatch``).
-   The most frequent ones, at most ``TOP``, become symbols of their own.  Any other word is emitted as the
-   class of its last byte times its smoothed share of that class, which no state changes.
+   The most frequent ones, at most ``TOP``, become symbols of their own while the states are found; all others
+   are known to the states by the class of their last byte, times their smoothed share of that class.
 2. States start from a mixture of word distributions, fitted by EM over all training texts as wholes until a
    round gains less than ``GAIN`` a token (at most ``MIXTURE_ROUNDS``).  Then Baum-Welch runs over every
    training text.  Each task adds up expected counts, which are summed across tasks; long texts train in runs
-   of ``RUN`` tokens.
-3. ``score`` computes the exact likelihood of each whole text by the scaled forward recursion.  Counts of the
-   ``KNOWN`` most frequent words are broadcast; the rest joins the count table.
+   of ``RUN`` tokens, neighbours sharing one, so that every transition counts.
+3. A last pass gathers each other word's expected count in each state (a table that grows with the corpus).  A word
+   of count n that was in state s m times is emitted by s with its share of the class times (m + p) / ((n + 1) p),
+   p the class's share of s: one pseudo-occurrence a word, and over a class these emissions add up to the class's own.
+4. ``score`` computes the exact likelihood of each whole text by the scaled forward recursion.  Counts and states of
+   the ``KNOWN`` most frequent words are broadcast; those of any other word join by the word.
 
 A text's tokens are its words and one end.  Null and empty texts are one end; unseen words and texts have
 finite scores; without training texts every symbol is equally likely.  Repeated rows are scored alike.
@@ -22,11 +25,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.llm.scratch import dropped, stored
-from hearth.llm.textbatch import Chunk, chunks, column, few_rows, words
+from hearth.llm.textbatch import Chunk, chunks, column, few_rows, row_of, words
 
 STATES = 8
 TOP = 65_000
@@ -65,10 +69,12 @@ class Lexicon(NamedTuple):
 
 class Model(NamedTuple):
     lexicon: Lexicon
-    counts: DataFrame  # token, cls, n
     start: np.ndarray  # states
     step: np.ndarray  # states x states
     emit: np.ndarray  # symbols x states
+    inside: np.ndarray  # classes x states: the share of each state in a class
+    factor: np.ndarray  # known words x states: what a state makes of a word's share; 1 for symbols
+    words: DataFrame  # token, cls, n, m0, m1, ...: words that are no symbols
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
@@ -138,6 +144,8 @@ class Coded(NamedTuple):
     known: np.ndarray  # per text: tokens with a known count
     base: np.ndarray  # sum of log10(count + 1) over those
     share: np.ndarray  # sum of log10 of the shares of classes over those
+    tail: np.ndarray  # for each word that is no symbol its place among the known words, -1 if not known
+    tail_first: np.ndarray
     far: np.ndarray  # words without a known count
     far_class: np.ndarray
     far_first: np.ndarray
@@ -158,26 +166,29 @@ def encode(chunk: Chunk, lex: Lexicon) -> Coded:
     share = sums(middle, np.log10((count + 1.0) / (lex.class_total + lex.class_distinct + 1.0)[last]))
     known = np.bincount(owner[hit], minlength=rows) + (lex.end_count > 0)
     symbols = np.insert(np.where(symbol >= 0, symbol, lex.n_top + last), w.first[1:], lex.n_top + CLASSES)
-    far_owner = owner[~hit]
-    return Coded(symbols, w.first + np.arange(rows + 1), known, base, share, w.hash[~hit], last[~hit], np.searchsorted(far_owner, np.arange(rows + 1)))
+    other = symbol < 0
+    begins = lambda which: np.searchsorted(owner[which], np.arange(rows + 1))
+    return Coded(symbols, w.first + np.arange(rows + 1), known, base, share, np.where(hit, at, -1)[other].astype(np.int32), begins(other), w.hash[~hit], last[~hit], begins(~hit))
 
 
 def code(docs: DataFrame, lex: Lexicon, text_col: str, keep: list[str]) -> DataFrame:
     """keep, a row number, and what encode() tells of each text."""
     shared = docs.sparkSession.sparkContext.broadcast(lex)
-    names = ["symbols", "n_tokens", "n_near", "base_near", "share_near", "far", "far_class"]
+    names = ["symbols", "n_tokens", "n_near", "base_near", "share_near", "tail", "far"]
+    blobs = lambda flat, first: pa.array([p.tobytes() for p in np.split(flat, first[1:-1])], pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in chunks(column(b, text_col)):
                 x = encode(c, shared.value)
-                raw = x.symbols.astype(np.uint16)
-                listed = lambda v, t: pa.ListArray.from_arrays(pa.array(x.far_first, pa.int32()), pa.array(v, t))  # noqa: B023, E731
-                made = [pa.array([p.tobytes() for p in np.split(raw, x.first[1:-1])], pa.binary()), pa.array(np.diff(x.first)), pa.array(x.known, pa.int64()), pa.array(x.base, pa.float64()), pa.array(x.share, pa.float64()), listed(x.far.view(np.int64), pa.int64()), listed(x.far_class, pa.int32())]
+                rates = np.log10(shared.value.class_total + shared.value.class_distinct + 1.0)
+                far_share = np.bincount(row_of(x.far_first), -rates[x.far_class], c.hi - c.lo)  # of words not known; score() adds the counts
+                far = pa.ListArray.from_arrays(pa.array(x.far_first, pa.int32()), pa.array(x.far.view(np.int64), pa.int64()))
+                made = [blobs(x.symbols.astype(np.uint16), x.first), pa.array(np.diff(x.first)), pa.array(x.known, pa.int64()), pa.array(x.base, pa.float64()), pa.array(x.share + far_share, pa.float64()), blobs(x.tail, x.tail_first), far]
                 yield pa.RecordBatch.from_arrays([*(column(b, k).slice(c.lo, c.hi - c.lo) for k in keep), *made], [*keep, *names])
 
     types = "".join(f"`{c}` {t}, " for c, t in docs.select(*[F.col(f"`{c}`") for c in keep]).dtypes)
-    return docs.mapInArrow(run, f"{types}symbols binary, n_tokens long, n_near long, base_near double, share_near double, far array<long>, far_class array<int>")
+    return docs.mapInArrow(run, f"{types}symbols binary, n_tokens long, n_near long, base_near double, share_near double, tail binary, far array<long>")
 
 
 def lockstep(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -194,14 +205,30 @@ def lockstep(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.nd
     return out, at, order, size
 
 
-def forward(sequences: list[np.ndarray], start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> np.ndarray:
-    """The natural log-likelihood of each sequence."""
+def placed(flat: np.ndarray, sequences: list[np.ndarray], at: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Where lockstep() puts the symbols at these places of all sequences end to end."""
+    first = np.append(0, np.cumsum([len(s) for s in sequences]))
+    owner = np.searchsorted(first, flat, "right") - 1
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return at[flat - first[owner]] + rank[owner]
+
+
+def forward(sequences: list[np.ndarray], start: np.ndarray, step: np.ndarray, emit: np.ndarray, special: np.ndarray | None = None, factor: np.ndarray | None = None) -> np.ndarray:
+    """The natural log-likelihood of each sequence; emissions at the special places (of all sequences end to end) times factor."""
     symbols, at, order, size = lockstep(sequences)
+    if special is not None:
+        where = placed(special, sequences, at, order)
+        by = np.argsort(where)
+        where, factor = where[by], factor[by]
+        cut = np.searchsorted(where, at)
     total = np.zeros(len(size))
     alpha = np.broadcast_to(start, (len(size), len(start)))
     for t in range(len(at) - 1):
         n = at[t + 1] - at[t]
         alpha = (alpha if t == 0 else alpha[:n] @ step) * emit[symbols[at[t] : at[t + 1]]]
+        if special is not None and cut[t] < cut[t + 1]:
+            alpha[where[cut[t] : cut[t + 1]] - at[t]] *= factor[cut[t] : cut[t + 1]]
         scale = alpha.sum(1)
         alpha /= scale[:, None]
         total[:n] += np.log(scale)
@@ -210,8 +237,8 @@ def forward(sequences: list[np.ndarray], start: np.ndarray, step: np.ndarray, em
     return out
 
 
-def expected(sequences: list[np.ndarray], heads: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch counts: starts (of heads only, true beginnings), steps, emissions."""
+def posteriors(sequences: list[np.ndarray], heads: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """In lockstep: symbols, each step's first, order, the posterior of each state; and the expected steps."""
     symbols, at, order, size = lockstep(sequences)
     k = len(start)
     seen = emit[symbols]
@@ -237,8 +264,15 @@ def expected(sequences: list[np.ndarray], heads: np.ndarray, start: np.ndarray,
             now[:m] = after @ step.T
         beta = now
         alpha[lo:hi] *= now  # the posterior of each state
-    emissions = np.stack([np.bincount(symbols, alpha[:, s], len(emit)) for s in range(k)], 1)
-    return alpha[: at[1]][heads[order]].sum(0, dtype=float), steps * step, emissions
+    return symbols, at, order, alpha, steps * step
+
+
+def expected(sequences: list[np.ndarray], heads: np.ndarray, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch counts: starts (of heads only, true beginnings), steps, emissions (but for the first symbol of other runs, the last of the run before)."""
+    symbols, at, order, alpha, steps = posteriors(sequences, heads, start, step, emit)
+    alpha[: at[1]][~heads[order]] = 0
+    emissions = np.stack([np.bincount(symbols, alpha[:, s], len(emit)) for s in range(len(start))], 1)
+    return alpha[: at[1]].sum(0, dtype=float), steps, emissions
 
 
 def belonging(raw: list[bytes], share: np.ndarray, emit: np.ndarray) -> Iterator[list[np.ndarray]]:
@@ -280,11 +314,11 @@ def mixture(coded: DataFrame, lex: Lexicon, states: int) -> tuple[np.ndarray, np
 
 
 def runs(raw: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Texts' symbols in runs of at most RUN, and which runs begin a text."""
+    """Texts' symbols in runs of at most RUN, each after the last symbol of the one before, and which runs begin a text."""
     out, heads = [], []
     for r in raw:
         s = np.frombuffer(r, np.uint16)
-        out += [s[i : i + RUN] for i in range(0, len(s), RUN)]
+        out += [s[max(0, i - 1) : i + RUN] for i in range(0, len(s), RUN)]
         heads += [i == 0 for i in range(0, len(s), RUN)]
     return out, np.array(heads, bool)
 
@@ -342,42 +376,112 @@ def reestimate(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarr
     return begins / begins.sum(), steps / steps.sum(1, keepdims=True), emissions / emissions.sum(0)
 
 
-def fit(coded: DataFrame, lex: Lexicon, counts: DataFrame, states: int = STATES, iterations: int = ITERATIONS) -> Model:
-    """Trains on all coded texts (a table with the column symbols)."""
+def by_state(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarray, emit: np.ndarray) -> DataFrame:
+    """(token, cls, n, m0, m1, ...): how often each word that is no symbol occurs, and how often in each state."""
+    shared = coded.sparkSession.sparkContext.broadcast((lex.token, start.astype(np.float32), step.astype(np.float32), emit.astype(np.float32)))
+    n_top, sums = lex.n_top, [f"m{s}" for s in range(len(start))]
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        token, cls, post = (np.concatenate(x) for x in zip(*held, strict=True))
+        token, first, back = np.unique(token, return_index=True, return_inverse=True)
+        total = [np.bincount(back, x, len(token)).astype(np.float32) for x in post.T]
+        columns = [pa.array(token.view(np.int64)), pa.array(cls[first], pa.int32()), pa.array(np.bincount(back, minlength=len(token)), pa.int64()), *map(pa.array, total)]
+        whole = pa.RecordBatch.from_arrays(columns, ["token", "cls", "n", *sums])
+        yield from (whole.slice(lo, 100_000) for lo in range(0, len(token), 100_000))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, *model = shared.value
+        held, size = [], 0
+        for b in batches:
+            tail = np.frombuffer(b"".join(column(b, "tail").to_pylist()), np.int32)
+            if not len(tail):
+                continue
+            hashes = np.empty(len(tail), np.uint64)
+            hashes[tail >= 0] = token[tail[tail >= 0]]
+            hashes[tail < 0] = column(b, "far").flatten().to_numpy().view(np.uint64)
+            part, heads = runs(column(b, "symbols").to_pylist())
+            _, at, order, alpha, _ = posteriors(part, heads, *model)
+            flat = np.concatenate(part).astype(np.int64)
+            first = np.cumsum([0, *(len(x) for x in part[:-1])])
+            other = (flat >= n_top) & (flat < n_top + CLASSES)
+            other[first[~heads]] = False
+            held.append((hashes, (flat[other] - n_top).astype(np.int32), alpha[placed(np.flatnonzero(other), part, at, order)]))
+            size += len(hashes)
+            if size > 1_000_000:
+                yield from merged(held)
+                held, size = [], 0
+        if held:
+            yield from merged(held)
+
+    made = coded.select("symbols", "tail", "far").mapInArrow(run, f"token long, cls int, n long, {', '.join(f'{m} float' for m in sums)}")
+    return made.groupBy("token").agg(F.min("cls").alias("cls"), F.sum("n").alias("n"), *[F.sum(m).cast("float").alias(m) for m in sums])
+
+
+def factors(cls: np.ndarray, n: np.ndarray, m: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """What each state makes of these words' shares of their classes."""
+    p = inside[cls]
+    return ((m + p) / ((n[:, None] + 1.0) * p)).astype(np.float32)
+
+
+def fit(coded: DataFrame, lex: Lexicon, states: int = STATES, iterations: int = ITERATIONS) -> Model:
+    """Trains on all coded texts (a table made by code())."""
     start, emit = mixture(coded, lex, states)
     step = np.full((states, states), 0.05 / states) + 0.95 * np.eye(states)
     for _ in range(iterations):
         start, step, emit = reestimate(coded, lex, start, step, emit)
-    return Model(lex, counts, start, step, emit)
+    table, sums = stored(by_state(coded, lex, start, step, emit)), [f"m{s}" for s in range(states)]
+    inside = np.full((CLASSES, states), 1 / states)
+    for r in table.groupBy("cls").agg(*[F.sum(m).alias(m) for m in sums]).collect():
+        total = np.array(r[1:], float)
+        inside[r["cls"]] = np.maximum(total / total.sum(), 1e-9)
+    factor = np.ones((len(lex.token), states), np.float32)
+    known = table.where(F.col("n") >= int(lex.count.min())).toArrow() if len(lex.token) else None
+    if known is not None and known.num_rows:
+        at = np.searchsorted(lex.token, known["token"].to_numpy().view(np.uint64))
+        factor[at] = factors(known["cls"].to_numpy(), known["n"].to_numpy(), np.stack([known[m].to_numpy() for m in sums], 1), inside)
+    return Model(lex, start, step, emit, inside, factor, table)
 
 
 def score(coded: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """keep, n_tokens, n_known, train_tokens, base_score and score of each coded text."""
-    lex = model.lexicon
-    shared = coded.sparkSession.sparkContext.broadcast((model.start, model.step, model.emit))
+    lex, sums = model.lexicon, [f"m{s}" for s in range(len(model.start))]
+    shared = coded.sparkSession.sparkContext.broadcast((model.start, model.step, model.emit, model.inside, model.factor))
+    n_top = lex.n_top
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start, step, emit, inside, near = shared.value
         for b in batches:
+            if not b.num_rows:
+                continue
             seqs = [np.frombuffer(x, np.uint16) for x in column(b, "symbols").to_pylist()]
-            fit = forward(seqs, *shared.value) / np.log(10) if seqs else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(column(b, c) for c in plain), pa.array(fit)], [*plain, "path"])
-
-    plain = [*keep, "row", "n_tokens", "n_near", "base_near", "share_near"]
-    slim = coded.select(*[F.col(f"`{c}`") for c in plain], "symbols")
-    types = ", ".join(f"`{c}` {t}" for c, t in slim.drop("symbols").dtypes)
-    scored = slim.mapInArrow(run, f"{types}, path double")
-
-    far = coded.select("row", F.explode(F.arrays_zip("far", "far_class")).alias("x")).select("row", F.col("x.far").alias("token"), F.col("x.far_class").alias("cls"))
-    rates = [float(x) for x in lex.class_total + lex.class_distinct + 1.0]
-    share: Column = F.log10((F.col("c") + 1.0) / F.element_at(F.array(*[F.lit(x) for x in rates]), F.col("cls") + 1))
-    unknown = far.join(model.counts.select("token", F.col("n").alias("c")), "token", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    sums = unknown.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("base_far"), F.count_if(F.col("c") > 0).alias("n_far"), F.sum(share).alias("share_far"))
-    out = scored.join(sums, "row", "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
+            first = np.append(0, np.cumsum([len(s) for s in seqs]))
+            flat = np.concatenate(seqs).astype(np.int64)
+            special = np.flatnonzero((flat >= n_top) & (flat < n_top + CLASSES))
+            tail = np.frombuffer(b"".join(column(b, "tail").to_pylist()), np.int32)
+            factor = np.ones((len(tail), len(start)), np.float32)
+            factor[tail >= 0] = near[tail[tail >= 0]]
+            far = np.flatnonzero(tail < 0)
+            far_first = np.searchsorted(special[far], first)
+            met = column(b, "met")
+            owner = np.repeat(np.arange(len(seqs)), pc.fill_null(pc.list_value_length(met), 0).to_numpy())
+            each = met.flatten()
+            get = lambda c: pc.struct_field(each, c).to_numpy()  # noqa: B023, E731
+            n, at = get("n"), far[far_first[owner] + get("nth")]
+            factor[at] = factors(flat[special[at]] - n_top, n, np.stack([get(m) for m in sums], 1), inside)
+            gain = np.bincount(owner, np.log10(n + 1.0), len(seqs))
+            fit = forward(seqs, start, step, emit, special, factor) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*(column(b, c) for c in plain), pa.array(fit, pa.float64()), pa.array(gain, pa.float64()), pa.array(np.bincount(owner, minlength=len(seqs)))], [*plain, "path", "gain_far", "n_far"])
+
+    plain = [*keep, "n_tokens", "n_near", "base_near", "share_near"]
+    words_ = coded.select("row", F.posexplode("far").alias("nth", "token")).join(model.words, "token")
+    met = words_.groupBy("row").agg(F.collect_list(F.struct("nth", "n", *sums)).alias("met"))
+    slim = coded.select(*[F.col(f"`{c}`") for c in plain], "row", "symbols", "tail").join(met, "row", "left").drop("row")
+    types = ", ".join(f"`{c}` {t}" for c, t in slim.select(*[F.col(f"`{c}`") for c in plain]).dtypes)
+    out = slim.mapInArrow(run, f"{types}, path double, gain_far double, n_far long")
     return out.select(
-        *[F.col(f"`{c}`") for c in keep], "n_tokens", (F.col("n_near") + zero("n_far")).alias("n_known"), F.lit(lex.total).cast("long").alias("train_tokens"),
-        (F.col("base_near") + zero("base_far") - F.col("n_tokens") * F.lit(float(np.log10(lex.total + lex.distinct + 1)))).alias("base_score"),
-        (F.col("path") + F.col("share_near") + zero("share_far")).alias("score"),
+        *[F.col(f"`{c}`") for c in keep], "n_tokens", (F.col("n_near") + F.col("n_far")).alias("n_known"), F.lit(lex.total).cast("long").alias("train_tokens"),
+        (F.col("base_near") + F.col("gain_far") - F.col("n_tokens") * F.lit(float(np.log10(lex.total + lex.distinct + 1)))).alias("base_score"),
+        (F.col("path") + F.col("share_near") + F.col("gain_far")).alias("score"),
     )
 
 
@@ -389,7 +493,7 @@ def train_and_score(docs: DataFrame, trains: Column, text_col: str = "text", kee
     counts = stored(count_tokens(docs.where("trains").select("text")))
     lex = lexicon(counts)
     coded = stored(code(docs, lex, "text", own).withColumn("row", F.monotonically_increasing_id()))
-    model = fit(coded.where("trains"), lex, counts, states, iterations)
+    model = fit(coded.where("trains"), lex, states, iterations)
     out = stored(score(coded, model, own[:-1]))
-    dropped(coded, counts)
+    dropped(coded, counts, model.words)
     return out.select(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -89,7 +89,7 @@ def test_states_start_from_all_texts(spark):
         df = docs(spark, texts)
         counts = hmm.count_tokens(df.select("text"))
         lex = hmm.lexicon(counts)
-        model = hmm.fit(hmm.code(df, lex, "text", ["doc_id"]), lex, counts, states=states, iterations=0)
+        model = hmm.fit(hmm.code(df, lex, "text", ["doc_id"]), lex, states=states, iterations=0)
         place = {w: lex.symbol[np.searchsorted(lex.token, textbatch.words(next(textbatch.chunks(pa.array([w])))).hash[0])] for w in ("red", "sea")}
         return model.emit[place["red"]], model.emit[place["sea"]]
 
@@ -102,6 +102,64 @@ def test_states_start_from_all_texts(spark):
     assert red.argmax() != sea.argmax()
 
 
+def test_words_beyond_symbols(spark, monkeypatch):
+    """Emissions of all words in all states, by brute force from the posteriors over all paths, and scores from those."""
+    texts = ["a b a c", "a d b", "e f a", "b g b h", "a a b b", "d e c", "x y", "", None, "a b z z", "c c d", "a q b q a"]
+    df = docs(spark, texts).withColumn("held", F.col("doc_id") >= 9)
+    monkeypatch.setattr(hmm, "TOP", 2)  # a and b
+    scores = []
+    for known in (3, 1 << 19):
+        monkeypatch.setattr(hmm, "KNOWN", known)
+        rows = hmm.train_and_score(df, ~F.col("held"), keep=["doc_id"], states=2, iterations=1).collect()
+        scores.append({r.doc_id: r.score for r in rows})
+    assert scores[0] == {k: pytest.approx(x) for k, x in scores[1].items()}
+
+    training = df.where("NOT held")
+    lex = hmm.lexicon(hmm.count_tokens(training.select("text")))
+    coded = hmm.code(training, lex, "text", ["doc_id"]).withColumn("row", F.col("doc_id"))
+    model = hmm.fit(coded, lex, states=2, iterations=1)
+    by_hash = sorted((b"a", b"b"), key=lambda w: textbatch.words(next(textbatch.chunks(pa.array([w.decode()])))).hash[0])
+    symbol = {None: lex.n_top + hmm.CLASSES, **{w: i for i, w in enumerate(by_hash)}}
+    emit = lambda w: model.emit[symbol[w] if w in symbol else lex.n_top + ord(w)]
+    paths = lambda tokens, e: [(p, model.start[p[0]] * np.prod([model.step[i, j] for i, j in itertools.pairwise(p)]) * np.prod([e(w)[q] for w, q in zip(tokens, p, strict=True)])) for p in itertools.product(range(2), repeat=len(tokens))]
+    spent = {}
+    for t in texts[:9]:
+        tokens = [*words_of(t), None]
+        every = paths(tokens, emit)
+        for p, weight in every:
+            for w, q in zip(tokens, p, strict=True):
+                spent.setdefault(w, np.zeros(2))[q] += weight / sum(x for _, x in every)
+
+    def whole(w):  # every word here is a class of its own
+        if w in symbol or w not in spent:
+            return emit(w)
+        n, p = spent[w].sum(), spent[w] / spent[w].sum()
+        return emit(w) * (n + 1) / (n + 2) * (spent[w] + p) / ((n + 1) * p)
+
+    for i, t in enumerate(texts):
+        tokens = [*words_of(t), None]
+        assert scores[0][i] == pytest.approx(np.log10(sum(x for _, x in paths(tokens, whole))), rel=1e-4)
+
+
+def test_emissions_of_a_class_add_up(spark):
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 9, 50)
+    m = rng.dirichlet([0.3] * 4, 50) * n[:, None]
+    inside = np.full((256, 4), 0.25)
+    inside[7] = m.sum(0) / n.sum()
+    share = (n + 1) / (n.sum() + len(n) + 1)
+    whole = (share[:, None] * hmm.factors(np.full(50, 7), n, m, inside)).sum(0) + 1 / (n.sum() + len(n) + 1)
+    assert whole == pytest.approx(np.ones(4), rel=1e-5)
+
+
+def test_runs_keep_every_transition(monkeypatch):
+    monkeypatch.setattr(hmm, "RUN", 4)
+    text = np.arange(10, dtype=np.uint16)
+    part, heads = hmm.runs([text.tobytes(), text[:3].tobytes()])
+    begins, steps, emissions = hmm.expected(part, heads, np.full(2, 0.5), np.full((2, 2), 0.5), np.full((10, 2), 0.1))
+    assert (begins.sum(), steps.sum(), emissions.sum(1).tolist()) == (pytest.approx(2), pytest.approx(11), pytest.approx([2, 2, 2] + [1] * 7))
+
+
 def test_forward_equals_all_paths():
     rng = np.random.default_rng(0)
     start, step, emit = rng.dirichlet([1] * 3), rng.dirichlet([1] * 3, 3), rng.dirichlet([1] * 4, 3).T
