@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -111,18 +112,30 @@ def pca_loadings(df: DataFrame, cols: list[str], k: int = 3) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, column string, loading double")
 
 
-def kmeans(df: DataFrame, cols: list[str], k: int, seeds: tuple[int, ...] = (42,)) -> KMeansModel:
+def _least_cost(ready: DataFrame, ks: list[int], seeds: tuple[int, ...], parallel: int) -> dict[int, KMeansModel]:
+    """For each k the model of the least cost over several starts (ties: the first start); so many fits run side by side."""
+    fits = [(k, s) for k in ks for s in seeds]
+    with ThreadPoolExecutor(parallel) as pool:
+        models = list(pool.map(lambda f: KMeans(k=f[0], seed=f[1]).fit(ready), fits))
+    best: dict[int, KMeansModel] = {}
+    for (k, _), m in zip(fits, models, strict=True):
+        if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = m
+    return best
+
+
+def kmeans(df: DataFrame, cols: list[str], k: int, seeds: tuple[int, ...] = (42,), parallel: int = 8) -> KMeansModel:
     """The model of the least cost over several starts."""
-    ready = assembled(df, cols)
-    return min((KMeans(k=k, seed=s).fit(ready) for s in seeds), key=lambda m: m.summary.trainingCost)
+    return _least_cost(assembled(df, cols), [k], seeds, parallel)[k]
 
 
-def kmeans_sweep(df: DataFrame, cols: list[str], ks: range = range(2, 11), seeds: tuple[int, ...] = (42,)) -> DataFrame:
-    """(k, inertia): squared distance to the centre per point."""
-    df = df.persist()
-    n = df.count()
-    rows = [(k, float(kmeans(df, cols, k, seeds).summary.trainingCost / n)) for k in ks if n]
-    df.unpersist()
+def kmeans_sweep(df: DataFrame, cols: list[str], ks: range = range(2, 11), seeds: tuple[int, ...] = (42,), parallel: int = 8) -> DataFrame:
+    """(k, inertia): squared distance to the centre per point; none without rows."""
+    ready = assembled(df, cols).select("features").persist()
+    n = ready.count()
+    models = _least_cost(ready, list(ks) if n else [], seeds, parallel)
+    rows = [(k, float(m.summary.trainingCost / n)) for k, m in models.items()]
+    ready.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 

@@ -469,10 +469,11 @@ def price_by_group(s, d):
 
 
 def _matrix(s, d):
-    """All components of every embedding, scaled."""
+    """All components of every embedding, scaled; a written table, since iterative fits plan it anew for each job."""
     rows = L.table(s, d, "embeddings")
     cols = [f"x{i}" for i in range(rows.agg(F.max(F.size("embedding"))).first()[0] or 0)]
-    return segment.scale_matrix(rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)]), cols, ["vec_id"]), cols
+    rows = rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)])
+    return geo.written(segment.scale_matrix(rows, cols, ["vec_id"])), cols
 
 
 @query()

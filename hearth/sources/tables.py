@@ -46,8 +46,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the place that driver and executors share; only where none is set, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="hearth-")
+    """A new folder in the place that driver and executors share; where none is set, a temporary one if all of Spark runs in this process, else an error."""
+    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not base and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    base = base or tempfile.mkdtemp(prefix="hearth-")
     return f"{base}/hearth-{uuid.uuid4().hex}"
 
 
