@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, chat, hmm, langid, licenses, media, ngram_join, packing, secret_scan, topk
+from hearth.llm import bpe, chat, decontaminate, hmm, langid, licenses, media, ngram_join, packing, runs, secret_scan, topk, whitening
 from hearth.llm.textbatch import table
 
 
@@ -81,6 +81,38 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted, ["tree"]).withColumnRenamed("tree", "conv_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """docs; of every tenth, by the hash of its id, the words from some place on repeat those that follow it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.withColumn("h_", h).withColumn("words_", F.when(F.col("h_") % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))))
+    docs = docs.withColumn("a_", F.expr("CASE WHEN size(words_) > 0 THEN (h_ div 10) % size(words_) END"))
+    docs = docs.withColumn("p_", F.expr("1 + (size(words_) - a_) div (3 + (h_ div 10) % 8)"))
+    again = F.expr("array_join(transform(words_, (w, i) -> CASE WHEN i < a_ THEN w ELSE words_[CAST(a_ + (i - a_) % p_ AS INT)] END), ' ')")
+    return docs.withColumn("text", F.when(F.col("a_").isNotNull(), again).otherwise(F.col("text"))).drop("h_", "words_", "a_", "p_")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(repeated(table(spark, sf_dir, "documents").select("doc_id", "text")), keep=["doc_id"])
+    first = F.expr("CAST(NULL AS struct<start:long,length:long,period:long>)")
+    longer = lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b)
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    out = found.withColumn("best", F.aggregate("runs", first, longer)).withColumn("told", F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise(""))
+    best = [F.col("best")[c].alias(c) for c in ("start", "length", "period")]
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, F.expr("1000 * best.length div best.period").alias("exponent_milli"), digest(F.col("told")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_hidden_markov_score": op2_hidden_markov_score,
@@ -92,6 +124,9 @@ QUERIES = {
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op9_sequence_packing": op9_sequence_packing,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 _quote = lambda x: "'" + x.replace("'", "''") + "'"
 _HOLDS = " OR ".join(f"contains(lower({{0}}), '{k}')" for k in licenses.KEYWORDS)
@@ -155,4 +190,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_license_scan": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op10_chat_formatting": OP10_SQL}
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, m, array_to_string(w[k : k + m - 1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, len(w) - m + 1)) AS k FROM b)),
+grams AS (SELECT r, m, k, array_to_string(w[k : k + m - 1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, len(w) - m + 1)) AS k FROM d, (SELECT DISTINCT m FROM windows))),
+met AS (SELECT r, k, m, item FROM grams JOIN windows USING (m, g)),
+hit AS (SELECT r, count(DISTINCT i) AS n_hit FROM (SELECT r, unnest(generate_series(k, k + m - 1)) AS i FROM (SELECT DISTINCT r, k, m FROM met)) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM met GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op13_benchmark_decontamination": OP13_SQL, "op3_license_scan": OP3_SQL, "op6_exact_top_k": OP6_SQL, "op10_chat_formatting": OP10_SQL}

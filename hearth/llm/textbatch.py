@@ -1,7 +1,7 @@
 """Arrow text batches as byte arrays: bounded chunks, word spans and 64-bit word hashes.
 
 Everything here works on one Arrow batch inside a Spark task.  A word is a maximal run of bytes other
-than 0x20 and 0x09-0x0D; its hash ignores the case of A-Z.  Two different words share a hash with a
+than 0x20 and 0x09-0x0D, unless told otherwise; its hash ignores the case of A-Z, unless told otherwise.  Two different words share a hash with a
 probability of about 2**-64 a pair, so V distinct words hold about V*V/2**65 colliding pairs.
 """
 
@@ -20,6 +20,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _VALUES = np.random.default_rng(20240601).integers(1, 1 << 64, 256, dtype=np.uint64)
+_CASED = _VALUES.copy()
 _VALUES[65:91] = _VALUES[97:123]
 _powers: list[np.ndarray] = []
 
@@ -73,14 +74,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def words(chunk: Chunk) -> Words:
-    """The words of each row; none crosses a row's end."""
+def words(chunk: Chunk, space: np.ndarray = SPACE, fold: bool = True) -> Words:
+    """The words of each row; none crosses a row's end. space: which bytes part words; fold: whether A-Z counts as a-z."""
     data, offsets = chunk.data, chunk.offsets
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
-    ink = ~SPACE[data]
+    ink = ~space[data]
     begins, ends = ink.copy(), ink.copy()
     begins[1:] &= ~ink[:-1]
     ends[:-1] &= ~ink[1:]
@@ -91,7 +92,7 @@ def words(chunk: Chunk) -> Words:
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     power, inverse = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUES[data] * power[:n], out=total[1:])
+    np.cumsum((_VALUES if fold else _CASED)[data] * power[:n], out=total[1:])
     h = mix((total[end] - total[start]) * inverse[start])
     return Words(start, end, h, np.searchsorted(start, offsets))
 
