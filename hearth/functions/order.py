@@ -44,29 +44,55 @@ def dense_index(df: DataFrame, order: list[Column], name: str = "index") -> Data
     return local.join(F.broadcast(before), "part_").withColumn(name, F.col("at_") - F.col("first_") + F.col("before_")).drop("part_", "at_", "first_", "before_")
 
 
-def exact_quantiles(df: DataFrame, value: Column, fractions: list[float], accuracy: int = 10_000, plain: int = 100_000) -> DataFrame:
-    """One row (n, q): the interpolated quantiles of value, exactly, nulls and NaN aside; q is an array in order of fractions.
-    A place within a millionth of a whole one is that one.
+def grouped_quantiles(df: DataFrame, by: list[str], values: dict[str, Column], fractions: list[float], extra: tuple[Column, ...] = (), accuracy: int = 10_000, plain: int = 100_000) -> DataFrame:
+    """One row for each group (by may be empty; null is a group): by, the aggregates extra, n_<name> and <name>, an array of the
+    interpolated quantiles of each value, exactly, nulls and NaN aside. A place within a millionth of a whole one is that one; without values the array holds nulls.
 
-    A sketch bounds each wanted rank within about n / accuracy places. A second pass counts what lies below those bounds
-    and the values between them by value, so one task sorts at most a few n / accuracy values, not all distinct ones.
-    Up to `plain` rows the bounds are left open; the result is the same. Without values q holds nulls.
+    Ranks are selected for all groups at once. A sketch bounds each wanted rank of each group within about n / accuracy places. A second
+    pass over df, which should be a stored table, counts what lies below those bounds and the values between them, so no task holds or sorts more than a
+    few n / accuracy values of a group. Up to `plain` values of a group the bounds are left open; the result is the same.
     """
     at = F.array(*[F.lit(float(f)) for f in fractions])
     edges = F.array(*[F.lit(min(1.0, max(0.0, f + s / accuracy))) for f in fractions for s in (-3, 3)])
-    rows = df.select(value.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    sketch = rows.agg(F.count("*").alias("n"), F.approx_percentile("v", edges, accuracy).alias("e"))
-    each = F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(fractions) - 1)), lambda j: F.struct(j.alias("j"), F.get("e", 2 * j).alias("lo"), F.get("e", 2 * j + 1).alias("hi"))))
-    ends = sketch.select("n", each.alias("b")).select("n", "b.*")
+    number = {name: f"v_{i}" for i, name in enumerate(values)}
+    known = lambda c: F.when(~F.isnan(c.cast("double")), c.cast("double"))
+    rows = df.select(*[F.col(c).alias(f"by_{i}") for i, c in enumerate(by)], *[known(c).alias(number[n]) for n, c in values.items()])
+    keys = [f"by_{i}" for i in range(len(by))]
+    sketched = df.select("*", *[known(c).alias(number[n]) for n, c in values.items()]).groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)])
+    sketch = sketched.agg(*extra, *[F.struct(F.count(v).alias("n"), F.approx_percentile(v, edges, accuracy).alias("e")).alias(f"s_{v}") for v in number.values()])
+    told = sketch.select(*[F.col(k).alias(f"of_{k}") for k in keys], *[f"s_{v}" for v in number.values()])
+
+    def beside(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+        return left.join(right, same, how) if keys else left.join(F.broadcast(right), how=how) if how == "left" else left.crossJoin(F.broadcast(right))
+
+    one = lambda i, j, v: F.struct(F.lit(i * len(fractions) + j).alias("j"), F.col(v).alias("v"), F.col(f"s_{v}.n").alias("n"), F.get(F.col(f"s_{v}.e"), F.lit(2 * j)).alias("lo"), F.get(F.col(f"s_{v}.e"), F.lit(2 * j + 1)).alias("hi"))
+    each = F.array(*[one(i, j, v) for i, v in enumerate(number.values()) for j in range(len(fractions))])
+    near = beside(rows, told, "inner").select(*keys, F.explode(each).alias("r")).select(*keys, "r.*").where(F.col("v").isNotNull() & ((F.col("n") <= plain) | (F.col("v") <= F.col("hi"))))
     least = F.when((F.col("n") > plain) & (F.col("v") < F.col("lo")), F.lit(float("-inf"))).otherwise(F.col("v"))
-    near = rows.crossJoin(F.broadcast(ends)).where((F.col("n") <= plain) | (F.col("v") <= F.col("hi")))
-    counts = near.groupBy("j", least.alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"))
-    up_to = counts.withColumn("upto", F.sum("c").over(W.partitionBy("j").orderBy("v")))
-    exact = F.get(at, F.col("j")) * (F.col("n") - 1)
+    counts = near.groupBy(*keys, "j", least.alias("v")).agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    up_to = counts.withColumn("upto", F.sum("c").over(W.partitionBy(*keys, "j").orderBy("v")))
+    exact = F.get(at, (F.col("j") % len(fractions)).cast("int")) * (F.col("n") - 1)
     place = F.when(F.abs(exact - F.round(exact)) < 1e-6, F.round(exact)).otherwise(exact)
     first = lambda k: F.min(F.when(F.col("upto") > k, F.col("v")))
-    picked = up_to.groupBy("j", "n").agg(first(F.floor(place)).alias("a"), first(F.ceil(place)).alias("b"))
+    picked = up_to.groupBy(*keys, "j", "n").agg(first(F.floor(place)).alias("a"), first(F.ceil(place)).alias("b"))
     share = place - F.floor(place)
-    one = picked.select("j", "n", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - share) * F.col("a") + share * F.col("b")).alias("q"))
-    made = one.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.map_from_entries(F.collect_list(F.struct("j", "q"))).alias("m"))
-    return made.select("n", F.array(*[F.col("m")[j] for j in range(len(fractions))]).alias("q"))
+    q = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((1 - share) * F.col("a") + share * F.col("b"))
+    found = picked.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(F.map_from_entries(F.collect_list(F.struct("j", q.alias("q")))).alias("m"))
+    out = beside(sketch, found, "left")
+    got = lambda i: F.array(*[F.try_element_at("m", F.lit(i * len(fractions) + j)) for j in range(len(fractions))])
+    kept = [c for c in sketch.columns if c not in keys and not c.startswith("s_v_")]
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, by, strict=True)], *kept, *[x for i, (n, v) in enumerate(number.items()) for x in (F.col(f"s_{v}.n").alias(f"n_{n}"), got(i).alias(n))])
+
+
+def grouped_medians(df: DataFrame, by: list[str], values: dict[str, Column], extra: tuple[Column, ...] = ()) -> DataFrame:
+    """One row for each group: by, the aggregates extra and the exact median of each value by its name."""
+    made = grouped_quantiles(df, by, values, [0.5], extra)
+    return made.select(*[c for c in made.columns if c not in values and c not in {f"n_{n}" for n in values}], *[F.col(n)[0].alias(n) for n in values])
+
+
+def exact_quantiles(df: DataFrame, value: Column, fractions: list[float], accuracy: int = 10_000, plain: int = 100_000) -> DataFrame:
+    """One row (n, q): the interpolated quantiles of value as grouped_quantiles() finds them, q an array in order of fractions."""
+    return grouped_quantiles(df, [], {"q": value}, fractions, (), accuracy, plain).select(F.col("n_q").alias("n"), "q")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.numbers import as_double
+from hearth.functions.order import grouped_medians, grouped_quantiles
 from hearth.schema import NUMERIC, SENTINEL
 
 #: Plausible ranges, the box of the four communes and the filters of both markets (fixed values).
@@ -39,7 +40,7 @@ def between(c: str, lo: float, hi: float) -> Column:
 def infer_rate(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The median of CLP over UF where both are known: one row, or one for each group."""
     ratio = F.when(F.col("precio_uf") > 0, F.col("precio_clp") / F.col("precio_uf"))
-    return df.groupBy(*(by or [])).agg(F.percentile(ratio, 0.5).alias("rate"))
+    return grouped_medians(df, by or [], {"rate": ratio})
 
 
 def swapped() -> Column:
@@ -108,5 +109,5 @@ def coverage(df: DataFrame, cols: list[str], by: list[str] | None = None) -> Dat
 def percentile_trim(df: DataFrame, value: Column, by: list[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
     """Rows whose value lies between two percentiles of their group."""
     rows = df.withColumn("trim_value", value)
-    edges = rows.groupBy(*by).agg(F.percentile("trim_value", F.array(F.lit(lo), F.lit(hi))).alias("edges"))
+    edges = grouped_quantiles(rows, by, {"edges": F.col("trim_value")}, [lo, hi]).select(*by, "edges")
     return rows.join(edges, by).where(F.col("trim_value").between(F.col("edges")[0], F.col("edges")[1])).drop("edges", "trim_value")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import dense_index, random_order, uniform
+from hearth.functions.order import dense_index, grouped_medians, random_order, uniform
 from hearth.functions.text import norm_address
 from hearth.operators.clean import cast_numeric
 from hearth.operators.geo import cell_key
@@ -113,5 +113,5 @@ def one_per_situation(df: DataFrame, situation: Column, key: str, seed: int = 42
 
 def split_composition(df: DataFrame, by: str = "sitio", value: str = "y") -> DataFrame:
     """Share of each source and median of the target on both sides."""
-    rows = df.groupBy("side", by).agg(F.count("*").alias("n"), F.round(F.percentile(value, 0.5), 4).alias("median"))
+    rows = grouped_medians(df, ["side", by], {"median": F.col(value)}, (F.count("*").alias("n"),)).withColumn("median", F.round("median", 4))
     return rows.withColumn("share", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy("side")), 4))

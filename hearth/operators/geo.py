@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.sources.tables import shared_folder
+from hearth.functions.order import grouped_quantiles
+from hearth.sources.scratch import stored
 
 EARTH_M = 6_371_000.0
 #: Reviews that a place needs, and the place types of each dense group (fixed values).
@@ -87,13 +88,6 @@ def within(points: DataFrame, pois: DataFrame, reach: float) -> DataFrame:
     return pairs.where(F.col("d") <= reach)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataFrame:
     """Nearest place and number within the radius, for every point (point, lat, lon) and category.
 
@@ -105,8 +99,8 @@ def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataF
     left = points.where(located).select("point", "lat", "lon").crossJoin(F.broadcast(p.select("categoria").distinct()))
     made, reach = None, radius
     while True:
-        left = written(left)  # else each round's plan holds those before twice
-        found = written(summary(within(left, p, reach), radius))
+        left = stored(left)  # else each round's plan holds those before twice
+        found = stored(summary(within(left, p, reach), radius))
         made = found if made is None else made.unionByName(found)
         if reach > math.pi * EARTH_M:
             return made
@@ -163,8 +157,7 @@ def hand_out(listings: DataFrame, summaries: DataFrame) -> DataFrame:
 
 def distance_quartiles(near: DataFrame) -> DataFrame:
     """Quartiles and maximum of the nearest distance of each category."""
-    q = F.percentile("mas_cercano_m", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    rows = near.groupBy("categoria").agg(F.count("*").alias("n"), q.alias("q"), F.max("mas_cercano_m").alias("max_m"))
+    rows = grouped_quantiles(near, ["categoria"], {"q": F.col("mas_cercano_m")}, [0.25, 0.5, 0.75], (F.count("*").alias("n"), F.max("mas_cercano_m").alias("max_m")))
     return rows.select("categoria", "n", *[F.col("q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))], "max_m")
 
 

@@ -16,6 +16,12 @@ def search_space(spark: SparkSession, communes: list[str], markets: list[str], k
     return one("comuna", communes).crossJoin(one("operacion", markets)).crossJoin(one("tipo", kinds))
 
 
+def searches_of(listings: DataFrame) -> DataFrame:
+    """All searches over the communes, markets and kinds that listings name; three small tables crossed."""
+    one = lambda c: listings.select(c).where(F.col(c).isNotNull()).distinct()
+    return one("comuna").crossJoin(one("operacion")).crossJoin(one("tipo"))
+
+
 def frontier(space: DataFrame, n_pages: int, page_size: int = 48, base: str = "https://www.portalinmobiliario.com") -> DataFrame:
     """One URL for each search and page of results."""
     pages = space.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(n_pages - 1))))
@@ -48,6 +54,20 @@ def upsert_latest(base: DataFrame, batch: DataFrame, order: list[str], keys: lis
     return every.groupBy(*[F.col(k).alias(f"key_{k}") for k in keys]).agg(latest).select("r.*")
 
 
+def upsert_keyed(base: DataFrame, batch: DataFrame, order: list[str], keys: list[str] = KEY) -> DataFrame:
+    """upsert_latest() where base has unique keys, which need a value: a join on the keys, so that a base in buckets of its keys stays where it is.
+
+    Of equal order the batch's row counts; a missing order is older than any.
+    """
+    cols = base.columns
+    latest = F.max_by(F.struct(*cols), F.struct(*order)).alias("new")
+    new = batch.groupBy(*keys).agg(latest)
+    both = base.withColumn("old", F.struct(*cols)).select(*keys, "old").join(new, keys, "full_outer")
+    at = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
+    wins = F.col("old").isNull() | (F.col("new").isNotNull() & (at("new") >= at("old")))
+    return both.select(F.when(wins, F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
+
+
 def pending(todo: DataFrame, done: DataFrame, keys: list[str] = KEY, limit: int | None = None) -> DataFrame:
     """Rows of todo whose key isn't done; limit takes the first by key."""
     left = todo.join(done.select(*keys), keys, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import exact_quantiles
+from hearth.functions.order import exact_quantiles, grouped_medians
 
 MEASURES = ["n", "mdape", "ppe10", "ppe20", "cod", "prd", "r2", "mae"]
 
@@ -18,31 +18,29 @@ def errors(df: DataFrame, y: str = "y", p: str = "pred") -> DataFrame:
     return rows.withColumns({"ape": F.abs(F.col(p) - F.col(y)) / F.col(y) * 100, "ratio": F.col(p) / F.col(y)})
 
 
-def median(c: str | Column) -> Column:
-    return F.percentile(c, 0.5)
-
-
 def ratio_study(df: DataFrame, y: str = "y", p: str = "pred", by: tuple[str, ...] = ()) -> DataFrame:
-    """n, MdAPE, PPE10, PPE20, COD, PRD, R2 and MAE, of all rows or by group.
+    """n, MdAPE, PPE10, PPE20, COD, PRD, R2 and MAE, of all rows or by group (null is a group).
 
-    Two passes: medians and means first, then the deviations from them.
+    Medians by rank selection first, then the deviations from them; df is read three times and should be a stored table.
     """
     rows = errors(df, y, p)
-    first = rows.groupBy(*by).agg(median("ratio").alias("mid"), F.avg(y).alias("mean_y"))
-    both = rows.crossJoin(F.broadcast(first)) if not by else rows.join(first, list(by))
+    names = [f"of_{c}" for c in by]
+    first = grouped_medians(rows, list(by), {"mid": F.col("ratio"), "mdape": F.col("ape")}).withColumnsRenamed(dict(zip(by, names, strict=True)))
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names, strict=True)]
+    both = rows.crossJoin(F.broadcast(first)) if not by else rows.join(first, same)
     yy, pp = F.col(y), F.col(p)
     made = both.groupBy(*by).agg(
-        F.count("*").alias("n"), median("ape").alias("mdape"),
+        F.count("*").alias("n"), F.first("mdape").alias("mdape"),
         (100 * F.avg((F.col("ape") <= 10 + 1e-9).cast("double"))).alias("ppe10"), (100 * F.avg((F.col("ape") <= 20 + 1e-9).cast("double"))).alias("ppe20"),
         (100 * F.avg(F.abs(F.col("ratio") - F.col("mid"))) / F.first("mid")).alias("cod"), (F.avg("ratio") / (F.sum(p) / F.sum(y))).alias("prd"),
-        (1 - F.try_divide(F.sum((yy - pp) * (yy - pp)), F.sum((yy - F.col("mean_y")) * (yy - F.col("mean_y"))))).alias("r2"), F.avg(F.abs(yy - pp)).alias("mae"),
+        (1 - F.try_divide(F.sum((yy - pp) * (yy - pp)), F.var_pop(yy) * F.count("*"))).alias("r2"), F.avg(F.abs(yy - pp)).alias("mae"),
     )
     return made.select(*by, "n", *[F.round(m, 6).alias(m) for m in MEASURES[1:]])
 
 
 def median_floor(train: DataFrame, test: DataFrame, y: str = "y") -> DataFrame:
     """The study of predicting the training median everywhere."""
-    return ratio_study(test.crossJoin(F.broadcast(train.agg(median(y).alias("floor")))), y, "floor")
+    return ratio_study(test.crossJoin(F.broadcast(grouped_medians(train, [], {"floor": F.col(y)}))), y, "floor")
 
 
 def by_segment(df: DataFrame, segments: list[str], y: str = "y", p: str = "pred") -> DataFrame:
@@ -50,7 +48,8 @@ def by_segment(df: DataFrame, segments: list[str], y: str = "y", p: str = "pred"
     rows = errors(df, y, p)
     named = F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(s).cast("string").alias("value")) for s in segments])).alias("s")
     long = rows.select("ape", "ratio", named)
-    made = long.groupBy("s.segment", "s.value").agg(F.count("*").alias("n"), median("ape").alias("mdape"), (100 * F.avg((F.col("ape") <= 10 + 1e-9).cast("double"))).alias("ppe10"), median("ratio").alias("ratio"))
+    extra = (F.count("*").alias("n"), (100 * F.avg((F.col("ape") <= 10 + 1e-9).cast("double"))).alias("ppe10"))
+    made = grouped_medians(long.select("ape", F.col("ratio").alias("r"), "s.*"), ["segment", "value"], {"mdape": F.col("ape"), "ratio": F.col("r")}, extra)
     return made.select("segment", "value", "n", *[F.round(c, 6).alias(c) for c in ("mdape", "ppe10", "ratio")])
 
 
@@ -69,7 +68,8 @@ def by_quantile(df: DataFrame, y: str = "y", p: str = "pred", n: int = 5) -> Dat
 def vertical_profile(df: DataFrame, y: str = "y", p: str = "pred") -> DataFrame:
     """MdAPE, COD and PRD, and the median ratio of the cheapest and the dearest fifth."""
     fifths = with_quantile(errors(df, y, p), y)
-    ends = fifths.agg(F.round(median(F.when(F.col("quantile") == 1, F.col("ratio"))), 6).alias("ratio_cheapest"), F.round(median(F.when(F.col("quantile") == 5, F.col("ratio"))), 6).alias("ratio_dearest"))
+    ends = grouped_medians(fifths, [], {f"ratio_{n}": F.when(F.col("quantile") == k, F.col("ratio")) for k, n in ((1, "cheapest"), (5, "dearest"))})
+    ends = ends.select(*[F.round(c, 6).alias(c) for c in ends.columns])
     return ratio_study(df, y, p).select("mdape", "cod", "prd").crossJoin(F.broadcast(ends))
 
 
@@ -90,8 +90,8 @@ def compare_splits(grouped: DataFrame, random: DataFrame) -> DataFrame:
 def segment_error(df: DataFrame, segments: dict[str, Column], y: str = "y", p: str = "pred", min_n: int = 30) -> DataFrame:
     """(segment, n, mdape): the median error of each, or of all rows where it has too few."""
     rows = errors(df, y, p)
-    made = rows.agg(median("ape").alias("all_"), *[x for s, c in segments.items() for x in (F.count_if(c).alias(f"n_{s}"), median(F.when(c, F.col("ape"))).alias(f"m_{s}"))])
-    one = [F.struct(F.lit(s).alias("segment"), F.col(f"n_{s}").alias("n"), F.round(F.when(F.col(f"n_{s}") >= min_n, F.col(f"m_{s}")).otherwise(F.col("all_")), 6).alias("mdape")) for s in segments]
+    made = grouped_medians(rows, [], {"all_": F.col("ape")} | {f"m_{s}": F.when(c, F.col("ape")) for s, c in segments.items()}, tuple(F.count_if(c).alias(f"k_{s}") for s, c in segments.items()))
+    one = [F.struct(F.lit(s).alias("segment"), F.col(f"k_{s}").alias("n"), F.round(F.when(F.col(f"k_{s}") >= min_n, F.col(f"m_{s}")).otherwise(F.col("all_")), 6).alias("mdape")) for s in segments]
     return made.select(F.explode(F.array(*one)).alias("r")).select("r.*")
 
 
@@ -115,10 +115,10 @@ def histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int = 60) -
 def group_median_gain(df: DataFrame, group: str, y: str = "y") -> DataFrame:
     """MdAPE of predicting each group's median, and of predicting the median of all."""
     rows = df.where(F.col(y) > 0)
-    medians = rows.groupBy(group).agg(median(y).alias("group_median"))
-    both = rows.join(medians, group).crossJoin(F.broadcast(rows.agg(median(y).alias("all_median"))))
-    ape = lambda p: median(F.abs(F.col(p) - F.col(y)) / F.col(y) * 100)
-    made = both.agg(ape("all_median").alias("a"), ape("group_median").alias("g"))
+    medians = grouped_medians(rows, [group], {"group_median": F.col(y)})
+    both = rows.join(medians, group).crossJoin(F.broadcast(grouped_medians(rows, [], {"all_median": F.col(y)})))
+    ape = lambda p: F.abs(F.col(p) - F.col(y)) / F.col(y) * 100
+    made = grouped_medians(both, [], {"a": ape("all_median"), "g": ape("group_median")})
     return made.select(F.round("a", 6).alias("mdape_all"), F.round("g", 6).alias("mdape_group"), F.round(F.col("a") - F.col("g"), 6).alias("gain"))
 
 

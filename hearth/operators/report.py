@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import exact_quantiles
-from hearth.operators.ratio import median
+from hearth.functions.order import exact_quantiles, grouped_medians
 
 COMMUNES = ["la-florida", "macul", "nunoa", "san-miguel"]
 KINDS = ["casa", "departamento"]
@@ -32,8 +31,8 @@ def year_by_commune(df: DataFrame) -> DataFrame:
 def market_medians(df: DataFrame) -> DataFrame:
     """Median sale price, sale price a square metre and rent of each commune and kind; empty cells stay in."""
     sale = (F.col("operacion") == "venta") & F.col("precio_uf").isNotNull()
-    m = lambda cond, c: F.round(median(F.when(cond, c)), 4)
-    made = df.groupBy("comuna", "tipo").agg(m(sale, F.col("precio_uf")).alias("sale_uf"), m(sale & (F.col("m2_util") > 10), F.col("precio_uf") / F.col("m2_util")).alias("sale_uf_m2"), m(F.col("operacion") == "arriendo", F.col("precio_clp")).alias("rent_clp"), F.count("*").alias("n"))
+    values = {"sale_uf": F.when(sale, F.col("precio_uf")), "sale_uf_m2": F.when(sale & (F.col("m2_util") > 10), F.col("precio_uf") / F.col("m2_util")), "rent_clp": F.when(F.col("operacion") == "arriendo", F.col("precio_clp"))}
+    made = grouped_medians(df, ["comuna", "tipo"], values, (F.count("*").alias("n"),)).withColumns({c: F.round(c, 4) for c in values})
     dim = df.sparkSession.createDataFrame([(c, t) for c in COMMUNES for t in KINDS], "comuna string, tipo string")
     return dim.join(made, ["comuna", "tipo"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 

@@ -14,14 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.functions.order import deals, dense_index, exact_quantiles, random_order, uniform
+from hearth.functions.order import deals, dense_index, exact_quantiles, grouped_medians, grouped_quantiles, random_order, uniform
 from hearth.operators.features import sample_n
-from hearth.operators.ratio import median
 
 
 def scale_matrix(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
     """keep and cols, missing values as the column's median, then scaled by the population deviation."""
-    medians = df.agg(*[median(c).alias(f"m_{c}") for c in cols])
+    medians = grouped_medians(df, [], {f"m_{c}": F.col(c) for c in cols})
     filled = df.crossJoin(F.broadcast(medians)).select(*keep, *[F.coalesce(F.col(c), F.col(f"m_{c}")).alias(c) for c in cols])
     moments = filled.agg(*[x for c in cols for x in (F.avg(c).alias(f"a_{c}"), F.stddev_pop(c).alias(f"s_{c}"))])
     scaled = lambda c: F.coalesce(F.try_divide(F.col(c) - F.col(f"a_{c}"), F.col(f"s_{c}")), F.lit(0.0))
@@ -197,15 +196,14 @@ def eta_by_chance(df: DataFrame, y: str, group: str, key: str, replicates: int =
 
 def profile(df: DataFrame, group: str, price: str) -> DataFrame:
     """Size, share, share of houses and medians of each group."""
-    m = lambda c: F.round(median(c), 4)
-    made = df.groupBy(group).agg(F.count("*").alias("n"), F.round(100 * F.avg((F.col("tipo") == "casa").cast("double")), 4).alias("pct_houses"), m("m2_util").alias("m2_util"), m("dormitorios").alias("dormitorios"), m(price).alias("price"), m(F.try_divide(price, "m2_util")).alias("price_m2"))
-    return made.withColumn("share", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy()), 4))
+    values = {"m2_util": F.col("m2_util"), "dormitorios": F.col("dormitorios"), "price": F.col(price), "price_m2": F.try_divide(price, "m2_util")}
+    made = grouped_medians(df, [group], values, (F.count("*").alias("n"), F.round(100 * F.avg((F.col("tipo") == "casa").cast("double")), 4).alias("pct_houses")))
+    return made.withColumns({c: F.round(c, 4) for c in values}).withColumn("share", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy()), 4))
 
 
 def describe_price(df: DataFrame, group: str, price: str) -> DataFrame:
     """Count, quartiles, and the ratio of the group's median to the least median."""
-    q = F.percentile(price, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    rows = df.groupBy(group).agg(F.count(price).alias("n"), q.alias("q")).select(group, "n", *[F.round(F.col("q")[i], 4).alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
+    rows = grouped_quantiles(df, [group], {"q": F.col(price)}, [0.25, 0.5, 0.75]).withColumnRenamed("n_q", "n").select(group, "n", *[F.round(F.col("q")[i], 4).alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
     return rows.withColumn("times_least", F.round(F.col("p50") / F.min("p50").over(W.partitionBy()), 6))
 
 

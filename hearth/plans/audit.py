@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hearth.functions.order import grouped_medians
 from hearth.functions.text import slug
-from hearth.operators import features, geo, ingest, ratio, report, score
+from hearth.operators import features, geo, ingest, report, score
 from hearth.plans import listings as L
 from hearth.plans.queries import query
-from hearth.sources import tables
+from hearth.sources import bucketed, tables
+from hearth.sources.scratch import place, stored
 
 
 def KEY() -> Column:
@@ -29,7 +31,7 @@ def table_columns(s, d):
 @query(""" SELECT id_aviso, comuna, direccion, CASE WHEN m2_total IS NULL THEN 'SIN_DATO' ELSE m2_total::BIGINT::VARCHAR END AS m2_total, 'SIN_DATO' AS titulo FROM typed""")
 def csv_round_trip(s, d):
     """Missing text as the sentinel, written as CSV and read back as text."""
-    path = tables.shared_folder(s)
+    path = place(s)
     raw = L.raw_listings(s, d)
     blank = raw.withColumn("titulo", F.lit(None).cast("string"))
     tables.write_csv(tables.restore_sentinel(blank, ["titulo"]), path)
@@ -40,7 +42,7 @@ def csv_round_trip(s, d):
 def migrated(s, d):
     """An older frame gets the columns and types that a newer schema declares."""
     wanted = StructType().add("id_aviso", "string").add("m2_util", "double").add("descripcion", "string").add("uf_usada", "double")
-    path = tables.shared_folder(s)
+    path = place(s)
     tables.create_table(s, wanted, path)
     older = L.raw_listings(s, d).select("id_aviso", "m2_util")
     return s.read.parquet(path).unionByName(tables.migrate(older, wanted))
@@ -62,8 +64,7 @@ def fresh_events(s, d):
 def crawl_frontier(s, d):
     """B1, B2: every search that the listings' values allow, three pages each."""
     rows = L.typed(s, d)
-    values = {c: sorted(r[0] for r in rows.select(c).distinct().limit(1000).collect()) for c in ("comuna", "operacion", "tipo")}  # a handful of names each
-    return ingest.frontier(ingest.search_space(s, *values.values()), 3).select("comuna", "operacion", "tipo", F.col("page").cast("int").alias("page"), "url")
+    return ingest.frontier(ingest.searches_of(rows), 3).select("comuna", "operacion", "tipo", F.col("page").cast("int").alias("page"), "url")
 
 
 @query(""" SELECT sitio, id_aviso, CASE WHEN k % 3 = 0 AND k % 6 <> 0 THEN m2_util + 1 ELSE m2_util END AS m2_util, CASE WHEN k % 3 = 0 THEN 1 ELSE detalle_ok END AS detalle_ok, comuna FROM (SELECT *, id_aviso::BIGINT AS k FROM typed)""")
@@ -84,6 +85,30 @@ def upsert_newer_and_older(s, d):
     return ingest.upsert_latest(base, newer.union(older), ["at"], ["l_orderkey", "l_linenumber"])
 
 
+BUCKETS = 8
+
+
+@query(""", b AS (SELECT sitio, id_aviso, id_aviso::BIGINT AS k, m2_util, precio_uf, comuna FROM typed) SELECT sitio, id_aviso, CASE WHEN k % 3 = 0 AND k % 6 <> 0 THEN m2_util + 1 ELSE m2_util END AS m2_util, CASE WHEN k % 3 = 0 THEN coalesce(precio_uf + 1, precio_uf) ELSE precio_uf END AS precio_uf, comuna FROM b""")
+def merge_into_buckets(s, d):
+    """A batch merged into a table in buckets of its keys, which is not shuffled."""
+    base = L.typed(s, d).select("sitio", "id_aviso", "m2_util", "precio_uf", "comuna")
+    table = bucketed.write_bucketed(base, place(s), ["sitio", "id_aviso"], BUCKETS)
+    batch = base.where(KEY() % 3 == 0).select("sitio", "id_aviso", F.when(KEY() % 6 != 0, F.col("m2_util") + 1).alias("m2_util"), (F.col("precio_uf") + 1).alias("precio_uf"))
+    return ingest.merge_partial(table, batch, ["m2_util", "precio_uf"])
+
+
+@query(""" SELECT l_orderkey, l_linenumber, max(CASE WHEN l_linenumber % 2 = 1 THEN l_quantity + 100 ELSE l_quantity END) AS l_quantity, (CASE WHEN l_linenumber % 2 = 1 THEN 2 ELSE 1 END)::INT AS at FROM lineitem GROUP BY l_orderkey, l_linenumber""")
+def upsert_into_buckets(s, d):
+    """Newer rows replace those of a table in buckets, older ones do not; the table is opened anew, as by a later session."""
+    base = L.table(s, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity")).withColumn("at", F.lit(1))
+    path, keys = place(s), ["l_orderkey", "l_linenumber"]
+    bucketed.write_bucketed(base, path, keys, BUCKETS)
+    table = bucketed.read_bucketed(s, path, keys, BUCKETS)
+    newer = base.where("l_linenumber % 2 = 1").withColumns({"l_quantity": F.col("l_quantity") + 100, "at": F.lit(2)})
+    older = base.where("l_linenumber % 3 = 0").withColumns({"l_quantity": F.lit(0.0), "at": F.lit(0)})
+    return ingest.upsert_keyed(table, newer.union(older), ["at"], keys)
+
+
 @query(""" SELECT sitio, id_aviso, CASE WHEN id_aviso::BIGINT % 2 = 0 THEN m2_util * 2 ELSE m2_total END AS m2_total FROM typed""")
 def written_back(s, d):
     """A computed column by key; other rows keep what they hold."""
@@ -95,7 +120,7 @@ def written_back(s, d):
 @query(""" SELECT poi_id, CASE WHEN categoria = 'metro' THEN nombre || ' nuevo' ELSE nombre END AS nombre, categoria FROM places""")
 def replaced_category(s, d):
     """One category is replaced, the others stay."""
-    path, rows = tables.shared_folder(s), L.places(s, d).select("poi_id", "nombre", "categoria")
+    path, rows = place(s), L.places(s, d).select("poi_id", "nombre", "categoria")
     ingest.overwrite_partitions(rows, path, "categoria")
     ingest.overwrite_partitions(rows.where("categoria = 'metro'").withColumn("nombre", F.concat("nombre", F.lit(" nuevo"))), path, "categoria")
     return s.read.schema(rows.schema).parquet(path)
@@ -172,9 +197,9 @@ def service_features(s, d):
 
 def _scored(s: SparkSession, d: str, extra: Column | float = 0.0) -> DataFrame:
     """Sales with a price by area: the commune's median price a square metre, and a range around it."""
-    rows = L.targets(s, d).where("operacion = 'venta'")
-    rates = rows.groupBy("comuna").agg(ratio.median(F.col("y") / F.col("m2_util")).alias("rate"))
-    made = rows.join(F.broadcast(rates), "comuna").withColumn("pred", F.col("rate") * (F.col("m2_util") + extra))
+    rows = L.slim(s, d).where("operacion = 'venta'")
+    rates = grouped_medians(rows, ["comuna"], {"rate": F.col("y") / F.col("m2_util")})
+    made = stored(rows.join(rates, "comuna")).withColumn("pred", F.col("rate") * (F.col("m2_util") + extra))
     return made.withColumns({"lo": F.col("pred") * (0.7 + KEY() % 5 * 0.1), "hi": F.col("pred") * (0.9 + KEY() % 5 * 0.1)})
 
 
@@ -194,8 +219,9 @@ def range_holds_estimate(s, d):
 def spelling_of_comuna(s, d):
     """Estimates of listings whose commune is spelled with capitals, accents and spaces."""
     spelled = F.when(F.col("comuna") == "nunoa", " Ñuñoa").when(F.col("comuna") == "la-florida", "La Florida").when(F.col("comuna") == "san-miguel", "SAN_MIGUEL ").otherwise("Macul")
-    rates = _scored(s, d).groupBy("comuna").agg(F.max("rate").alias("other"))
-    again = _scored(s, d).withColumn("comuna", slug(spelled)).join(F.broadcast(rates), "comuna", "left")
+    rows = _scored(s, d)
+    rates = rows.groupBy("comuna").agg(F.max("rate").alias("other"))
+    again = rows.withColumn("comuna", slug(spelled)).join(F.broadcast(rates), "comuna", "left")
     return again.agg(F.count("*").alias("n"), F.count_if(~(F.col("other") * F.col("m2_util")).eqNullSafe(F.col("pred"))).alias("n_different"))
 
 
@@ -211,7 +237,8 @@ def enrichment_check(s, d):
 def metrics_of_card(s, d):
     """A study beside its card; one published number is off."""
     rows = _scored(s, d)
-    study = rows.agg(F.round(100 * ratio.median(F.abs(F.col("pred") / F.col("y") - 1)), 6).alias("mdape"), F.count("*").cast("double").alias("n"))
+    made = grouped_medians(rows, [], {"m": F.abs(F.col("pred") / F.col("y") - 1)}, (F.count("*").cast("double").alias("n"),))
+    study = made.select(F.round(100 * F.col("m"), 6).alias("mdape"), "n")
     card = study.select(F.explode(F.array(F.struct(F.lit("mdape").alias("metric"), (F.col("mdape") + 0.005).alias("value")), F.struct(F.lit("n").alias("metric"), (F.col("n") + 1).alias("value")))).alias("c")).select("c.*")
     return report.same_metrics(study, card, {"mdape": 0.01, "n": 0.5}).select("metric", "found", "ok")
 
@@ -231,15 +258,16 @@ def implausible_estimates(s, d):
     return report.implausible(_scored(s, d), "pred", 2000.0, 20000.0)
 
 
-@query(""" SELECT 'n_dates' AS "column", true AS equal FROM (SELECT count(*) FROM typed) UNION ALL SELECT 'rate', (SELECT round(median(precio_clp / precio_uf) FILTER (operacion = 'venta' AND precio_uf > 0), 6) = round(median(precio_clp / precio_uf) FILTER (operacion = 'arriendo' AND precio_uf > 0), 6) FROM typed) UNION ALL SELECT 'median_uf', (SELECT median(precio_uf) FILTER (operacion = 'venta') = median(precio_uf) FILTER (operacion = 'arriendo') FROM typed)""")
+@query(""" SELECT 'n_dates' AS "column", (SELECT count(DISTINCT fecha_scrape) FILTER (operacion = 'venta') = count(DISTINCT fecha_scrape) FILTER (operacion = 'arriendo') FROM typed) AS equal UNION ALL SELECT 'filled', (SELECT count(m2_total) FILTER (operacion = 'venta') = count(m2_total) FILTER (operacion = 'arriendo') FROM typed) UNION ALL SELECT 'rate', (SELECT round(median(precio_clp / precio_uf) FILTER (operacion = 'venta' AND precio_uf > 0), 6) = round(median(precio_clp / precio_uf) FILTER (operacion = 'arriendo' AND precio_uf > 0), 6) FROM typed) UNION ALL SELECT 'median_uf', (SELECT median(precio_uf) FILTER (operacion = 'venta') = median(precio_uf) FILTER (operacion = 'arriendo') FROM typed)""")
 def params_agreement(s, d):
     """Parameters of the sale and the rent frame; rates and dates agree, prices don't."""
     def params(market: str) -> DataFrame:
         rows = L.typed(s, d).where(F.col("operacion") == market)
         rate = F.when(F.col("precio_uf") > 0, F.col("precio_clp") / F.col("precio_uf"))
-        return rows.agg(F.round(F.percentile(rate, 0.5), 6).alias("rate"), F.count_distinct(F.length("fecha_scrape")).alias("n_dates"), F.percentile("precio_uf", 0.5).alias("median_uf"))
+        dates = rows.agg(F.count_distinct("fecha_scrape").alias("n_dates"), F.count("m2_total").alias("filled"))
+        return grouped_medians(rows, [], {"rate": rate, "median_uf": F.col("precio_uf")}).withColumn("rate", F.round("rate", 6)).crossJoin(dates)
 
-    return report.params_agreement(params("venta"), params("arriendo"), ["rate", "n_dates", "median_uf"])
+    return report.params_agreement(params("venta"), params("arriendo"), ["rate", "n_dates", "filled", "median_uf"])
 
 
 @query(""" SELECT sum((m2_total IS NULL)::BIGINT + (bodegas IS NULL)::BIGINT + (precio_uf IS NULL)::BIGINT + (lat IS NULL)::BIGINT)::BIGINT AS n_nulls FROM typed""")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.operators.clean import cast_numeric, null_sentinel, repair, target_filter
+from hearth.operators.clean import cast_numeric, infer_rate, null_sentinel, repair, target_filter
 from hearth.operators.geo import cells
-from hearth.operators.ratio import median
+from hearth.functions.order import grouped_quantiles
+from hearth.sources.scratch import stored
 from hearth.schema import RAW_COLUMNS, SENTINEL
 from hearth.sources.tables import read_table
 
@@ -16,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+#: Columns that the given tables hold nothing for.
+UNUSED = ["url", "barrio", "titulo", "precio_valor", "precio_moneda", "antiguedad_aviso_dias", "descripcion", "publica"]
+
+STUDIED = ["sitio", "id_aviso", "operacion", "tipo", "comuna", "m2_util", "lat", "lon", "direccion", "y"]
+
+
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as raw listings, all text, with the sentinel; a customer stands for a building."""
     k, b = F.col("o_orderkey"), F.col("o_custkey")
@@ -44,20 +51,25 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repair(typed(spark, sf_dir))
+    rows = typed(spark, sf_dir)
+    return repair(rows, spark.createDataFrame([tuple(infer_rate(rows).first())], "rate double"))  # one number, found once
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_filter(clean(spark, sf_dir))
 
 
+def slim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the targets that studies need, as a stored table: they read it several times, and the chain of repairs is long."""
+    return stored(targets(spark, sf_dir).select(*STUDIED))
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings with the median of their commune, kind and market as pred, and the group's quartiles as lo and hi."""
-    rows = targets(spark, sf_dir)
+    rows = slim(spark, sf_dir)
     by = ["comuna", "tipo", "operacion"]
-    q = F.percentile("y", F.array(F.lit(0.25), F.lit(0.75)))
-    groups = rows.groupBy(*by).agg(median("y").alias("pred"), q.alias("q")).select(*by, "pred", F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    return rows.join(F.broadcast(groups), by)
+    groups = grouped_quantiles(rows, by, {"q": F.col("y")}, [0.25, 0.5, 0.75]).select(*by, F.col("q")[1].alias("pred"), F.col("q")[0].alias("lo"), F.col("q")[2].alias("hi"))
+    return rows.join(groups, by)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

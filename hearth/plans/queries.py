@@ -11,7 +11,8 @@ from hearth.functions import numbers, text
 from hearth.operators import clean, extract, features, geo, ingest, model, ratio, report, score, segment
 from hearth.plans import listings as L
 from hearth.schema import NUMERIC
-from hearth.sources.tables import shared_folder
+from hearth.functions.order import grouped_medians
+from hearth.sources.scratch import place, stored, tidy
 from hearth.streaming import merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,10 +23,10 @@ def query(sql: str | None = None):
     """Registers a function under its name, with SQL over the tables of listings.SQL."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = tidy(f)
         if sql is not None:
             ORACLES[f.__name__] = f"{L.SQL}{sql}"
-        return f
+        return QUERIES[f.__name__]
 
     return add
 
@@ -85,8 +86,7 @@ def ingest_summary(s, d):
 
 @query("SELECT * FROM clean")
 def clean_listings(s, d):
-    drop = ["url", "barrio", "titulo", "precio_valor", "precio_moneda", "antiguedad_aviso_dias", "descripcion", "publica"]
-    return L.clean(s, d).drop(*drop).withColumn("fecha_publicacion", F.col("fecha_publicacion").cast("date"))
+    return L.clean(s, d).drop(*L.UNUSED).withColumn("fecha_publicacion", F.col("fecha_publicacion").cast("date"))
 
 
 @query("""SELECT rule, kind, n_rows, round(100.0::DOUBLE * n_rows / (SELECT count(*) FROM typed), 4) AS pct FROM (
@@ -106,7 +106,8 @@ def rate_inference(s, d):
 
 @query("SELECT operacion, count(*) AS n, round(median(y), 4) AS median_y FROM targets GROUP BY operacion")
 def target_filter(s, d):
-    return L.targets(s, d).groupBy("operacion").agg(F.count("*").alias("n"), F.round(ratio.median("y"), 4).alias("median_y"))
+    made = grouped_medians(L.targets(s, d).select("operacion", "y"), ["operacion"], {"median_y": F.col("y")}, (F.count("*").alias("n"),))
+    return made.withColumn("median_y", F.round("median_y", 4))
 
 
 @query("SELECT sitio, \"column\", pct FROM (UNPIVOT (SELECT sitio, " + ", ".join(f"round(100.0::DOUBLE * count({c}) / count(*), 4) AS {c}" for c in NUMERIC) + " FROM typed GROUP BY sitio) ON * EXCLUDE (sitio) INTO NAME \"column\" VALUE pct)")
@@ -202,13 +203,13 @@ def cross_listed(s, d):
 @query("SELECT sitio, id_aviso, CASE WHEN id_aviso::BIGINT % 3 = 0 AND id_aviso::BIGINT % 6 <> 0 THEN m2_util + 1 WHEN id_aviso::BIGINT % 2 = 0 THEN m2_util END AS m2_util, CASE WHEN id_aviso::BIGINT % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS at FROM typed WHERE id_aviso::BIGINT % 2 = 0 OR id_aviso::BIGINT % 3 = 0")
 def stream_merge(s, d):
     """Two waves of files, merged by a stream that starts again for the second."""
-    k, folder = F.col("id_aviso").cast("long"), shared_folder(s)
+    k, folder = F.col("id_aviso").cast("long"), place(s)
     rows = L.typed(s, d).select("sitio", "id_aviso", "m2_util")
     first = rows.where(k % 2 == 0).withColumn("at", F.lit(1).cast("long"))
     second = rows.where(k % 3 == 0).select("sitio", "id_aviso", F.when(k % 6 != 0, F.col("m2_util") + 1).alias("m2_util"), F.lit(2).cast("long").alias("at"))
     for wave in (first, second):
         wave.write.mode("append").parquet(f"{folder}/in")
-        merge.stream_merge(s, f"{folder}/in", first.schema, f"{folder}/table", f"{folder}/checkpoint", ["m2_util", "at"], "at").awaitTermination()
+        merge.stream_merge(s, f"{folder}/in", first.schema, f"{folder}/table", f"{folder}/checkpoint", ["m2_util", "at"], "at", buckets=8).awaitTermination()
     return merge.current(s, f"{folder}/table", first.schema)
 
 
@@ -324,7 +325,7 @@ _BUILDING = "keyed AS (SELECT *, coalesce('g:' || printf('%.4f,%.4f', lat, lon),
 
 
 def _sided(s, d):
-    return features.split_by_group(features.building_key(L.targets(s, d)), "building")
+    return stored(features.split_by_group(features.building_key(L.slim(s, d)), "building"))
 
 
 @query(f", {_BUILDING} SELECT side, sitio, count(*) AS n, round(median(y), 4) AS median, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY side), 4) AS share FROM sided GROUP BY side, sitio")
@@ -350,7 +351,7 @@ _ERRORS = ", errors AS (SELECT *, abs(pred - y) / y * 100 AS ape, pred / y AS ra
 
 
 def _sales(s, d):
-    return L.predictions(s, d).where("operacion = 'venta'")
+    return stored(L.predictions(s, d).where("operacion = 'venta'"))
 
 
 @query(f"{_ERRORS} SELECT {_STUDY} FROM errors, (SELECT median(ratio) AS mid, avg(y) AS mean_y FROM errors)")
@@ -402,7 +403,7 @@ _MODELS = ", models AS (SELECT 'group' AS model, y, pred FROM predictions WHERE
 
 def _models(s, d):
     rows = _sales(s, d).select("y", "pred").withColumn("model", F.lit("group"))
-    floor = rows.crossJoin(F.broadcast(rows.agg(ratio.median("y").alias("m")))).select("y", F.col("m").alias("pred"), F.lit("all").alias("model"))
+    floor = rows.crossJoin(F.broadcast(grouped_medians(rows, [], {"m": F.col("y")}))).select("y", F.col("m").alias("pred"), F.lit("all").alias("model"))
     return ratio.ratio_study(rows.unionByName(floor), by=("model",))
 
 
@@ -473,7 +474,7 @@ def _matrix(s, d):
     rows = L.table(s, d, "embeddings")
     cols = [f"x{i}" for i in range(rows.agg(F.max(F.size("embedding"))).first()[0] or 0)]
     rows = rows.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(c) for i, c in enumerate(cols)])
-    return geo.written(segment.scale_matrix(rows, cols, ["vec_id"])), cols
+    return stored(segment.scale_matrix(rows, cols, ["vec_id"])), cols
 
 
 @query()

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,15 +42,6 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("url"), F.col("value").alias("html"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the place that driver and executors share; where none is set, a temporary one if all of Spark runs in this process, else an error."""
-    base, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
-    if not base and (not master.startswith("local") or master.startswith("local-cluster")):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    base = base or tempfile.mkdtemp(prefix="hearth-")
-    return f"{base}/hearth-{uuid.uuid4().hex}"
-
-
 def fresh(df: DataFrame, ts_col: str, as_of: Column, ttl_hours: int = 24) -> DataFrame:
     """Rows no older than the time to live."""
     return df.where(F.col(ts_col) >= as_of - F.make_dt_interval(hours=F.lit(ttl_hours)))
