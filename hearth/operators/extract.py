@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import ArrayType, StringType
 
-from hearth.functions.numbers import as_double, currency, entero, es_rango, numero, prices
+from hearth.functions.numbers import as_double, currency, es_rango, let, numero, prices
 from hearth.functions.text import clean_text, covered, plain
 
 #: Hosts that are read, paths that are no listing, and markers in pages (fixed values).
@@ -99,9 +99,8 @@ def after_region(names: Column, steps: int) -> Column:
 
 def specs(html: Column) -> Column:
     """Labels and texts of the specification table, in page order."""
-    k, v = (F.regexp_extract_all(html, F.lit(SPEC_ROW), F.lit(i)) for i in (1, 2))
-    tagless = lambda a: F.transform(a, lambda t: F.trim(F.regexp_replace(t, "<[^>]+>", " ")))
-    return F.arrays_zip(tagless(k).alias("label"), tagless(v).alias("text"))
+    tagless = lambda row, group: F.trim(F.regexp_replace(F.regexp_extract(row, SPEC_ROW, group), "<[^>]+>", " "))
+    return F.transform(F.regexp_extract_all(html, F.lit(SPEC_ROW), F.lit(0)), lambda row: F.struct(tagless(row, 1).alias("label"), tagless(row, 2).alias("text")))
 
 
 def render_context(html: Column) -> Column:
@@ -154,12 +153,16 @@ def explode_cards(pages: DataFrame, card: str, keep: list[str]) -> DataFrame:
     return pages.select(*keep, F.posexplode(F.regexp_extract_all("html", F.lit(card), F.lit(0))).alias("position", "card"))
 
 
-def card_attributes(texts: Column) -> dict[str, Column]:
-    """Rooms, baths and area from a card's short texts; a single room counts as 0."""
-    low = F.transform(texts, lambda t: plain(t))
-    first = lambda word: F.try_element_at(F.filter(low, lambda t: F.contains(t, F.lit(word))), F.lit(1))
-    digits = lambda c: extracted(c, r"(\d+)").try_cast("int")
-    return {"dormitorios": F.when(first("monoambiente").isNotNull(), 0).otherwise(digits(first("dormitorio"))), "banos": digits(first("bano")), "m2_util": numero(first("m²"))}
+def card_attributes(texts: Column) -> Column:
+    """(dormitorios, banos, m2_util) from a card's short texts; a single room counts as 0."""
+
+    def read(low: Column) -> Column:
+        first = lambda word: F.try_element_at(F.filter(low, lambda t: F.contains(t, F.lit(word))), F.lit(1))
+        digits = lambda c: extracted(c, r"(\d+)").try_cast("int")
+        rooms = F.when(F.exists(low, lambda t: F.contains(t, F.lit("monoambiente"))), 0).otherwise(digits(first("dormitorio")))
+        return F.struct(rooms.alias("dormitorios"), digits(first("bano")).alias("banos"), numero(first("m²")).alias("m2_util"))
+
+    return let(F.transform(texts, lambda t: plain(t)), read)
 
 
 def neighbourhood_of(address: Column) -> Column:
@@ -201,17 +204,22 @@ def extract_listing(pages: DataFrame) -> DataFrame:
 
 def assemble(raw: DataFrame, rate: Column, year: int = 2026) -> DataFrame:
     """Typed records of extract_listing(): coverage, ranges as projects, sane values, and why values are missing."""
-    fits = lambda s, col: F.coalesce(*[F.when(F.startswith(plain(s["label"]), F.lit(k)), c) for k, c in SPEC_COLUMNS], F.lit("")) == col
-    any_column = lambda s: F.exists(F.array(*[F.lit(k) for k, _ in SPEC_COLUMNS]), lambda k: F.startswith(plain(s["label"]), k))
-    ranges = F.filter("specs", lambda s: any_column(s) & es_rango(s["text"]))
-    def read(col: str) -> Column:
-        """The last readable text among the labels of a column."""
-        as_number = entero if col in WHOLE else numero
-        values = F.transform(F.filter("specs", lambda s: fits(s, col) & ~es_rango(s["text"])), lambda s: as_number(s["text"]))
-        return F.try_element_at(F.filter(values, lambda v: v.isNotNull()), F.lit(-1))
-
-    cols = {col: read(col) for col in dict.fromkeys(c for _, c in SPEC_COLUMNS)}
-    made = raw.withColumns(cols | {"uf_usada": rate, "es_proyecto": (F.size(ranges) > 0).cast("int"), "comuna": F.coalesce(covered(F.col("comuna_cruda")), F.col("comuna_cruda")), "fuera_de_cobertura": covered(F.col("comuna_cruda")).isNull()})
+    column = lambda label: let(plain(label), lambda p: F.coalesce(*[F.when(F.startswith(p, F.lit(k)), c) for k, c in SPEC_COLUMNS]))
+    names = list(dict.fromkeys(c for _, c in SPEC_COLUMNS))
+
+    def sorted_out(s: Column) -> Column:
+        """Each specification once: its column, whether it gives a range, its number."""
+        return F.struct(column(s["label"]).alias("column"), es_rango(s["text"]).alias("is_range"), numero(s["text"]).alias("number"))
+
+    def one_by_one(rows: Column) -> Column:
+        """Whether a known column gives a range, and the last number of each column that can be read."""
+        whole = lambda col, s: s["number"].try_cast("int") if col in WHOLE else s["number"]
+        last = lambda col: F.try_element_at(F.filter(rows, lambda s: (s["column"] == col) & ~s["is_range"] & whole(col, s).isNotNull()), F.lit(-1))
+        return F.struct(F.exists(rows, lambda s: s["is_range"]).alias("project"), *[whole(col, last(col)).alias(col) for col in names])
+
+    told = let(F.filter(F.transform("specs", sorted_out), lambda s: s["column"].isNotNull()), one_by_one)
+    raw = raw.withColumn("told_", told)
+    made = raw.withColumns({c: F.col(f"told_.{c}") for c in names} | {"uf_usada": rate, "es_proyecto": F.coalesce("told_.project", F.lit(False)).cast("int"), "comuna": F.coalesce(covered(F.col("comuna_cruda")), F.col("comuna_cruda")), "fuera_de_cobertura": covered(F.col("comuna_cruda")).isNull()})
     clp, uf = prices(F.col("precio_valor"), F.col("precio_moneda"), F.col("uf_usada"))
     inside = F.coalesce(F.col("lat").between(*LIMITS["lat"]) & F.col("lon").between(*LIMITS["lon"]), F.lit(False))
     sane = lambda c, lo, hi: F.when(F.col(c).between(lo, hi), F.col(c))
@@ -228,7 +236,7 @@ def assemble(raw: DataFrame, rate: Column, year: int = 2026) -> DataFrame:
         "advertencias": F.filter(why, lambda w: w.isNotNull()), "lat": F.when(inside, F.col("lat")), "lon": F.when(inside, F.col("lon")),
         "m2_util": util, "m2_total": F.when(F.coalesce(util <= total, F.lit(True)), total), "dormitorios": sane("dormitorios", 0, 12), "banos": sane("banos", 1, 12),
         "ano_construccion": F.when(F.col("antiguedad_anos").between(0, 200), F.lit(year) - F.col("antiguedad_anos")), "detalle_ok": F.lit(1),
-    }).drop("comuna_cruda", "specs")
+    }).drop("comuna_cruda", "specs", "told_")
 
 
 def with_rate(df: DataFrame, rates: DataFrame, date_col: str) -> DataFrame:

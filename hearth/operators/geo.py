@@ -70,45 +70,65 @@ def summary(rows: DataFrame, radius: float) -> DataFrame:
     return rows.groupBy("point", "categoria").agg(nearest_, F.count_if(F.col("d") <= radius).alias("n_1km")).select("point", "categoria", F.bround("n.d", 0).cast("int").alias("mas_cercano_m"), "n.nombre", "n_1km")
 
 
-def within(points: DataFrame, pois: DataFrame, reach: float) -> DataFrame:
-    """(point, categoria, nombre, d) of the places of each point's category within reach, anywhere on the sphere.
-
-    An equi-join on cubes of that size; each place stands in its own cube and the 26 around.
-    points: point, categoria, lat, lon; pois: categoria, nombre, plat, plon.
-    """
-    size = 2 * math.sin(min(reach / (2 * EARTH_M), math.pi / 2)) * 1.001
-    cubes = lambda lat, lon: {"ci": F.cos(F.radians(lat)) * F.cos(F.radians(lon)), "cj": F.cos(F.radians(lat)) * F.sin(F.radians(lon)), "ck": F.sin(F.radians(lat))}
-    cube = lambda lat, lon: {k: F.floor(c / size) for k, c in cubes(lat, lon).items()}
-    near = (-1, 0, 1)
-    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in near for j in near for k in near]))
-    spread = pois.withColumns(cube("plat", "plon")).withColumn("o", around).withColumns({c: F.col(c) + F.col(f"o.{c[1]}") for c in ("ci", "cj", "ck")}).drop("o")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("ci", "cj", "ck")] + [F.col("a.categoria").eqNullSafe(F.col("b.categoria"))]
-    d = haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
-    pairs = points.withColumns(cube("lat", "lon")).alias("a").join(spread.alias("b"), on).select("point", "a.categoria", "nombre", d.alias("d"))
-    return pairs.where(F.col("d") <= reach)
+#: Places that a cell holds before it is split, and how often a cell of the radius' size is halved at most.
+CELL_PLACES, HALVINGS = 64, 6
 
 
-def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0) -> DataFrame:
-    """Nearest place and number within the radius, for every point (point, lat, lon) and category.
+def nearest(points: DataFrame, pois: DataFrame, radius: float = 1000.0, most: int = CELL_PLACES, halvings: int = HALVINGS) -> DataFrame:
+    """Nearest place and number within the radius, for every point (point, lat, lon) and category, anywhere on the sphere; ties by name.
 
-    The reach starts at the radius and grows fourfold for points and categories that have no place within it.
-    Points and places without coordinates are passed over.
+    Places lie in an octree over the unit ball: a cell with more than `most` places of a category is split (places of one spot count as one),
+    to 2**-halvings of the radius. Counts at coarser levels tell at which size the surroundings of a point hold a place at all. Around the
+    point the cells of that size give a bound on the nearest distance; cells beyond the bound and the radius are dropped, those wholly within the
+    radius count as they are, and only places of the others are measured. Points and places without coordinates are passed over.
     """
     located = (F.col("lat") + F.col("lon")).isNotNull()
-    p = pois.where(located).select("categoria", "nombre", F.col("lat").alias("plat"), F.col("lon").alias("plon")).persist()
-    left = points.where(located).select("point", "lat", "lon").crossJoin(F.broadcast(p.select("categoria").distinct()))
-    made, reach = None, radius
-    while True:
-        left = stored(left)  # else each round's plan holds those before twice
-        found = stored(summary(within(left, p, reach), radius))
-        made = found if made is None else made.unionByName(found)
-        if reach > math.pi * EARTH_M:
-            return made
-        done = found.select(F.col("point").alias("p2"), F.col("categoria").alias("c2"))
-        left = left.join(done, F.col("point").eqNullSafe(F.col("p2")) & F.col("categoria").eqNullSafe(F.col("c2")), "left_anti")
-        if left.isEmpty():
-            return made
-        reach *= 4
+    reach = 2 * math.sin(min(radius / (2 * EARTH_M), math.pi / 2))  # a chord; so is every distance between cells
+    top = max(1, math.ceil(math.log2(2.0 / reach)) + 1)
+    lat, lon = F.radians("lat"), F.radians("lon")
+    xyz = {"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)}
+    fine = {f"f{c}": F.floor(F.col(c) / (reach / 2**halvings)) for c in "xyz"}
+    cell = lambda level: [F.expr(f"shiftright(f{c}, {level} + {halvings})").alias(f"c{c}") for c in "xyz"]
+    at = ["kind", "level", "cx", "cy", "cz"]
+    kind = F.when(F.col("categoria").isNull(), "").otherwise(F.concat(F.lit("="), "categoria"))
+
+    spots = pois.where(located).select(kind.alias("kind"), "nombre", "lat", "lon").groupBy("kind", "lat", "lon").agg(F.min("nombre").alias("nombre"), F.count("*").alias("n")).withColumns(xyz).withColumns(fine)
+    levels = lambda lo, hi: F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("level")
+    filled = spots.select("*", levels(-halvings, 0)).select("*", *cell("level"))
+    full = filled.groupBy(*at).agg(F.count("*").alias("held"))
+    whole = filled.join(full, at).where((F.col("held") <= most) | (F.col("level") == -halvings))
+    leaf = F.max(F.struct("level", "cx", "cy", "cz")).alias("leaf")  # the largest cell that is not split
+    placed = whole.groupBy("kind", "lat", "lon", "x", "y", "z", "fx", "fy", "fz", "nombre", "n").agg(leaf)
+    box = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(f"b{c}") for c in "xyz"]
+    leaves = placed.groupBy("kind", "leaf").agg(F.sum("n").alias("n"), *box, *[F.first(f"f{c}").alias(f"f{c}") for c in "xyz"])
+
+    # at which level the 27 cells around a point's own hold a place
+    around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])).alias("o")
+    beside = lambda df: df.select("*", around).withColumns({"cx": F.col("cx") + F.col("o.i"), "cy": F.col("cy") + F.col("o.j"), "cz": F.col("cz") + F.col("o.k")}).drop("o")
+    occupied = leaves.select("kind", "fx", "fy", "fz", levels(0, top)).select("kind", "level", *cell("level")).distinct()
+    known = points.where(located).select("point", "lat", "lon").withColumns(xyz).withColumns(fine)
+    blocks = known.select(*[F.expr(f"shiftright(f{c}, {halvings}) << {halvings}").alias(f"f{c}") for c in "xyz"]).distinct()
+    seen = blocks.select("*", levels(0, top)).select("*", *cell("level")).join(beside(occupied).distinct(), ["level", "cx", "cy", "cz"])
+    # a place lies within three cells of that level, so within one cell of the level after the next
+    found = seen.groupBy("fx", "fy", "fz", "kind").agg(F.least(F.min("level") + 2, F.lit(top)).alias("level")).withColumnsRenamed({f"f{c}": f"k{c}" for c in "xyz"})
+    same = [F.expr(f"shiftright(f{c}, {halvings}) << {halvings}") == F.col(f"k{c}") for c in "xyz"]
+    asked = beside(known.join(found, same).drop("kx", "ky", "kz").select("*", *cell("level"))).drop("fx", "fy", "fz")
+    reached = leaves.select("kind", "leaf", "n", "bx", "by", "bz", "fx", "fy", "fz", levels(0, top)).select("kind", "leaf", "n", "bx", "by", "bz", "level", *cell("level"))
+    outer = lambda c: F.greatest(F.abs(F.col(c) - F.col(f"b{c}.lo")), F.abs(F.col(c) - F.col(f"b{c}.hi")))
+    inner = lambda c: F.greatest(F.col(f"b{c}.lo") - F.col(c), F.col(c) - F.col(f"b{c}.hi"), F.lit(0.0))
+    size = lambda f: F.sqrt(sum(f(c) * f(c) for c in "xyz"))
+    met = asked.join(reached, at).select("point", "kind", "lat", "lon", "leaf", "n", size(inner).alias("least"), size(outer).alias("farthest"))
+    slack = 1e-9
+    bound = F.min("farthest").over(W.partitionBy("point", "kind"))
+    near = met.withColumn("bound", bound).where((F.col("least") <= F.col("bound") * (1 + slack) + slack) | (F.col("least") <= reach * (1 + slack) + slack))
+    inside = (F.col("farthest") <= reach * (1 - slack) - slack) & (F.col("least") > F.col("bound") * (1 + slack) + slack)
+    counted = near.where(inside).select("point", "kind", F.lit(None).cast("struct<d:double,nombre:string>").alias("one"), "n")
+    d = haversine_m(F.col("lat"), F.col("lon"), F.col("plat"), F.col("plon"))
+    held = placed.select("kind", "leaf", "nombre", F.col("n").alias("k"), F.col("lat").alias("plat"), F.col("lon").alias("plon"))
+    each = near.where(~inside).join(held, ["kind", "leaf"]).withColumn("d", d)
+    measured = each.select("point", "kind", F.struct("d", "nombre").alias("one"), F.when(F.col("d") <= radius, F.col("k")).otherwise(0).alias("n"))
+    made = measured.unionByName(counted).groupBy("point", "kind").agg(F.min("one").alias("one"), F.sum("n").alias("n_1km"))
+    return made.select("point", F.when(F.col("kind") != "", F.substring("kind", 2, 1 << 30)).alias("categoria"), F.bround("one.d", 0).cast("int").alias("mas_cercano_m"), "one.nombre", "n_1km")
 
 
 def radius_join(points: DataFrame, pois: DataFrame, radius: float = 1000.0, latitude_limit: float = 60.0) -> DataFrame:
@@ -196,14 +216,36 @@ def usage_by_month(log: DataFrame, free: int = 5000, usd_per_1000: float = 32.0)
     return months.withColumns({"remaining": F.greatest(F.lit(free) - F.col("calls"), F.lit(0)), "cost_usd": F.round(F.greatest(F.col("calls") - free, F.lit(0)) * usd_per_1000 / 1000, 2)})
 
 
+#: Widths in microseconds of the levels at which calls are counted: a day, an hour, a minute, a second.
+CLOCK = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000)
+
+
 def before_rejection(log: DataFrame) -> DataFrame:
-    """For each rejected call the calls before it, on that day and ever.
+    """For each rejected call the calls before it, on that day and ever; calls of the same instant are not before it.
 
-    Calls of one day are counted in a window of that day; earlier days come from the small table of days.
+    Calls are counted by day, hour, minute and second. The calls before a second are those of earlier seconds of its minute, earlier
+    minutes of its hour and so on, each summed within the next larger span, so that no task holds more than the spans of one larger span,
+    or the calls of one second; only the days stand in one line.
     """
-    dated = log.withColumn("day", F.to_date("cuando")).withColumn("at", F.unix_micros(F.col("cuando").cast("timestamp")))
-    earlier = W.partitionBy("day").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
-    days = dated.groupBy("day").agg(F.count("*").alias("n"))
-    total = days.withColumn("past", F.coalesce(F.sum("n").over(W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    counted = dated.withColumn("same_day", F.count("*").over(earlier)).where("estado <> 'ok'")
-    return counted.join(F.broadcast(total), "day").select("call_id", "day", "same_day", (F.col("past") + F.col("same_day")).alias("ever"))
+    at = F.unix_micros(F.col("cuando").cast("timestamp"))
+    start = F.unix_micros(F.col("day").cast("timestamp"))
+    dated = log.select("call_id", "estado", F.to_date("cuando").alias("day"), at.alias("at"))
+    spans = [f"s{i}" for i in range(len(CLOCK))]  # places within the day
+    placed = dated.withColumns({s: F.floor((F.col("at") - start) / w).cast("long") for s, w in zip(spans, CLOCK, strict=True)})
+    exact = placed.groupBy("day", *spans, "at").agg(F.count("*").alias("n"))
+    rolled, before = exact, exact
+    upper = ["day", *spans]
+    order = "at"
+    for level in range(len(spans), 0, -1):
+        keys = upper[: level + 1]
+        past = F.coalesce(F.sum("n").over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        counted = rolled.withColumn(f"past_{level}", past)
+        before = counted if level == len(spans) else before.join(counted.select(*keys, order, f"past_{level}"), [*keys, order])
+        rolled = rolled.groupBy(*keys).agg(F.sum("n").alias("n"))
+        order = keys[-1]
+    days = rolled.groupBy("day").agg(F.sum("n").alias("n"))
+    ever = F.coalesce(F.sum("n").over(W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    made = before.join(days.select("day", ever.alias("past_0")), "day")
+    same_day = sum(F.col(f"past_{i}") for i in range(1, len(spans) + 1))
+    rejected = dated.where("estado <> 'ok'").select("call_id", "day", "at")
+    return rejected.join(made.select("day", "at", same_day.alias("same_day"), (F.col("past_0") + same_day).alias("ever")), ["day", "at"]).select("call_id", "day", "same_day", "ever")

@@ -13,6 +13,12 @@ from hearth.schema import RAW_COLUMNS, SENTINEL
 from hearth.sources.tables import read_table
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df; where its files make fewer tasks than there are cores its rows, narrow ones, are dealt out before long work on each."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
@@ -20,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #: Columns that the given tables hold nothing for.
 UNUSED = ["url", "barrio", "titulo", "precio_valor", "precio_moneda", "antiguedad_aviso_dias", "descripcion", "publica"]
 
-STUDIED = ["sitio", "id_aviso", "operacion", "tipo", "comuna", "m2_util", "lat", "lon", "direccion", "y"]
+STUDIED = ["sitio", "id_aviso", "operacion", "tipo", "comuna", "m2_util", "precio_uf", "precio_clp", "dormitorios", "lat", "lon", "direccion"]
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +49,8 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lat": unless(cp, point(-33.60, 37)), "lon": unless(cp, point(-70.70, 53)), "direccion": F.concat(F.lit("calle "), text(b % 500)),
         "fecha_publicacion": text(F.to_date("o_orderdate")), "detalle_ok": (k % 10 != 0).cast("int"), "fecha_scrape": F.concat(F.lit("2026-01-0"), text(k % 3 + 1)),
     }
-    return table(spark, sf_dir, "orders").select(*[c.alias(n) for n, c in cols.items()])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return spread(orders).select(*[c.alias(n) for n, c in cols.items()])
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,12 +63,13 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return target_filter(clean(spark, sf_dir))
+    """All columns that hold anything; filtered when they are stored, since a filter on the chain of repairs would work it out again for each condition."""
+    return target_filter(stored(clean(spark, sf_dir).drop(*UNUSED)))
 
 
 def slim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of the targets that studies need, as a stored table: they read it several times, and the chain of repairs is long."""
-    return stored(targets(spark, sf_dir).select(*STUDIED))
+    return target_filter(stored(clean(spark, sf_dir).select(*STUDIED)))
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,8 +89,8 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The distinct cells of the listings."""
-    return cells(clean(spark, sf_dir)).select(F.col("cell").alias("point"), "lat", "lon")
+    """The distinct cells of the listings, as a stored table."""
+    return stored(cells(stored(clean(spark, sf_dir).select("lat", "lon"))).select(F.col("cell").alias("point"), "lat", "lon"))
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,7 +52,7 @@ def _rendered(s: SparkSession, d: str) -> DataFrame:
         '<img src="map?center=-33.', 40 + B() % 40, "5,-70.", 44 + K() % 30, '1&zoom=1">', "<table>", *rows, "</table>", "<p>Calle ", B() % 500, ", Barrio ", K() % 7, ", ", commune, ", RM (Metropolitana)</p>",
         '<p class="ui-pdp-description__content">Texto ', K(), " <b>amplio</b> &aacute;rea</p><p>Publicado hace ", 1 + K() % 5, " ", pick(K(), "días", "meses", "años"), "</p></html>",
     )
-    return L.table(s, d, "orders").select(K().alias("page_id"), html.alias("html"))
+    return L.spread(L.table(s, d, "orders").select("o_orderkey", "o_custkey")).select(K().alias("page_id"), html.alias("html"))
 
 
 _PAGES = """, p AS (SELECT o_orderkey AS k, o_custkey AS b, o_orderkey % 3 <> 0 AS sale, o_orderkey % 13 = 0 AS project, 15 + (o_custkey * 7 + o_orderkey) % 200 AS mu, ['Macul', 'La Florida', 'Ñuñoa', 'San Miguel', 'Providencia'][(o_custkey % 5 + 1)::INT] AS commune,
@@ -122,7 +122,7 @@ def _results(s: SparkSession, d: str) -> DataFrame:
     """A page of results for each order: up to three cards and an advertisement without an id."""
     card = lambda j, link: text('<li class="card"><a href="https://x/', link, '">ver</a><span>', F.when((K() + j) % 6 == 0, "Monoambiente").otherwise(text((K() + j) % 6, " dormitorios")), "</span><span>", 1 + (K() + j) % 3, " baños</span><span>", 20 + (B() + j) % 90, " m² útiles</span><p>Calle ", B() % 50, ", Barrio ", (K() + j) % 9, ", Macul</p></li>")
     cards = [F.when(K() % 4 >= j, card(j, text("MLC-", 10000000 + K() * 10 + j, "-casa"))).otherwise("") for j in (1, 2, 3)]
-    return L.table(s, d, "orders").select(K().alias("page_id"), text("<ol>", *cards, card(4, "anuncio"), "</ol>").alias("html"))
+    return L.spread(L.table(s, d, "orders").select("o_orderkey", "o_custkey")).select(K().alias("page_id"), text("<ol>", *cards, card(4, "anuncio"), "</ol>").alias("html"))
 
 
 @query(""", c AS (SELECT o_orderkey AS k, o_custkey AS b, unnest([1, 2, 3]) AS j FROM orders) SELECT k AS page_id, (j - 1)::INT AS position, (10000000 + k * 10 + j)::VARCHAR AS id_aviso, ((k + j) % 6)::INT AS dormitorios, (1 + (k + j) % 3)::INT AS banos, (20 + (b + j) % 90)::DOUBLE AS m2_util, 'Barrio ' || ((k + j) % 9) AS barrio FROM c WHERE k % 4 >= j""")
@@ -132,7 +132,7 @@ def result_cards(s, d):
     cards = ingest.drop_artefacts(cards.withColumn("id_aviso", extract.extracted(F.col("card"), extract.LISTING_ID)))
     spans = F.regexp_extract_all("card", F.lit("<span>(.*?)</span>"), F.lit(1))
     barrio = extract.neighbourhood_of(extract.extracted(F.col("card"), "<p>(.*?)</p>"))
-    return cards.select("page_id", "position", "id_aviso", *[c.alias(n) for n, c in extract.card_attributes(spans).items()], barrio.alias("barrio"))
+    return cards.select("page_id", "position", "id_aviso", extract.card_attributes(spans).alias("told"), barrio.alias("barrio")).select("page_id", "position", "id_aviso", "told.*", "barrio")
 
 
 @query(""" SELECT o_orderkey AS k, (o_orderkey // 100)::INT AS cut, (o_orderkey * 1000 + 234)::INT AS grouped FROM orders""")

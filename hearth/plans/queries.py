@@ -106,7 +106,7 @@ def rate_inference(s, d):
 
 @query("SELECT operacion, count(*) AS n, round(median(y), 4) AS median_y FROM targets GROUP BY operacion")
 def target_filter(s, d):
-    made = grouped_medians(L.targets(s, d).select("operacion", "y"), ["operacion"], {"median_y": F.col("y")}, (F.count("*").alias("n"),))
+    made = grouped_medians(L.slim(s, d).select("operacion", "y"), ["operacion"], {"median_y": F.col("y")}, (F.count("*").alias("n"),))
     return made.withColumn("median_y", F.round("median_y", 4))
 
 
@@ -122,7 +122,7 @@ def operacion_tipo_cube(s, d):
 
 @query("SELECT comuna, count(*) AS n FROM (SELECT comuna, y / m2_util AS v, quantile_cont(y / m2_util, 0.01) OVER (PARTITION BY comuna) AS lo, quantile_cont(y / m2_util, 0.99) OVER (PARTITION BY comuna) AS hi FROM targets WHERE operacion = 'venta') WHERE v BETWEEN lo AND hi GROUP BY comuna")
 def percentile_trim(s, d):
-    sale = L.targets(s, d).where("operacion = 'venta'")
+    sale = L.slim(s, d).where("operacion = 'venta'")
     return clean.percentile_trim(sale, F.col("y") / F.col("m2_util"), ["comuna"]).groupBy("comuna").agg(F.count("*").alias("n"))
 
 
@@ -340,7 +340,7 @@ def leak_count(s, d):
 
 @query("SELECT id_aviso FROM targets ORDER BY md5('42:' || id_aviso), id_aviso LIMIT 100")
 def sample_rows(s, d):
-    return features.sample_n(L.targets(s, d).select("id_aviso"), 100, "id_aviso")
+    return features.sample_n(L.slim(s, d).select("id_aviso"), 100, "id_aviso")
 
 
 # ratio studies
@@ -432,13 +432,13 @@ def compare_splits(s, d):
 
 @query(f", {_BUILDING} SELECT count(*) AS n_test FROM (SELECT building, row_number() OVER (ORDER BY md5('42:' || building), building) AS r, count(*) OVER () AS n FROM (SELECT DISTINCT building FROM keyed)) WHERE r <= ceil(n * 0.2::DOUBLE)")
 def exact_split(s, d):
-    sided = features.split_by_group(features.building_key(L.targets(s, d)), "building", mode="exact")
+    sided = features.split_by_group(features.building_key(L.slim(s, d)), "building", mode="exact")
     return sided.where("side = 'test'").agg(F.count_distinct("building").alias("n_test"))
 
 
 @query("SELECT situation, id_aviso FROM (SELECT tipo || '/' || operacion AS situation, id_aviso, row_number() OVER (PARTITION BY tipo, operacion ORDER BY md5('42:' || id_aviso), id_aviso) AS r FROM targets) WHERE r = 1")
 def one_per_situation(s, d):
-    return features.one_per_situation(L.targets(s, d), F.concat_ws("/", "tipo", "operacion"), "id_aviso").select("situation", "id_aviso")
+    return features.one_per_situation(L.slim(s, d), F.concat_ws("/", "tipo", "operacion"), "id_aviso").select("situation", "id_aviso")
 
 
 @query("SELECT 'm2_total' AS \"column\", count(*) FILTER (t.m2_total IS DISTINCT FROM c.m2_total) AS n_different FROM typed t JOIN clean c USING (sitio, id_aviso) UNION ALL SELECT 'banos', count(*) FILTER (t.banos IS DISTINCT FROM c.banos) FROM typed t JOIN clean c USING (sitio, id_aviso)")
@@ -451,22 +451,22 @@ def frame_parity(s, d):
 
 @query("SELECT round(sb / (sb + sw), 6) AS eta2 FROM (SELECT sum(n * (m - g) * (m - g)) AS sb, sum(n * v) AS sw FROM (SELECT comuna, count(*) AS n, avg(ln(y)) AS m, var_pop(ln(y)) AS v FROM targets WHERE operacion = 'venta' GROUP BY comuna), (SELECT avg(ln(y)) AS g FROM targets WHERE operacion = 'venta'))")
 def eta_squared(s, d):
-    return segment.eta_squared(L.targets(s, d).where("operacion = 'venta'").withColumn("ly", F.ln("y")), "ly", "comuna")
+    return segment.eta_squared(L.slim(s, d).where("operacion = 'venta'").withColumn("ly", F.ln("y")), "ly", "comuna")
 
 
 @query("SELECT comuna, count(*) AS n, round(100 * avg((tipo = 'casa')::INT), 4) AS pct_houses, round(median(m2_util), 4) AS m2_util, round(median(dormitorios), 4) AS dormitorios, round(median(y), 4) AS price, round(median(y / m2_util), 4) AS price_m2, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (), 4) AS share FROM targets WHERE operacion = 'venta' GROUP BY comuna")
 def cluster_profile(s, d):
-    return segment.profile(L.targets(s, d).where("operacion = 'venta'"), "comuna", "y")
+    return segment.profile(L.slim(s, d).where("operacion = 'venta'"), "comuna", "y")
 
 
 @query("SELECT comuna, tipo, count(*) AS n, round(100.0::DOUBLE * count(*) / sum(count(*)) OVER (PARTITION BY comuna), 4) AS share, row_number() OVER (PARTITION BY comuna ORDER BY count(*) DESC, tipo) = 1 AS dominant FROM targets GROUP BY comuna, tipo")
 def composition(s, d):
-    return segment.composition(L.targets(s, d), "comuna", "tipo")
+    return segment.composition(L.slim(s, d), "comuna", "tipo")
 
 
 @query("SELECT comuna, n, p25, p50, p75, round(p50 / min(p50) OVER (), 6) AS times_least FROM (SELECT comuna, count(y) AS n, round(quantile_cont(y, 0.25), 4) AS p25, round(quantile_cont(y, 0.5), 4) AS p50, round(quantile_cont(y, 0.75), 4) AS p75 FROM targets WHERE operacion = 'venta' GROUP BY comuna)")
 def price_by_group(s, d):
-    return segment.describe_price(L.targets(s, d).where("operacion = 'venta'"), "comuna", "y")
+    return segment.describe_price(L.slim(s, d).where("operacion = 'venta'"), "comuna", "y")
 
 
 def _matrix(s, d):
@@ -520,7 +520,7 @@ def pca_loadings(s, d):
 
 @query()
 def eta_by_chance(s, d):
-    return segment.eta_by_chance(L.targets(s, d).where("operacion = 'venta'").withColumn("ly", F.ln("y")), "ly", "comuna", "id_aviso")
+    return segment.eta_by_chance(L.slim(s, d).where("operacion = 'venta'").withColumn("ly", F.ln("y")), "ly", "comuna", "id_aviso")
 
 
 # intervals and scoring

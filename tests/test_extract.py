@@ -52,6 +52,6 @@ def test_published_and_cards(spark):
     days, _ = extract.published_ago(F.col("t"), F.lit("2026-01-31").cast("date"))
     assert [r[0] for r in df.select(days).collect()] == [90, 730, None]
     cards = spark.createDataFrame([(["Monoambiente", "1 baño", "28 m² útiles"],), (["3 dormitorios", "2 baños"],), ([],)], "a array<string>")
-    got = [tuple(r) for r in cards.select(*[c.alias(n) for n, c in extract.card_attributes(F.col("a")).items()]).collect()]
+    got = [tuple(r) for r in cards.select(extract.card_attributes(F.col("a")).alias("r")).select("r.*").collect()]
     assert got == [(0, 1, 28.0), (3, 2, None), (None, None, None)]
     assert spark.createDataFrame([("A, Barrio, Macul",), ("solo",)], "t string").select(extract.neighbourhood_of(F.col("t"))).collect()[0][0] == "Barrio"
