@@ -8,11 +8,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.types import ArrayType, StringType
 
 from hearth.functions.numbers import as_double, currency, es_rango, let, numero, prices
 from hearth.functions.text import clean_text, covered, plain
+from hearth.operators.asof import asof_join
 
 #: Hosts that are read, paths that are no listing, and markers in pages (fixed values).
 HOSTS = {
@@ -242,12 +242,8 @@ def assemble(raw: DataFrame, rate: Column, year: int = 2026) -> DataFrame:
 def with_rate(df: DataFrame, rates: DataFrame, date_col: str) -> DataFrame:
     """df with the last good rate on or before its date and where it comes from. rates: day, rate (null: failed).
 
-    One row a day is filled forward, so the join is on equal days; days before the first rate have none.
+    An as-of join on distinct dates; of several rates of a day the largest counts, and days before the first rate have none.
     """
-    good = rates.where("rate IS NOT NULL").groupBy("day").agg(F.max("rate").alias("rate"))
-    until = F.coalesce(F.lead("day").over(W.orderBy("day")), F.lit(None).cast("date"))
-    last = df.agg(F.max(date_col).alias("last"))
-    spans = good.withColumn("until", until).crossJoin(F.broadcast(last)).withColumn("stop", F.coalesce(F.date_sub("until", 1), F.greatest("last", "day")))
-    days = spans.select(F.explode(F.sequence("day", "stop")).alias("on_day"), "rate", F.col("day").alias("rate_day"))
-    joined = df.join(F.broadcast(days), F.col(date_col) == F.col("on_day"), "left").drop("on_day")
+    good = rates.where("rate IS NOT NULL").select(F.col("day").alias("rate_day"), "rate")
+    joined = asof_join(df, good, date_col, "rate_day", ["rate"])
     return joined.withColumn("rate_origin", F.when(F.col("rate").isNull(), "none").when(F.col("rate_day") == F.col(date_col), "same_day").otherwise("fallback")).drop("rate_day")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hearth.functions.order import exact_quantiles, grouped_medians
+from hearth.sources.scratch import stored
 
 COMMUNES = ["la-florida", "macul", "nunoa", "san-miguel"]
 KINDS = ["casa", "departamento"]
@@ -86,6 +87,18 @@ def expectations(df: DataFrame, rules: list[tuple[str, Column, str]]) -> DataFra
     return made.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def audited(df: DataFrame, rules: list[tuple[str, Column, str]]) -> tuple[DataFrame, DataFrame]:
+    """(df as a stored table, its checks as expectations() gives them): all rules are observed while the table is written, in the one scan that it takes.
+
+    Rules are aggregates without distinct counts.
+    """
+    seen = Observation()
+    table = stored(df.observe(seen, *[F.coalesce(ok, F.lit(False)).alias(f"r{i}") for i, (_, ok, _) in enumerate(rules)]))
+    held = seen.get
+    rows = [(n, held[f"r{i}"], s, "" if held[f"r{i}"] else f"{n} does not hold") for i, (n, _, s) in enumerate(rules)]
+    return table, df.sparkSession.createDataFrame(rows, "check string, ok boolean, severity string, detail string")
+
+
 def severity_summary(checks: DataFrame) -> DataFrame:
     return checks.groupBy("severity", "ok").agg(F.count("*").alias("n"))
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions import numbers, text
-from hearth.operators import clean, extract, features, geo, ingest, model, ratio, report, score, segment
+from hearth.operators import asof, clean, extract, features, geo, ingest, model, ratio, report, score, segment
 from hearth.plans import listings as L
 from hearth.schema import NUMERIC
 from hearth.functions.order import grouped_medians
@@ -155,10 +156,28 @@ def null_cells(s, d):
     return report.nulls(L.raw_listings(s, d))
 
 
-@query("SELECT 'critical' AS severity, count(*) FILTER (sitio IS NOT NULL) = count(*) AS ok, 2::BIGINT AS n FROM typed UNION ALL SELECT 'notice', false, 1 FROM (SELECT count(*) FROM typed)")
+_RULES = {
+    "keys are known": ("count(*) FILTER (sitio IS NULL OR id_aviso IS NULL) = 0", "critical"), "areas are positive": ("min(m2_util) > 0", "critical"), "markets are known": ("count(*) FILTER (operacion NOT IN ('venta', 'arriendo')) = 0", "critical"),
+    "rooms are whole": ("count(*) FILTER (dormitorios <> floor(dormitorios)) = 0", "critical"), "ages are plausible": ("count(*) FILTER (antiguedad_anos > 200) = 0", "critical"), "every listing has a point": ("count(lat) = count(*)", "notice"),
+    "prices are known both ways": ("count(*) FILTER (precio_uf IS NULL OR precio_clp IS NULL) = 0", "notice"), "the rate is that of the day": ("count(*) FILTER (abs(precio_clp / precio_uf - 40000) > 1) = 0", "notice"), "details are there": ("sum(detalle_ok) = count(*)", "notice"),
+    "totals hold the useful area": ("count(*) FILTER (m2_total < m2_util) = 0", "notice"),
+}
+
+
+def _observed(s, d):
+    spark_sql = lambda text: F.expr(re.sub(r"count\(\*\) FILTER \((.*)\) = 0", r"count_if(\1) = 0", text))
+    return report.audited(L.typed(s, d), [(n, spark_sql(text), severity) for n, (text, severity) in _RULES.items()])
+
+
+@query("SELECT UNNEST([" + ", ".join(f"{{'check': '{n}', 'severity': '{v}', 'ok': {t}}}" for n, (t, v) in _RULES.items()) + "], recursive := true) FROM typed")
+def audit_checks(s, d):
+    """All single-pass rules over the typed listings, observed while they are written."""
+    return _observed(s, d)[1].select("check", "severity", "ok")
+
+
+@query("SELECT severity, ok, count(*) AS n FROM (SELECT UNNEST([" + ", ".join(f"{{'severity': '{v}', 'ok': {t}}}" for n, (t, v) in _RULES.items()) + "], recursive := true) FROM typed) GROUP BY ALL")
 def audit_summary(s, d):
-    rules = [("keys are known", F.count_if(F.col("sitio").isNull()) == 0, "critical"), ("areas are positive", F.min("m2_util") > 0, "critical"), ("every listing has a point", F.count("lat") == F.count("*"), "notice")]
-    return report.severity_summary(report.expectations(L.typed(s, d), rules))
+    return report.severity_summary(_observed(s, d)[1])
 
 
 # merging
@@ -238,6 +257,14 @@ def rate_asof(s, d):
     return extract.with_rate(calls.groupBy("day").agg(F.count("*").alias("n")).withColumnRenamed("day", "on"), rates, "on").withColumnRenamed("on", "day")
 
 
+@query(""", f AS (SELECT user_id, ts, max(event_id) AS failed_id FROM events WHERE event_type = 'error' GROUP BY ALL) SELECT e.event_id, f.ts AS failed_at, f.failed_id FROM events e ASOF LEFT JOIN f ON e.user_id = f.user_id AND e.ts >= f.ts""")
+def last_failure(s, d):
+    """D7 in general: each event with its user's last failure at or before it, by time stamps."""
+    events = L.table(s, d, "events").select("event_id", "user_id", "ts")
+    failed = L.table(s, d, "events").where("event_type = 'error'").select("user_id", F.col("ts").alias("failed_at"), F.col("event_id").alias("failed_id"))
+    return asof.asof_join(events, failed, "ts", "failed_at", ["failed_id"], ["user_id"]).select("event_id", "failed_at", "failed_id")
+
+
 @query("SELECT n_name, replace(replace(lower(n_name), ' ', '-'), '_', '-') AS slug, lower(n_name) AS address FROM nation")
 def slug(s, d):
     return L.table(s, d, "nation").select("n_name", text.slug(F.col("n_name")).alias("slug"), text.norm_address(F.concat(F.lit("  "), "n_name", F.lit(" "))).alias("address"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.functions.order import grouped_medians, grouped_quantiles
-from hearth.operators import ingest
+from hearth.operators import asof, geo, ingest, report
 from hearth.sources import bucketed
 from hearth.streaming import merge
 
@@ -78,3 +78,42 @@ def test_grouped_quantiles(spark, plain):
         (own,) = [x for x in got if x.g == r.g]
         assert own.n == r.n and own.v == pytest.approx(r.v) and own.w == (pytest.approx(r.w) if r.w else [None] * 5)
     assert grouped_medians(df.limit(0), ["g"], {"v": F.col("v")}).isEmpty() and grouped_medians(df.limit(0), [], {"v": F.col("v")}).first().v is None
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_asof_join(spark, parts):
+    """Equal to a search by hand: hot groups over many ranges, equal times, missing times and groups."""
+    import random
+
+    rng = random.Random(parts)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        left = [(i, rng.choice(["hot", "hot", "hot", "b", None]), rng.choice([None, *range(200)])) for i in range(600)]
+        right = [(rng.choice(["hot", "b", "c", None]), rng.choice([None, *range(0, 200, 3)]), rng.randint(0, 9)) for _ in range(80)]
+        got = asof.asof_join(spark.createDataFrame(left, "id long, g string, at long"), spark.createDataFrame(right, "g string, seen long, v long"), "at", "seen", ["v"], ["g"]).collect()
+        want = {}
+        for i, g, at in left:
+            known = [(s, v) for h, s, v in right if h == g and s is not None and at is not None and s <= at]
+            want[i] = max(known, default=(None, None))
+        assert {r.id: (r.seen, r.v) for r in got} == want and len(got) == 600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_audit_in_one_scan(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", None)], "k string, v double")
+    table, checks = report.audited(df, [("k known", F.count("k") == F.count("*"), "critical"), ("v known", F.count("v") == F.count("*"), "notice"), ("none", F.max("v") > F.lit(None), "notice")])
+    assert table.count() == 2 and {(r.check, r.ok, r.severity, r.detail) for r in checks.collect()} == {("k known", True, "critical", ""), ("v known", False, "notice", "v known does not hold"), ("none", False, "notice", "none does not hold")}
+
+
+def test_hot_day_and_hot_cell(spark):
+    """Calls of a single day and places of a single cell, against counts by hand."""
+    log = spark.range(4000).select(F.col("id").alias("call_id"), F.timestamp_micros(F.lit(1_700_000_000_000_000) + (F.col("id") * 37 % 1999) * 7_654_321).alias("cuando"), F.when(F.col("id") % 5 == 0, "rechazo").otherwise("ok").alias("estado"))
+    rows = [(r.call_id, r.cuando, r.estado) for r in log.collect()]
+    got = {r.call_id: (r.same_day, r.ever) for r in geo.before_rejection(log).collect()}
+    assert got == {i: (sum(u < t and u.date() == t.date() for _, u, _ in rows), sum(u < t for _, u, _ in rows)) for i, t, e in rows if e != "ok"}
+    pois = spark.range(3000).select(F.lit("m").alias("categoria"), F.concat(F.lit("n"), "id").alias("nombre"), (F.lit(-33.45) + F.col("id") % 50 / 1e5).alias("lat"), (F.lit(-70.6) + F.floor(F.col("id") / 50) % 20 / 1e5).alias("lon"))
+    points = spark.createDataFrame([(f"p{i}", -33.45 + i / 300, -70.6 - i / 900) for i in range(12)], "point string, lat double, lon double")
+    near = {r.point: (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.nearest(points, pois, most=8).collect()}
+    pairs = points.crossJoin(pois.select("categoria", "nombre", F.col("lat").alias("y"), F.col("lon").alias("x"))).withColumn("d", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("y"), F.col("x")))
+    assert near == {r.point: (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.summary(pairs, 1000.0).collect()} and {v[2] for v in near.values()} >= {0, 3000}
