@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions import numbers, text
-from hearth.operators import asof, clean, extract, features, geo, ingest, model, ratio, report, score, segment
+from hearth.operators import asof, clean, extract, features, geo, ingest, model, package, ratio, report, score, segment
 from hearth.plans import listings as L
 from hearth.schema import NUMERIC
 from hearth.functions.order import grouped_medians
@@ -600,11 +600,11 @@ def missing_inputs(s, d):
     return score.missing_inputs(L.clean(s, d), ["lat", "m2_total", "banos"]).select("id_aviso", F.size("faltantes").alias("n_missing"))
 
 
-# models: results are held against bands in tests
+# models: results are held against bands in tests; rows of checks have SQL that says what must come out
 
 
-def _split_features(s, d):
-    rows = features.split_by_group(features.building_key(_featured(s, d).where("operacion = 'venta'")), "building").persist()
+def _split_features(s, d, market="venta"):
+    rows = stored(features.split_by_group(features.building_key(_featured(s, d).where(F.col("operacion") == market)), "building"))
     return rows.where("side = 'train'"), rows.where("side = 'test'")
 
 
@@ -624,35 +624,79 @@ def permutation_importance(s, d):
     return model.permutation_importance(model.fit(train, "random_forest", small=True), test, "id_aviso")
 
 
-def _calibrated(train):
-    """The training side's own two parts: one to fit, one to calibrate."""
-    return (features.split_by_group(train, "building", 0.25, 7, name="part").where(f"part = '{x}'") for x in ("train", "test"))
+@query()
+def importance_by_block(s, d):
+    """Each block's share, and the share of the fifteen features that matter most."""
+    train, test = _split_features(s, d)
+    each = stored(model.permutation_importance(model.fit(train, "ridge", small=True), test, "id_aviso"))
+    top = ratio.top_rows(each, "importance").agg(F.lit("top_15").alias("block"), F.sum(F.greatest("importance", F.lit(0.0))).alias("s"))
+    all_ = each.agg(F.sum(F.greatest("importance", F.lit(0.0))).alias("all_"))
+    return model.by_block(each).union(top.crossJoin(all_).select("block", 100 * F.col("s") / F.col("all_")))
+
+
+def _package(s, d, market):
+    """(package fitted and saved, where, test rows)."""
+    train, test = _split_features(s, d, market)
+    rate, path = float(clean.infer_rate(L.typed(s, d)).first()["rate"]), place(s)
+    made = package.fit(train, market, rate, trees=10)
+    package.save(made, path, ratio.ratio_study(model.predict(made.point, test)).unpivot([], ["mdape", "prd", "cod"], "metric", "value"))
+    return made, path, test
 
 
 @query()
 def quantile_forest_interval(s, d):
-    train, test = _split_features(s, d)
-    fit_, calibrate = _calibrated(train)
-    both = calibrate.withColumn("use", F.lit("calibrate")).unionByName(test.withColumn("use", F.lit("test")), allowMissingColumns=True)
-    q = model.quantile_forest(fit_, both, "id_aviso", trees=20)
-    rows = both.join(q, "id_aviso").withColumnsRenamed({"q0": "lo", "q1": "hi"}).withColumn("pred", (F.col("lo") + F.col("hi")) / 2).persist()
-    done = score.apply_interval(rows.where("use = 'test'"), score.conformal_shift(rows.where("use = 'calibrate'")))
-    return score.coverage_report(score.coherent(done))
+    """L4: coverage and width of the range before and after it is calibrated."""
+    made, path, test = _package(s, d, "venta")
+    rows = stored(package.estimate(test, made).select("y", "pred", "raw_lo", "raw_hi", "lo", "hi"))
+    one = lambda lo, hi, name: score.coverage_report(rows, lo=lo, hi=hi).withColumn("range", F.lit(name))
+    return one("raw_lo", "raw_hi", "raw").unionByName(one("lo", "hi", "calibrated"))
 
 
 @query()
 def score_batch(s, d):
-    """A fitted package scores listings: the point, and the range of two models of the log target's errors, widened conformally."""
-    train, test = _split_features(s, d)
-    fit_, calibrate = _calibrated(train)
-    point = model.fit(fit_, "ridge", small=True)
-    edge = calibrate.transform(lambda c: model.predict(point, c)).agg(F.percentile(F.col("y") / F.col("pred"), F.array(F.lit(0.1), F.lit(0.9))).alias("q")).first()["q"]
-    low, high = (model.fit(fit_.withColumn("y", F.col("y") * F.lit(e)), "ridge", small=True) for e in edge)
-    ranged = model.score(calibrate, point, low, high, 0.0)
-    shift = score.conformal_shift(ranged).first()["shift"]
-    scored = model.score(test, point, low, high, shift)
-    sure = score.confidence(score.coherent(scored), score.known_cells(train), 9.0)
-    return score.verdict(sure, "y").select("id_aviso", "pred", "lo", "hi", "confianza", "veredicto")
+    """M1, M5, M8: packages of both markets, saved and loaded, estimate the test listings of sales: sale and rent, rent in UF, warnings, verdict on the asking price."""
+    _, sale, test = _package(s, d, "venta")
+    _, rent, _ = _package(s, d, "arriendo")
+    made = package.estimate_both(test, package.load(s, sale), package.load(s, rent), "precio_uf")
+    return made.select("id_aviso", "pred_venta", "lo_venta", "hi_venta", "confianza_venta", "pred_arriendo", "lo_arriendo", "hi_arriendo", "arriendo_uf", F.size("advertencias").alias("n_advertencias"), "brecha_pct", "veredicto", "dentro_del_rango")
+
+
+@query(f", {_BUILDING} SELECT operacion, count(*) AS n, 0::BIGINT AS n_different FROM sided WHERE side = 'test' GROUP BY operacion")
+def package_reload(s, d):
+    """Packages loaded from their folders estimate all test rows as they did when they were fitted."""
+    one = lambda market: (lambda made, path, test: package.reload_check(test, made, path).select(F.lit(market).alias("operacion"), "n", "n_different"))(*_package(s, d, market))
+    return one("venta").union(one("arriendo"))
+
+
+@query()
+def acceptance_rules(s, d):
+    """All eight rules and the good and excellent bands of one package."""
+    made, path, test = _package(s, d, "venta")
+    rows = stored(package.estimate(test, made).select("id_aviso", "y", "pred", "lo", "hi"))
+    return package.acceptance(ratio.ratio_study(rows), score.coverage_report(rows), model.FEATURES, package.reload_check(test, made, path))
+
+
+@query(f""", {_BUILDING}, t AS (SELECT count(*) AS n FROM sided WHERE side = 'test' AND operacion = 'venta') SELECT * FROM (SELECT n FROM t), (VALUES ('an extra column changes nothing', true), ('more area raises most prices', true), ('no range is upside down or below zero', true), ('every range holds its estimate', true), ('five fields give a finite estimate', true), ('an unknown commune gives a finite estimate', true), ('the spelling of a commune changes nothing', true)) c("check", ok)""")
+def model_audit(s, d):
+    """N8, N9, N10, N11, N15, N16 on a fitted model: the point and the range of every test row, with its inputs changed in turn."""
+    made, path, test = _package(s, d, "venta")
+    spoken = F.when(F.col("comuna") == "nunoa", " Ñuñoa").when(F.col("comuna") == "la-florida", "La Florida").when(F.col("comuna") == "san-miguel", "SAN_MIGUEL ").otherwise("Macul")
+    few = {c: F.lit(None).cast("double") for c in model.FEATURES if c not in ("m2_util", "log_m2_util", "dormitorios", "banos", "es_casa", "m2_por_dormitorio", "densidad_banos")}
+    larger = {"m2_util": F.col("m2_util") + 20, "log_m2_util": F.ln(F.col("m2_util") + 20), "m2_por_dormitorio": (F.col("m2_util") + 20) / F.greatest(F.coalesce("dormitorios", F.lit(1)), F.lit(1))}
+    variants = {"base": test, "extra": test.withColumn("y", F.col("y") * 100), "larger": test.withColumns(larger), "few": test.withColumns(few), "unknown": test.withColumn("comuna", F.lit("no-such")), "spelled": test.withColumn("comuna", text.slug(spoken))}
+    asked = None
+    for name, rows in variants.items():
+        one = model.predict(made.point, rows).select("id_aviso", F.lit(name).alias("variant"), "pred")
+        asked = one if asked is None else asked.union(one)
+    wide = asked.groupBy("id_aviso").pivot("variant", list(variants)).agg(F.first("pred"))
+    ranged = package.estimate(test, made).select("id_aviso", "pred", "lo", "hi")
+    plausible = lambda c: F.count_if(F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False)) & (F.col(c) > 0)) == F.count("*")
+    seen = wide.join(ranged, "id_aviso").agg(
+        F.count("*").alias("n"), (F.max(F.abs(F.col("extra") - F.col("base"))) == 0).alias("c0"), (F.avg((F.col("larger") > F.col("base")).cast("double")) > 0.85).alias("c1"), F.bool_and((F.col("lo") < F.col("hi")) & (F.col("lo") >= 0)).alias("c2"),
+        F.bool_and(F.col("pred").between(F.col("lo"), F.col("hi"))).alias("c3"), plausible("few").alias("c4"), plausible("unknown").alias("c5"), (F.max(F.abs(F.col("spelled") - F.col("base"))) == 0).alias("c6"),
+    )
+    names = ["an extra column changes nothing", "more area raises most prices", "no range is upside down or below zero", "every range holds its estimate", "five fields give a finite estimate", "an unknown commune gives a finite estimate", "the spelling of a commune changes nothing"]
+    return seen.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.col(f"c{i}").alias("ok")) for i, c in enumerate(names)])).alias("r")).select("n", "r.*")
 
 
 # pages
