@@ -42,6 +42,9 @@ def byte_letters() -> list[str]:
     hidden = [b for b in range(256) if b not in shown]
     return [chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)]
 
+#: Bytes of a word beyond which nothing is proposed for it: it is merged exactly.
+LONG = 2048
+
 
 class Vocabulary:
     """Tables of one vocabulary file, all of them arrays indexed by token id or sorted for binary search."""
@@ -207,11 +210,13 @@ class Vocabulary:
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The BPE ids of each word, end to end, and each word's first (one more than words)."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum([len(w) for w in words])
-        ids, first = self.propose(data, np.append(0, ends[:-1]), ends)
+        size = np.array([len(w) for w in words])
+        bad = size > LONG  # steps are as many as the longest word has bytes, so these are merged right away
+        data = np.frombuffer(b"".join(w for w, b in zip(words, bad.tolist(), strict=True) if not b), np.uint8)
+        size[bad] = 0
+        ends = np.cumsum(size)
+        ids, first = self.propose(data, ends - size, ends)
         owner = np.repeat(np.arange(len(words)), np.diff(first))
-        bad = np.zeros(len(words), bool)
         bad[owner[~self.whole[ids]]] = True
         near = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, back = np.unique(ids[near] * self.size + ids[near + 1], return_inverse=True)

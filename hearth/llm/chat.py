@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.scratch import dropped, stored
+from hearth.llm.scratch import dropped, stored, tidy
 from hearth.llm.textbatch import column, few_rows
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
@@ -70,9 +70,21 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: "<|" if m[1] is None else "\n" if m[1] == "n" else "\\", text)
 
 
+def grouped_index(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """df with each row's place in its group (1, 2...; null is a group) by order, nulls first: rows are dealt into ranges, so that no task holds a group of any size."""
+    ranged = stored(df.repartitionByRange(*by, *order).withColumn("part_", F.spark_partition_id()))
+    counts = ranged.groupBy("part_", *by).agg(F.count("*").alias("n_"))
+    before = F.coalesce(F.sum("n_").over(W.partitionBy(*by).orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    past = counts.select(F.col("part_").alias("p_"), *[F.col(c).alias(f"of_{c}") for c in by], before.alias("before_"))
+    place = F.row_number().over(W.partitionBy("part_", *by).orderBy(*order))
+    same = [F.col("part_") == F.col("p_"), *[F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in by]]
+    return ranged.withColumn("place_", place).join(past, same).select(*df.columns, (F.col("place_") + F.col("before_")).alias(name))
+
+
+@tidy
 def format_branches(messages: DataFrame, best: int = 1) -> DataFrame:
     """(tree, branch, conversation, loss_spans). messages: tree, node, parent, role, text, score."""
-    messages = messages.withColumn("tree", F.struct(F.col("tree").alias("key")))  # never null
+    messages = stored(messages.withColumn("tree", F.struct(F.col("tree").alias("key"))))  # never null; read several times
     way = chosen(messages.select("tree", "node", "parent", "score"), best)
     role = F.replace(escaped(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("\\n"))
     turns = messages.select("tree", "node", role.alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
@@ -117,8 +129,7 @@ def read_back(formatted: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def chain(rows: DataFrame, tree: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """Linear conversations as trees: each row's parent is the row before it by turn (ties: role, text). Rows may repeat."""
-    order = W.partitionBy(tree).orderBy(F.col(turn).asc_nulls_first(), "role", "text")
-    node = F.row_number().over(order)
-    made = rows.select(F.col(tree).alias("tree"), node.alias("node"), "role", "text")
+    """Linear conversations as trees: each row's parent is the row before it by turn (nulls first; ties: role, text). Rows may repeat; long conversations spread over tasks."""
+    slim = rows.select(F.col(tree).alias("tree"), F.col(turn).alias("turn"), "role", "text")
+    made = grouped_index(slim, ["tree"], ["turn", "role", "text"], "node").select("tree", "node", "role", "text")
     return made.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.lit(0.0))

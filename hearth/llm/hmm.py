@@ -323,6 +323,17 @@ def runs(raw: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
     return out, np.array(heads, bool)
 
 
+def blocks(col: pa.Array, bytes_each: int = 2) -> Iterator[tuple[int, int]]:
+    """Runs of rows (lo, hi) with at most BLOCK symbols together, or one longer text."""
+    size = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False) // bytes_each
+    ends = np.cumsum(size)
+    lo = 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK, side="right")))
+        yield lo, hi
+        lo = hi
+
+
 def summed(coded: DataFrame, shapes: list[tuple[int, ...]], counts: Callable[[list[bytes]], Iterator[list[np.ndarray]]]) -> list[np.ndarray]:
     """Tables of these shapes, added up over all coded texts. Each task sends tables of fixed size, summed slice by slice."""
     at = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
@@ -333,8 +344,8 @@ def summed(coded: DataFrame, shapes: list[tuple[int, ...]], counts: Callable[[li
         total = [np.zeros(s) for s in shapes]
         for b in batches:
             col = column(b, "symbols")
-            for lo in range(0, len(col), 1000):
-                for made in counts(col.slice(lo, 1000).to_pylist()):
+            for lo, hi in blocks(col):
+                for made in counts(col.slice(lo, hi - lo).to_pylist()):
                     for t, x in zip(total, made, strict=True):
                         t += x
         flat = np.zeros(width * SLICES)
@@ -392,7 +403,7 @@ def by_state(coded: DataFrame, lex: Lexicon, start: np.ndarray, step: np.ndarray
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, *model = shared.value
         held, size = [], 0
-        for b in batches:
+        for b in (whole.slice(lo, hi - lo) for whole in batches for lo, hi in blocks(column(whole, "symbols"))):
             tail = np.frombuffer(b"".join(column(b, "tail").to_pylist()), np.int32)
             if not len(tail):
                 continue

@@ -3,14 +3,17 @@
 Units of text that may state a licence are the lines that hold a keyword (in any file, wherever they
 stand), the whole text of files named like a licence file, and headers: paragraphs, comment blocks and runs
 of lines in the templates' words, all without comment marks, found over the whole text.  They are compared
-with the templates and with longer notices (``HEADERS``); words are weighted by the templates alone.  Equal
+with the templates and with longer notices (``HEADERS``), which all weigh the words.  Equal
 units are compared once: sparse TF-IDF vectors, an equi-join on terms with the notices' vectors, cosine, and
-the best notice at or above the threshold (ties: the smaller name).  An SPDX tag states its expression with score 1.  A file without a
+the best notice at or above the threshold (ties: the smaller name).  A copyright line alone counts as proprietary
+only where nothing else in the file states a licence.  An SPDX tag states its expression with score 1.  A file without a
 licence of its own inherits that of the nearest directory above it that holds a licence file, by joins on
 directory paths.
 
 Defined results: null and empty texts state nothing; a null path is kept and neither gives nor inherits;
-repeated rows get equal results; without templates only SPDX tags state a licence.
+repeated rows get equal results; without templates only SPDX tags state a licence.  Of licence files in one
+directory the best score gives, then the smaller path, then the smaller name.  Texts of any length are read whole; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,9 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.scratch import stored
+from hearth.llm.scratch import stored, tidy
 
 THRESHOLD = 0.6
+#: Characters of all notices together up to which their vectors are broadcast.
+FEW = 1 << 20
 KEYWORDS = ("licen", "copyright", "spdx", "all rights reserved", "public domain", "permission is hereby granted")
 NAMED = r"(?i)(^|/)(license|licence|copying|notice)[^/]*$"
 
@@ -60,14 +65,24 @@ HEADERS = [
     ("Apache-2.0", _APACHE + _APACHE_REST),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("BSD-2-Clause", f"{_BSD} {_BSD_AS_IS}"),
+    ("BSD-3-Clause", "Copyright. All rights reserved. Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", f"{_BSD} {_BSD3}"),
     ("BSD-3-Clause", f"{_BSD} {_BSD3} {_BSD_AS_IS}"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-SA-4.0", "Licensed under Creative Commons Attribution-ShareAlike 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MIT", _MIT),
     ("MIT", f"MIT License. {_MIT} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_AS_IS}"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
     *[(n, _GPL.format(t, v) + rest.format(t)) for n, t, v in _GNU for rest in ("", _GPL_REST)],
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
     ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
@@ -83,8 +98,13 @@ _ID = r"[A-Za-z0-9][A-Za-z0-9.+:-]*"
 SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*(\(?{_ID}(?:[ \t]+(?:OR|AND|WITH)[ \t]+\(?{_ID}\)?)*)"
 
 
+def ranked() -> Column:
+    """The least of these counts: any licence before a bare copyright, the best score, the smaller name."""
+    return F.struct((F.col("license") == "Proprietary").alias("bare"), (-F.col("score")).alias("minus"), "license")
+
+
 def templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEMPLATES, "license string, notice string")
+    return spark.createDataFrame([*TEMPLATES, *HEADERS], "license string, notice string")
 
 
 def terms(units: DataFrame, key: str, text: str) -> DataFrame:
@@ -93,27 +113,26 @@ def terms(units: DataFrame, key: str, text: str) -> DataFrame:
     return words.groupBy(key, "term").agg(F.count("*").cast("double").alias("tf"))
 
 
-def matched(units: DataFrame, notices: DataFrame, threshold: float, longer: DataFrame | None = None) -> DataFrame:
-    """(unit, license, score): the best notice of each distinct unit (unit, notice) that reaches the threshold. longer: more notices, which leave the words' weights as they are."""
-    numbered = lambda x: x.select(F.xxhash64("license", "notice").alias("notice_id"), "license", "notice").dropDuplicates(["notice_id"])
-    known = numbered(notices)
+def small(df: DataFrame, is_small: bool) -> DataFrame:
+    return F.broadcast(df) if is_small else df
+
+
+def matched(units: DataFrame, notices: DataFrame, threshold: float, few: bool = False) -> DataFrame:
+    """(unit, license, score): the best notice of each distinct unit (unit, notice) that reaches the threshold. few: whether the notices are known to be short together."""
+    known = notices.select(F.xxhash64("license", "notice").alias("notice_id"), "license", "notice").dropDuplicates(["notice_id"])
     tf = terms(known, "notice_id", "notice")
     count = known.agg(F.count("*").cast("double").alias("n"))
     idf = tf.groupBy("term").agg(F.count("*").cast("double").alias("df")).crossJoin(F.broadcast(count)).select("term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     weight = tf.join(idf, "term").select("notice_id", "term", (F.col("tf") * F.col("idf")).alias("wt"))
-    if longer is not None:
-        known = numbered(notices.unionByName(longer))
-        new = F.coalesce("idf", F.log(F.col("n") + 1) + 1)
-        weight = terms(known, "notice_id", "notice").join(idf, "term", "left").crossJoin(F.broadcast(count)).select("notice_id", "term", (F.col("tf") * new).alias("wt"))
     norm = weight.groupBy("notice_id").agg(F.sqrt(F.sum(F.col("wt") * F.col("wt"))).alias("norm_t"))
     vectors = weight.join(norm, "notice_id").join(known.select("notice_id", "license"), "notice_id")
     # a word of no template has the weight of one that is in none
-    seen = terms(units, "unit", "notice").join(F.broadcast(idf), "term", "left").crossJoin(F.broadcast(count))
+    seen = terms(units, "unit", "notice").join(small(idf, few), "term", "left").crossJoin(F.broadcast(count))
     seen = seen.select("unit", "term", (F.col("tf") * F.coalesce("idf", F.log(F.col("n") + 1) + 1)).alias("wu"))
     length = seen.groupBy("unit").agg(F.sqrt(F.sum(F.col("wu") * F.col("wu"))).alias("norm_u"))
-    dots = seen.join(F.broadcast(vectors), "term").groupBy("unit", "notice_id", "license", "norm_t").agg(F.sum(F.col("wu") * F.col("wt")).alias("dot"))
+    dots = seen.join(small(vectors, few), "term").groupBy("unit", "notice_id", "license", "norm_t").agg(F.sum(F.col("wu") * F.col("wt")).alias("dot"))
     cosine = dots.join(length, "unit").select("unit", "license", F.round(F.col("dot") / (F.col("norm_u") * F.col("norm_t")), 6).alias("score"))
-    best = cosine.where(F.col("score") >= threshold).groupBy("unit").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    best = cosine.where(F.col("score") >= threshold).groupBy("unit").agg(F.min(ranked()).alias("b"))
     return best.select("unit", F.col("b.license").alias("license"), (-F.col("b.minus")).alias("score"))
 
 
@@ -142,15 +161,14 @@ def tagged(files: DataFrame) -> DataFrame:
     return tags.select("row", F.when(plain.contains(" "), plain).otherwise(F.translate(plain, "()", "")).alias("license"), F.lit(1.0).alias("score"))
 
 
-def stated(files: DataFrame, notices: DataFrame, threshold: float, longer: DataFrame | None = None) -> DataFrame:
-    """(row, own_license, own_score) of the files (row, path, text) that state a licence. longer: more notices."""
+def stated(files: DataFrame, notices: DataFrame, threshold: float, few: bool = False) -> DataFrame:
+    """(row, own_license, own_score) of the files (row, path, text) that state a licence."""
     lines = files.where(any_of(F.lower("text"), KEYWORDS)).select("row", F.explode(F.split("text", "\n")).alias("unit")).where(any_of(F.lower("unit"), KEYWORDS))
     whole = files.where(F.col("path").rlike(NAMED) & (F.trim("text") != "")).select("row", F.col("text").alias("unit"))
-    more = notices if longer is None else notices.unionByName(longer)
     # a text's digest stands for it wherever its terms travel
-    units = stored(lines.union(whole).union(headers(files, more)).select("row", F.unhex(F.md5(F.col("unit").cast("binary"))).alias("unit"), F.col("unit").alias("notice")))
-    found = units.select("row", "unit").join(matched(units.select("unit", "notice").dropDuplicates(["unit"]), notices, threshold, longer), "unit")
-    best = found.select("row", "license", "score").union(tagged(files)).groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("minus"), "license")).alias("b"))
+    units = stored(lines.union(whole).union(headers(files, notices)).select("row", F.unhex(F.md5(F.col("unit").cast("binary"))).alias("unit"), F.col("unit").alias("notice")))
+    found = units.select("row", "unit").join(matched(units.select("unit", "notice").dropDuplicates(["unit"]), notices, threshold, few), "unit")
+    best = found.select("row", "license", "score").union(tagged(files)).groupBy("row").agg(F.min(ranked()).alias("b"))
     return best.select("row", F.col("b.license").alias("own_license"), (-F.col("b.minus")).alias("own_score"))
 
 
@@ -175,12 +193,13 @@ def inherited(files: DataFrame) -> DataFrame:
     return near.select("dir", F.col("g.own_license").alias("license"), F.col("g.path").alias("license_path"))
 
 
+@tidy
 def scan(files: DataFrame, row: str, path: str = "path", text: str = "text", notices: DataFrame | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, path, own_license, own_score, license, license_path) of each file; row names a unique column."""
-    longer = files.sparkSession.createDataFrame(HEADERS, "license string, notice string") if notices is None else None
+    few = notices is None or (notices.agg(F.sum(F.length("notice"))).first()[0] or 0) <= FEW
     notices = templates(files.sparkSession) if notices is None else notices
     slim = files.select(F.col(f"`{row}`").alias("row"), F.col(f"`{path}`").alias("path"), F.col(f"`{text}`").alias("text"))
-    own = stored(slim.select("row", "path").join(stated(slim, notices, threshold, longer), "row", "left"))
+    own = stored(slim.select("row", "path").join(stated(slim, notices, threshold, few), "row", "left"))
     full = own.withColumn("dir", directory(F.col("path"))).join(inherited(own), "dir", "left")
     mine = F.col("own_license").isNotNull()
     return full.select(F.col("row").alias(row), "path", "own_license", "own_score", F.coalesce("own_license", "license").alias("license"), F.when(mine, F.col("path")).otherwise(F.col("license_path")).alias("license_path"))

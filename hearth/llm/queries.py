@@ -131,7 +131,7 @@ QUERIES = {
 _quote = lambda x: "'" + x.replace("'", "''") + "'"
 _HOLDS = " OR ".join(f"contains(lower({{0}}), '{k}')" for k in licenses.KEYWORDS)
 OP3_SQL = f"""
-WITH notices AS (SELECT row_number() OVER () AS nid, * FROM (VALUES {", ".join(f"({_quote(a)}, {_quote(b)})" for a, b in licenses.TEMPLATES)}) t(license, notice)),
+WITH notices AS (SELECT row_number() OVER () AS nid, * FROM (VALUES {", ".join(f"({_quote(a)}, {_quote(b)})" for a, b in [*licenses.TEMPLATES, *licenses.HEADERS])}) t(license, notice)),
 files AS (
   SELECT doc_id, text, concat_ws('/', CASE doc_id % 3 WHEN 0 THEN coalesce(source, 'none') WHEN 1 THEN coalesce(source, 'none') || '/' || coalesce(lang, 'none')
     ELSE coalesce(source, 'none') || '/' || coalesce(lang, 'none') || '/b' || (doc_id % 7) END, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE 'f' || doc_id || '.txt' END) AS path
@@ -150,9 +150,16 @@ ut AS (SELECT unit, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT unit, unne
 uv AS (SELECT unit, term, tf * coalesce(idf, ln(n.n + 1) + 1) AS wu FROM ut LEFT JOIN idf USING (term), n),
 un AS (SELECT unit, sqrt(sum(wu * wu)) AS norm_u FROM uv GROUP BY unit),
 cosine AS (SELECT unit, nid, round(sum(wu * wt) / (any_value(norm_u) * any_value(norm_t)), 6) AS score FROM uv JOIN nv USING (term) JOIN un USING (unit) GROUP BY unit, nid),
+tags AS (
+  SELECT doc_id, regexp_replace(regexp_replace(tag, '(?i)(-only|-or-later|\\+)([ \t)]|$)', '\\2', 'g'), '[ \t]+', ' ', 'g') AS tag
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, {_quote(licenses.SPDX)}, 1)) AS tag FROM files WHERE contains(lower(text), 'spdx-license-identifier'))
+),
+told AS (
+  SELECT doc_id, license, score FROM units JOIN cosine USING (unit) JOIN notices USING (nid) WHERE score >= {licenses.THRESHOLD}
+  UNION ALL SELECT doc_id, CASE WHEN contains(tag, ' ') THEN tag ELSE translate(tag, '()', '') END, 1.0::DOUBLE FROM tags
+),
 own AS (
-  SELECT doc_id, license AS own_license, score AS own_score FROM units JOIN cosine USING (unit) JOIN notices USING (nid) WHERE score >= {licenses.THRESHOLD}
-  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1
+  SELECT doc_id, license AS own_license, score AS own_score FROM told QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY license = 'Proprietary', score DESC, license) = 1
 ),
 f AS (SELECT doc_id, path, regexp_replace(path, '(^|/)[^/]*$', '') AS dir, own_license, own_score FROM files LEFT JOIN own USING (doc_id)),
 givers AS (SELECT dir AS above, own_license AS license, path AS license_path FROM f WHERE doc_id % 10 = 0 AND own_license IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_score DESC, path, own_license) = 1),
