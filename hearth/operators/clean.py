@@ -60,18 +60,18 @@ def rules() -> dict[str, Column]:
     }
 
 
-def repair(df: DataFrame, rate: DataFrame | None = None, box: bool = True) -> DataFrame:
-    """The repaired listing: swap, prices rebuilt both ways, impossible values nulled; no row goes.
+def repair(df: DataFrame, rate: DataFrame | None = None, box: bool = True, prices: str = "both") -> DataFrame:
+    """The repaired listing: swap, prices rebuilt, impossible values nulled; no row goes.
 
-    rate: one row, by default inferred from df itself.
+    rate: one row, by default inferred from df itself. prices: "both" ways, or only those in "uf" (sales) or "clp" (rents).
     """
     rate = infer_rate(df) if rate is None else rate
     hit = rules()
     rebuilt = df.crossJoin(F.broadcast(rate)).withColumns({
         "ano_construccion": F.when(swapped(), F.col("antiguedad_anos")).otherwise(F.col("ano_construccion")),
         "antiguedad_anos": F.when(swapped(), F.col("ano_construccion")).otherwise(F.col("antiguedad_anos")),
-        "precio_uf": F.coalesce("precio_uf", F.try_divide("precio_clp", "rate")),
-        "precio_clp": F.coalesce("precio_clp", F.col("precio_uf") * F.col("rate")),
+        "precio_uf": F.coalesce("precio_uf", F.try_divide("precio_clp", "rate")) if prices != "clp" else F.col("precio_uf"),
+        "precio_clp": F.coalesce("precio_clp", F.col("precio_uf") * F.col("rate")) if prices != "uf" else F.col("precio_clp"),
     })
     fixed = {c: F.when(F.col(c).between(lo, hi), F.col(c)) for c, (lo, hi) in RANGES.items()}
     fixed["gastos_comunes_clp"] = F.when(~hit["zero_costs"], fixed["gastos_comunes_clp"])

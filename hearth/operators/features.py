@@ -54,12 +54,21 @@ def build_features(df: DataFrame, year: int = YEAR) -> DataFrame:
     return made.withColumns(logs | {"sin_servicios": F.col(f"dist_{SERVICES[0]}_m").isNull().cast("double")})
 
 
-def select_blocks(df: DataFrame, extra: list[str] = ()) -> DataFrame:
-    """The features in fixed order; refuses forbidden columns among them."""
-    names = [c for b in BLOCKS.values() for c in b] + ["comuna"]
-    if bad := FORBIDDEN & set(names):
+def select_blocks(df: DataFrame, extra: list[str] = (), more: list[Column] = ()) -> DataFrame:
+    """The features in fixed order, then more of them; refuses those that the analysed frame makes of forbidden columns, under whatever name.
+
+    extra: columns kept beside the features, which may be forbidden ones.
+    """
+    features = df.select(*[c for b in BLOCKS.values() for c in b], "comuna", *more)
+    made = features._jdf.queryExecution().analyzed().expressions()
+    seen = {a.name() for i in range(made.size()) for a in _each(made.apply(i).references().toSeq())}
+    if bad := FORBIDDEN & (seen | set(features.columns)):
         raise ValueError(f"features must not hold {sorted(bad)}")
-    return df.select(*extra, *names)
+    return df.select(*extra, *[c for b in BLOCKS.values() for c in b], "comuna", *more)
+
+
+def _each(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
 
 
 def missing_by_block(df: DataFrame) -> DataFrame:

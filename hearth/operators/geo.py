@@ -188,6 +188,11 @@ def coverage(points: DataFrame, near: DataFrame) -> DataFrame:
     return found.select("categoria", "n", F.round(100 * F.col("n") / F.col("all_"), 6).alias("pct"))
 
 
+def truncated_share(answered: DataFrame) -> DataFrame:
+    """(n, pct): answered points, and the percent whose answer was cut."""
+    return answered.agg(F.count("*").alias("n"), F.round(100 * F.avg(F.col("truncated").cast("double")), 6).alias("pct"))
+
+
 def top_reviewed(catalogue: DataFrame, k: int = 3) -> DataFrame:
     w = W.partitionBy("categoria").orderBy(F.desc("resenas"), "nombre", "lat", "lon")
     return catalogue.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

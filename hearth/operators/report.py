@@ -69,11 +69,12 @@ def nulls(df: DataFrame) -> DataFrame:
     return df.agg(sum(F.sum(F.col(c).isNull().cast("long")) for c in df.columns).alias("n_nulls"))
 
 
-def rate_stability(df: DataFrame) -> DataFrame:
-    """Quartiles of the implied rate, and whether their range is below a hundredth of the median."""
+def rate_stability(df: DataFrame, reference: float | None = None, within: float = 1.0) -> DataFrame:
+    """Quartiles of the implied rate, and whether their range is below a hundredth of the median; with a reference, whether the median is near it."""
     ratio = F.when(F.col("precio_uf") > 0, F.col("precio_clp") / F.col("precio_uf"))
     made = exact_quantiles(df, ratio, [0.25, 0.5, 0.75])
-    return made.select(*[F.round(F.col("q")[i], 6).alias(f"p{p}") for i, p in enumerate((25, 50, 75))], ((F.col("q")[2] - F.col("q")[0]) < F.col("q")[1] / 100).alias("stable"))
+    near = [] if reference is None else [(F.abs(F.col("q")[1] - reference) <= within).alias("near")]
+    return made.select(*[F.round(F.col("q")[i], 6).alias(f"p{p}") for i, p in enumerate((25, 50, 75))], ((F.col("q")[2] - F.col("q")[0]) < F.col("q")[1] / 100).alias("stable"), *near)
 
 
 def snapshot_dates(df: DataFrame) -> DataFrame:

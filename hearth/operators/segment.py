@@ -201,6 +201,13 @@ def profile(df: DataFrame, group: str, price: str) -> DataFrame:
     return made.withColumns({c: F.round(c, 4) for c in values}).withColumn("share", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy()), 4))
 
 
+def least_share(df: DataFrame, group: str) -> DataFrame:
+    """(group, n, share, is_least): the size of each group in rows and percent, and whether none is smaller."""
+    rows = df.groupBy(group).agg(F.count("*").alias("n"))
+    whole = W.partitionBy()
+    return rows.withColumns({"share": F.round(100.0 * F.col("n") / F.sum("n").over(whole), 4), "is_least": F.col("n") == F.min("n").over(whole)})
+
+
 def describe_price(df: DataFrame, group: str, price: str) -> DataFrame:
     """Count, quartiles, and the ratio of the group's median to the least median."""
     rows = grouped_quantiles(df, [group], {"q": F.col(price)}, [0.25, 0.5, 0.75]).withColumnRenamed("n_q", "n").select(group, "n", *[F.round(F.col("q")[i], 4).alias(f"p{p}") for i, p in enumerate((25, 50, 75))])

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from hearth.functions.order import grouped_medians
 from hearth.functions.text import slug
-from hearth.operators import features, geo, ingest, report, score
+from hearth.operators import clean, features, geo, ingest, ratio, report, score, segment
 from hearth.plans import listings as L
 from hearth.plans.queries import query
 from hearth.sources import bucketed, tables
@@ -280,4 +280,109 @@ def null_cells_typed(s, d):
 def rate_spread(s, d):
     """N4 on ratios that spread, with the check against a reference value."""
     rows = _scored(s, d).select(F.col("y").alias("precio_clp"), F.col("pred").alias("precio_uf"))
-    return report.rate_stability(rows).withColumn("near", F.abs(F.col("p50") - 1) <= 0.5)
+    return report.rate_stability(rows, 1.0, 0.5)
+
+
+@query(""", r AS (SELECT precio_clp / precio_uf AS v FROM typed WHERE precio_uf > 0) SELECT round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) < quantile_cont(v, 0.5) / 100 AS stable, abs(quantile_cont(v, 0.5) - 39999.5) <= 1 AS near FROM r""")
+def rate_near_reference(s, d):
+    """The implied rate against a published one."""
+    return report.rate_stability(L.typed(s, d), 39999.5)
+
+
+# pages, exports, modes and parts of studies
+
+
+@query(""" SELECT page_id, length(html)::INT AS n_chars, md5(html) AS digest FROM pages""")
+def gz_pages(s, d):
+    """A10: every page as a gzip file of its own, named by its key in the path, and read back whole."""
+    path = place(s)
+    tables.write_pages(L.table(s, d, "pages"), path, "page_id")
+    return tables.read_pages(s, path).select(F.col("page_id").cast("long").alias("page_id"), F.length("html").alias("n_chars"), F.md5(F.col("html").cast("binary")).alias("digest"))
+
+
+@query(_SCORED + """, m AS (SELECT round(median(abs(pred / y - 1)) * 100, 6) AS v, count(*)::DOUBLE AS n FROM w) SELECT 'area' AS model, 'mdape' AS metric, v AS value FROM m UNION ALL SELECT 'area', 'n', n FROM m""")
+def card_round_trip(s, d):
+    """A metrics card written as JSON lines and read back."""
+    made = grouped_medians(_scored(s, d), [], {"m": F.abs(F.col("pred") / F.col("y") - 1)}, (F.count("*").cast("double").alias("n"),))
+    card = made.select(F.lit("area").alias("model"), F.round(100 * F.col("m"), 6).alias("mdape"), "n").unpivot(["model"], ["mdape", "n"], "metric", "value")
+    path = place(s)
+    tables.write_card(card, path)
+    return s.read.schema(card.schema).json(path)
+
+
+@query(""" SELECT "column" FROM (UNPIVOT (SELECT """ + ", ".join(f"count({c}) AS {c}" for c in ("sitio", "id_aviso", "comuna", "m2_util", "m2_total", "lat", "detalle_ok")) + """, 0 AS url, 0 AS titulo, 0 AS barrio FROM typed) ON COLUMNS(*) INTO NAME "column" VALUE n) WHERE n > 0""")
+def columns_with_values(s, d):
+    """Columns that hold no value at all are dropped."""
+    rows = L.typed(s, d).select("sitio", "id_aviso", "comuna", "m2_util", "m2_total", "lat", "detalle_ok", "url", "titulo", "barrio")
+    return s.createDataFrame([(c,) for c in clean.drop_empty(rows).columns], "column string")
+
+
+@query(""" SELECT m AS prices, count(CASE WHEN m = 'clp' THEN precio_uf ELSE coalesce(precio_uf, precio_clp / rate) END) AS n_uf, count(CASE WHEN m = 'uf' THEN precio_clp ELSE coalesce(precio_clp, precio_uf * rate) END) AS n_clp FROM typed, rate, (VALUES ('both'), ('uf'), ('clp')) v(m) GROUP BY m""")
+def price_modes(s, d):
+    """Prices rebuilt both ways, for sales only in UF, for rents only in CLP."""
+    rows, made = L.typed(s, d), None
+    rate = stored(clean.infer_rate(rows))
+    for mode in ("both", "uf", "clp"):
+        one = clean.repair(rows, rate, prices=mode).agg(F.lit(mode).alias("prices"), F.count("precio_uf").alias("n_uf"), F.count("precio_clp").alias("n_clp"))
+        made = one if made is None else made.union(one)
+    return made
+
+
+@query(""" SELECT count(*) AS n, round(100 * avg((s_suppkey % 24 + 1 >= 20)::INT), 6) AS pct FROM supplier WHERE s_suppkey % 11 <> 0""")
+def truncated_answers_share(s, d):
+    """the percent of answered points whose answer was cut."""
+    return geo.truncated_share(geo.answers(_answered(s, d)))
+
+
+@query(""", b AS (SELECT id_aviso, m2_util, tipo FROM targets) SELECT id_aviso, m2_util, round(ln(m2_util), 6) AS log_m2_util, NULL::DOUBLE AS antiguedad, m2_util AS m2_por_dormitorio, (tipo = 'casa')::INT::DOUBLE AS es_casa, 1::DOUBLE AS sin_geo, 1::DOUBLE AS sin_servicios FROM b""")
+def features_of_few_fields(s, d):
+    """Listings of which only area and kind are known, as an estimate gets them; absent columns count as null, forbidden ones are refused."""
+    made = features.select_blocks(features.scoring_input(L.slim(s, d).select("id_aviso", "m2_util", "tipo")), ["id_aviso"])
+    return made.select("id_aviso", "m2_util", F.round("log_m2_util", 6).alias("log_m2_util"), "antiguedad", "m2_por_dormitorio", "es_casa", "sin_geo", "sin_servicios")
+
+
+_KEYED = ", keyed AS (SELECT *, coalesce('g:' || printf('%.4f,%.4f', lat, lon), 'd:' || direccion) AS building FROM targets), u AS (SELECT *, ('0x' || substr(md5('42:' || building), 1, 8))::BIGINT / 4294967296::DOUBLE AS u1, ('0x' || substr(md5('7:' || building), 1, 8))::BIGINT / 4294967296::DOUBLE AS u2 FROM keyed)"
+
+
+@query(_KEYED + " SELECT CASE WHEN u2 < 0.25 THEN 'test' ELSE 'train' END AS part, count(*) AS n, count(DISTINCT building) AS n_buildings FROM u WHERE NOT u1 < 0.2 GROUP BY 1")
+def calibration_split(s, d):
+    """H4: the training side divided again by building, three quarters to fit and one to calibrate."""
+    train = features.split_by_group(features.building_key(L.slim(s, d)), "building").where("side = 'train'")
+    return features.split_by_group(train, "building", 0.25, 7, name="part").groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("building").alias("n_buildings"))
+
+
+@query(_SCORED + """, m AS (SELECT round(median(abs(pred / y - 1)) * 100, 6) AS v FROM w WHERE y > 0) SELECT v AS mdape, round(v / 100 / 0.6745::DOUBLE, 9) AS sigma FROM m""")
+def implied_sigma(s, d):
+    """The deviation of the log error that the median error implies."""
+    study = ratio.ratio_study(_scored(s, d))
+    return study.select("mdape", F.round(ratio.implied_sigma(F.col("mdape")), 9).alias("sigma"))
+
+
+@query(""", g AS (SELECT comuna || '/' || tipo AS cluster, count(*) AS n FROM targets GROUP BY ALL) SELECT cluster, n, round(100.0::DOUBLE * n / sum(n) OVER (), 4) AS share, n = min(n) OVER () AS is_least FROM g""")
+def least_cluster(s, d):
+    """Sizes of groups and the least share."""
+    return segment.least_share(L.slim(s, d).withColumn("cluster", F.concat_ws("/", "comuna", "tipo")), "cluster")
+
+
+@query(""", e AS (SELECT *, greatest(lo - y, y - hi) AS e FROM predictions WHERE operacion = 'venta'), c AS (SELECT list_sort(list(e)) AS l, count(*) AS n FROM e), s AS (SELECT l[greatest(1, least(n, ceil((n + 1) * 0.8)))::INT] AS shift FROM c) SELECT id_aviso, round(greatest(lo - shift, 0), 6) AS lo, round(hi + shift, 6) AS hi FROM e, s""")
+def widened_interval(s, d):
+    """L3: the range less and plus the calibrated shift, its lower end not below 0."""
+    rows = stored(L.predictions(s, d).where("operacion = 'venta'"))
+    return score.apply_interval(rows, score.conformal_shift(rows)).select("id_aviso", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"))
+
+
+@query(""", v AS (SELECT vec_id, CASE WHEN vec_id % 7 <> 0 THEN embedding[1]::DOUBLE END AS a, embedding[2]::DOUBLE AS b FROM embeddings), m AS (SELECT median(a) AS ma, median(b) AS mb FROM v), f AS (SELECT vec_id, coalesce(a, ma) AS a, coalesce(b, mb) AS b FROM v, m)
+SELECT vec_id, round((a - avg(a) OVER ()) / stddev_pop(a) OVER (), 6) AS a, round((b - avg(b) OVER ()) / stddev_pop(b) OVER (), 6) AS b FROM f""")
+def scaled_matrix(s, d):
+    """Missing values as the column's median, then scaled by the population deviation."""
+    rows = L.table(s, d, "embeddings").select("vec_id", F.when(F.col("vec_id") % 7 != 0, F.col("embedding")[0].cast("double")).alias("a"), F.col("embedding")[1].cast("double").alias("b"))
+    return segment.scale_matrix(rows, ["a", "b"], ["vec_id"]).select("vec_id", F.round("a", 6).alias("a"), F.round("b", 6).alias("b"))
+
+
+@query(""", s AS (SELECT sitio, id_aviso, m2_util, count(*) OVER (PARTITION BY sitio, id_aviso) AS n FROM typed) SELECT 'rows_a' AS side, count(*) AS n FROM typed UNION ALL SELECT 'rows_b', count(*) + count(*) FILTER (id_aviso::BIGINT % 10 = 0) - count(*) FILTER (id_aviso::BIGINT % 9 = 0) FROM typed UNION ALL SELECT 'only_a', count(*) FILTER (id_aviso::BIGINT % 9 = 0) FROM typed UNION ALL SELECT 'only_b', count(*) FILTER (id_aviso::BIGINT % 10 = 0) FROM typed""")
+def mirror_with_strangers(s, d):
+    """A mirror that lacks some keys and holds others of its own."""
+    a = L.typed(s, d).select("sitio", "id_aviso")
+    b = a.where(KEY() % 9 != 0).union(a.where(KEY() % 10 == 0).withColumn("id_aviso", F.concat(F.lit("x"), "id_aviso")))
+    names = ["rows_a", "rows_b", "only_a", "only_b"]
+    return report.mirror_parity(a, b, ["sitio", "id_aviso"]).unpivot([], names, "side", "n")

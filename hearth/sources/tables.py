@@ -37,9 +37,17 @@ def create_table(spark: SparkSession, schema: StructType, path: str) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
+def write_pages(pages: DataFrame, path: str, key: str, html: str = "html") -> None:
+    """Each page as a gzip file of its own, in a folder that names its key (key=<value>); keys are unique, null texts are left out."""
+    rows = pages.where(F.col(html).isNotNull()).select(F.col(key), F.col(html).alias("value"))
+    rows.write.mode("overwrite").partitionBy(key).option("compression", "gzip").text(path)
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(url, html) of saved pages, one file each; gzip is transparent."""
-    return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("url"), F.col("value").alias("html"))
+    """(url, html, and the keys that folders name) of saved pages, one file each; gzip is transparent. Small files share tasks by their size; the line end that ends a file is no part of its page."""
+    files = spark.read.text(path, wholetext=True)
+    keys = [c for c in files.columns if c != "value"]
+    return files.select(F.input_file_name().alias("url"), F.regexp_replace("value", r"\n\z", "").alias("html"), *keys)
 
 
 def fresh(df: DataFrame, ts_col: str, as_of: Column, ttl_hours: int = 24) -> DataFrame:

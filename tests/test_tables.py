@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.functions.order import grouped_medians, grouped_quantiles
-from hearth.operators import asof, geo, ingest, report
-from hearth.sources import bucketed
+from hearth.operators import asof, features, geo, ingest, report
+from hearth.sources import bucketed, tables
 from hearth.streaming import merge
 
 KINDS = "sitio string, id_aviso string, m2_util double, at long"
@@ -117,3 +117,20 @@ def test_hot_day_and_hot_cell(spark):
     near = {r.point: (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.nearest(points, pois, most=8).collect()}
     pairs = points.crossJoin(pois.select("categoria", "nombre", F.col("lat").alias("y"), F.col("lon").alias("x"))).withColumn("d", geo.haversine_m(F.col("lat"), F.col("lon"), F.col("y"), F.col("x")))
     assert near == {r.point: (r.mas_cercano_m, r.nombre, r.n_1km) for r in geo.summary(pairs, 1000.0).collect()} and {v[2] for v in near.values()} >= {0, 3000}
+
+
+def test_pages_as_gzip_files(spark, tmp_path):
+    """Line ends, empty and long pages come back as they were; null pages are left out."""
+    pages = [(1, "<html>\n a\r\n"), (2, ""), (3, "x" * 200_000 + "é😀"), (4, "\n\n"), (5, None)]
+    tables.write_pages(spark.createDataFrame(pages, "page_id long, html string"), str(tmp_path / "p"), "page_id")
+    assert {(r.page_id, r.html) for r in tables.read_pages(spark, str(tmp_path / "p")).collect()} == set(pages[:4])
+
+
+def test_features_refuse_prices(spark):
+    row = spark.createDataFrame([("1", 60.0, "casa", 5000.0)], "id_aviso string, m2_util double, tipo string, precio_uf double")
+    made = features.scoring_input(row)
+    assert "precio_uf" in features.select_blocks(made, ["precio_uf"]).columns
+    for bad in (F.log("precio_uf").alias("size"), F.col("id_aviso"), (F.col("m2_util") * F.col("precio_clp")).alias("x")):
+        with pytest.raises(ValueError):
+            features.select_blocks(made, more=[bad])
+    assert features.select_blocks(made, more=[(F.col("m2_util") * 2).alias("double_area")]).first().double_area == 120.0
