@@ -1,4 +1,4 @@
-"""Registered queries of the appraisal operators, each beside the SQL it is held against (None: bands in tests)."""
+"""Registered queries of the appraisal operators, each beside the SQL it is held against; README says which of the others tests hold to bands."""
 
 from __future__ import annotations
 
@@ -600,7 +600,7 @@ def missing_inputs(s, d):
     return score.missing_inputs(L.clean(s, d), ["lat", "m2_total", "banos"]).select("id_aviso", F.size("faltantes").alias("n_missing"))
 
 
-# models: results are held against bands in tests; rows of checks have SQL that says what must come out
+# models; rows of checks have SQL that says what must come out
 
 
 def _split_features(s, d, market="venta"):
