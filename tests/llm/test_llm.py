@@ -519,5 +519,5 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_registered():
-    assert {re.match(r"op\d+", q)[0] for q in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {re.match(r"op\d+", q)[0] for q in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert queries.ORACLES.keys() <= queries.QUERIES.keys()
