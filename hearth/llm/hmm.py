@@ -43,6 +43,8 @@ MIXTURE_ROUNDS = 25
 GAIN = 1e-3
 #: Tokens of texts that the mixture handles at once (or one longer text).
 BLOCK = 1 << 18
+#: Symbols whose posteriors a task holds at once: some 150 MB with eight states.
+HELD = 1 << 20
 #: Weight, in tokens, of the corpus distribution in each state's emissions.
 SMOOTHING = 20.0
 SLICES = 64
@@ -324,12 +326,12 @@ def runs(raw: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def blocks(col: pa.Array, bytes_each: int = 2) -> Iterator[tuple[int, int]]:
-    """Runs of rows (lo, hi) with at most BLOCK symbols together, or one longer text."""
+    """Runs of rows (lo, hi) with at most HELD symbols together, or one longer text."""
     size = pc.binary_length(col).fill_null(0).to_numpy(zero_copy_only=False) // bytes_each
     ends = np.cumsum(size)
     lo = 0
     while lo < len(size):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK, side="right")))
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + HELD, side="right")))
         yield lo, hi
         lo = hi
 

@@ -43,11 +43,11 @@ def test_long_words_are_fast(spark):
 
 
 def test_blocks_of_symbols():
-    col = pa.array([b"x" * n for n in (10, 0, hmm.BLOCK * 2, hmm.BLOCK * 6, 4, 4)] + [None], pa.binary())
+    col = pa.array([b"x" * n for n in (10, 0, hmm.HELD * 2, hmm.HELD * 6, 4, 4)] + [None], pa.binary())
     spans = list(hmm.blocks(col))
     assert spans[0][0] == 0 and spans[-1][1] == len(col) and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
-    size = np.array([10, 0, hmm.BLOCK * 2, hmm.BLOCK * 6, 4, 4, 0]) // 2
-    assert all(size[lo:hi].sum() <= hmm.BLOCK or hi - lo == 1 for lo, hi in spans)
+    size = np.array([10, 0, hmm.HELD * 2, hmm.HELD * 6, 4, 4, 0]) // 2
+    assert all(size[lo:hi].sum() <= hmm.HELD or hi - lo == 1 for lo, hi in spans)
 
 
 def test_licences_once_wrong(spark):
