@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearth.functions.order import grouped_medians, grouped_quantiles
-from hearth.operators import asof, features, geo, ingest, report
-from hearth.sources import bucketed, tables
+from hearth.operators import asof, features, geo, ingest, report, segment
+from hearth.sources import bucketed, scratch, tables
 from hearth.streaming import merge
 
 KINDS = "sitio string, id_aviso string, m2_util double, at long"
@@ -134,3 +134,26 @@ def test_features_refuse_prices(spark):
         with pytest.raises(ValueError):
             features.select_blocks(made, more=[bad])
     assert features.select_blocks(made, more=[(F.col("m2_util") * 2).alias("double_area")]).first().double_area == 120.0
+
+
+def test_tidy_keeps_what_a_persisted_result_reads(spark):
+    folders = []
+
+    def kept(df):
+        made = scratch.stored(df)
+        folders.append(made.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://"))
+        return made
+
+    @scratch.tidy
+    def persisted():
+        kept(spark.range(5))
+        return kept(spark.range(100)).persist().where("id % 2 = 0").persist()
+
+    @scratch.tidy
+    def dealt():
+        return segment.eta_by_chance(kept(spark.range(400).select("id", (F.col("id") % 5).alias("g"), F.rand(3).alias("y"))), "y", "g", "id", replicates=20)
+
+    made = persisted()  # its tables are first read here, after tidy() has deleted what nothing reads
+    assert made.count() == 50 and sorted(r.replicate for r in dealt().collect()) == list(range(20))
+    assert [os.path.exists(f) for f in folders] == [False, True, True]
+    made.unpersist()
