@@ -12,8 +12,10 @@ statistics and the exact integer products are computed for survivors only.
 The basis is fitted to BASIS_ROWS rows at most, those of the smallest hashes; it only decides how much is
 pruned.  Vectors that spread alike in all directions can hardly be pruned by any such bound.
 
-Vectors travel in blocks.  Every block of queries meets every group of candidates once (the stated query set
-against all rows), each meeting returns k rows a query, and those merge by one aggregation.
+Vectors travel as rows.  Every part of the queries meets every group of candidates once (the stated query set
+against all rows), in one grouped Arrow task of CANDIDATE_BLOCK rows of each side; a meeting returns k rows a
+query, and those merge by one window.  A row is sent once for each part of the queries, a query once for each
+group of candidates, and no block of vectors is ever one JVM value.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part; queries
 meet candidates of their own length only; ties go to the smaller id; fewer candidates than k give all.  Rows
@@ -23,15 +25,13 @@ the nearest 64-bit integer; scores order as exact integers of any size and are r
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from hearth.llm.textbatch import column
+from hearth.llm.scratch import stored, tidy
 
 #: Components that stand alone at each resolution; the rest lie in segments that double in width.
 RESOLUTIONS = (8, 16, 32, 48)
@@ -144,43 +144,43 @@ def best_of(query_id: np.ndarray, query: np.ndarray, ids: np.ndarray, vectors: n
     return row, np.array([j for b in best for _, j in b], np.int64), np.array([s for b in best for s, _ in b], object)
 
 
-def single(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending ids with the first vector of each."""
-    new = np.append(True, ids[1:] != ids[:-1]) if len(ids) else np.zeros(0, bool)
-    return ids[new], vectors[new]
-
-
-def blocks(rows: DataFrame, block: Column, name: str) -> DataFrame:
-    """(size, block, ids, vectors): rows packed into binary blocks of one vector length."""
-    packed = rows.groupBy("size", block.alias("block")).agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("rows"))
-    return packed.select("size", "block", F.col("rows.id").alias(f"{name}_ids"), F.flatten("rows.v").alias(name))
+def one_each(rows: DataFrame) -> DataFrame:
+    """(id, size, v), stored: the smallest vector of each id and length; a hash of an id then fills no block with copies of one id."""
+    return stored(rows.groupBy("id", "size").agg(F.min("v").alias("v")))
 
 
+@tidy
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
     """(query_id, rank, id, score): each query's k best of all other rows."""
     flagged = vectors.withColumn("asks", F.coalesce(is_query, F.lit(False)))
-    rows = quantised(flagged, id_col, vec_col, scale)
-    asks = quantised(flagged.where("asks"), id_col, vec_col, scale)
-    n, m = rows.count(), asks.count()
+    rows = one_each(quantised(flagged, id_col, vec_col, scale))
+    asks = one_each(quantised(flagged.where("asks"), id_col, vec_col, scale))
+    groups, parts = (max(1, -(-df.count() // CANDIDATE_BLOCK)) for df in (rows, asks))
     shared = vectors.sparkSession.sparkContext.broadcast(basis_of(rows))
-    spread = lambda count, each: F.pmod(F.xxhash64("id"), F.lit(max(1, -(-count // each))))
-    queries = blocks(asks, spread(m, QUERY_BLOCK), "query")
-    groups = max(1, -(-n // CANDIDATE_BLOCK))
-    candidates = blocks(rows, spread(n, CANDIDATE_BLOCK), "vectors").withColumnRenamed("block", "with")
-    met = queries.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>"))).join(candidates, ["size", "with"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                size = column(b, "size")[r].as_py()
-                get = lambda name: column(b, name)[r].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                qid, query = single(get("query_ids"), get("query").reshape(-1, size))
-                row, found, score = best_of(qid, query, *single(get("vectors_ids"), get("vectors").reshape(-1, size)), k, shared.value.get(size))
-                clipped = [max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in score]
-                exact = pa.array([str(int(x)) for x in score], pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(qid[row], pa.int64()), pa.array(found, pa.int64()), pa.array(clipped, pa.int64()), exact], ["query_id", "id", "score", "exact"])
-
-    each = met.select("size", "query_ids", "query", "vectors_ids", "vectors").mapInArrow(run, "query_id long, id long, score long, exact string")
+    block = lambda count: F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    met = asks.select("size", every(groups).alias("with"), block(parts).alias("part"), F.lit(True).alias("asks"), "id", "v")
+    met = met.union(rows.select("size", block(groups).alias("with"), every(parts).alias("part"), F.lit(False), "id", "v"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        size = rows.column("size")[0].as_py()
+        asking, ids = rows.column("asks").to_numpy(), rows.column("id").to_numpy()
+        v = rows.column("v").combine_chunks().values.to_numpy(zero_copy_only=False).reshape(-1, size)
+        sides = []
+        for own in (asking, ~asking):
+            at = np.flatnonzero(own)
+            sides += [ids[at := at[np.argsort(ids[at])]], v[at]]
+        qid, query, x_id, x = sides
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for lo in range(0, len(qid), QUERY_BLOCK):
+            row, found, score = best_of(qid[lo : lo + QUERY_BLOCK], query[lo : lo + QUERY_BLOCK], x_id, x, k, shared.value.get(size))
+            out.append((qid[lo : lo + QUERY_BLOCK][row], found, score))
+        asked, found, score = (np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
+        clipped = [max(-(1 << 63), min((1 << 63) - 1, int(x))) for x in score]
+        exact = pa.array([str(int(x)) for x in score], pa.string())
+        return pa.Table.from_arrays([pa.array(asked, pa.int64()), pa.array(found, pa.int64()), pa.array(clipped, pa.int64()), exact], ["query_id", "id", "score", "exact"])
+
+    each = met.groupBy("size", "with", "part").applyInArrow(run, "query_id long, id long, score long, exact string")
     # beyond 64 bits: longer numbers are larger, those of one length order as texts, and the other way round below zero
     order = [F.desc("score"), F.desc(F.when(F.col("score") > 0, F.lpad("exact", 45, "0"))), F.when(F.col("score") < 0, F.lpad(F.substring("exact", 2, 44), 45, "0")), "id"]
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(*order))

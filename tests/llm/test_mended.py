@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hearth.llm import bpe, chat, hmm, langid, licenses, media
+from hearth.llm import bpe, chat, hmm, langid, licenses, media, topk
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -82,3 +82,19 @@ def test_clashing_columns(spark):
     scored = hmm.train_and_score(df, F.col("doc_id") % 7 != 2, keep=["doc_id"])
     assert scored.count() == 40 and len(set(scored.columns)) == len(scored.columns)
     assert media.probe(media.store(df, keep=["doc_id"]), keep=["doc_id", "n_bytes"], digests=True).count() == 40
+
+
+def test_top_k_in_small_blocks(spark, monkeypatch):
+    """Several parts of queries and groups of candidates give what brute force gives; no plan gathers a block of vectors in one JVM value."""
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 16)
+    v = np.random.default_rng(6).integers(-90, 90, (200, 12))
+    rows = [(i, [float(c) for c in x]) for i, x in enumerate(v)] + [(3, [500.0] * 12)] * 100  # of an id's vectors the smallest counts
+    found = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 5 == 0, scale=1)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    want = {}
+    for q in range(0, 200, 5):
+        s = v @ v[q]
+        for rank, j in enumerate(sorted((j for j in range(200) if j != q), key=lambda j: (-s[j], j))[:5], 1):
+            want[q, rank] = (j, int(s[j]))
+    assert got == want
