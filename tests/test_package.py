@@ -1,5 +1,10 @@
 """Model packages: ranges that differ between rows, coverage, reload, acceptance and both markets together."""
 
+import bisect
+import itertools
+import time
+from fractions import Fraction
+
 from pyspark.sql import functions as F
 
 from hearth.operators import model, package, ratio, score
@@ -48,3 +53,20 @@ def test_both_markets(spark):
     for r in got:
         assert r.arriendo_uf == round(r.pred_arriendo / 40000.0, 2) or abs(r.arriendo_uf - r.pred_arriendo / 40000.0) <= 0.00501
         assert len(r.advertencias) == 2 + len(r.motivos_venta) + len(r.motivos_arriendo) and r.veredicto in score.LABELS
+
+
+def test_quantiles_of_large_leaves(spark, monkeypatch):
+    """Rows that share a leaf of 30,000 members don't meet each of them; quantiles are those of the weighted members."""
+    n = 30_000
+    one = spark.range(n).select(F.lit(0).alias("tree"), F.lit(0.0).alias("leaf"), (F.col("id") * 2.0).alias("member"), F.lit(1).cast("long").alias("n"), F.lit(n).cast("long").alias("size"), (F.col("id") * 2).alias("code"))
+    two = spark.range(n).select(F.lit(1).alias("tree"), (F.col("id") % 3000).cast("double").alias("leaf"), (F.col("id") * 2.0 + 1).alias("member"), F.lit(1).cast("long").alias("n"), F.lit(10).cast("long").alias("size"), (F.col("id") * 2 + 1).alias("code"))
+    rows = spark.range(n).select(F.col("id").alias("k"), F.posexplode(F.array(F.lit(0.0), (F.col("id") % 3000).cast("double"))).alias("tree", "leaf"))
+    monkeypatch.setattr(model, "leaves_of", lambda forest, df, y, *keep: df.select(*keep, "tree", "leaf"))
+    began = time.time()
+    got = {r.k: (r.q0, r.q1) for r in model.quantiles_of(None, one.union(two), rows, "k").collect()}
+    assert time.time() - began < 60 and len(got) == n
+    for k in (0, 1, 777, 2999, 29_999):
+        v = [2.0 * i for i in range(n)] + [2.0 * i + 1 for i in range(n) if i % 3000 == k % 3000]
+        ordered = sorted(zip(v, [Fraction(1, n)] * n + [Fraction(1, 10)] * 10, strict=True))
+        upto = list(itertools.accumulate(w for _, w in ordered))
+        assert got[k] == tuple(ordered[bisect.bisect_left(upto, 2 * q)][0] for q in (Fraction(1, 10), Fraction(9, 10)))
