@@ -157,3 +157,12 @@ def test_tidy_keeps_what_a_persisted_result_reads(spark):
     assert made.count() == 50 and sorted(r.replicate for r in dealt().collect()) == list(range(20))
     assert [os.path.exists(f) for f in folders] == [False, True, True]
     made.unpersist()
+
+
+def test_pages_are_written_by_all_cores(spark, tmp_path):
+    """Pages of one task are dealt out; each is still one file, in a folder of its key."""
+    pages = spark.createDataFrame([(i, f"<p>{i}\n</p>") for i in range(40)], "page_id long, html string").coalesce(1)
+    tables.write_pages(pages, str(tmp_path / "p"), "page_id")
+    files = list((tmp_path / "p").glob("page_id=*/part-*.gz"))
+    assert len(files) == len({f.parent for f in files}) == 40 and len({f.name[:10] for f in files}) > 1
+    assert {(r.page_id, r.html) for r in tables.read_pages(spark, str(tmp_path / "p")).collect()} == {(r.page_id, r.html) for r in pages.collect()}
