@@ -8,6 +8,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from hearth.operators import model, package, ratio, score
+from hearth.plans import queries
 
 
 def listings(spark, n=1500):
@@ -70,3 +71,9 @@ def test_quantiles_of_large_leaves(spark, monkeypatch):
         ordered = sorted(zip(v, [Fraction(1, n)] * n + [Fraction(1, 10)] * 10, strict=True))
         upto = list(itertools.accumulate(w for _, w in ordered))
         assert got[k] == tuple(ordered[bisect.bisect_left(upto, 2 * q)][0] for q in (Fraction(1, 10), Fraction(9, 10)))
+
+
+def test_comparison_reads_stored_predictions(spark):
+    """A study reads its rows several times; no candidate predicts again in it."""
+    found = queries.model_comparison(spark, "/root/testdata/sf0.001")
+    assert "UDF" not in found._jdf.queryExecution().toString() and found.count() == 5
